@@ -64,7 +64,7 @@ def votes(text: bytes) -> tuple[int, ...]:
         vote(n >= 50 and 4 * distinct < n and n < 2000, 2 * distinct > n),
         vote(n >= 20 and 5 * stutter > n, False),
         vote(n >= 50 and 5 * packed < len(text), n >= 50 and 4 * packed > len(text)),
-        vote(2 * letters < chars, 10 * letters > 8 * chars and 5 * upper < letters),
+        vote(n >= 20 and 4 * letters < 3 * chars, 10 * letters > 8 * chars and 5 * upper < letters),
     )
 
 
