@@ -1 +1,78 @@
-STAGES = []
+"""From raw documents to token ids in five stages, each written as Parquet and read again by the next.
+
+Every stage works on all that its predecessor kept. All but the last return the columns of documents: doc_id, text, lang, source, n_chars.
+Documents without an id pass the filters as they are; a document whose lines were all deleted is dropped.
+"""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerloom.llm import jaccard, line_dedup, mixing, pieces, weak_quality
+from ledgerloom.llm.common import stored
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return os.environ.get("PIECE_MODEL") or public_tokenizers.path("piece_bpe_32k.model")
+
+
+TOKENIZER = tokenizer_path()
+# Domains are groups of sources by a hash; each domain weighs the same, whatever it holds; below, nodes weigh as they have tokens.
+DOMAINS = 4
+WEIGHTS = {(f"domain{i}",): 1.0 for i in range(DOMAINS)}
+
+
+def levels() -> list:
+    return [F.concat(F.lit("domain"), F.pmod(F.xxhash64("source"), F.lit(DOMAINS)).cast("string")), "lang", "source"]
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    docs = docs.select(*COLUMNS)
+    return weak_quality.keep_good(docs, weak_quality.train(docs))
+
+
+def delete_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    rows = line_dedup.dedup_lines(docs.select(*COLUMNS))
+    left = rows.where("_ld_deleted = 0 or btrim(text) <> ''")
+    return left.withColumn("n_chars", F.when(F.col("_ld_deleted") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)).select(*COLUMNS)
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = jaccard.near_duplicates(docs, k=5, num=4, den=5)
+    copies = found.where("component_id <> doc_id").select("doc_id")
+    return docs.select(*COLUMNS).join(copies, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mix(docs.select(*COLUMNS), levels(), WEIGHTS, budget_share=1.0, max_epochs=2).select(*COLUMNS)
+
+
+def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pieces.encode(docs, pieces.load_model(TOKENIZER), ["doc_id", "lang", "source"])
+
+
+STAGES = [
+    ("quality classifier", keep_quality),
+    ("line dedup", delete_lines),
+    ("n-gram Jaccard join", keep_one_of_each),
+    ("mixing sources", mix_sources),
+    ("SentencePiece encoding", to_pieces),
+]
+#: The classifier is trained and pieces are searched, which SQL cannot express; tests compare each stage with brute force.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for i, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if i + 1 < len(STAGES):
+            docs = stored(docs, f"pipeline-{i}")
+    return docs

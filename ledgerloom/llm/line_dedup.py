@@ -108,7 +108,7 @@ def dedup_lines(docs: DataFrame, min_words: int = 10, rare: int = 16) -> DataFra
 
 
 def delete_runs(rows: DataFrame, min_words: int) -> DataFrame:
-    place, marks = rows.columns.index("text"), rows.columns.index("_ld_marks")
+    place, marks, names = rows.columns.index("text"), rows.columns.index("_ld_marks"), [*rows.columns, "_ld_lines", "_ld_deleted"]
 
     def f(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts, counts, gone = [], [], []
@@ -119,7 +119,7 @@ def delete_runs(rows: DataFrame, min_words: int) -> DataFrame:
             counts.append(len(lines))
             gone.append(len(drop))
         columns = [pa.array(texts, pa.string()) if i == place else batch.column(i) for i in range(batch.num_columns)]
-        return pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64()), pa.array(gone, pa.int64())], [*rows.columns, "_ld_lines", "_ld_deleted"])
+        return pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64()), pa.array(gone, pa.int64())], names)
 
     return arrow_map(rows, f, StructType([*rows.schema.fields]).add("_ld_lines", LongType()).add("_ld_deleted", LongType()))
 

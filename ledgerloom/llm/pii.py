@@ -60,7 +60,7 @@ def confirmed(kind: str, m: Column) -> Column:
         return m.rlike(_IP)
     if kind == "card":
         d = _digits(m)
-        return F.length(d).between(12, 19) & F.luhn_check(d)
+        return F.length(d).between(12, 19) & F.call_function("luhn_check", d)
     if kind == "phone":
         return F.length(_digits(m)).between(9, 15)
     d = F.translate(m, " ", "")

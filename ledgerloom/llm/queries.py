@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.llm import rule_ledger, toxicity, weak_quality
+import corpus_pipeline
+from ledgerloom.llm import archives, impact_search, jaccard, line_dedup, mixing, pieces, pii, rule_ledger, toxicity, weak_quality
 from ledgerloom.llm.common import table
+from ledgerloom.llm.oracles import ORACLE_SQL
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,16 +18,48 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", F.col("_ld_lines").alias("n_lines"), F.col("_ld_deleted").alias("n_deleted"), F.length("text").cast("long").alias("n_chars_left"), F.sha2("text", 256).alias("text_sha256"))
+
+
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return impact_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digests(table(spark, sf_dir, "documents"), pieces.load_model(corpus_pipeline.TOKENIZER))
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archives.round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.mix(table(spark, sf_dir, "documents"), corpus_pipeline.levels(), corpus_pipeline.WEIGHTS, budget_share=0.6)
+    return rows.select("doc_id", F.col("_mix_epoch").alias("epoch"), F.col("_mix_leaf").alias("leaf"), F.col("_mix_tokens").alias("n_tokens"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rule_ledger.apply_policy(rule_ledger.ledger(table(spark, sf_dir, "documents")))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed_bits")
 
 
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), k=4, num=85, den=100)
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.spans(table(spark, sf_dir, "documents")))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return weak_quality.score(docs, weak_quality.train(docs))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_toxicity, op7_quality_rules, op10_quality_classifier)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_toxicity, op2_line_dedup, op3_topk, op4_sentencepiece, op5_warc, op6_mixing, op7_quality_rules, op8_ngram_jaccard, op9_pii, op10_quality_classifier)}
+QUERIES["pipeline"] = corpus_pipeline.run
 
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
