@@ -22,12 +22,16 @@ cloudpickle.register_pickle_by_value(sys.modules["ledgerloom"])
 WORD_SPLIT = "[\\x20\\x09-\\x0D]+"
 
 
+_own: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share; a temporary one only if the session names none."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = tempfile.mkdtemp(prefix="ledgerloom-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        if not _own:
+            _own.append(tempfile.mkdtemp(prefix="ledgerloom-"))
+        found = _own[0]
     return found.rstrip("/")
 
 

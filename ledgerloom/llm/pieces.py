@@ -5,7 +5,8 @@ says (a dummy prefix, spaces written as U+2581), and the best path of pieces max
 longer than the longest piece: at each position only paths that end within that window can still win, and whenever all
 of them go through one boundary the ids before it are final and committed. A character no piece spells costs ten
 less than the lowest score and is written as bytes, or as the unknown id where the model has no bytes. Of equal paths the
-one whose last piece is longest wins. Scores add up exactly: they are whole numbers.
+one whose last piece is longest wins. Scores are whole numbers of 2^-20, so they add up exactly. A model of merges has ranks
+where a unigram model has log-probabilities; a rank r then scores -ln(r + 1), as in Zipf's law.
 
 Boundaries that every path must cross are known ahead of the search: before a space mark that follows another character, as no piece holds one there
 (checked on loading), and around characters that only stand alone. Stretches between them are searched once and remembered, up to a bound.
@@ -19,6 +20,7 @@ are encoded whole; extra columns pass where rows are returned; an empty table gi
 
 from __future__ import annotations
 
+import math
 import re
 import struct
 from collections.abc import Iterator
@@ -32,6 +34,8 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
 from ledgerloom.llm.common import arrow_map
 
 MARK = "▁"
+# Scores are rounded to this part of one and kept as whole numbers, so that sums are exact.
+UNIT = 1 << 20
 # Kinds of pieces in a model file.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
@@ -79,7 +83,7 @@ class Model:
         self.ids = {p: (i, s) for i, (p, s, k) in enumerate(self.pieces) if k in (NORMAL, USER)}
         self.longest = max(map(len, self.ids), default=1)
         self.unknown = next((i for i, p in enumerate(self.pieces) if p[2] == UNKNOWN), 0)
-        self.penalty = min((s for _, s in self.ids.values()), default=0.0) - 10
+        self.penalty = min((s for _, s in self.ids.values()), default=0.0) - 10 * UNIT
         byte = {p: i for i, (p, _, k) in enumerate(self.pieces) if k == BYTE}
         self.bytes_ = [byte[f"<0x{b:02X}>"] for b in range(256)] if len(byte) == 256 else []
         joined = {c for p in self.ids if len(p) > 1 for c in p}
@@ -98,17 +102,21 @@ def load_model(path: str) -> Model:
 
 
 def parse_model(data: bytes) -> Model:
-    pieces, prefix, trim = [], True, True
+    pieces, prefix, trim, kind = [], True, True, 1
     for tag, value in _fields(data):
         if tag == 1:
             piece = {1: b"", 2: b"\0\0\0\0", 3: NORMAL} | dict(_fields(value))
             pieces.append((piece[1].decode(), struct.unpack("<f", piece[2])[0], piece[3]))
+        elif tag == 2:
+            kind = dict(_fields(value)).get(3, 1)
         elif tag == 3:
             rules = dict(_fields(value))
             if rules.get(1, b"identity") != b"identity" or rules.get(2):
                 raise ValueError("only models without a character map are read")
             prefix, trim = bool(rules.get(3, 1)), bool(rules.get(4, 1))
-    return Model(pieces, prefix, trim)
+    # The scores of a merge model (kind 2) are negative ranks; Zipf's law makes them log-probabilities.
+    score = (lambda x: -math.log(1 - x)) if kind == 2 else (lambda x: x)
+    return Model([(p, float(round(score(x) * UNIT)), k) for p, x, k in pieces], prefix, trim)
 
 
 def normalise(text: str, model: Model) -> str:
