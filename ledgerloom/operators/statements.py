@@ -12,7 +12,11 @@ from ledgerloom.functions import strip
 
 def strip_comment(line: Column) -> Column:
     """The code of a line: empty if it starts with *, else cut at the last double quote that is not inside a literal, then without white space at the end."""
-    code = F.regexp_replace(line, r'''^((?>'[^']*'|.)*)".*$''', "$1")
+    # Literals are masked in pieces, so no line is too long for the matcher; an odd quote is a piece of its own.
+    pieces = F.regexp_extract_all(line, F.lit("'[^']*'|[^']+|'"), F.lit(0))
+    masked = F.array_join(F.transform(pieces, lambda p: F.when(p.startswith("'") & (F.length(p) > 1), F.repeat(F.lit("_"), F.length(p))).otherwise(p)), "")
+    tail = F.instr(F.reverse(masked), '"')
+    code = F.when(F.contains(line, F.lit('"')), F.when(tail > 0, F.left(line, F.length(line) - tail)).otherwise(line)).otherwise(line)
     return F.when(strip(line).startswith("*"), F.lit("")).otherwise(F.regexp_replace(code, r"(?U)\s+$", ""))
 
 

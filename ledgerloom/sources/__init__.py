@@ -57,10 +57,12 @@ def read_sources(spark: SparkSession, root: str, suffix: str = ".abap", test_suf
         raise ExtractError(f"source not found: {root}")
     reader = spark.read.format("text").option("wholetext", True)
     if system.getFileStatus(hadoop).isFile():
-        return reader.load(root).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+        return reader.load(root).select(F.lit(root).alias("path"), F.col("value").alias("text"))
     found = reader.option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}").load(root)
-    path = F.col("_metadata.file_path")
-    return found.where(~path.endswith(test_suffix)).select(path.alias("path"), F.col("value").alias("text"))
+    # Paths as the root was given, not as the file system spells them.
+    full, base = F.col("_metadata.file_path"), system.makeQualified(hadoop).toUri().getPath().rstrip("/")
+    path = F.concat(F.lit(root.rstrip("/")), F.substring(full, F.instr(full, base) + len(base), F.length(full)))
+    return found.where(~full.endswith(test_suffix)).select(path.alias("path"), F.col("value").alias("text"))
 
 
 def read_test_names(spark: SparkSession, root: str, test_suffix: str = ".testclasses.abap") -> DataFrame:
