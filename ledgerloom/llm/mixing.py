@@ -67,7 +67,7 @@ def leaf_budgets(capacity: Mapping[tuple[str, ...], float], weights: Mapping[tup
     for path in sorted(size, key=len, reverse=True):
         inside = capacity[path] if len(path) == depth else sum(usable[x] for x in below[path])
         usable[path] = inside if weight[path] > 0 else 0.0
-    out, todo = {}, [((), budget)]
+    out, todo = {}, [((), budget)] if capacity else []
     while todo:
         path, b = todo.pop()
         if len(path) == depth:
