@@ -18,12 +18,14 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def tokenizer_path() -> str:
+    """The public model's file: PIECE_MODEL, or the one of the installed package."""
+    if found := os.environ.get("PIECE_MODEL"):
+        return found
     import public_tokenizers
 
-    return os.environ.get("PIECE_MODEL") or public_tokenizers.path("piece_bpe_32k.model")
+    return public_tokenizers.path("piece_bpe_32k.model")
 
 
-TOKENIZER = tokenizer_path()
 # Domains are groups of sources by a hash; each domain weighs the same, whatever it holds; below, nodes weigh as they have tokens.
 DOMAINS = 4
 WEIGHTS = {(f"domain{i}",): 1.0 for i in range(DOMAINS)}
@@ -55,7 +57,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pieces.encode(docs, pieces.load_model(TOKENIZER), ["doc_id", "lang", "source"])
+    return pieces.encode(docs, pieces.load_model(tokenizer_path()), ["doc_id", "lang", "source"])
 
 
 STAGES = [

@@ -28,7 +28,7 @@ def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.digests(table(spark, sf_dir, "documents"), pieces.load_model(corpus_pipeline.TOKENIZER))
+    return pieces.digests(table(spark, sf_dir, "documents"), pieces.load_model(corpus_pipeline.tokenizer_path()))
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
