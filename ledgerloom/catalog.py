@@ -545,3 +545,87 @@ def H20_time_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     zones = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("country"), F.when(F.col("r_name") == "EUROPE", "CET").when(F.col("r_name") == "ASIA", "JST").alias("zone"))
     return reports.time_zone(plants, addresses, zones)
 
+
+
+# --- the rest of the inventory: names and paths, partner and stock checks, legacy and interface reports ---
+
+
+@query("""SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'ZP' || o_orderkey WHEN 1 THEN 'ZC' || o_orderkey WHEN 2 THEN 'NOTE' || o_orderkey || '.TXT' ELSE 'ZX' || o_orderkey || '.TEST' END AS object_name FROM orders""")
+def P13_object_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    text = k.cast("string")
+    file = F.when(k % 4 == 0, F.concat(F.lit("src/mm/zp"), text, F.lit(".prog.abap"))).when(k % 4 == 1, F.concat(F.lit("zc"), text, F.lit(".clas.abap"))).when(k % 4 == 2, F.concat(F.lit("a/note"), text, F.lit(".txt.md"))).otherwise(F.concat(F.lit("zx"), text, F.lit(".test.abap")))
+    return table(spark, sf_dir, "orders", "o_orderkey").select("o_orderkey", rules.object_name(file).alias("object_name"))
+
+
+@query("""WITH i AS (SELECT s_suppkey AS seq, 'p' || (s_suppkey % 50) || '.abap' AS path, s_name AS name FROM supplier), e AS (SELECT path, min(seq) AS first, arg_max(name, seq) AS name FROM i GROUP BY 1),
+f AS (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN './p' ELSE 'dir/x' || (c_custkey % 7) || '/p' END || (c_custkey % 60) || '.abap' AS path FROM customer), m AS (SELECT c_custkey, f.path, arg_min(e.name, e.first) AS name FROM f LEFT JOIN e ON ends_with(ltrim(f.path, './'), e.path) GROUP BY 1, 2)
+SELECT c_custkey, path, name AS owner FROM m""")
+def P14_inventory_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey")
+    path = F.concat(F.when(k % 3 == 0, "./p").otherwise(F.concat(F.lit("dir/x"), (k % 7).cast("string"), F.lit("/p"))), (k % 60).cast("string"), F.lit(".abap"))
+    files = table(spark, sf_dir, "customer", "c_custkey").withColumn("path", path)
+    inventory = table(spark, sf_dir, "supplier", "s_suppkey", "s_name").select(F.concat(F.lit("p"), (F.col("s_suppkey") % 50).cast("string"), F.lit(".abap")).alias("path"), F.col("s_name").alias("owner"), F.col("s_suppkey").alias("_seq"))
+    return files.join(rules.with_inventory(files.select("path").distinct(), inventory), "path", "left").select("c_custkey", "path", "owner")
+
+
+@query(f"""WITH {_PARTIES}, x AS (SELECT count(*) AS records, count(DISTINCT (nation, band)) AS n FROM p), i AS (SELECT count(*) FILTER (o_custkey % 10 <> 0) AS lines, count(*) FILTER (o_custkey % 10 <> 0 AND o_custkey % 7 <> 0) AS resolved FROM orders)
+SELECT 'REC-BP-001' AS id, n || ' identities in ' || records || ' records' AS source_value, n || ' BPs in the load file' AS target_value, true AS passed, (records - n) || ' records merged into a shared BP' AS note FROM x
+UNION ALL SELECT 'REC-BP-002', CAST(lines AS VARCHAR), CAST(resolved AS VARCHAR), lines = resolved, CASE WHEN lines = resolved THEN '' ELSE (lines - resolved) || ' unmapped partner lines' END FROM i
+UNION ALL SELECT 'REC-BP-003', CAST(records AS VARCHAR), CAST((SELECT count(DISTINCT id) FROM p) AS VARCHAR), records = (SELECT count(DISTINCT id) FROM p), '' FROM x""")
+def R2_partner_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parties = _parties(spark, sf_dir)
+    ids = parties.select(F.col("nation").alias("i0"), F.col("band").alias("i1"), F.lit("").alias("i2"), F.lit("").alias("i3"))
+    partners = mapping.numbered(_entities(spark, sf_dir), "_first", 1000000, "BusinessPartner").select("BusinessPartner", F.col("_g0").alias("nation"), F.col("_g1").alias("band"))
+    xref = parties.join(partners, ["nation", "band"]).select(F.col("id").alias("SourceId"), "BusinessPartner")
+    k = F.col("o_custkey")
+    named = k % 10 != 0
+    items = table(spark, sf_dir, "orders", "o_custkey").select(F.when(named, k.cast("string")).otherwise("").alias("SourcePartner"), F.when(named & (k % 7 != 0), "BP").otherwise("").alias("BusinessPartner"))
+    return reconcile.partner_checks(ids, partners, xref, items).select("id", "source_value", "target_value", "passed", "note")
+
+
+@query("""WITH a AS (SELECT l_suppkey AS plant, sum(CAST(l_quantity AS DECIMAL(18,3))) AS s FROM lineitem GROUP BY 1), b AS (SELECT l_suppkey AS plant, sum(CAST(l_quantity AS DECIMAL(18,3))) AS t FROM lineitem WHERE l_suppkey % 9 <> 0 OR l_linenumber > 1 GROUP BY 1)
+SELECT 'REC-STK-' || plant AS id, 'unrestricted stock quantity in plant ' || plant AS description, CAST(CAST(coalesce(s, 0) AS DECIMAL(38,3)) AS VARCHAR) AS source_value, CAST(CAST(coalesce(t, 0) AS DECIMAL(38,3)) AS VARCHAR) AS target_value, coalesce(s, 0) = coalesce(t, 0) AS passed, '' AS note FROM a FULL JOIN b USING (plant)""")
+def R7_stock_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem", "l_suppkey", "l_quantity", "l_linenumber")
+    amount = F.col("l_quantity").cast("decimal(18,3)").cast("string")
+    accepted = lines.select(F.col("l_suppkey").alias("WERKS"), amount.alias("CLABS"))
+    loaded = lines.where("l_suppkey % 9 <> 0 or l_linenumber > 1").select(F.col("l_suppkey").alias("Plant"), amount.alias("UnrestrictedQuantity"))
+    return reconcile.stock_checks(accepted, loaded)
+
+
+@query("""WITH k AS (SELECT l_partkey, l_suppkey, min(l_returnflag) AS u FROM lineitem WHERE l_linestatus = 'O' GROUP BY 1, 2), m AS (SELECT p_partkey, min(p_brand) AS u FROM part GROUP BY 1), s AS (SELECT l_suppkey, l_partkey, l_orderkey, CAST(l_quantity AS DECIMAL(18,2)) AS q FROM lineitem WHERE l_linestatus = 'F')
+SELECT s.l_suppkey AS plant, s.l_partkey AS material, s.l_orderkey AS storage_location, s.q AS unrestricted_qty, coalesce(k.u, m.u) AS base_unit FROM s LEFT JOIN k ON k.l_partkey = s.l_partkey AND k.l_suppkey = s.l_suppkey LEFT JOIN m ON m.p_partkey = s.l_partkey WHERE s.q <> 0
+UNION ALL SELECT l_suppkey, l_partkey, l_orderkey, CAST(l_quantity AS DECIMAL(18,2)), NULL FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 0""")
+def H1_stock_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem", "l_suppkey", "l_partkey", "l_orderkey", "l_quantity", "l_linestatus", "l_returnflag").withColumns({"plant": F.col("l_suppkey"), "material": F.col("l_partkey"), "storage_location": F.col("l_orderkey"), "unrestricted_qty": dec("l_quantity"),
+                                                                                                                                    "quality_insp_qty": dec(F.lit(0)), "blocked_qty": dec(F.lit(0))})
+    stock = ["plant", "storage_location", "material", "unrestricted_qty", "quality_insp_qty", "blocked_qty"]
+    units = lines.where("l_linestatus = 'O'").select("material", "plant", F.col("l_returnflag").alias("unit"))
+    rows = reports.stock_overview_legacy(lines.where("l_linestatus = 'F'").select(*stock), units, table(spark, sf_dir, "part", "p_partkey", "p_brand").toDF("material", "unit"), lines.where("l_returnflag = 'R'").select(*stock))
+    return rows.select("plant", "material", "storage_location", "unrestricted_qty", "base_unit")
+
+
+@query("""SELECT o_orderkey, substr(d, 1, 4) AS doc_type, rtrim(substr(d, 5, 10)) AS quantity, CASE WHEN o_orderkey % 5 = 0 THEN 'FAILED' ELSE 'POSTED' END AS status FROM (SELECT o_orderkey, 'CONF' || rpad(CASE WHEN o_orderkey % 5 = 0 THEN 'n/a' ELSE CAST(o_orderkey % 1000 AS VARCHAR) END, 10, ' ') || 'X' AS d FROM orders WHERE o_orderstatus = 'P')""")
+def H17_confirmations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders, k = table(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus"), F.col("o_orderkey")
+    data = F.concat(F.lit("CONF"), F.rpad(F.when(k % 5 == 0, "n/a").otherwise((k % 1000).cast("string")), 10, " "), F.lit("X"))
+    rows = reports.confirmations(orders.where("o_orderstatus = 'P'"), orders.select("o_orderkey", data.alias("data")), "o_orderkey", [("doc_type", 1, 4), ("quantity", 5, 10)])
+    return rows.select("o_orderkey", "doc_type", "quantity", "status")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'NEW' ELSE o_orderstatus END AS status FROM orders")
+def H18_requeue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus").select("o_orderkey", F.when(F.col("o_orderstatus") == "F", "FAILED").otherwise(F.col("o_orderstatus")).alias("status"))
+    return reports.requeue(rows)
+
+
+@query("SELECT user_id, event_type, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1")
+def H13_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type")
+    return reports.latest(rows, ["user_id"], [F.desc("ts"), F.desc("event_id")]).select("user_id", "event_type", "event_id")
+
+
+@query("SELECT DISTINCT 'wave' || (doc_id % 4) AS wave FROM documents")
+def P15_waves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _objects(spark, sf_dir).select("wave").distinct()
