@@ -12,6 +12,7 @@ A document's set holds the 64-bit hashes of its distinct k-word shingles, kept a
    token above that, a set is "complete" if its posted prefix holds enough tokens that are not hot; two complete sets that link
    share one of these, so only pairs with an incomplete set remain. They meet in size-banded tiles of bounded rows: a tile
    compares hashed bitmaps, whose bit counts bound the overlap from above, and passes on pairs that can reach the threshold.
+   A first round passes on only the likeliest pairs, which joins most sets that belong together; the second passes on all that are left.
 5. Pairs go through the size band, the bitmaps' bound and then the intersection of both sorted arrays, which decides.
 
 Components are found before and after 4. Nothing grows with the square of a group of near copies: of those, step 4 sees only sets
@@ -69,8 +70,8 @@ def shingle_array(text: bytes, k: int, hashes: dict) -> np.ndarray:
 
 
 def bits_of(n: int) -> int:
-    """Bits of a set's bitmap: of one size within a band of sizes, 256 to 4096."""
-    return 1 << min(12, max(8, int(n).bit_length()))
+    """Bits of a set's bitmap, the same within a band of sizes: four to eight an element, 256 to 2^14 in all."""
+    return 1 << min(14, max(8, int(n).bit_length() + 2))
 
 
 def bitmap(a: np.ndarray) -> bytes:
@@ -181,30 +182,26 @@ def verified(pairs: DataFrame, source: DataFrame, sets: DataFrame | None, k: int
     return stored(arrow_map(both.select("a", "b", "array_a", "array_b"), f, "a long, b long"), "nj-links")
 
 
-def tiled_pairs(hot: DataFrame, sets: DataFrame, num: int, den: int, tile: int) -> DataFrame:
-    """Pairs within tokens of many sets: of different components, one of them incomplete, within the size band and the bitmaps' bound.
+def tiled_pairs(rows: DataFrame, sets: DataFrame, num: int, den: int, tile: int, most: int | None) -> DataFrame:
+    """Pairs within groups, of an asking set and any other of another component, within the size band and the bitmaps' bound.
 
-    In each token some sets ask and all answer: the incomplete ones ask, or, where these are fewer, all outside the token's largest
-    component; either way one side of each pair in question asks. Sets are banded by size (partners are in the same band or
-    the next) and bands cut into tiles of about ``tile`` rows, which the asking sets of that band and its neighbours visit.
+    rows: grp, set, n, component, asking. Sets are banded by size (partners are in the same band or the next) and bands cut
+    into tiles of about ``tile`` rows, which blocks of as many asking sets of that band and its neighbours visit. most: so many pairs of each asking set in a tile, the likeliest first; None for all.
     """
     band = F.floor(F.log(F.col("n")) / F.lit(1.000001 * math.log(den / num))).cast("int")
-    largest = hot.groupBy("tok", "component").agg(F.count("*").alias("m")).groupBy("tok").agg(F.max_by("component", F.struct("m", "component")).alias("main"), F.max("m").alias("main_m"), F.sum("m").alias("all_m"))
-    open_ = hot.groupBy("tok").agg(F.count_if(~F.col("complete")).alias("incomplete")).where("incomplete > 0").join(largest, "tok")
-    rows = hot.join(open_, "tok").select("tok", "set", "n", "component", band.alias("band"),
-        F.when(F.col("all_m") - F.col("main_m") < F.col("incomplete"), F.col("component") != F.col("main")).otherwise(~F.col("complete")).alias("asking"))
-    rows = stored(rows, "nj-tiles")
+    rows = stored(rows.withColumn("band", band), "nj-tiles")
     cuts = lambda c: F.ceil(F.col(c) / tile).cast("int")
-    plan = rows.groupBy("tok", "band").agg(F.count("*").alias("m"), F.count_if("asking").alias("i")).select("tok", "band", cuts("m").alias("tiles"), cuts("i").alias("blocks"))
-    near = plan.select("tok", F.col("band").alias("of"), "tiles", "blocks", F.explode(F.array(*(F.col("band") + d for d in (-1, 0, 1)))).alias("band"))
-    at = lambda c, seed: F.pmod(F.xxhash64("set", F.lit(seed)), F.col(c)).cast("int")
-    each = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    here = rows.join(plan, ["tok", "band"])
-    answers = here.withColumn("tile", at("tiles", 1)).drop("tiles", "blocks").join(near.where("blocks > 0").drop("tiles"), ["tok", "band"])
-    answers = answers.select("tok", "set", "n", "component", F.lit(False).alias("asks"), F.col("band").alias("tile_band"), "tile", F.col("of").alias("block_band"), each("blocks").alias("block"))
-    asks = here.where("asking").withColumn("block", at("blocks", 2)).drop("tiles", "blocks").join(near.drop("blocks"), ["tok", "band"])
-    asks = asks.select("tok", "set", "n", "component", F.lit(True).alias("asks"), F.col("of").alias("tile_band"), each("tiles").alias("tile"), F.col("band").alias("block_band"), "block")
-    both = answers.unionByName(asks).join(sets.select("set", "bits"), "set")
+    plan = rows.groupBy("grp", "band").agg(F.count("*").alias("m"), F.count_if("asking").alias("i")).select("grp", "band", cuts("m").alias("tiles"), cuts("i").alias("blocks"))
+    near = plan.select("grp", F.col("band").alias("of"), "tiles", "blocks", F.explode(F.array(*(F.col("band") + d for d in (-1, 0, 1)))).alias("band"))
+    at = lambda c, seed: F.pmod(F.xxhash64("set", F.lit(seed)), F.greatest(F.col(c), F.lit(1))).cast("int")
+    # For each band, the bands nearby and their tiles and blocks, as one array: a row meets it in one join and is dealt out by it.
+    around = near.groupBy("grp", "band").agg(F.collect_list(F.struct("of", "tiles", "blocks")).alias("around"))
+    here = rows.join(plan.join(around, ["grp", "band"]), ["grp", "band"]).withColumns({"tile": at("tiles", 1), "block": at("blocks", 2)})
+    each = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    place = lambda asks, tb, t, bb, b: F.struct(F.lit(asks).alias("asks"), tb.alias("tile_band"), t.alias("tile"), bb.alias("block_band"), b.alias("block"))
+    answers = F.flatten(F.transform("around", lambda o: F.transform(each(o["blocks"]), lambda b: place(False, F.col("band"), F.col("tile"), o["of"], b))))
+    asks = F.when(F.col("asking"), F.flatten(F.transform("around", lambda o: F.transform(each(o["tiles"]), lambda t: place(True, o["of"], t, F.col("band"), F.col("block")))))).otherwise(F.array().cast("array<struct<asks:boolean,tile_band:int,tile:int,block_band:int,block:int>>"))
+    both = here.join(sets.select("set", "bits"), "set").select("grp", "set", "n", "component", "bits", F.inline(F.concat(answers, asks)))
 
     def f(pdf: pd.DataFrame) -> pd.DataFrame:
         ask, there = pdf[pdf["asks"]], pdf[~pdf["asks"]]
@@ -216,11 +213,36 @@ def tiled_pairs(hot: DataFrame, sets: DataFrame, num: int, den: int, tile: int)
             for s, m, c, b in zip(ask["set"], ask["n"], ask["component"], ask["bits"], strict=True):
                 near = np.flatnonzero((comp != c) & (np.minimum(n, m) * den >= np.maximum(n, m) * num))
                 if len(near):
-                    good = links(m, n[near], overlap_bound(m, folded(b, size)[None, :], n[near], bits[near]), num, den)
+                    bound = overlap_bound(m, folded(b, size)[None, :], n[near], bits[near])
+                    good = np.flatnonzero(links(m, n[near], bound, num, den))
+                    if most is not None and len(good) > most:
+                        good = good[np.argsort(-bound[good] / (m + n[near][good] - bound[good]), kind="stable")[:most]]
                     out += [(min(s, x), max(s, x)) for x in ids[near[good]]]
         return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
-    return both.groupBy("tok", "tile_band", "tile", "block_band", "block").applyInPandas(f, "a long, b long").distinct()
+    return both.groupBy("grp", "tile_band", "tile", "block_band", "block").applyInPandas(f, "a long, b long")
+
+
+def open_pairs(members: DataFrame, label: DataFrame, sets: DataFrame, num: int, den: int, small: int, tile: int, most: int | None) -> DataFrame:
+    """Pairs of different components that share a posted token and are not yet excluded.
+
+    Tokens of few sets form them by a join. In tokens of many, either the sets outside the token's main component ask, where these are fewer than
+    the incomplete ones: they meet that component's sets and each other once for each main component, not for each token; or the incomplete ones ask
+    all of the token.
+    """
+    placed = members.join(label.withColumnRenamed("node", "set"), "set", "left").withColumn("component", F.coalesce("component", "set"))
+    parts = placed.groupBy("tok", "component").agg(F.count("*").alias("m"), F.count_if(~F.col("complete")).alias("i"))
+    mixed = parts.groupBy("tok").agg(F.sum("m").alias("all_m"), F.sum("i").alias("incomplete"), F.max_by("component", F.struct("m", "component")).alias("main"), F.max("m").alias("main_m"), F.count("*").alias("parts")).where("parts > 1")
+    rest = stored(placed.join(mixed, "tok").select("tok", "held", "set", "n", "component", "complete", "main", "incomplete", (F.col("all_m") - F.col("main_m") < F.col("incomplete")).alias("by_main")), "nj-mixed")
+    little = rest.where(F.col("held") <= small).select("tok", "set", "n", "component")
+    other = little.select("tok", *(F.col(c).alias(f"{c}_b") for c in ("set", "n", "component")))
+    direct = little.join(other, "tok").where((F.col("set") < F.col("set_b")) & (F.col("component") != F.col("component_b")) & in_band(F.col("n"), F.col("n_b"), num, den))
+    hot = rest.where((F.col("held") > small) & (F.col("incomplete") > 0))
+    by_main = hot.where("by_main").groupBy(F.concat(F.lit("c"), "main").alias("grp"), "set", "n", "component").agg(F.bool_or(F.col("component") != F.col("main")).alias("asking"))
+    by_token = hot.where("not by_main").select(F.concat(F.lit("t"), "tok").alias("grp"), "set", "n", "component", (~F.col("complete")).alias("asking"))
+    tiles = tiled_pairs(by_main.unionByName(by_token), sets, num, den, tile, most)
+    # Pairs of the first join are few a token and formed once: the last round has them, whatever was linked before.
+    return tiles if most is not None else tiles.unionByName(direct.select(F.col("set").alias("a"), F.col("set_b").alias("b")))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, small: int = 48, tile: int = 2048) -> DataFrame:
@@ -232,29 +254,26 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, sma
         whole = stored(whole.groupBy("doc_id").agg(F.max_by(F.struct("n", "key", "bits", "prefix", "need"), F.coalesce("key", F.lit(b"").cast("binary"))).alias("x")).select("doc_id", "x.*"), "nj-profile")
     # A set is named by the smallest id that has it.
     named = stored(whole.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("set")), "nj-named")
-    sets = stored(whole.join(named.select("key", F.col("set").alias("doc_id")), ["key", "doc_id"]).withColumnRenamed("doc_id", "set"), "nj-sets")
+    # Read again where needed: the profile's rows of the ids that name a set.
+    sets = whole.join(bounded_side(named.select("key", F.col("set").alias("doc_id"))), ["key", "doc_id"]).withColumnRenamed("doc_id", "set")
     source = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("set"), "text")
     posted = sets.select("set", "n", F.explode("prefix").alias("tok"))
-    leader = lambda seed, name: F.min_by("set", F.xxhash64("set", F.lit(seed))).alias(name)
-    tokens = stored(posted.groupBy("tok").agg(F.count("*").alias("held"), F.min("set").alias("low"), F.max("set").alias("high"), leader(3, "l1"), leader(4, "l2")).where("held > 1"), "nj-tokens")
-    members = stored(posted.join(bounded_side(tokens.where("held > 2").select("tok", "held", "l1", "l2")), "tok"), "nj-members")
-    pair = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
-    led = members.select("set", F.explode(F.array("l1", "l2")).alias("l")).where("l <> set").select(*pair("l", "set"))
-    check = lambda pairs: verified(bounded(pairs.distinct(), sets, num, den), source, sets if again else None, k, num, den)
-    first = check(tokens.where("held = 2").select(*pair("low", "high")).unionByName(led))
-
-    placed = members.join(components(first).withColumnRenamed("node", "set"), "set", "left").withColumn("component", F.coalesce("component", "set"))
-    mixed = placed.groupBy("tok").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("tok")
-    rest = stored(placed.join(mixed, "tok").select("tok", "held", "set", "n", "component"), "nj-mixed")
-    little = rest.where(F.col("held") <= small).drop("held")
-    other = little.select("tok", *(F.col(c).alias(f"{c}_b") for c in ("set", "n", "component")))
-    direct = little.join(other, "tok").where((F.col("set") < F.col("set_b")) & (F.col("component") != F.col("component_b")) & in_band(F.col("n"), F.col("n_b"), num, den))
+    one = F.struct("set", "n")
+    leader = lambda seed, name: F.min_by(one, F.xxhash64("set", F.lit(seed))).alias(name)
+    tokens = stored(posted.groupBy("tok").agg(F.count("*").alias("held"), F.min(one).alias("low"), F.max(one).alias("high"), leader(3, "l1"), leader(4, "l2")).where("held > 1"), "nj-tokens")
+    members = posted.join(bounded_side(tokens.where("held > 2").select("tok", "held", "l1", "l2")), "tok")
     hot_in = members.where(F.col("held") > small).groupBy("set").agg(F.count("*").alias("hot"))
     complete = sets.join(hot_in, "set").select("set", (F.size("prefix") - F.col("hot") >= F.col("need")).alias("complete"))
-    hot = stored(rest.where(F.col("held") > small).join(complete, "set"), "nj-hot")
-    second = check(direct.select(F.col("set").alias("a"), F.col("set_b").alias("b")).unionByName(tiled_pairs(hot, sets, num, den, tile)))
+    members = stored(members.join(complete, "set", "left").withColumn("complete", F.coalesce("complete", F.lit(True))), "nj-members")
+    near = lambda rows, x, y: rows.where(in_band(F.col(f"{x}.n"), F.col(f"{y}.n"), num, den)).select(F.least(f"{x}.set", f"{y}.set").alias("a"), F.greatest(f"{x}.set", f"{y}.set").alias("b"))
+    led = near(members.select(F.struct("set", "n").alias("me"), F.explode(F.array("l1", "l2")).alias("l")).where("l.set <> me.set"), "me", "l")
+    check = lambda pairs: verified(bounded(pairs.distinct(), sets, num, den), source, sets if again else None, k, num, den)
+    linked = check(near(tokens.where("held = 2"), "low", "high").unionByName(led))
+    # The likeliest partners of sets outside their group's main component first, so that those who join it ask no more; then all.
+    for most in (3, None):
+        linked = linked.unionByName(check(open_pairs(members, components(linked), sets, num, den, small, tile, most)))
 
-    label = components(first.unionByName(second)).withColumnRenamed("node", "set")
+    label = components(linked).withColumnRenamed("node", "set")
     found = named.join(label, "set", "left").select("key", F.coalesce("component", "set").alias("component"))
     of_all = whole.select("doc_id", "n", "key").unionByName(rows.where("doc_id is null").select("doc_id", "n", "key"))
     return of_all.join(found, "key", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
