@@ -36,6 +36,8 @@ from ledgerloom.llm.common import arrow_map
 MARK = "▁"
 # Scores are rounded to this part of one and kept as whole numbers, so that sums are exact.
 UNIT = 1 << 20
+# Stretches up to this length are searched as one window and remembered.
+WINDOW = 64
 # Kinds of pieces in a model file.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
@@ -73,6 +75,7 @@ class Model:
     dummy_prefix: bool = True
     trim: bool = False
     ids: dict[str, tuple[int, float]] = field(default_factory=dict)
+    steps: dict[str, float | bool] = field(default_factory=dict)
     longest: int = 1
     unknown: int = 0
     penalty: float = 0.0
@@ -82,6 +85,8 @@ class Model:
     def __post_init__(self) -> None:
         self.ids = {p: (i, s) for i, (p, s, k) in enumerate(self.pieces) if k in (NORMAL, USER)}
         self.longest = max(map(len, self.ids), default=1)
+        # Score of each piece, and False for what only begins one.
+        self.steps = {p[:i]: False for p in self.ids for i in range(1, len(p))} | {p: s for p, (_, s) in self.ids.items()}
         self.unknown = next((i for i, p in enumerate(self.pieces) if p[2] == UNKNOWN), 0)
         self.penalty = min((s for _, s in self.ids.values()), default=0.0) - 10 * UNIT
         byte = {p: i for i, (p, _, k) in enumerate(self.pieces) if k == BYTE}
@@ -130,27 +135,37 @@ def normalise(text: str, model: Model) -> str:
 def viterbi(text: str, model: Model) -> Iterator[int]:
     """Ids of the best path, committed as soon as all paths that can still win share a boundary.
 
-    ``best`` and ``back`` hold only positions from the last committed boundary on. A path that will be continued ends at one of the last ``longest``
-    positions, so when the backpointers of these meet in one boundary, nothing before it can change.
+    ``best`` and ``back`` hold only positions from the last committed boundary to one piece's length ahead. A path that can still win ends at the
+    position reached or at one ahead of it, so when the backpointers of these meet in one boundary, nothing before it can change.
     """
-    ids, longest, penalty = model.ids, model.longest, model.penalty
-    base, best, back = 0, [0.0], [0]  # of position base + i: score of the best path, and where its last piece begins
-    n, wait = len(text), 0
-    for end in range(1, n + 1):
-        top, begin = -float("inf"), end - 1
-        for start in range(max(base, end - longest), end):
-            found = ids.get(text[start:end])
-            score = best[start - base] + (found[1] if found else penalty if start == end - 1 else -float("inf"))
-            if score > top:
-                top, begin = score, start
-        best.append(top)
-        back.append(begin)
-        wait += 1
-        if end < n and wait < longest:
+    get, longest, penalty, n = model.steps.get, model.longest, model.penalty, len(text)
+    low = -float("inf")
+    base, best, back = 0, [0.0] + [low] * longest, [0] * (longest + 1)  # of position base + i: score of the best path, and where its last piece begins
+    wait = longest
+    for start in range(n):
+        here = best[start - base]
+        end, single = start + 1, True
+        # Longer pieces are tried only as long as some piece begins so; of equal paths the first found has the longest last piece.
+        while end <= n:
+            score = get(text[start:end])
+            if score is None:
+                break
+            if score is not False:
+                single = False if end == start + 1 else single
+                score += here
+                if score > best[end - base]:
+                    best[end - base], back[end - base] = score, start
+            end += 1
+        if single and here + penalty > best[start + 1 - base]:
+            best[start + 1 - base], back[start + 1 - base] = here + penalty, start
+        best.append(low)
+        back.append(0)
+        wait -= 1
+        if wait and start + 1 < n:
             continue
-        wait = 0
-        # Follow all surviving paths back until they meet.
-        alive = set(range(max(base, end - longest + 1), end + 1)) if end < n else {n}
+        wait, done = longest, start + 1
+        # Paths that can still win end here or, by a piece already placed, further on. Follow them back until they meet.
+        alive = {done} | {base + i for i in range(done - base + 1, len(best)) if best[i] > low}
         while len(alive) > 1:
             last = max(alive)
             alive.discard(last)
@@ -162,21 +177,52 @@ def viterbi(text: str, model: Model) -> Iterator[int]:
             base = meet
 
 
+def whole_path(text: str, model: Model) -> list[int]:
+    """The same for a stretch of at most WINDOW characters, which is one window."""
+    get, penalty, n = model.steps.get, model.penalty, len(text)
+    low = -float("inf")
+    best, back = [low] * (n + 1), [0] * (n + 1)
+    best[0] = 0.0
+    for start in range(n):
+        here, end = best[start], start + 1
+        score = get(text[start])
+        if score is None or score is False:
+            if here + penalty > best[end]:
+                best[end], back[end] = here + penalty, start
+            if score is None:
+                continue
+        elif here + score > best[end]:
+            best[end], back[end] = here + score, start
+        while end < n:
+            end += 1
+            score = get(text[start:end])
+            if score is None:
+                break
+            if score is not False and here + score > best[end]:
+                best[end], back[end] = here + score, start
+    return path(text, model, 0, n, back)
+
+
 def path(text: str, model: Model, base: int, end: int, back: list[int]) -> list[int]:
-    out: list[list[int]] = []
+    out: list[int] = []
+    get = model.ids.get
     while end > base:
         start = back[end - base]
         piece = text[start:end]
-        found = model.ids.get(piece)
-        out.append([found[0]] if found else [model.bytes_[b] for b in piece.encode("utf-8", "surrogatepass")] if model.bytes_ else [model.unknown])
+        found = get(piece)
+        if found:
+            out.append(found[0])
+        else:
+            out += [model.bytes_[b] for b in reversed(piece.encode("utf-8", "surrogatepass"))] if model.bytes_ else [model.unknown]
         end = start
-    return [i for ids in reversed(out) for i in ids]
+    out.reverse()
+    return out
 
 
 class Encoder:
-    """Encodes texts to little-endian int32 ids; remembers up to ``remember`` stretches of up to 64 characters."""
+    """Encodes texts to little-endian int32 ids; remembers up to ``remember`` stretches of up to WINDOW characters."""
 
-    def __init__(self, model: Model, remember: int = 150_000):
+    def __init__(self, model: Model, remember: int = 300_000):
         self.model, self.remember, self.known = model, remember, {}
         cut = model.split is not None and model.is_lone("\n")
         self.lines = cut
@@ -185,9 +231,9 @@ class Encoder:
         found = self.known.get(s)
         if found is None:
             parts = self.model.split.findall(s) if self.model.split else [s]
-            ids = [i for p in parts for i in viterbi(p, self.model)]
+            ids = [i for p in parts for i in (whole_path(p, self.model) if len(p) <= WINDOW else viterbi(p, self.model))]
             found = struct.pack(f"<{len(ids)}i", *ids)
-            if len(s) <= 64:
+            if len(s) <= WINDOW:
                 if len(self.known) >= self.remember:
                     self.known.clear()
                 self.known[s] = found
