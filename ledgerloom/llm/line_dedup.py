@@ -2,7 +2,9 @@
 
 Documents that share lines are found through hashes of whole lines, trimmed. A pair is the document that holds a line first
 and any later one that holds it too, so candidate pairs grow with the occurrences of shared lines, not with the square of a
-group; lines held by at most ``rare`` documents also pair each holder with the holder before it.
+group; lines held by at most ``rare`` documents also pair each holder with the holder before it. A line that these pairs do
+not align, and that could be part of a deleted run, meets its other earlier holders in rounds until one aligns it or none is
+left: what is deleted is what all pairs would delete. Pairs grow with the square of a group only for long lines that no holder aligns.
 Both documents' shared lines are aligned with patience diff: lines that occur once in both are anchors where they keep
 their order (longest increasing subsequence), gaps between anchors are aligned again, and anchors grow over equal
 neighbours. Runs of aligned lines, taken over all pairs of the later document, are deleted from it where
@@ -73,36 +75,90 @@ def patience(a: Sequence[bytes], b: Sequence[bytes]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def aligned_positions(docs: DataFrame, rare: int) -> DataFrame:
-    """(key, lines): positions of lines of each document that are aligned with an earlier document. docs: distinct key and text."""
-    lines = docs.select("key", F.posexplode(F.split("text", "\n")).alias("pos", "col"))
-    lines = lines.select("key", "pos", F.btrim("col", F.lit(TRIM)).alias("line")).where("line <> ''").select("key", "pos", F.unhex(F.md5("line")).alias("h"))
+def possible(places: Sequence[int], words: Sequence[int], still: Sequence[bool], marked: Sequence[bool], min_words: int) -> list[int]:
+    """Which lines not marked yet could, if aligned, be deleted: those in runs of lines marked or still to be tried that hold min_words words."""
+    out: list[int] = []
+    run: list[int] = []
+    for i in range(len(places) + 1):
+        if i < len(places) and not (still[i] or marked[i]):
+            continue
+        if i == len(places) or run and places[i] > places[run[-1]] + 1:
+            if sum(words[j] for j in run) >= min_words:
+                out += [j for j in run if not marked[j]]
+            run = []
+        run.append(i)
+    return out
+
+
+def aligned_positions(docs: DataFrame, rare: int, min_words: int) -> DataFrame:
+    """(key, lines): positions of lines of each document that are aligned with an earlier document. docs: distinct key and text.
+
+    Left out are only lines that no alignment could make part of a run of min_words words.
+    """
+    key_type = docs.schema["key"].dataType.simpleString()
+    # Places count lines that are not blank; separators and one are at least as many as words.
+    split = F.transform(F.split("text", "\n"), lambda s, i: F.struct(i.alias("pos"), F.btrim(s, F.lit(TRIM)).alias("line")))
+    lines = docs.select("key", F.posexplode(F.filter(split, lambda x: x["line"] != "")).alias("place", "x")).select("key", "place", "x.pos", "x.line")
+    words = F.length("line") - F.length(F.translate("line", TRIM, "")) + 1
+    lines = lines.select("key", "place", "pos", words.alias("words"), F.unhex(F.md5("line")).alias("h"))
     held = lines.groupBy("h").agg(F.min("key").alias("first"), F.max("key").alias("last"), F.count("*").alias("n")).where("first <> last")
     shared = stored(lines.join(held.select("h", "first", "n"), "h"), "line-shared")
     # Where few hold a line, its holders are few rows, and each also meets the one before it.
     few = shared.where(F.col("n") <= rare).withColumn("previous", F.lag("key").over(Window.partitionBy("h").orderBy("key", "pos")))
     pairs = shared.where("first <> key").select(F.col("first").alias("a"), F.col("key").alias("b")).unionByName(
         few.where("previous <> key").select(F.col("previous").alias("a"), F.col("key").alias("b"))).distinct()
-    held_by = shared.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("pos", "h"))).alias("lines"))
+    # n is 0 where no earlier document holds the line.
+    held_by = shared.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("pos", "h", "place", "words", F.when(F.col("first") == F.col("key"), 0).otherwise(F.col("n")).alias("n")))).alias("lines"))
     held_by = stored(held_by, "line-held")
-    both = pairs.join(held_by.select(F.col("key").alias("b"), F.col("lines").alias("of_b")), "b").join(held_by.select(F.col("key").alias("a"), F.col("lines").alias("of_a")), "a")
-    both = both.select("b", *(F.transform(f"of_{x}", lambda s: s["h"]).alias(f"h{x}") for x in "ab"), F.transform("of_b", lambda s: s["pos"]).alias("pos"))
 
-    def f(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def align(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
         for ha, hb, pos in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
             out.append([pos[j] for _, j in patience(ha, hb)])
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int32()))], ["b", "lines"])
 
-    found = arrow_map(both, f, f"b {docs.schema['key'].dataType.simpleString()}, lines array<int>")
-    return found.select(F.col("b").alias("key"), F.explode("lines").alias("pos")).groupBy("key").agg(F.array_sort(F.collect_set("pos")).alias("lines"))
+    def aligned(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(held_by.select(F.col("key").alias("b"), F.col("lines").alias("of_b")), "b").join(held_by.select(F.col("key").alias("a"), F.col("lines").alias("of_a")), "a")
+        both = both.select("b", *(F.transform(f"of_{x}", lambda s: s["h"]).alias(f"h{x}") for x in "ab"), F.transform("of_b", lambda s: s["pos"]).alias("pos"))
+        return arrow_map(both, align, f"b {key_type}, lines array<int>").select(F.col("b").alias("key"), F.explode("lines").alias("pos"))
+
+    def gathered(found: DataFrame) -> DataFrame:
+        return stored(found.groupBy("key").agg(F.array_sort(F.collect_set("pos")).alias("lines")), "line-marks")
+
+    def unmarked(marks: DataFrame, tried: int) -> DataFrame:
+        """(key, h, n): lines that may be deleted and whose earlier holders are not all tried."""
+        rows = held_by.join(marks.select("key", F.col("lines").alias("marked")), "key", "left").withColumn("marked", F.coalesce("marked", F.array().cast("array<int>")))
+        rows = rows.where(F.size(F.array_except(F.transform(F.filter("lines", lambda x: x["n"] > tried), lambda x: x["pos"]), "marked")) > 0)
+        rows = rows.select("key", *(F.col(f"lines.{c}").alias(c) for c in ("place", "words", "h", "n")), F.transform("lines", lambda x: F.array_contains("marked", x["pos"])).alias("marked"))
+
+        def f(batch: pa.RecordBatch) -> pa.RecordBatch:
+            hs, ns = [], []
+            for places, words, h, n, marked in zip(*(batch.column(i).to_pylist() for i in range(1, 6)), strict=True):
+                left = {h[j]: n[j] for j in possible(places, words, [x > tried for x in n], marked, min_words)}
+                hs.append([*left])
+                ns.append([*left.values()])
+            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(hs, pa.list_(pa.binary())), pa.array(ns, pa.list_(pa.int64()))], ["key", "h", "n"])
+
+        found = arrow_map(rows, f, f"key {key_type}, h array<binary>, n array<bigint>")
+        return stored(found.select("key", F.explode(F.arrays_zip("h", "n")).alias("x")).select("key", "x.h", "x.n"), "line-unmarked")
+
+    # Lines left over meet their other holders in rounds, each of more holders, until they are aligned or every holder is tried.
+    # A hash deals the n holders over n slots, so no holders of a line are ranked; where many share a block, a few holders do for most.
+    marks, tried, step = gathered(aligned(pairs)), 0, max(rare, 1)
+    while not (left := unmarked(marks, tried)).isEmpty():
+        slot = F.pmod(F.xxhash64("key"), F.lit(1 << 30)) * F.col("n")
+        holders = shared.where((slot >= tried << 30) & (slot < (tried + step) << 30)).select("h", F.col("key").alias("a"))
+        more = left.select("h", F.col("key").alias("b")).join(holders, "h").where("a < b").select("a", "b").distinct()
+        marks = gathered(marks.select("key", F.explode("lines").alias("pos")).unionByName(aligned(more)))
+        tried, step = tried + step, step * 4
+    return marks
 
 
 def dedup_lines(docs: DataFrame, min_words: int = 10, rare: int = 16) -> DataFrame:
     """docs with text replaced, and _ld_lines, _ld_deleted added: numbers of lines before and of lines deleted."""
     key = F.when(F.col("doc_id").isNotNull() & F.col("text").isNotNull(), F.struct(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("t")))
     keyed = docs.withColumn("_ld_key", key)
-    marks = aligned_positions(keyed.where("_ld_key is not null").select(F.col("_ld_key").alias("key"), "text"), rare)
+    marks = aligned_positions(keyed.where("_ld_key is not null").select(F.col("_ld_key").alias("key"), "text"), rare, min_words)
     rows = keyed.join(marks.select(F.col("key").alias("_ld_key"), F.col("lines").alias("_ld_marks")), "_ld_key", "left")
     return delete_runs(rows, min_words).drop("_ld_key", "_ld_marks")
 

@@ -1,5 +1,6 @@
 import itertools
 import random
+from collections import Counter
 
 import pytest
 
@@ -127,3 +128,25 @@ def test_null_ids_and_rows_that_repeat(docs_of):
     rows = line_dedup.dedup_lines(docs_of([OWN[10], OWN[10], OWN[10], OWN[10]], [None, 1, 1, 2])).collect()
     assert sorted((r["doc_id"] or 0, r["text"]) for r in rows) == [(0, OWN[10]), (1, OWN[10]), (1, OWN[10]), (2, "")]
     assert line_dedup.dedup_lines(docs_of(["x"]).where("false")).count() == 0
+
+
+def brute_dedup(texts, min_words=10):
+    """Every pair of an earlier and a later document that share lines."""
+    lines = [t.split("\n") for t in texts]
+    held = Counter(x for own in lines for x in {y.strip() for y in own} if x)
+    shared = [[(i, y.strip()) for i, y in enumerate(own) if held[y.strip()] > 1] for own in lines]
+    out = []
+    for b, own in enumerate(shared):
+        marked = {own[j][0] for a in range(b) for _, j in line_dedup.patience([h for _, h in shared[a]], [h for _, h in own])}
+        drop = line_dedup.runs(lines[b], marked, min_words)
+        out.append(("\n".join(x for i, x in enumerate(lines[b]) if i not in drop), len(drop)))
+    return out
+
+
+def test_hot_lines_meet_every_earlier_holder(docs_of):
+    """Lines of more than rare occurrences whose first holder has them in another order, or twice."""
+    rng = random.Random(5)
+    hot = [text(12) for _ in range(5)] + [text(3) for _ in range(3)] + ["", " "]
+    texts = ["\n".join(hot[:5]), "\n".join(hot[4::-1])] + ["\n".join([rng.choice(OWN), *rng.choices(hot, k=rng.randrange(2, 9)), text(11)]) for _ in range(120)]
+    got = dedup(docs_of, texts)
+    assert got == dict(enumerate(brute_dedup(texts)))
