@@ -91,7 +91,7 @@ def possible(places: Sequence[int], words: Sequence[int], still: Sequence[bool],
 
 
 def aligned_positions(docs: DataFrame, rare: int, min_words: int) -> DataFrame:
-    """(key, lines): positions of lines of each document that are aligned with an earlier document. docs: distinct key and text.
+    """(key, lines): positions of lines of each document that are aligned with an earlier document. docs: key and text; rows may repeat.
 
     Left out are only lines that no alignment could make part of a run of min_words words.
     """
@@ -107,8 +107,8 @@ def aligned_positions(docs: DataFrame, rare: int, min_words: int) -> DataFrame:
     few = shared.where(F.col("n") <= rare).withColumn("previous", F.lag("key").over(Window.partitionBy("h").orderBy("key", "pos")))
     pairs = shared.where("first <> key").select(F.col("first").alias("a"), F.col("key").alias("b")).unionByName(
         few.where("previous <> key").select(F.col("previous").alias("a"), F.col("key").alias("b"))).distinct()
-    # n is 0 where no earlier document holds the line.
-    held_by = shared.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("pos", "h", "place", "words", F.when(F.col("first") == F.col("key"), 0).otherwise(F.col("n")).alias("n")))).alias("lines"))
+    # n is 0 where no earlier document holds the line. Rows that repeat give each line once.
+    held_by = shared.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("pos", "h", "place", "words", F.when(F.col("first") == F.col("key"), 0).otherwise(F.col("n")).alias("n")))).alias("lines"))
     held_by = stored(held_by, "line-held")
 
     def align(batch: pa.RecordBatch) -> pa.RecordBatch:

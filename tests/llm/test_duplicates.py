@@ -150,3 +150,10 @@ def test_hot_lines_meet_every_earlier_holder(docs_of):
     texts = ["\n".join(hot[:5]), "\n".join(hot[4::-1])] + ["\n".join([rng.choice(OWN), *rng.choices(hot, k=rng.randrange(2, 9)), text(11)]) for _ in range(120)]
     got = dedup(docs_of, texts)
     assert got == dict(enumerate(brute_dedup(texts)))
+
+
+def test_rows_that_repeat_align_all_their_lines(docs_of):
+    """A text of several lines whose row repeats, as the earlier document and as the later one."""
+    body, other = "\n".join(OWN[:6]), "\n".join(OWN[6:])
+    got = line_dedup.dedup_lines(docs_of([body, body, body, other, other, other], [1, 1, 2, 3, 4, 4])).collect()
+    assert sorted((r["doc_id"], r["text"], r["_ld_deleted"]) for r in got) == [(1, body, 0), (1, body, 0), (2, "", 6), (3, other, 0), (4, "", 6), (4, "", 6)]
