@@ -1,12 +1,12 @@
 """Personal data: patterns propose spans, checksums confirm them, words nearby adjust a score. Native expressions only.
 
 Kinds: email, ip (parts at most 255), card (12 to 19 digits passing Luhn), phone (+ and 9 to 15 digits), and beyond that
-base iban (country code, length 15 to 34, mod-97 of 1). Matches are leftmost and do not overlap within a kind; one
+base iban (country code, its registered length, mod-97 of 1; 15 to 34 for codes without one). Matches are leftmost and do not overlap within a kind; one
 that fails its test is dropped and not retried. Positions count code points, the end is exclusive.
 
 Patterns are written so that the matcher neither recurses nor retries inside a run: groups are possessive, and a
-proposal starts where its run of characters starts or where the last one ended. That leaves the matches as they are
-and keeps the time linear on very long texts. Where a kind occurs, the text is split by its pattern once more: lengths of
+proposal starts where its run of characters starts or where the last one ended. An iban ends at its country's length, so
+words, numbers and other ibans may follow; only codes without a registered length take all that could belong to them. That keeps the time linear on very long texts. Where a kind occurs, the text is split by its pattern once more: lengths of
 the parts between give the positions, as no built-in returns them.
 
 Null or empty text: no spans. Repeated rows each get a row, null ids are kept, extra columns are ignored, an empty table
@@ -18,13 +18,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Lengths of account numbers by country, as registered.
+LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_COUNTRIES = "|".join(c for names in LENGTHS.values() for c in names.split())
+_REGISTERED = "|".join(rf"(?:{names.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}+" for n, names in LENGTHS.items())
+_OTHER = rf"(?!{_COUNTRIES})[A-Z]{{2}}[0-9]{{2}}(?:(?!\x20(?:{_COUNTRIES})[0-9]{{2}})\x20?[A-Z0-9]){{11,30}}+"
 # What proposes a span of each kind, in the order of kinds.
 PATTERNS = {
     "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?:(?<![A-Za-z0-9])|\G)[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+    "iban": rf"(?:(?<![A-Za-z0-9])|\G)(?:{_REGISTERED}|{_OTHER})(?![A-Za-z0-9])",
 }
 # The prior score of a confirmed span, and words that raise it when they stand within REACH characters.
 PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.7, "iban": 0.9}

@@ -83,3 +83,11 @@ def test_iban_checksum_and_context(docs_of):
 def test_no_python_in_plan(docs_of):
     plan = pii.digest(pii.spans(docs_of(TEXTS)))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_iban_before_words_numbers_and_other_ibans(docs_of):
+    de, plain, gb = "DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32"
+    texts = [f"{plain} Please pay", f"{de} 2024", f"{de} I pay", f"{de} {gb}", f"{plain} {plain} {gb} 1 A", f"{plain}1", f"x{plain}", "NO93 8601 1117 947 Konto"]
+    rows = pii.spans(docs_of(texts)).collect()
+    found = {r["doc_id"]: [texts[r["doc_id"]][s["start"] : s["end"]] for s in r["spans"] if s["kind"] == "iban"] for r in rows}
+    assert found == {0: [plain], 1: [de], 2: [de], 3: [de, gb], 4: [plain, plain, gb], 5: [], 6: [], 7: ["NO93 8601 1117 947"]}
