@@ -339,6 +339,13 @@ def F16_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top.agg(F.array_sort(F.collect_list(F.struct("position", "doc_id"))).alias("all")).select(F.posexplode("all").alias("i", "x")).select(F.col("x.doc_id").alias("doc_id"), (F.col("i") + 1).cast("int").alias("position"))
 
 
+@query(f"WITH {_BACKLOG} SELECT doc_id, CAST(position AS INTEGER) AS position FROM bl")
+def F16_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The position of every outstanding object, numbered by ranges."""
+    rows = _backlog(spark, sf_dir)[0].select("doc_id", F.col("position").alias("order"))
+    return mapping.numbered(rows, "order", 1, "position").select("doc_id", F.col("position").cast("int").alias("position"))
+
+
 @query(f"WITH {_BACKLOG} SELECT wave, count(*) AS objects, CAST(sum(findings) AS BIGINT) AS findings, round_even(sum(weighted_points) / 7.5, 1) AS engineer_days FROM bl GROUP BY 1")
 def F16_effort_by_wave(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backlog.by_wave(_backlog(spark, sf_dir)[0])
@@ -361,6 +368,12 @@ def F29_top_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backlog.by_rule(found, rows, "doc_id").orderBy(F.desc("n"), "first").limit(3).select("rule_id", "n")
 
 
+@query(f"WITH {_BACKLOG} SELECT rule_id, count(*) AS n FROM ff JOIN bl USING (doc_id) GROUP BY 1 ORDER BY n DESC, min(position * 1000000 + line) LIMIT 10")
+def F29_top_ten_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, found = _backlog(spark, sf_dir)
+    return backlog.by_rule(found, rows, "doc_id").orderBy(F.desc("n"), "first").limit(10).select("rule_id", "n")
+
+
 @query(f"WITH {_BACKLOG} SELECT rule_id, arg_min(doc_id, position * 1000000 + line) AS doc_id, arg_min(line, position * 1000000 + line) AS line, arg_min(evidence, position * 1000000 + line) AS evidence FROM ff JOIN bl USING (doc_id) GROUP BY 1")
 def F30_first_per_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, found = _backlog(spark, sf_dir)

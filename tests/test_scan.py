@@ -115,3 +115,18 @@ def test_filters_and_names(spark):
     assert [r.id for r in rules.selected(["SI-MM-001", "SI-MM-002"], ["SI-MM-002"])] == ["SI-MM-001"]
     names = spark.createDataFrame([("a/zx.prog.abap",), ("b/y.txt",), ("c/z.fugr.abap",)], "p string").select(rules.object_name(F.col("p")).alias("n"))
     assert [r["n"] for r in names.collect()] == ["ZX", "Y", "Z"]
+
+
+def test_every_outstanding_object_has_a_position(spark):
+    """Past the hundredth too, in the order of the SQL; and every rule is among the first ten."""
+    import duckdb
+
+    from ledgerloom.catalog import ORACLE_SQL, QUERIES
+
+    sf_dir, base = "/root/testdata/sf0.01", duckdb.connect()
+    for name in ("documents", "labels"):
+        base.execute(f"create view {name} as select * from '{sf_dir}/{name}.parquet'")
+    got = sorted(map(tuple, QUERIES["F16_positions"](spark, sf_dir).collect()))
+    assert got == sorted(base.sql(ORACLE_SQL["F16_positions"]).fetchall())
+    assert len(got) > 100 and sorted(p for _, p in got) == list(range(1, len(got) + 1))
+    assert list(map(tuple, QUERIES["F29_top_ten_rules"](spark, sf_dir).collect())) == base.sql(ORACLE_SQL["F29_top_ten_rules"]).fetchall()
