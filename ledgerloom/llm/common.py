@@ -6,6 +6,8 @@ A word is a maximal run of characters other than U+0020 and U+0009 to U+000D, wh
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import sys
 import tempfile
 import uuid
@@ -19,31 +21,59 @@ from pyspark.sql import functions as F
 # Functions of this library travel to executors by value, so nothing has to be installed there.
 cloudpickle.register_pickle_by_value(sys.modules["ledgerloom"])
 
-WORD_SPLIT = "[\\x20\\x09-\\x0D]+"
+_SEPARATORS = "\\x20\\x09-\\x0D"
 
 
 _own: list[str] = []
+_written: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only if the session names none."""
+    """The folder that driver and executors share. Without one, a local session gets a temporary folder; on a cluster that is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         if not _own:
             _own.append(tempfile.mkdtemp(prefix="ledgerloom-"))
+            atexit.register(shutil.rmtree, _own[0], ignore_errors=True)
         found = _own[0]
     return found.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read again: cuts the lineage and outlives executors."""
     spark, path = df.sparkSession, fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more."""
+    for t in tables:
+        _delete(t.sparkSession, t.stored_at)
+
+
+def release(spark: SparkSession, *keep: DataFrame) -> None:
+    """Delete all that was written to the shared folder by this driver, but the tables to keep. Results that are still to be read must be among them."""
+    kept = {t.stored_at for t in keep}
+    for path in [p for p in _written if p not in kept]:
+        _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    if path in _written:
+        _written.remove(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,7 +99,10 @@ def arrow_map(df: DataFrame, f: Callable[[pa.RecordBatch], Iterable[pa.RecordBat
 
 
 def word_count(text: str | F.Column) -> F.Column:
-    """Number of words, native; 0 for null."""
-    c = F.col(text) if isinstance(text, str) else text
-    body = F.btrim(c, F.lit(" \t\n\x0b\x0c\r"))
-    return F.when(F.coalesce(F.length(body), F.lit(0)) == 0, F.lit(0)).otherwise(F.size(F.split(body, WORD_SPLIT))).cast("long")
+    """Number of words, native; 0 for null. Each word begins after a separator; nothing but the count is made."""
+    return F.coalesce(F.regexp_count(F.concat(F.lit(" "), text), F.lit(f"[{_SEPARATORS}][^{_SEPARATORS}]")), F.lit(0)).cast("long")
+
+
+def has_words(text: str | F.Column) -> F.Column:
+    """Whether there is a word; the search ends at the first."""
+    return F.coalesce(F.regexp_like(text, F.lit(f"[^{_SEPARATORS}]")), F.lit(False))

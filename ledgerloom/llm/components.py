@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import stored
+from ledgerloom.llm.common import drop, stored
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -23,6 +23,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         step = label.join(near, "node").select("node", "component", F.least("component", "m").alias("m"))
         jump = label.select(F.col("node").alias("m"), F.col("component").alias("further"))
         nxt = stored(step.join(jump, "m").select("node", F.least("m", "further").alias("component"), (F.least("m", "further") < F.col("component")).alias("moved")), "cc-labels")
+        drop(label)
         label = nxt.select("node", "component")
+        label.stored_at = nxt.stored_at
         if not nxt.where("moved").limit(1).count():
+            drop(links)
             return label

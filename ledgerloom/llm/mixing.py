@@ -6,27 +6,30 @@ siblings, and only what all siblings together cannot use goes back to the ancest
 children. A leaf takes the longest prefix of its documents that fits its budget, in the order of seeded hashes: epoch
 after epoch, each with an order of its own, a document at most once an epoch.
 
-The budgets are computed from one row a leaf. The prefix is cut without ordering a whole leaf in one task: hashes
-fall into ranges whose number follows the leaf's size (about ``range_rows`` documents each), token sums of the ranges give the range
-in which the budget ends, and only that range is ordered.
+Words are counted in one scan, which leaves one narrow row a document in the shared folder; budgets come from one row a leaf,
+of which there may be ``MOST_LEAVES`` (more is an error). A leaf's prefix ends at a threshold of the hash order. It is found without ordering a leaf: token sums of 2^10 hash
+ranges give the range in which the budget ends, those of its 2^10 parts the part, and only documents of that part are ordered.
+The documents are then read once more and held against the thresholds of their leaf, one row a leaf and epoch.
 
 Defined cases: null level values form leaves of their own (written as ''); null text has no tokens; documents without
-tokens take part in no leaf and are not returned; null ids are ordered first; repeated rows are ordered by their text's
-hash and counted as rows; a negative or missing weight is an error; weights that sum to 0 give nothing; extra columns pass through (names starting
-with ``_mix_`` are reserved); an empty table gives an empty result.
+tokens take part in no leaf and are not returned; the order hashes id and text, so null ids and repeated ids are ordered by their texts and no id is
+favoured; rows that repeat an id and its text stand in one place and are selected together or not at all; a negative or missing weight is an error;
+weights that sum to 0 give nothing; very long texts count whole; extra columns pass through (names starting with ``_mix_`` are reserved and an error); an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import word_count
+from ledgerloom.llm.common import has_words, stored, word_count
 
 MOST_LEAVES = 1_000_000
+# Hashes that order a leaf have 40 bits; two steps of 10 bits find where its budget ends.
+BITS, STEP = 40, 10
 
 
 def split_budget(budget: float, nodes: Mapping[str, tuple[float, float]]) -> dict[str, float]:
@@ -49,7 +52,7 @@ def split_budget(budget: float, nodes: Mapping[str, tuple[float, float]]) -> dic
 
 
 def leaf_budgets(capacity: Mapping[tuple[str, ...], float], weights: Mapping[tuple[str, ...], float], budget: float) -> dict[tuple[str, ...], float]:
-    """Budgets of the leaves. weights: of any node, by its path; siblings without one weigh as they have tokens.
+    """Budgets of the leaves. weights: of any node, by its path; '*' stands for any name, first in the last place, then in the others. Nodes without a weight weigh as they have tokens.
 
     Capacities are summed up the tree counting only what positive weights can reach, so a shortage that siblings cannot take up is seen, and passed on, one level above.
     """
@@ -60,7 +63,9 @@ def leaf_budgets(capacity: Mapping[tuple[str, ...], float], weights: Mapping[tup
         for k in range(depth):
             below.setdefault(path[:k], set()).add(path[: k + 1])
             size[path[: k + 1]] = size.get(path[: k + 1], 0.0) + c
-    weight = {p: float(weights.get(p, size[p])) for p in size}
+    any_ = lambda path: ("*",) * (len(path) - 1)
+    patterns = lambda path: (path, (*path[:-1], "*"), (*any_(path), path[-1]), (*any_(path), "*"))
+    weight = {p: float(next((weights[x] for x in patterns(p) if x in weights), size[p])) for p in size}
     if any(w < 0 or w != w for w in weight.values()):
         raise ValueError("weights must not be negative")
     usable: dict[tuple[str, ...], float] = {}
@@ -77,41 +82,56 @@ def leaf_budgets(capacity: Mapping[tuple[str, ...], float], weights: Mapping[tup
     return out
 
 
+def thresholds(rows: DataFrame, epochs: DataFrame, names: list[str], seed: int) -> DataFrame:
+    """Of each leaf and epoch that is used in part: _mix_cut, the place (order, base) of the last document that fits."""
+    group = [*names, "_mix_epoch"]
+    part = rows.join(epochs.where("not _mix_all"), names).withColumn("_mix_order", order_in(F.col("_mix_epoch"), seed)).withColumn("_mix_ahead", F.lit(0).cast("long"))
+    so_far = lambda *by: Window.partitionBy(*group).orderBy(*by).rowsBetween(Window.unboundedPreceding, 0)
+    for k in (1, 2):
+        place = F.shiftright("_mix_order", BITS - k * STEP)
+        sums = part.groupBy(*group, "_mix_budget", "_mix_ahead", place.alias("_mix_range")).agg(F.sum("_mix_tokens").alias("n"))
+        sums = sums.withColumn("_mix_to", F.col("_mix_ahead") + F.sum("n").over(so_far("_mix_range")))
+        # Where the budget ends: the first range that does not fit whole. A leaf and epoch used in part has one.
+        ends = sums.where("_mix_to > _mix_budget").groupBy(*group).agg(F.min_by(F.struct("_mix_range", (F.col("_mix_to") - F.col("n")).alias("ahead")), "_mix_range").alias("x"))
+        ends = F.broadcast(ends.select(*group, F.col("x._mix_range").alias("_mix_range"), F.col("x.ahead").alias("_mix_next")))  # one row a leaf and epoch
+        part = part.withColumn("_mix_range", place).join(ends, [*group, "_mix_range"]).withColumn("_mix_ahead", F.col("_mix_next")).drop("_mix_range", "_mix_next")
+    last = part.groupBy(*group, "_mix_budget", "_mix_ahead", "_mix_order", "_mix_base").agg(F.sum("_mix_tokens").alias("n"))
+    last = last.withColumn("_mix_to", F.col("_mix_ahead") + F.sum("n").over(so_far("_mix_order", "_mix_base")))
+    # All before the first document that does not fit.
+    return last.where("_mix_to > _mix_budget").groupBy(*group).agg(F.min(F.struct("_mix_order", "_mix_base")).alias("_mix_cut"))
+
+
+def order_in(epoch: Column, seed: int) -> Column:
+    return F.pmod(F.xxhash64("_mix_base", epoch, F.lit(seed)), F.lit(1 << BITS))
+
+
 def mix(docs: DataFrame, levels: Sequence[str | Column], weights: Mapping[tuple[str, ...], float], budget_share: float = 1.0, max_epochs: int = 2,
-        seed: int = 1, tokens: Column | None = None, range_rows: int = 4000) -> DataFrame:
-    """Rows of docs that are selected, once an epoch, with _mix_epoch, _mix_tokens and _mix_leaf added. The budget is ``budget_share`` of all tokens."""
+        seed: int = 1, tokens: Column | None = None) -> DataFrame:
+    """Rows of docs that are selected, once an epoch, with _mix_epoch and _mix_leaf added. The budget is ``budget_share`` of all tokens."""
     spark = docs.sparkSession
+    if clash := [c for c in docs.columns if c.startswith("_mix_")]:
+        raise ValueError(f"reserved names: {', '.join(clash)}")
     names = [f"_mix_l{i}" for i in range(len(levels))]
     leaf = [F.coalesce((F.col(x) if isinstance(x, str) else x).cast("string"), F.lit("")).alias(n) for x, n in zip(levels, names, strict=True)]
-    rows = docs.select("*", *leaf, (word_count("text") if tokens is None else tokens).cast("long").alias("_mix_tokens")).where("_mix_tokens > 0")
-    sizes = rows.groupBy(*names).agg(F.sum("_mix_tokens").alias("n"), F.count("*").alias("rows")).limit(MOST_LEAVES + 1).collect()  # one row a leaf
+    base = F.xxhash64("doc_id", "text").alias("_mix_base")
+    rows = docs.select(*leaf, base, (word_count("text") if tokens is None else tokens).cast("long").alias("_mix_tokens")).where("_mix_tokens > 0")
+    rows = stored(rows, "mix-rows")
+    sizes = rows.groupBy(*names).agg(F.sum("_mix_tokens").alias("n")).limit(MOST_LEAVES + 1).collect()  # one row a leaf
     if len(sizes) > MOST_LEAVES:
         raise ValueError(f"over {MOST_LEAVES} leaves")
     total = sum(r["n"] for r in sizes)
-    paths = {tuple(r[n] for n in names): r for r in sizes}
-    budgets = leaf_budgets({p: float(r["n"] * max_epochs) for p, r in paths.items()}, weights, total * budget_share)
+    paths = {tuple(r[n] for n in names): r["n"] for r in sizes}
+    budgets = leaf_budgets({p: float(n * max_epochs) for p, n in paths.items()}, weights, total * budget_share)
     plan = []
-    for p, r in paths.items():
-        b = min(int(budgets[p] + 1e-6), r["n"] * max_epochs)
+    for p, n in paths.items():
+        b = min(int(budgets[p] + 1e-6), n * max_epochs)
         for epoch in range(max_epochs):
-            part = min(max(b - epoch * r["n"], 0), r["n"])
-            if part:
-                plan.append((*p, epoch, part, part == r["n"], max(1, r["rows"] // range_rows)))
-    schema = ", ".join(f"{n} string" for n in names) + ", _mix_epoch int, _mix_budget long, _mix_all boolean, _mix_ranges long"
+            if part := min(max(b - epoch * n, 0), n):
+                plan.append((*p, epoch, part, part == n))
+    schema = ", ".join(f"{n} string" for n in names) + ", _mix_epoch int, _mix_budget long, _mix_all boolean"
     epochs = F.broadcast(spark.createDataFrame(plan, schema))  # leaves times epochs rows at most, and leaves are bounded above
-    key = F.xxhash64(F.col("doc_id"), F.col("_mix_epoch"), F.lit(seed))
-    order = F.pmod(F.xxhash64(F.xxhash64("doc_id"), "_mix_epoch", F.lit(seed)), F.lit(1 << 40))
-    dealt = rows.join(epochs, names).withColumns({"_mix_key": order, "_mix_range": F.floor(order * F.col("_mix_ranges") / F.lit(1 << 40)).cast("long"), "_mix_tie": F.xxhash64(key, F.coalesce(F.xxhash64("text"), F.lit(0)))})
-    part = dealt.where("not _mix_all")
-    group = [*names, "_mix_epoch"]
-    sums = part.groupBy(*group, "_mix_range", "_mix_budget").agg(F.sum("_mix_tokens").alias("n"))
-    ahead = F.coalesce(F.sum("n").over(Window.partitionBy(*group).orderBy("_mix_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    cuts = sums.withColumn("_mix_ahead", ahead).where("_mix_ahead < _mix_budget and _mix_ahead + n >= _mix_budget").groupBy(*group).agg(F.min("_mix_range").alias("_mix_cut"), F.min_by("_mix_ahead", "_mix_range").alias("_mix_ahead"))
-    cuts = F.broadcast(cuts)  # one row a leaf and epoch
-    placed = part.join(cuts, group)
-    before = placed.where("_mix_range < _mix_cut")
-    inside = placed.where("_mix_range = _mix_cut")
-    running = F.sum("_mix_tokens").over(Window.partitionBy(*group).orderBy("_mix_key", "_mix_tie", F.col("doc_id")).rowsBetween(Window.unboundedPreceding, 0))
-    inside = inside.withColumn("_mix_sum", running).where("_mix_ahead + _mix_sum <= _mix_budget")
-    out = [*docs.columns, "_mix_epoch", "_mix_tokens", F.concat_ws("/", *names).alias("_mix_leaf")]
-    return reduce(DataFrame.unionByName, [x.select(*out) for x in (dealt.where("_mix_all"), before, inside)])
+    cuts = F.broadcast(stored(epochs.join(thresholds(rows, epochs, names, seed), [*names, "_mix_epoch"], "left"), "mix-cuts"))
+    counted = has_words("text") if tokens is None else tokens.cast("long") > 0
+    place = F.struct(order_in(F.col("_mix_epoch"), seed).alias("_mix_order"), "_mix_base")
+    chosen = docs.select("*", *leaf, base).join(cuts, names).where((F.col("_mix_all") | (place < F.col("_mix_cut"))) & counted)
+    return chosen.select(*docs.columns, "_mix_epoch", F.concat_ws("/", *names).alias("_mix_leaf"))

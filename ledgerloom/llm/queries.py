@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerloom.llm import archives, impact_search, jaccard, line_dedup, mixing, pieces, pii, rule_ledger, toxicity, weak_quality
-from ledgerloom.llm.common import table
+from ledgerloom.llm.common import table, word_count
 from ledgerloom.llm.oracles import ORACLE_SQL
 
 
@@ -37,7 +37,7 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.mix(table(spark, sf_dir, "documents"), corpus_pipeline.levels(), corpus_pipeline.WEIGHTS, budget_share=0.6)
-    return rows.select("doc_id", F.col("_mix_epoch").alias("epoch"), F.col("_mix_leaf").alias("leaf"), F.col("_mix_tokens").alias("n_tokens"))
+    return rows.select("doc_id", F.col("_mix_epoch").alias("epoch"), F.col("_mix_leaf").alias("leaf"), word_count("text").alias("n_tokens"))
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,9 +1,10 @@
 import hashlib
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import archives, mixing
+from ledgerloom.llm import archives, common, mixing
 
 
 def test_arc_versions_and_lengths():
@@ -51,13 +52,20 @@ def test_budgets_pass_to_siblings_before_ancestors():
         mixing.leaf_budgets(capacity, {("a",): -1.0}, 1)
 
 
-@pytest.mark.parametrize("range_rows", [5, 1000])
-def test_prefix_of_each_leaf_matches_sorting_it(docs_of, range_rows):
+def test_weights_by_pattern():
+    capacity = {(d, x): 100.0 for d in "ab" for x in ("en", "de", "fr")}
+    weights = {("*",): 1.0, ("*", "en"): 3.0, ("*", "*"): 1.0, ("b", "de"): 0.0}
+    got = mixing.leaf_budgets(capacity, weights, 100)
+    assert got == {("a", "en"): 30, ("a", "de"): 10, ("a", "fr"): 10, ("b", "en"): 37.5, ("b", "de"): 0, ("b", "fr"): 12.5}
+    assert mixing.leaf_budgets(capacity, {("b", "*"): 0.0}, 100)[("a", "en")] == pytest.approx(100 / 3)
+
+
+def test_prefix_of_each_leaf_matches_sorting_it(docs_of):
     texts = ["w " * (1 + i % 7) for i in range(200)] + [None, ""]
     docs = docs_of(texts)
-    rows = mixing.mix(docs, ["lang", "source"], {("en", "src0"): 4.0, ("en", "src1"): 1.0, ("en", "src2"): 1.0}, 0.9, 3, seed=7, range_rows=range_rows)
+    rows = mixing.mix(docs, ["lang", "source"], {("en", "src0"): 4.0, ("en", "src1"): 1.0, ("en", "src2"): 1.0}, 0.9, 3, seed=7)
     got = sorted((r["_mix_leaf"], r["_mix_epoch"], r["doc_id"]) for r in rows.collect())
-    key = lambda e: docs.select("doc_id", F.pmod(F.xxhash64(F.xxhash64("doc_id"), F.lit(e), F.lit(7)), F.lit(1 << 40)).alias("k"))
+    key = lambda e: docs.select("doc_id", F.pmod(F.xxhash64(F.xxhash64("doc_id", "text"), F.lit(e), F.lit(7)), F.lit(1 << 40)).alias("k"))
     order = {e: {r["doc_id"]: r["k"] for r in key(e).collect()} for e in range(3)}
     sizes = {f"src{s}": {i: 1 + i % 7 for i in range(200) if i % 3 == s} for s in range(3)}
     capacity = {("en", s): 3.0 * sum(x.values()) for s, x in sizes.items()}
@@ -81,3 +89,36 @@ def test_mix_edges(docs_of):
     rows = mixing.mix(docs_of(["a b", "c", "d"], [None, 1, 1]), ["lang", F.lit(None).cast("string")], {}, 1.0, 1)
     assert rows.count() == 3 and rows.columns[:7] == ["doc_id", "text", "lang", "source", "n_chars", "component", "n"]
     assert mixing.mix(docs_of(["a", "b"]), ["lang"], {("en",): 0.0}).count() == 0
+
+
+def test_mix_null_and_repeated_ids(docs_of):
+    # Null and repeated ids are ordered by their texts, and each text is as likely to be chosen as any other.
+    docs = docs_of([f"a b{i}" for i in range(400)], [None] * 200 + [7] * 200)
+    rows = mixing.mix(docs, ["lang"], {}, 0.5, 1).collect()
+    assert len(rows) == 200 and 60 < sum(r["doc_id"] is None for r in rows) < 140
+    # Rows that repeat id and text are selected together or not at all.
+    docs = docs_of(["same words"] * 30 + [f"x{i} y" for i in range(70)], [1] * 30 + list(range(100, 170)))
+    for share in (0.3, 0.6, 0.9):
+        rows = mixing.mix(docs, ["lang"], {}, share, 1).collect()
+        assert sum(r["doc_id"] == 1 for r in rows) in (0, 30) and len(rows) <= share * 100
+    big = docs_of(["w " * 300_000, "a b", "c d"])
+    assert {r["doc_id"] for r in mixing.mix(big, ["lang"], {}, 1.0, 1).collect()} == {0, 1, 2}
+    with pytest.raises(ValueError, match="reserved"):
+        mixing.mix(big.withColumn("_mix_cut", F.lit(1)), ["lang"], {})
+
+
+def test_shared_folder(spark):
+    rows = common.stored(spark.range(5), "test")
+    kept = common.stored(spark.range(3), "test")
+    assert rows.count() == 5
+    common.release(spark, kept)
+    assert kept.count() == 3 and not os.path.exists(rows.stored_at.removeprefix("file://"))
+    common.drop(kept)
+    assert not os.path.exists(kept.stored_at.removeprefix("file://"))
+
+
+def test_word_count(spark):
+    for text in ("", " ", "a", " a", "a ", "a b", "\ta\x0bb\x0cc\rd\ne ", "a\u00a0b \u2003", "\x1fa"):
+        row = spark.createDataFrame([(text,)], "t string").select(common.word_count("t").alias("n"), common.has_words("t").alias("h")).first()
+        assert (row["n"], row["h"]) == (len(text.encode().split()), bool(text.encode().split())), repr(text)
+    assert spark.sql("select cast(null as string) as t").select(common.word_count("t")).first()[0] == 0
