@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import jaccard, line_dedup, mixing, pieces, weak_quality
-from ledgerloom.llm.common import stored
+from ledgerloom.llm.common import release, stored
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -26,9 +26,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-# Domains are groups of sources by a hash; each domain weighs the same, whatever it holds; below, nodes weigh as they have tokens.
+# Domains are groups of sources by a hash. Each domain weighs the same, whatever it holds; within one, languages have weights of
+# their own ('*' stands for any name), and the sources of a language weigh the same, so that large ones leave room for small ones.
 DOMAINS = 4
-WEIGHTS = {(f"domain{i}",): 1.0 for i in range(DOMAINS)}
+WEIGHTS = {("*",): 1.0, ("*", "en"): 5.0, ("*", "de"): 2.0, ("*", "fr"): 2.0, ("*", "*"): 1.0, ("*", "*", "*"): 1.0}
 
 
 def levels() -> list:
@@ -77,4 +78,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
             docs = stored(docs, f"pipeline-{i}")
+            release(spark, docs)
     return docs
