@@ -98,6 +98,23 @@ def arrow_map(df: DataFrame, f: Callable[[pa.RecordBatch], Iterable[pa.RecordBat
     return df.mapInArrow(each, schema)
 
 
+def bounded_side(rows: DataFrame, most: int = 100_000) -> DataFrame:
+    """Broadcast if it has few rows, counted; else left to the join's shuffle. rows must be cheap to count and of at most a hundred bytes each, so what is sent stays under 10 MB."""
+    return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows
+
+
+def join_counted(rows: DataFrame, counts: DataFrame, key: str, n: str, least: int = 256, most: int = 100_000) -> DataFrame:
+    """rows joined with counts, which has each key once and how many rows hold it, without a key that is hot in one task.
+
+    Keys of more rows than ``least``, and than one in ``most`` of all, are joined by a broadcast: of these there are at most ``most``, so the
+    bound holds at any size. The rest is shuffled. counts must be stored, with rows of at most a hundred bytes.
+    """
+    total = counts.agg(F.coalesce(F.sum(n), F.lit(0))).first()[0]
+    limit = max(least, total // most)
+    hot = F.broadcast(counts.where(F.col(n) > limit))
+    return rows.join(hot.select(key), key, "left_anti").join(counts.where(F.col(n) <= limit), key).unionByName(rows.join(hot, key))
+
+
 def word_count(text: str | F.Column) -> F.Column:
     """Number of words, native; 0 for null. Each word begins after a separator; nothing but the count is made."""
     return F.coalesce(F.regexp_count(F.concat(F.lit(" "), text), F.lit(f"[{_SEPARATORS}][^{_SEPARATORS}]")), F.lit(0)).cast("long")

@@ -1,19 +1,26 @@
 """Line deduplication by pairwise alignment.
 
-Documents that share lines are found through hashes of whole lines, trimmed. A pair is the document that holds a line first
-and any later one that holds it too, so candidate pairs grow with the occurrences of shared lines, not with the square of a
-group; lines held by at most ``rare`` documents also pair each holder with the holder before it. A line that these pairs do
-not align, and that could be part of a deleted run, meets its other earlier holders in rounds until one aligns it or none is
-left: what is deleted is what all pairs would delete. Pairs grow with the square of a group only for long lines that no holder aligns.
-Both documents' shared lines are aligned with patience diff: lines that occur once in both are anchors where they keep
-their order (longest increasing subsequence), gaps between anchors are aligned again, and anchors grow over equal
-neighbours. Runs of aligned lines, taken over all pairs of the later document, are deleted from it where
-they hold ``min_words`` words or more. Only positions and hashes of shared lines travel, never texts.
+A block is a run of lines that follow each other (blank lines aside) in two documents and hold ``min_words`` words or more. Blocks
+that an alignment finds in a document and an earlier one are deleted from the later.
+
+Documents meet through hashes of their smallest blocks: for each line, the shortest run from it on that holds ``min_words``
+words, which mostly is the line itself. Two documents with a block in common share one of these, and nothing else needs to be compared.
+
+1. Documents whose lines are all equal are one class, and all but its first are deleted whole: their alignment is the identity.
+   From here on a class is its first document.
+2. A block hash is rare if at most ``rare`` documents hold it. Any two documents that share a rare one are a pair.
+3. Both documents' line hashes are aligned with patience diff: lines that occur once in both are anchors where they keep their order (longest
+   increasing subsequence), gaps between anchors are aligned again, and anchors grow over equal neighbours.
+4. A hash held by more documents makes no pairs of its own, so pairs do not grow with the square of a group. Where step 3 leaves
+   such a block standing in a document, that document is aligned with the block's first holder; and what that leaves standing, as its
+   order or its repetition has it, is aligned with the first holder's block by itself, which it equals. So no frequent block stays.
+
+Only hashes and positions of lines travel, never texts, until the text of each document meets the ranges to delete.
 
 A document is later than another if its (doc_id, hash of its text) is greater; documents equal in both are one document, and all its
-rows get the same result. Null ids and null texts take no part and come back unchanged; blank lines hold no words, are
-never anchors, and are deleted with the lines around them only if they lie inside a deleted run. Extra columns pass through;
-an empty table gives an empty result. Lines are compared by 128-bit hashes.
+rows get the same result. Null ids and null texts take no part and come back unchanged; empty texts and texts of fewer than ``min_words`` words
+hold no block; blank lines are deleted inside a block and else stay; very long texts are compared whole. Extra columns pass through, but those
+named ``_ld_...`` are dropped; an empty table gives an empty result. Lines are compared trimmed, by 128-bit hashes.
 """
 
 from __future__ import annotations
@@ -22,14 +29,16 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Sequence
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructType
+from xxhash import xxh3_128_digest
 
-from ledgerloom.llm.common import arrow_map, stored
+from ledgerloom.llm.common import arrow_map, bounded_side, join_counted, stored
 
-TRIM = " \t\r\x0b\x0c"
+KEY = "struct<id:bigint,t:bigint>"
+RANGES = "array<struct<s:int,e:int>>"
 
 
 def increasing(values: Sequence[int]) -> list[int]:
@@ -75,122 +84,127 @@ def patience(a: Sequence[bytes], b: Sequence[bytes]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def possible(places: Sequence[int], words: Sequence[int], still: Sequence[bool], marked: Sequence[bool], min_words: int) -> list[int]:
-    """Which lines not marked yet could, if aligned, be deleted: those in runs of lines marked or still to be tried that hold min_words words."""
-    out: list[int] = []
-    run: list[int] = []
-    for i in range(len(places) + 1):
-        if i < len(places) and not (still[i] or marked[i]):
-            continue
-        if i == len(places) or run and places[i] > places[run[-1]] + 1:
-            if sum(words[j] for j in run) >= min_words:
-                out += [j for j in run if not marked[j]]
-            run = []
-        run.append(i)
+def blocks(a: Sequence[bytes], b: Sequence[bytes], words: Sequence[int], min_words: int) -> list[tuple[int, int]]:
+    """Ranges (first, last) of lines of b that an alignment with a finds as blocks."""
+    out, run, held, before = [], 0, 0, None
+    pairs = patience(a, b)
+    for k, (i, j) in enumerate([*pairs, (-1, -1)]):
+        if before is not None and (i, j) != (before[0] + 1, before[1] + 1):
+            if held >= min_words:
+                out.append((pairs[run][1], before[1]))
+            run, held = k, 0
+        held += words[j] if k < len(pairs) else 0
+        before = (i, j)
     return out
 
 
-def aligned_positions(docs: DataFrame, rare: int, min_words: int) -> DataFrame:
-    """(key, lines): positions of lines of each document that are aligned with an earlier document. docs: key and text; rows may repeat.
-
-    Left out are only lines that no alignment could make part of a run of min_words words.
-    """
-    key_type = docs.schema["key"].dataType.simpleString()
-    # Places count lines that are not blank; separators and one are at least as many as words.
-    split = F.transform(F.split("text", "\n"), lambda s, i: F.struct(i.alias("pos"), F.btrim(s, F.lit(TRIM)).alias("line")))
-    lines = docs.select("key", F.posexplode(F.filter(split, lambda x: x["line"] != "")).alias("place", "x")).select("key", "place", "x.pos", "x.line")
-    words = F.length("line") - F.length(F.translate("line", TRIM, "")) + 1
-    lines = lines.select("key", "place", "pos", words.alias("words"), F.unhex(F.md5("line")).alias("h"))
-    held = lines.groupBy("h").agg(F.min("key").alias("first"), F.max("key").alias("last"), F.count("*").alias("n")).where("first <> last")
-    shared = stored(lines.join(held.select("h", "first", "n"), "h"), "line-shared")
-    # Where few hold a line, its holders are few rows, and each also meets the one before it.
-    few = shared.where(F.col("n") <= rare).withColumn("previous", F.lag("key").over(Window.partitionBy("h").orderBy("key", "pos")))
-    pairs = shared.where("first <> key").select(F.col("first").alias("a"), F.col("key").alias("b")).unionByName(
-        few.where("previous <> key").select(F.col("previous").alias("a"), F.col("key").alias("b"))).distinct()
-    # n is 0 where no earlier document holds the line. Rows that repeat give each line once.
-    held_by = shared.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("pos", "h", "place", "words", F.when(F.col("first") == F.col("key"), 0).otherwise(F.col("n")).alias("n")))).alias("lines"))
-    held_by = stored(held_by, "line-held")
-
-    def align(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out = []
-        for ha, hb, pos in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            out.append([pos[j] for _, j in patience(ha, hb)])
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int32()))], ["b", "lines"])
-
-    def aligned(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(held_by.select(F.col("key").alias("b"), F.col("lines").alias("of_b")), "b").join(held_by.select(F.col("key").alias("a"), F.col("lines").alias("of_a")), "a")
-        both = both.select("b", *(F.transform(f"of_{x}", lambda s: s["h"]).alias(f"h{x}") for x in "ab"), F.transform("of_b", lambda s: s["pos"]).alias("pos"))
-        return arrow_map(both, align, f"b {key_type}, lines array<int>").select(F.col("b").alias("key"), F.explode("lines").alias("pos"))
-
-    def gathered(found: DataFrame) -> DataFrame:
-        return stored(found.groupBy("key").agg(F.array_sort(F.collect_set("pos")).alias("lines")), "line-marks")
-
-    def unmarked(marks: DataFrame, tried: int) -> DataFrame:
-        """(key, h, n): lines that may be deleted and whose earlier holders are not all tried."""
-        rows = held_by.join(marks.select("key", F.col("lines").alias("marked")), "key", "left").withColumn("marked", F.coalesce("marked", F.array().cast("array<int>")))
-        rows = rows.where(F.size(F.array_except(F.transform(F.filter("lines", lambda x: x["n"] > tried), lambda x: x["pos"]), "marked")) > 0)
-        rows = rows.select("key", *(F.col(f"lines.{c}").alias(c) for c in ("place", "words", "h", "n")), F.transform("lines", lambda x: F.array_contains("marked", x["pos"])).alias("marked"))
-
-        def f(batch: pa.RecordBatch) -> pa.RecordBatch:
-            hs, ns = [], []
-            for places, words, h, n, marked in zip(*(batch.column(i).to_pylist() for i in range(1, 6)), strict=True):
-                left = {h[j]: n[j] for j in possible(places, words, [x > tried for x in n], marked, min_words)}
-                hs.append([*left])
-                ns.append([*left.values()])
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(hs, pa.list_(pa.binary())), pa.array(ns, pa.list_(pa.int64()))], ["key", "h", "n"])
-
-        found = arrow_map(rows, f, f"key {key_type}, h array<binary>, n array<bigint>")
-        return stored(found.select("key", F.explode(F.arrays_zip("h", "n")).alias("x")).select("key", "x.h", "x.n"), "line-unmarked")
-
-    # Lines left over meet their other holders in rounds, each of more holders, until they are aligned or every holder is tried.
-    # A hash deals the n holders over n slots, so no holders of a line are ranked; where many share a block, a few holders do for most.
-    marks, tried, step = gathered(aligned(pairs)), 0, max(rare, 1)
-    while not (left := unmarked(marks, tried)).isEmpty():
-        slot = F.pmod(F.xxhash64("key"), F.lit(1 << 30)) * F.col("n")
-        holders = shared.where((slot >= tried << 30) & (slot < (tried + step) << 30)).select("h", F.col("key").alias("a"))
-        more = left.select("h", F.col("key").alias("b")).join(holders, "h").where("a < b").select("a", "b").distinct()
-        marks = gathered(marks.select("key", F.explode("lines").alias("pos")).unionByName(aligned(more)))
-        tried, step = tried + step, step * 4
-    return marks
+def smallest_blocks(lines: Sequence[bytes], words: Sequence[int], min_words: int) -> list[tuple[bytes, int, int]]:
+    """(hash, first, last) of the shortest run from each line on that holds min_words words, where there is one."""
+    out, end, held = [], 0, 0
+    for i, line in enumerate(lines):
+        while held < min_words and end < len(lines):
+            held += words[end]
+            end += 1
+        if held < min_words:
+            break
+        out.append((line if end == i + 1 else xxh3_128_digest(b"".join(lines[i:end])), i, end - 1))
+        held -= words[i]
+    return out
 
 
-def dedup_lines(docs: DataFrame, min_words: int = 10, rare: int = 16) -> DataFrame:
-    """docs with text replaced, and _ld_lines, _ld_deleted added: numbers of lines before and of lines deleted."""
-    key = F.when(F.col("doc_id").isNotNull() & F.col("text").isNotNull(), F.struct(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("t")))
-    keyed = docs.withColumn("_ld_key", key)
-    marks = aligned_positions(keyed.where("_ld_key is not null").select(F.col("_ld_key").alias("key"), "text"), rare, min_words)
-    rows = keyed.join(marks.select(F.col("key").alias("_ld_key"), F.col("lines").alias("_ld_marks")), "_ld_key", "left")
-    return delete_runs(rows, min_words).drop("_ld_key", "_ld_marks")
+def _split(blob: bytes) -> list[bytes]:
+    return [blob[i : i + 16] for i in range(0, len(blob), 16)]
 
 
-def delete_runs(rows: DataFrame, min_words: int) -> DataFrame:
-    place, marks, names = rows.columns.index("text"), rows.columns.index("_ld_marks"), [*rows.columns, "_ld_lines", "_ld_deleted"]
+def profile(docs: DataFrame, min_words: int) -> DataFrame:
+    """key, all (hash of all lines), h, pos, words (of the lines that are not blank, packed), and for the smallest blocks w, s, e, and fresh: whether the document's first of that hash. docs: key, text."""
 
     def f(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts, counts, gone = [], [], []
-        for text, marked in zip(batch.column(place).to_pylist(), batch.column(marks).to_pylist(), strict=True):
-            lines = (text or "").split("\n") if text is not None else []
-            drop = runs(lines, set(marked), min_words) if marked else set()
-            texts.append("\n".join(x for i, x in enumerate(lines) if i not in drop) if drop else text)
-            counts.append(len(lines))
-            gone.append(len(drop))
-        columns = [pa.array(texts, pa.string()) if i == place else batch.column(i) for i in range(batch.num_columns)]
-        return pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64()), pa.array(gone, pa.int64())], names)
-
-    return arrow_map(rows, f, StructType([*rows.schema.fields]).add("_ld_lines", LongType()).add("_ld_deleted", LongType()))
-
-
-def runs(lines: Sequence[str], marked: set[int], min_words: int) -> set[int]:
-    """Lines of marked runs that hold min_words words; blank lines neither break a run nor end one."""
-    out: set[int] = set()
-    run: list[int] = []
-    for i in range(len(lines) + 1):
-        if i < len(lines) and (i in marked or run and not lines[i].encode().split()):
-            run.append(i)
-            continue
-        while run and run[-1] not in marked:
-            run.pop()
-        if run and sum(len(lines[j].encode().split()) for j in run) >= min_words:
-            out.update(run)
-        run = []
-    return out
+        out: tuple[list, ...] = ([], [], [], [], [], [], [], [])
+        for text in batch.column(1).cast(pa.binary()):
+            lines = [(i, x) for i, raw in enumerate(text.as_py().split(b"\n")) if (x := raw.strip())]
+            pos, h = [i for i, _ in lines], [xxh3_128_digest(x) for _, x in lines]
+            words = [len(x.split(None, min_words)) for _, x in lines]
+            found, seen, fresh = smallest_blocks(h, words, min_words), set(), []
+            for w, _, _ in found:
+                fresh.append(w not in seen)
+                seen.add(w)
+            blob = b"".join(h)
+            for column, value in zip(out, (xxh3_128_digest(blob), blob, np.array(pos, "<i4").tobytes(), np.array(words, "<i4").tobytes(), [w for w, _, _ in found], [pos[i] for _, i, _ in found], [pos[j] for _, _, j in found], fresh), strict=True):
+                column.append(value)
+        kinds = (pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.bool_()))
+        return pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, k) for x, k in zip(out, kinds, strict=True))], ["key", "all", "h", "pos", "words", "w", "s", "e", "fresh"])
+
+    return arrow_map(docs.select("key", "text"), f, f"key {KEY}, all binary, h binary, pos binary, words binary, w array<binary>, s array<int>, e array<int>, fresh array<boolean>")
+
+
+def aligned(pairs: DataFrame, classes: DataFrame, min_words: int) -> DataFrame:
+    """(key, s, e): ranges of blocks in b of each pair (a, b)."""
+    both = pairs.join(classes.select(F.col("key").alias("b"), F.col("h").alias("hb"), "pos", "words"), "b").join(classes.select(F.col("key").alias("a"), F.col("h").alias("ha")), "a")
+
+    def f(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = []
+        for ha, hb, pos, words in zip(*(batch.column(i).to_pylist() for i in range(1, 5)), strict=True):
+            at = np.frombuffer(pos, "<i4")
+            found.append([(int(at[i]), int(at[j])) for i, j in blocks(_split(ha), _split(hb), np.frombuffer(words, "<i4").tolist(), min_words)])
+        s, e = (pa.array([[x[k] for x in r] for r in found], pa.list_(pa.int32())) for k in (0, 1))
+        return pa.RecordBatch.from_arrays([batch.column(0), s, e], ["key", "s", "e"])
+
+    rows = arrow_map(both.select("b", "ha", "hb", "pos", "words"), f, f"key {KEY}, s array<int>, e array<int>")
+    return rows.select("key", F.explode(F.arrays_zip("s", "e")).alias("x")).select("key", "x.s", "x.e")
+
+
+def gathered(ranges: DataFrame) -> DataFrame:
+    """(key, ranges): as many as a document has blocks."""
+    return ranges.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("s", "e"))).alias("ranges"))
+
+
+def standing(shared: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Rows of shared, blocks of documents, that no range of their document covers."""
+    inside = F.exists("ranges", lambda x: (x["s"] <= F.col("s")) & (x["e"] >= F.col("e")))
+    return shared.join(ranges, "key", "left").where(F.col("ranges").isNull() | ~inside).drop("ranges")
+
+
+def ranges_to_delete(docs: DataFrame, rare: int, min_words: int) -> DataFrame:
+    """(key, ranges) of documents that lose lines. docs: key, text; rows may repeat."""
+    rows = stored(profile(docs, min_words), "line-profile")
+    columns = ("h", "pos", "words", "w", "s", "e", "fresh")
+    classes = rows.where(F.size("w") > 0).groupBy("all").agg(F.min("key").alias("key"), F.min_by(F.struct(*columns), "key").alias("x"), F.count("*").alias("n"))
+    classes = stored(classes.select("all", "key", "x.*", "n"), "line-classes")
+    several = classes.where("n > 1").select("all", F.col("key").alias("first"))
+    copies = rows.where(F.size("w") > 0).select("all", "key").join(bounded_side(several), "all").where("key <> first").select("key", F.lit(0).alias("s"), F.lit(2**31 - 1).alias("e"))
+
+    held = classes.select("key", F.inline(F.arrays_zip("w", "s", "e", "fresh")))
+    counts = held.groupBy("w").agg(F.sum(F.col("fresh").cast("long")).alias("holders"), F.count("*").alias("rows"), F.min("key").alias("first")).where("holders > 1")
+    counts = stored(counts, "line-counts")
+    shared = stored(join_counted(held.drop("fresh"), counts, "w", "rows").drop("rows"), "line-shared")
+
+    few, later = shared.where(F.col("holders") <= rare), shared.where("key <> first")
+    one = few.select("w", "key").distinct()
+    pairs = one.join(one.withColumnRenamed("key", "a"), "w").where("a < key").select("a", F.col("key").alias("b")).distinct()
+    done = stored(gathered(aligned(pairs, classes, min_words)), "line-ranges")
+    left = stored(standing(later.where(F.col("holders") > rare), done).select("key", "s", "e", "first"), "line-left")
+    more = gathered(aligned(left.select(F.col("first").alias("a"), F.col("key").alias("b")).distinct(), classes, min_words))
+    more = stored(more, "line-ranges")
+    alone = standing(left, more).select("key", "s", "e")
+    flat = lambda t: t.select("key", F.inline("ranges"))
+    return gathered(flat(done).unionByName(flat(more)).unionByName(alone).unionByName(copies))
+
+
+def dedup_lines(docs: DataFrame, min_words: int = 10, rare: int = 16) -> DataFrame:
+    """docs with text replaced, and _ld_lines, _ld_deleted added: numbers of lines before and of lines deleted."""
+    docs = docs.drop(*(c for c in docs.columns if c.startswith("_ld_")))
+    key = F.when(F.col("doc_id").isNotNull() & F.col("text").isNotNull(), F.struct(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("t")))
+    keyed = docs.withColumn("_ld_key", key)
+    found = ranges_to_delete(keyed.where("_ld_key is not null").select(F.col("_ld_key").alias("key"), "text"), rare, min_words)
+    rows = keyed.join(found.select(F.col("key").alias("_ld_key"), F.col("ranges").alias("_ld_ranges")), "_ld_key", "left")
+    kept = F.filter(F.split("text", "\n"), lambda _, i: ~F.exists("_ld_ranges", lambda x: i.between(x["s"], x["e"])))
+    rows = rows.withColumn("_ld_kept", F.when(F.col("_ld_ranges").isNotNull(), kept)).withColumn("_ld_lines", lines_of("text"))
+    gone = F.coalesce(F.col("_ld_lines") - F.size("_ld_kept"), F.lit(0)).cast("long")
+    text = F.when(F.col("_ld_kept").isNotNull(), F.array_join("_ld_kept", "\n")).otherwise(F.col("text"))
+    return rows.select(*(text.alias(c) if c == "text" else c for c in docs.columns), "_ld_lines", F.when(F.col("_ld_kept").isNull(), 0).otherwise(gone).cast("long").alias("_ld_deleted"))
+
+
+def lines_of(text: str) -> Column:
+    """Number of lines; 0 for null."""
+    return F.coalesce(F.length(text) - F.length(F.translate(text, "\n", "")) + 1, F.lit(0)).cast("long")

@@ -14,8 +14,8 @@ The documents are then read once more and held against the thresholds of their l
 Defined cases: null level values form leaves of their own (written as ''); null text has no tokens; documents without
 tokens take part in no leaf and are not returned; the order hashes id and text, so null ids and repeated ids are ordered by their texts and no id is
 favoured; rows that repeat an id and its text stand in one place and are selected together or not at all; a negative or missing weight is an error;
-weights that sum to 0 give nothing; very long texts count whole; extra columns pass through (names starting with ``_mix_`` are reserved and an error); an empty table gives an empty
-result.
+weights that sum to 0 give nothing; very long texts count whole; extra columns pass through, but those named ``_mix_...``
+are dropped; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -109,8 +109,7 @@ def mix(docs: DataFrame, levels: Sequence[str | Column], weights: Mapping[tuple[
         seed: int = 1, tokens: Column | None = None) -> DataFrame:
     """Rows of docs that are selected, once an epoch, with _mix_epoch and _mix_leaf added. The budget is ``budget_share`` of all tokens."""
     spark = docs.sparkSession
-    if clash := [c for c in docs.columns if c.startswith("_mix_")]:
-        raise ValueError(f"reserved names: {', '.join(clash)}")
+    docs = docs.drop(*(c for c in docs.columns if c.startswith("_mix_")))
     names = [f"_mix_l{i}" for i in range(len(levels))]
     leaf = [F.coalesce((F.col(x) if isinstance(x, str) else x).cast("string"), F.lit("")).alias(n) for x, n in zip(levels, names, strict=True)]
     base = F.xxhash64("doc_id", "text").alias("_mix_base")

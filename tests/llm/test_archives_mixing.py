@@ -103,8 +103,8 @@ def test_mix_null_and_repeated_ids(docs_of):
         assert sum(r["doc_id"] == 1 for r in rows) in (0, 30) and len(rows) <= share * 100
     big = docs_of(["w " * 300_000, "a b", "c d"])
     assert {r["doc_id"] for r in mixing.mix(big, ["lang"], {}, 1.0, 1).collect()} == {0, 1, 2}
-    with pytest.raises(ValueError, match="reserved"):
-        mixing.mix(big.withColumn("_mix_cut", F.lit(1)), ["lang"], {})
+    again = mixing.mix(mixing.mix(big.withColumn("_mix_cut", F.lit(1)), ["lang"], {}), ["lang"], {}, 1.0, 1)
+    assert again.count() == 3 and again.columns.count("_mix_leaf") == 1 and "_mix_cut" not in again.columns
 
 
 def test_shared_folder(spark):

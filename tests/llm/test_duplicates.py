@@ -1,6 +1,5 @@
 import itertools
 import random
-from collections import Counter
 
 import pytest
 
@@ -78,18 +77,41 @@ def test_chain_of_components(spark):
     assert {(r["node"], r["component"]) for r in components(edges).collect()} == {(i, 0) for i in range(51)} | {(100, 100), (101, 100)}
 
 
-def brute_patience_is_aligned(a, b, pairs):
-    return all(a[i] == b[j] for i, j in pairs) and all(p[0] < q[0] and p[1] < q[1] for p, q in itertools.pairwise(pairs))
+def is_patience(a, b, pairs):
+    """The pairs are equal lines in order, and no gap between them holds what patience diff would still align."""
+    assert all(a[i] == b[j] for i, j in pairs) and all(p[0] < q[0] and p[1] < q[1] for p, q in itertools.pairwise(pairs))
+    for (i, j), (k, m) in itertools.pairwise([(-1, -1), *pairs, (len(a), len(b))]):
+        x, y = a[i + 1 : k], b[j + 1 : m]
+        assert not (x and y) or x[0] != y[0] and x[-1] != y[-1]
+        assert not {c for c in x if x.count(c) == 1} & {c for c in y if y.count(c) == 1}
+
+
+def longest_increasing(values):
+    best = []
+    for i, v in enumerate(values):
+        best.append(1 + max((best[j] for j in range(i) if values[j] < v), default=0))
+    return max(best, default=0)
 
 
 def test_patience():
-    for _ in range(200):
-        a, b = ([RNG.choice("abcdefgh") for _ in range(RNG.randrange(12))] for _ in range(2))
-        assert brute_patience_is_aligned(a, b, line_dedup.patience(a, b))
+    for _ in range(400):
+        a, b = ([RNG.choice("abcdefghijkl"[: RNG.randrange(2, 12)]) for _ in range(RNG.randrange(14))] for _ in range(2))
+        is_patience(a, b, line_dedup.patience(a, b))
+        order = RNG.sample(range(9), 9)
+        assert len(line_dedup.increasing(order)) == longest_increasing(order) and sorted(line_dedup.increasing(order)) == line_dedup.increasing(order)
+        # Without repeats, head and tail apart, as many lines align as keep their order.
+        assert len(line_dedup.patience([-1, *range(9), -2], [-3, *order, -4])) == longest_increasing(order)
     assert line_dedup.patience(list("axbyc"), list("abc")) == [(0, 0), (2, 1), (4, 2)]
     assert line_dedup.increasing([3, 1, 2, 5, 4]) in ([1, 2, 4], [1, 2, 3])
 
 
+def test_blocks_follow_each_other_in_both():
+    assert line_dedup.blocks(list("abcde"), list("abxde"), [5] * 5, 10) == [(0, 1), (3, 4)]
+    assert line_dedup.blocks(list("abcde"), list("axbcde"), [5] * 6, 10) == [(2, 5)]
+    assert line_dedup.blocks(list("ab"), list("ab"), [4, 5], 10) == [] and line_dedup.blocks([], [], [], 1) == []
+    assert line_dedup.smallest_blocks([b"a", b"b", b"c"], [12, 4, 6], 10) == [(b"a", 0, 0), (line_dedup.xxh3_128_digest(b"bc"), 1, 2)]
+
+
 PASSAGE = [text(15), text(20), text(25)]
 OWN = [text(12) for _ in range(12)]
 
@@ -110,7 +132,7 @@ def test_common_blocks_go_from_the_later_document(docs_of):
 
 
 def test_every_line_of_a_block_may_come_from_another_document(docs_of):
-    """A line that its first holder does not share in order is still found with the one before."""
+    """Every line is a block by itself, wherever it stands."""
     texts = [OWN[5], OWN[6], "\n".join([OWN[5], OWN[6]]), "\n".join([OWN[6], OWN[5]])]
     got = dedup(docs_of, texts)
     assert got[2] == ("", 2) and got[3] == ("", 2)
@@ -130,26 +152,66 @@ def test_null_ids_and_rows_that_repeat(docs_of):
     assert line_dedup.dedup_lines(docs_of(["x"]).where("false")).count() == 0
 
 
-def brute_dedup(texts, min_words=10):
-    """Every pair of an earlier and a later document that share lines."""
-    lines = [t.split("\n") for t in texts]
-    held = Counter(x for own in lines for x in {y.strip() for y in own} if x)
-    shared = [[(i, y.strip()) for i, y in enumerate(own) if held[y.strip()] > 1] for own in lines]
+def brute_dedup(texts, rare, min_words=10):
+    """The rules over all pairs of documents, without hashes or rounds of joins."""
+    rows = [[(i, x.strip()) for i, x in enumerate(t.split("\n")) if x.strip()] for t in texts]
+    own = [[x for _, x in r] for r in rows]
+    words = [[len(x.split()) for x in r] for r in own]
+
+    def smallest(d):
+        for i in range(len(own[d])):
+            for j in range(i, len(own[d])):
+                if sum(words[d][i : j + 1]) >= min_words:
+                    yield tuple(own[d][i : j + 1]), i, j
+                    break
+
+    first = [own.index(x) for x in own]
+    held = {}
+    for d in sorted(set(first)):
+        for w, _, _ in smallest(d):
+            held.setdefault(w, set()).add(d)
+    ranges = lambda a, b: line_dedup.blocks(own[a], own[b], words[b], min_words)
     out = []
-    for b, own in enumerate(shared):
-        marked = {own[j][0] for a in range(b) for _, j in line_dedup.patience([h for _, h in shared[a]], [h for _, h in own])}
-        drop = line_dedup.runs(lines[b], marked, min_words)
-        out.append(("\n".join(x for i, x in enumerate(lines[b]) if i not in drop), len(drop)))
+    for b, text_ in enumerate(texts):
+        marks = [(0, len(own[b]) - 1)] if first[b] < b and any(smallest(b)) else []
+        if first[b] == b:
+            for a in range(b):
+                if any(len(held[w]) <= rare and a in held[w] for w, _, _ in smallest(b)):
+                    marks += ranges(a, b)
+            stands = lambda: [(w, i, j) for w, i, j in smallest(b) if len(held[w]) > rare and min(held[w]) < b and not any(x <= i and j <= y for x, y in marks)]  # noqa: B023, E731
+            for a in {min(held[w]) for w, _, _ in stands()}:
+                marks += ranges(a, b)
+            marks += [(i, j) for _, i, j in stands()]
+        gone = {k for x, y in marks for k in range(rows[b][x][0], rows[b][y][0] + 1)} if first[b] == b else set(range(len(text_.split("\n")))) if marks else set()
+        out.append(("\n".join(x for k, x in enumerate(text_.split("\n")) if k not in gone), len(gone)))
     return out
 
 
-def test_hot_lines_meet_every_earlier_holder(docs_of):
-    """Lines of more than rare occurrences whose first holder has them in another order, or twice."""
-    rng = random.Random(5)
-    hot = [text(12) for _ in range(5)] + [text(3) for _ in range(3)] + ["", " "]
-    texts = ["\n".join(hot[:5]), "\n".join(hot[4::-1])] + ["\n".join([rng.choice(OWN), *rng.choices(hot, k=rng.randrange(2, 9)), text(11)]) for _ in range(120)]
-    got = dedup(docs_of, texts)
-    assert got == dict(enumerate(brute_dedup(texts)))
+@pytest.mark.parametrize("rare", [2, 4, 500])
+def test_matches_every_pair(docs_of, rare):
+    """Lines in any order and number, short ones and blank ones among them, held by a few documents or by most."""
+    rng = random.Random(rare)
+    hot, cold = [text(12) for _ in range(5)] + [text(3) for _ in range(6)] + ["", " "], [text(rng.randrange(3, 14)) for _ in range(150)]
+    texts = ["\n".join(hot[:5]), "\n".join(hot[4::-1])] + ["\n".join([rng.choice(OWN), *rng.choices(hot, k=rng.randrange(2, 9)), *rng.choices(cold, k=rng.randrange(4)), text(11)]) for _ in range(110)]
+    texts += [rng.choice(texts) for _ in range(10)] + ["\n".join(x for x in rng.choice(texts).split("\n") if rng.random() < 0.8) for _ in range(20)]
+    rows = line_dedup.dedup_lines(docs_of(texts), rare=rare).collect()
+    assert {r["doc_id"]: (r["text"], r["_ld_deleted"]) for r in rows} == dict(enumerate(brute_dedup(texts, rare)))
+
+
+def test_no_block_is_stitched_from_several_documents(docs_of):
+    """Neither line is a block, and no earlier document holds both."""
+    a, b = text(5), text(6)
+    got = dedup(docs_of, [f"{OWN[0]}\n{a}", f"{OWN[1]}\n{b}", f"{a}\n{b}", f"{a}\n{b}\n{OWN[2]}"])
+    assert got[2] == (f"{a}\n{b}", 0) and got[3] == (OWN[2], 2)
+
+
+def test_own_output_clashing_names_and_very_long_texts(docs_of):
+    long = "\n".join(text(12) for _ in range(3000))
+    docs = docs_of([long, f"{OWN[0]}\n{long}", "word " * 100_000, "word " * 100_000 + "\nend"])
+    rows = line_dedup.dedup_lines(line_dedup.dedup_lines(docs.selectExpr("*", "1 as key", "2 as h", "3 as _ld_key")))
+    got = {r["doc_id"]: (r["text"], r["_ld_deleted"]) for r in rows.collect()}
+    assert got == {0: (long, 0), 1: (OWN[0], 0), 2: ("word " * 100_000, 0), 3: ("end", 0)}
+    assert "key" in rows.columns and "_ld_key" not in rows.columns
 
 
 def test_rows_that_repeat_align_all_their_lines(docs_of):
