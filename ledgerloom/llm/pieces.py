@@ -1,15 +1,19 @@
 """SentencePiece encoding and decoding by a streaming Viterbi search.
 
 The vocabulary, its scores and its text rules come from a public model file, never trained here. A text is normalised as the model
-says (a dummy prefix, spaces written as U+2581), and the best path of pieces maximises the sum of scores. The search keeps a window no
-longer than the longest piece: at each position only paths that end within that window can still win, and whenever all
-of them go through one boundary the ids before it are final and committed. A character no piece spells costs ten
-less than the lowest score and is written as bytes, or as the unknown id where the model has no bytes. Of equal paths the
-one whose last piece is longest wins. Scores are whole numbers of 2^-20, so they add up exactly. A model of merges has ranks
-where a unigram model has log-probabilities; a rank r then scores -ln(r + 1), as in Zipf's law.
+says (a dummy prefix, spaces written as U+2581), and the best path of pieces maximises the sum of scores.
 
-Boundaries that every path must cross are known ahead of the search: before a space mark that follows another character, as no piece holds one there
-(checked on loading), and around characters that only stand alone. Stretches between them are searched once and remembered, up to a bound.
+The search reads a text once, from the left. An automaton of all pieces reports those that end at each character; of each boundary only the best score and the last piece
+are kept, and scores only for a window as long as the longest piece, as no piece reaches further back. Every few windows the paths that
+can still win, one for each boundary in the window, are followed back; where they all go through one boundary, the ids before it are final, are committed and
+forgotten. A character no piece spells costs ten less than the lowest score and is written as bytes, or as the unknown id where the model has no bytes. Of
+equal paths the one whose last piece is longest wins. Scores are whole numbers of 2^-20, so they add up exactly.
+
+A model of merges has ranks where a unigram model has log-probabilities. A rank r then scores -ln(r + 1), as in Zipf's law, less ``PIECE_COST``, so that
+fewer pieces win; it is set so that most words get the ids that merging gives (README has the figure).
+
+All paths meet before a space mark that follows another character, as no piece holds one there (checked on loading), and around characters that no piece
+holds. The search begins anew there, so it is the same whatever went before, and what it commits for a stretch between two such places is remembered, up to a bound.
 
 Decoding joins the pieces, turns marks into spaces, drops the dummy prefix and decodes the bytes.
 
@@ -20,12 +24,14 @@ are encoded whole; extra columns pass where rows are returned; an empty table gi
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 import struct
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -36,8 +42,12 @@ from ledgerloom.llm.common import arrow_map
 MARK = "▁"
 # Scores are rounded to this part of one and kept as whole numbers, so that sums are exact.
 UNIT = 1 << 20
-# Stretches up to this length are searched as one window and remembered.
-WINDOW = 64
+# Added to the cost of each piece of a model of merges.
+PIECE_COST = 6.0
+# Stretches up to this length are remembered once they are searched.
+REMEMBERED = 64
+# So many lengths of the longest piece are read between two attempts to commit.
+WINDOWS = 4
 # Kinds of pieces in a model file.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
@@ -74,31 +84,30 @@ class Model:
     pieces: list[tuple[str, float, int]]
     dummy_prefix: bool = True
     trim: bool = False
-    ids: dict[str, tuple[int, float]] = field(default_factory=dict)
-    steps: dict[str, float | bool] = field(default_factory=dict)
-    longest: int = 1
-    unknown: int = 0
-    penalty: float = 0.0
-    bytes_: list[int] = field(default_factory=list)
-    split: re.Pattern | None = None
 
     def __post_init__(self) -> None:
         self.ids = {p: (i, s) for i, (p, s, k) in enumerate(self.pieces) if k in (NORMAL, USER)}
         self.longest = max(map(len, self.ids), default=1)
-        # Score of each piece, and False for what only begins one.
-        self.steps = {p[:i]: False for p in self.ids for i in range(1, len(p))} | {p: s for p, (_, s) in self.ids.items()}
         self.unknown = next((i for i, p in enumerate(self.pieces) if p[2] == UNKNOWN), 0)
         self.penalty = min((s for _, s in self.ids.values()), default=0.0) - 10 * UNIT
         byte = {p: i for i, (p, _, k) in enumerate(self.pieces) if k == BYTE}
         self.bytes_ = [byte[f"<0x{b:02X}>"] for b in range(256)] if len(byte) == 256 else []
-        joined = {c for p in self.ids if len(p) > 1 for c in p}
-        # Stretches: characters that join with others, cut before a mark after another character, and lone characters one by one.
-        if all(MARK not in p.lstrip(MARK) for p in self.ids):
-            inside = "".join(map(re.escape, sorted(joined - {MARK})))
-            self.split = re.compile(f"{MARK}*[{inside}]+|{MARK}+|[^{MARK}{inside}]" if inside else f"{MARK}+|[^{MARK}]", re.S)
-
-    def is_lone(self, c: str) -> bool:
-        return all(c not in p for p in self.ids if len(p) > 1)
+        self.joined = {c for p in self.ids if len(p) > 1 for c in p}
+        self.known = self.joined | {p for p in self.ids if len(p) == 1}
+        self.marks_begin = all(MARK not in p.lstrip(MARK) for p in self.ids)
+        # Stretches of characters that pieces hold, and other characters one by one.
+        self.split = re.compile(f"[{''.join(map(re.escape, sorted(self.known)))}]+|." if self.known else ".", re.S)
+        # Places of the boundary where a piece begins, counted from the end of the scores before and after the one it ends at is added.
+        places = lambda p, s: (-len(p), -len(p) - 1, s)
+        self.automaton = ahocorasick.Automaton()
+        for c in self.joined - self.ids.keys():
+            self.automaton.add_word(c, places(c, self.penalty))
+        for p, (_, s) in self.ids.items():
+            self.automaton.add_word(p, places(p, s))
+        self.automaton.make_automaton()
+
+    def __reduce__(self) -> tuple:
+        return Model, (self.pieces, self.dummy_prefix, self.trim)
 
 
 def load_model(path: str) -> Model:
@@ -119,8 +128,8 @@ def parse_model(data: bytes) -> Model:
             if rules.get(1, b"identity") != b"identity" or rules.get(2):
                 raise ValueError("only models without a character map are read")
             prefix, trim = bool(rules.get(3, 1)), bool(rules.get(4, 1))
-    # The scores of a merge model (kind 2) are negative ranks; Zipf's law makes them log-probabilities.
-    score = (lambda x: -math.log(1 - x)) if kind == 2 else (lambda x: x)
+    # The scores of a merge model (kind 2) are negative ranks.
+    score = (lambda x: -math.log(1 - x) - PIECE_COST) if kind == 2 else (lambda x: x)
     return Model([(p, float(round(score(x) * UNIT)), k) for p, x, k in pieces], prefix, trim)
 
 
@@ -132,108 +141,91 @@ def normalise(text: str, model: Model) -> str:
     return (MARK if model.dummy_prefix else "") + text.replace(" ", MARK)
 
 
-def viterbi(text: str, model: Model) -> Iterator[int]:
-    """Ids of the best path, committed as soon as all paths that can still win share a boundary.
+def viterbi(text: str, model: Model) -> Iterator[list[int]]:
+    """Ids of the best path, in the runs in which they are committed."""
+    for part in model.split.findall(text):
+        if part[0] in model.known:
+            yield from search(part, model)
+        else:
+            yield spelt(part, model)
+
+
+def search(text: str, model: Model) -> Iterator[list[int]]:
+    """Ids of the best path of a text whose characters all are in pieces, in runs that are committed together.
 
-    ``best`` and ``back`` hold only positions from the last committed boundary to one piece's length ahead. A path that can still win ends at the
-    position reached or at one ahead of it, so when the backpointers of these meet in one boundary, nothing before it can change.
+    ``best`` holds the scores of the last boundaries only, as many as the longest piece has characters and those read since; ``back`` the length of the last piece at each boundary since the
+    last commit.
     """
-    get, longest, penalty, n = model.steps.get, model.longest, model.penalty, len(text)
-    low = -float("inf")
-    base, best, back = 0, [0.0] + [low] * longest, [0] * (longest + 1)  # of position base + i: score of the best path, and where its last piece begins
-    wait = longest
-    for start in range(n):
-        here = best[start - base]
-        end, single = start + 1, True
-        # Longer pieces are tried only as long as some piece begins so; of equal paths the first found has the longest last piece.
-        while end <= n:
-            score = get(text[start:end])
-            if score is None:
-                break
-            if score is not False:
-                single = False if end == start + 1 else single
-                score += here
-                if score > best[end - base]:
-                    best[end - base], back[end - base] = score, start
-            end += 1
-        if single and here + penalty > best[start + 1 - base]:
-            best[start + 1 - base], back[start + 1 - base] = here + penalty, start
-        best.append(low)
-        back.append(0)
-        wait -= 1
-        if wait and start + 1 < n:
-            continue
-        wait, done = longest, start + 1
-        # Paths that can still win end here or, by a piece already placed, further on. Follow them back until they meet.
-        alive = {done} | {base + i for i in range(done - base + 1, len(best)) if best[i] > low}
-        while len(alive) > 1:
-            last = max(alive)
-            alive.discard(last)
-            alive.add(back[last - base])
-        meet = alive.pop()
+    longest, n = model.longest, len(text)
+    step = WINDOWS * longest
+    best, back, base, last = [0.0], [], 0, -1
+    found = model.automaton.iter(text if n <= step else text[:step])
+    for at in range(0, n, step):
+        if at:
+            found.set(text[at : at + step], False)
+        for end, (before, after, score) in found:
+            # Of pieces that end at one character the longest comes first and stays unless a shorter one scores more.
+            if end != last:
+                last = end
+                best.append(best[before] + score)
+                back.append(before)
+            else:
+                score += best[after]
+                if score > best[-1]:
+                    best[-1], back[-1] = score, before
+        if at + step >= n:
+            yield path(text, model, base, n, back)
+            return
+        meet = meeting(back, base, at + step, longest)
         if meet > base:
-            yield from path(text, model, base, meet, back)
-            best, back = [x - best[meet - base] for x in best[meet - base :]], back[meet - base :]
-            base = meet
-
-
-def whole_path(text: str, model: Model) -> list[int]:
-    """The same for a stretch of at most WINDOW characters, which is one window."""
-    get, penalty, n = model.steps.get, model.penalty, len(text)
-    low = -float("inf")
-    best, back = [low] * (n + 1), [0] * (n + 1)
-    best[0] = 0.0
-    for start in range(n):
-        here, end = best[start], start + 1
-        score = get(text[start])
-        if score is None or score is False:
-            if here + penalty > best[end]:
-                best[end], back[end] = here + penalty, start
-            if score is None:
-                continue
-        elif here + score > best[end]:
-            best[end], back[end] = here + score, start
-        while end < n:
-            end += 1
-            score = get(text[start:end])
-            if score is None:
-                break
-            if score is not False and here + score > best[end]:
-                best[end], back[end] = here + score, start
-    return path(text, model, 0, n, back)
+            yield path(text, model, base, meet, back)
+            back, base = back[meet - base :], meet
+        low = best[-1]
+        best = [x - low for x in best[-longest - 1 :]]
+
+
+def meeting(back: list[int], base: int, reached: int, longest: int) -> int:
+    """The boundary that all paths that can still win go through: those that end where a piece that ends further on may begin."""
+    alive = set(range(max(base, reached - longest + 1), reached + 1))
+    while len(alive) > 1:
+        end = max(alive)
+        alive.discard(end)
+        alive.add(end + back[end - base - 1])
+    return alive.pop()
 
 
 def path(text: str, model: Model, base: int, end: int, back: list[int]) -> list[int]:
     out: list[int] = []
-    get = model.ids.get
+    ids = model.ids
     while end > base:
-        start = back[end - base]
+        start = end + back[end - base - 1]
         piece = text[start:end]
-        found = get(piece)
-        if found:
-            out.append(found[0])
+        if piece in ids:
+            out.append(ids[piece][0])
         else:
-            out += [model.bytes_[b] for b in reversed(piece.encode("utf-8", "surrogatepass"))] if model.bytes_ else [model.unknown]
+            out += reversed(spelt(piece, model))
         end = start
     out.reverse()
     return out
 
 
+def spelt(c: str, model: Model) -> list[int]:
+    """Ids of a character that no piece spells."""
+    return [model.bytes_[b] for b in c.encode("utf-8", "surrogatepass")] if model.bytes_ else [model.unknown]
+
+
 class Encoder:
-    """Encodes texts to little-endian int32 ids; remembers up to ``remember`` stretches of up to WINDOW characters."""
+    """Encodes texts to little-endian int32 ids; remembers up to ``remember`` stretches of up to REMEMBERED characters."""
 
     def __init__(self, model: Model, remember: int = 300_000):
         self.model, self.remember, self.known = model, remember, {}
-        cut = model.split is not None and model.is_lone("\n")
-        self.lines = cut
+        self.lines = "\n" not in model.joined
 
     def stretch(self, s: str) -> bytes:
         found = self.known.get(s)
         if found is None:
-            parts = self.model.split.findall(s) if self.model.split else [s]
-            ids = [i for p in parts for i in (whole_path(p, self.model) if len(p) <= WINDOW else viterbi(p, self.model))]
-            found = struct.pack(f"<{len(ids)}i", *ids)
-            if len(s) <= WINDOW:
+            found = b"".join(struct.pack(f"<{len(ids)}i", *ids) for ids in viterbi(s, self.model))
+            if len(s) <= REMEMBERED:
                 if len(self.known) >= self.remember:
                     self.known.clear()
                 self.known[s] = found
@@ -243,7 +235,7 @@ class Encoder:
         s = normalise(text, self.model)
         if not s:
             return b""
-        if not self.model.split:
+        if not self.model.marks_begin:
             return self.stretch(s)
         out: list[bytes] = []
         get, stretch = self.known.get, self.stretch
@@ -300,8 +292,6 @@ def encode(rows: DataFrame, model: Model, keep: list[str]) -> DataFrame:
 
 def digests(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, n_ids, ids_sha256, decoded_sha256, exact: the ids and what they decode to; exact where that is the text."""
-    import hashlib
-
     state: list = []
 
     def f(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -23,7 +23,12 @@ def whole_viterbi(text, model):
                 s = best[start] + (found[1] if found else model.penalty)
                 if s > best[end]:
                     best[end], back[end] = s, start
-    return pieces.path(text, model, 0, len(text), back)
+    out, end = [], len(text)
+    while end:
+        piece = text[back[end] : end]
+        out.append([model.ids[piece][0]] if piece in model.ids else [model.bytes_[b] for b in piece.encode()])
+        end = back[end]
+    return [i for ids in reversed(out) for i in ids]
 
 
 TEXTS = ["", " ", "  two  spaces ", "Hello world, the quick brown fox.", "naïve café — ñandú\n\nline\tтекст 日本語 😀\x07", "a" * 3000, "ab" * 500 + "\n" * 40, "▁odd▁mark", "the" * 800, " \n \n", "x" + " " * 40 + "y", "supercalifragilistic" * 60]
@@ -36,10 +41,37 @@ def test_stream_equals_whole_lattice(model):
     for t in TEXTS + made:
         s = pieces.normalise(t, model)
         want = whole_viterbi(s, model)
-        assert list(pieces.viterbi(s, model)) == want, t[:40]
+        assert [i for ids in pieces.viterbi(s, model) for i in ids] == want, t[:40]
         assert encoder.encode(t) == b"".join(i.to_bytes(4, "little", signed=True) for i in want), t[:40]
 
 
+def test_every_stretch_goes_through_the_stream(docs_of, model, monkeypatch):
+    """What is remembered came from the search, and the search runs on every stretch not met before."""
+    searched, committed, search = [], [], pieces.search
+
+    def counted(text, m):
+        searched.append(text)
+        for ids in search(text, m):
+            committed.append(ids)
+            yield ids
+
+    monkeypatch.setattr(pieces, "search", counted)
+    text = "the quick brown fox the quick brown fox\n" + "naïve café " * 3
+    assert pieces.Encoder(model).encode(text) == b"".join(i.to_bytes(4, "little") for i in whole_viterbi(pieces.normalise(text, model), model))
+    assert sorted(searched) == sorted({"▁the", "▁quick", "▁brown", "▁fox", "naïve", "▁naïve", "▁café", "▁"})
+    # A long text without a place where the search begins anew is committed as it goes, with a window of scores.
+    committed.clear()
+    assert [i for ids in pieces.viterbi("hello" * 2000, model) for i in ids] == whole_viterbi("hello" * 2000, model)
+    assert len(committed) > 100 and max(map(len, committed)) < 100
+
+
+def test_window_of_scores_is_bounded(model):
+    text = "international" * 500
+    assert max(len(x) for x in pieces.search(text, model)) <= 2 * pieces.WINDOWS * model.longest
+    back = [-1, -2, -1, -2]  # boundaries 1 to 4, of which 3 and 4 may still be left; both go through 2
+    assert pieces.meeting(back, 0, 4, 2) == 2 and pieces.meeting([-1] * 9, 0, 9, 3) == 7
+
+
 def varint(n):
     out = bytearray()
     while n > 127:
