@@ -12,8 +12,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): component is the smallest node that can be reached. Only nodes with an edge appear.
 
     Minimum-label propagation along edges, then pointer jumping along labels, until nothing changes; labels are
-    written to the shared folder each round. Aggregation combines before the shuffle, so a hub is no hot task, and
-    nothing is collected but one count a round. An empty edge table gives an empty result.
+    written to the shared folder each round. Aggregation combines before the shuffle, and a giant component or hub is hot only on the side of a join
+    that adaptive execution may split. Nothing is collected but one count a round. Edges with a null end and from a node to
+    itself are ignored, repeated ones count once, and an empty edge table gives an empty result.
     """
     links = edges.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")).where("a <> b")
     links = stored(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "cc-links")

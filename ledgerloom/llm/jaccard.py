@@ -19,8 +19,9 @@ Components are found before and after 4. Nothing grows with the square of a grou
 that no leader linked. Nothing is collected but counts. Cut lineages are written to the shared folder.
 
 Words are as in ``common``, after A-Z go to lower case. Fewer words than k: the whole sequence is the one shingle; no words or null text:
-the empty set, linked with nothing. Rows that repeat a doc_id count once, as the text whose set has the greatest hash. Null ids take no part in
-components and come back with a null one. Very long texts are sets like any other. Extra columns are ignored; an empty table gives an empty result.
+the empty set, linked with nothing. Rows that repeat a doc_id and a set count once; the sets of a doc_id that repeats with other texts are one
+document with the links of all of them, and give a row each. Null ids take no part in components and come back with a null one. Very long texts are sets like any other: only
+their bitmaps are bounded. Of ties, documents equally like, all are linked. Extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
-from ledgerloom.llm.common import arrow_map, stored, texts
+from ledgerloom.llm.common import arrow_map, bounded_side, join_counted, stored, texts
 from ledgerloom.llm.components import components
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -150,24 +151,23 @@ def bounded(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     return arrow_map(rows.select("a", "b", "na", "nb", "bits_a", "bits_b"), f, "a long, b long")
 
 
-def bounded_side(rows: DataFrame, most: int = 400_000) -> DataFrame:
-    """Broadcast if it has few rows, counted; else left to the join's shuffle. rows must be cheap to count."""
-    return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows
-
-
-def verified(pairs: DataFrame, source: DataFrame, sets: DataFrame | None, k: int, num: int, den: int) -> DataFrame:
-    """Pairs whose sorted arrays meet the threshold. Arrays are made again from source(set, text) for the sets in question only; sets has the keys where ids repeat with other texts."""
+def verified(pairs: DataFrame, source: DataFrame, names: DataFrame | None, k: int, num: int, den: int) -> DataFrame:
+    """Pairs whose sorted arrays meet the threshold. Arrays are made again from source(doc_id, text) for the sets in question only. names: (key, doc_id, set) where ids repeat; else a set has the name of its document."""
     pairs = stored(pairs, "nj-pairs")
     hashes = Hashes()
     asked = stored(pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct(), "nj-asked")
 
     def arrays(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [shingle_array(t or b"", k, hashes).tobytes() for t in texts(batch.column(1))]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array([xxh3_128_digest(x) for x in found], pa.binary()), pa.array(found, pa.binary())], ["set", "key", "array"])
-
-    whole = arrow_map(source.join(bounded_side(asked), "set"), arrays, "set long, key binary, array binary")
-    if sets is not None:
-        whole = whole.join(sets.select("set", "key"), ["set", "key"]).dropDuplicates(["set"])
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array([xxh3_128_digest(x) for x in found], pa.binary()), pa.array(found, pa.binary())], ["doc_id", "key", "array"])
+
+    if names is None:
+        texts_of = source.join(bounded_side(asked.withColumnRenamed("set", "doc_id")), "doc_id")
+        whole = arrow_map(texts_of, arrays, "doc_id long, key binary, array binary").withColumnRenamed("doc_id", "set")
+    else:
+        asked = stored(names.join(bounded_side(asked), "set"), "nj-asked")
+        texts_of = source.join(bounded_side(asked.select("doc_id").distinct()), "doc_id")
+        whole = arrow_map(texts_of, arrays, "doc_id long, key binary, array binary").join(asked, ["doc_id", "key"]).dropDuplicates(["set"])
     whole = stored(whole.select("set", "array"), "nj-arrays")
     both = pairs.join(whole.select(F.col("set").alias("b"), F.col("array").alias("array_b")), "b").join(whole.select(F.col("set").alias("a"), F.col("array").alias("array_a")), "a")
 
@@ -233,7 +233,7 @@ def open_pairs(members: DataFrame, label: DataFrame, sets: DataFrame, num: int,
     placed = members.join(label.withColumnRenamed("node", "set"), "set", "left").withColumn("component", F.coalesce("component", "set"))
     parts = placed.groupBy("tok", "component").agg(F.count("*").alias("m"), F.count_if(~F.col("complete")).alias("i"))
     mixed = parts.groupBy("tok").agg(F.sum("m").alias("all_m"), F.sum("i").alias("incomplete"), F.max_by("component", F.struct("m", "component")).alias("main"), F.max("m").alias("main_m"), F.count("*").alias("parts")).where("parts > 1")
-    rest = stored(placed.join(mixed, "tok").select("tok", "held", "set", "n", "component", "complete", "main", "incomplete", (F.col("all_m") - F.col("main_m") < F.col("incomplete")).alias("by_main")), "nj-mixed")
+    rest = stored(join_counted(placed, stored(mixed, "nj-parts"), "tok", "all_m").select("tok", "held", "set", "n", "component", "complete", "main", "incomplete", (F.col("all_m") - F.col("main_m") < F.col("incomplete")).alias("by_main")), "nj-mixed")
     little = rest.where(F.col("held") <= small).select("tok", "set", "n", "component")
     other = little.select("tok", *(F.col(c).alias(f"{c}_b") for c in ("set", "n", "component")))
     direct = little.join(other, "tok").where((F.col("set") < F.col("set_b")) & (F.col("component") != F.col("component_b")) & in_band(F.col("n"), F.col("n_b"), num, den))
@@ -246,34 +246,42 @@ def open_pairs(members: DataFrame, label: DataFrame, sets: DataFrame, num: int,
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, small: int = 48, tile: int = 2048) -> DataFrame:
-    """doc_id, n_shingles, component_id: one row for each distinct id, and one for each row without an id."""
+    """doc_id, n_shingles, component_id: one row for each distinct id and set, and one for each row without an id."""
     rows = stored(profile(docs, k, num, den), "nj-profile")
     whole = rows.where("doc_id is not null")
     again = bool(whole.groupBy("doc_id").count().where("count > 1").limit(1).count())
     if again:  # ids that repeat, which the shuffle of all profiles is only spent on where there are any
-        whole = stored(whole.groupBy("doc_id").agg(F.max_by(F.struct("n", "key", "bits", "prefix", "need"), F.coalesce("key", F.lit(b"").cast("binary"))).alias("x")).select("doc_id", "x.*"), "nj-profile")
-    # A set is named by the smallest id that has it.
-    named = stored(whole.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("set")), "nj-named")
+        whole = stored(whole.dropDuplicates(["doc_id", "key"]), "nj-profile")
+    # A set is named by the smallest id that has it; as that need not be one set's alone where ids repeat, there a hash of the set is its name.
+    named = whole.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+    named = stored(named.withColumn("set", F.xxhash64("key") if again else F.col("doc_id")), "nj-named")
     # Read again where needed: the profile's rows of the ids that name a set.
-    sets = whole.join(bounded_side(named.select("key", F.col("set").alias("doc_id"))), ["key", "doc_id"]).withColumnRenamed("doc_id", "set")
-    source = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("set"), "text")
+    sets = whole.join(bounded_side(named), ["key", "doc_id"]).drop("doc_id")
+    source = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     posted = sets.select("set", "n", F.explode("prefix").alias("tok"))
     one = F.struct("set", "n")
     leader = lambda seed, name: F.min_by(one, F.xxhash64("set", F.lit(seed))).alias(name)
     tokens = stored(posted.groupBy("tok").agg(F.count("*").alias("held"), F.min(one).alias("low"), F.max(one).alias("high"), leader(3, "l1"), leader(4, "l2")).where("held > 1"), "nj-tokens")
-    members = posted.join(bounded_side(tokens.where("held > 2").select("tok", "held", "l1", "l2")), "tok")
+    many = tokens.where("held > 2").select("tok", "held", "l1", "l2")
+    members = join_counted(posted, many, "tok", "held")
     hot_in = members.where(F.col("held") > small).groupBy("set").agg(F.count("*").alias("hot"))
     complete = sets.join(hot_in, "set").select("set", (F.size("prefix") - F.col("hot") >= F.col("need")).alias("complete"))
     members = stored(members.join(complete, "set", "left").withColumn("complete", F.coalesce("complete", F.lit(True))), "nj-members")
     near = lambda rows, x, y: rows.where(in_band(F.col(f"{x}.n"), F.col(f"{y}.n"), num, den)).select(F.least(f"{x}.set", f"{y}.set").alias("a"), F.greatest(f"{x}.set", f"{y}.set").alias("b"))
     led = near(members.select(F.struct("set", "n").alias("me"), F.explode(F.array("l1", "l2")).alias("l")).where("l.set <> me.set"), "me", "l")
-    check = lambda pairs: verified(bounded(pairs.distinct(), sets, num, den), source, sets if again else None, k, num, den)
+    check = lambda pairs: verified(bounded(pairs.distinct(), sets, num, den), source, named if again else None, k, num, den)
     linked = check(near(tokens.where("held = 2"), "low", "high").unionByName(led))
     # The likeliest partners of sets outside their group's main component first, so that those who join it ask no more; then all.
     for most in (3, None):
         linked = linked.unionByName(check(open_pairs(members, components(linked), sets, num, den, small, tile, most)))
 
+    if again:  # the sets of one id belong together
+        of_id = whole.join(named.select("key", "set"), "key").groupBy("doc_id").agg(F.min("set").alias("a"), F.collect_set("set").alias("all")).where(F.size("all") > 1)
+        linked = linked.unionByName(of_id.select("a", F.explode("all").alias("b")).where("a <> b"))
     label = components(linked).withColumnRenamed("node", "set")
-    found = named.join(label, "set", "left").select("key", F.coalesce("component", "set").alias("component"))
+    found = named.join(label, "set", "left").select("key", "doc_id", F.coalesce("component", "set").alias("component"))
+    if again:
+        least = found.groupBy("component").agg(F.min("doc_id").alias("least"))
+        found = found.join(least, "component").select("key", F.col("least").alias("component"))
     of_all = whole.select("doc_id", "n", "key").unionByName(rows.where("doc_id is null").select("doc_id", "n", "key"))
-    return of_all.join(found, "key", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+    return of_all.join(found.select("key", "component"), "key", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))

@@ -61,11 +61,14 @@ def test_components_match_brute_force(docs_of, corpus, k, num, den, small, tile)
 
 
 def test_repeated_and_null_ids(docs_of):
-    a, b = text(40), text(50)
+    a, b, c = text(90), text(80), text(85)
     rows = jaccard.near_duplicates(docs_of([a, a, b, a, None], [1, 1, 2, None, 3])).collect()
     assert sorted(((r["doc_id"] or -1, r["component_id"] or -1) for r in rows)) == [(-1, -1), (1, 1), (2, 2), (3, 3)]
-    rows = {r["doc_id"]: r["component_id"] for r in jaccard.near_duplicates(docs_of([a, b, a], [1, 1, 2])).collect()}
-    assert set(rows) == {1, 2}
+    # An id with two texts has the links of both; its texts make one document, also of documents that only they join.
+    rows = jaccard.near_duplicates(docs_of([a, b, a, b, c, c], [1, 1, 2, 3, 4, 5])).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in rows) == [(1, 1), (1, 1), (2, 1), (3, 1), (4, 4), (5, 4)]
+    rows = jaccard.near_duplicates(docs_of([edited(a, 1), b, a, edited(b, 1), edited(c, 1), c, c], [9, 9, 2, 3, 9, 1, 1])).collect()
+    assert sorted({(r["doc_id"], r["component_id"]) for r in rows}) == [(1, 1), (2, 1), (3, 1), (9, 1)]
 
 
 def test_empty_table(docs_of):
@@ -73,7 +76,7 @@ def test_empty_table(docs_of):
 
 
 def test_chain_of_components(spark):
-    edges = spark.createDataFrame([(i, i + 1) for i in range(50)] + [(100, 101), (101, 101)], "a long, b long")
+    edges = spark.createDataFrame([(i, i + 1) for i in range(50)] + [(100, 101), (101, 101), (100, 101), (None, 3), (7, None)], "a long, b long")
     assert {(r["node"], r["component"]) for r in components(edges).collect()} == {(i, 0) for i in range(51)} | {(100, 100), (101, 100)}
 
 
