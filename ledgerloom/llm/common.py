@@ -98,8 +98,8 @@ def arrow_map(df: DataFrame, f: Callable[[pa.RecordBatch], Iterable[pa.RecordBat
     return df.mapInArrow(each, schema)
 
 
-def bounded_side(rows: DataFrame, most: int = 100_000) -> DataFrame:
-    """Broadcast if it has few rows, counted; else left to the join's shuffle. rows must be cheap to count and of at most a hundred bytes each, so what is sent stays under 10 MB."""
+def bounded_side(rows: DataFrame, most: int = 400_000) -> DataFrame:
+    """Broadcast if it has few rows, counted; else left to the join's shuffle. rows must be cheap to count and of at most a hundred bytes each, so at most 40 MB are sent."""
     return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows
 
 

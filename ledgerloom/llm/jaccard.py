@@ -263,7 +263,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, sma
     leader = lambda seed, name: F.min_by(one, F.xxhash64("set", F.lit(seed))).alias(name)
     tokens = stored(posted.groupBy("tok").agg(F.count("*").alias("held"), F.min(one).alias("low"), F.max(one).alias("high"), leader(3, "l1"), leader(4, "l2")).where("held > 1"), "nj-tokens")
     many = tokens.where("held > 2").select("tok", "held", "l1", "l2")
-    members = join_counted(posted, many, "tok", "held")
+    members = posted.join(bounded_side(many), "tok")
     hot_in = members.where(F.col("held") > small).groupBy("set").agg(F.count("*").alias("hot"))
     complete = sets.join(hot_in, "set").select("set", (F.size("prefix") - F.col("hot") >= F.col("need")).alias("complete"))
     members = stored(members.join(complete, "set", "left").withColumn("complete", F.coalesce("complete", F.lit(True))), "nj-members")
