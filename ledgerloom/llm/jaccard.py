@@ -45,7 +45,7 @@ class Hashes(dict):
     """64-bit hashes of words, remembered up to a bound."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
+        if len(self) > 100_000:
             self.clear()
         found = self[word] = xxh3_64_intdigest(word)
         return found
