@@ -97,6 +97,18 @@ def with_inventory(paths: DataFrame, inventory: DataFrame) -> DataFrame:
     return exact.join(tails, "path", "left").select("path", F.coalesce("_exact", "_tail").alias("_row")).select("path", F.col("_row.e.*"))
 
 
+def for_name(names: DataFrame, inventory: DataFrame) -> DataFrame:
+    """names(name) with the inventory entry of that object name, whatever its case; of several the last."""
+    columns = [c for c in inventory.columns if c != "_seq"]
+    entries = inventory.groupBy(F.upper("object_name").alias("_name")).agg(F.max_by(F.struct(*columns), F.col("_seq")).alias("_e"))
+    return names.join(entries, F.upper("name") == F.col("_name"), "left").select("name", "_e.*")
+
+
+def waves(inventory: DataFrame) -> DataFrame:
+    """(wave): the waves that objects are planned for, in order."""
+    return inventory.select("wave").distinct().orderBy("wave")
+
+
 def object_findings(objects: DataFrame, tests: DataFrame) -> DataFrame:
     """Objects of a validated class without a test file of their own name. objects: path, object_name, gxp_class, validation_package; tests: name."""
     bare = objects.where(F.col("gxp_class").isin("gxp_critical", "gxp_relevant")).withColumn("name", F.lower("object_name"))
