@@ -350,16 +350,6 @@ def F20_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.order_variants(orders, items, "o_orderkey", [F.col(c) for c in ("o_orderstatus", "o_orderpriority", "l_returnflag", "l_linestatus")], F.col("l_quantity") < 10)
 
 
-@query("""WITH a AS (SELECT o_custkey AS id, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS e FROM orders WHERE o_orderstatus = 'O' GROUP BY 1), b AS (SELECT o_custkey AS id, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS e FROM orders GROUP BY 1),
-r AS (SELECT c_custkey AS id, CAST(CASE WHEN a.id IS NOT NULL THEN a.e ELSE b.e END AS DECIMAL(28,2)) AS exposure, CAST(c_acctbal * 100 AS DECIMAL(18,2)) AS credit_limit FROM customer LEFT JOIN a ON a.id = c_custkey LEFT JOIN b ON b.id = c_custkey)
-SELECT id, exposure, credit_limit FROM r WHERE credit_limit > 0 AND exposure * 100 >= 80 * credit_limit""")
-def F21_credit_util(spark: SparkSession, sf_dir: str) -> DataFrame:
-    accounts = table(spark, sf_dir, "customer", "c_custkey", "c_acctbal").select(F.col("c_custkey").alias("id"), dec(F.col("c_acctbal") * 100).alias("credit_limit"))
-    orders = table(spark, sf_dir, "orders", "o_custkey", "o_orderstatus", "o_totalprice")
-    use = lambda rows: rows.groupBy(F.col("o_custkey").alias("id")).agg(F.sum(dec("o_totalprice")).alias("exposure"))
-    return reports.credit_use(accounts.select("id"), "id", accounts, use(orders.where("o_orderstatus = 'O'")), use(orders)).select("id", "exposure", "credit_limit")
-
-
 @query("""WITH x AS (SELECT l_suppkey, l_returnflag AS kind, CASE WHEN l_returnflag = 'R' THEN CAST(l_extendedprice AS DECIMAL(18,2)) END AS p, CASE WHEN l_returnflag <> 'R' THEN CAST(l_extendedprice AS DECIMAL(18,2)) END AS a FROM lineitem UNION ALL SELECT s_suppkey, '', NULL, CAST(s_acctbal AS DECIMAL(18,2)) FROM supplier)
 SELECT l_suppkey, kind, CAST(coalesce(sum(p), 0) AS DECIMAL(28,2)) AS plan, CAST(coalesce(sum(a), 0) AS DECIMAL(28,2)) AS actual, CAST(coalesce(sum(a), 0) - coalesce(sum(p), 0) AS DECIMAL(28,2)) AS variance FROM x WHERE l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) GROUP BY 1, 2""")
 def F22_plan_actual(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -436,12 +426,6 @@ def H4_batch_movements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.batch_movements(rows, {"posting_date": period, "plant": [("I", "BT", 3, 9)]}).select(F.col("o_orderkey").alias("l_orderkey"), "l_linenumber", "l_partkey", "o_orderdate")
 
 
-@query("SELECT CAST(l_orderkey AS VARCHAR) || chr(9) || l_linenumber || chr(9) || l_returnflag || chr(9) || strftime(l_shipdate, '%Y-%m-%d') AS line FROM lineitem WHERE l_suppkey = 5")
-def H6_movement_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_returnflag", "l_shipdate", "l_suppkey").where("l_suppkey = 5").withColumn("day", F.to_date("l_shipdate"))
-    return reports.movement_lines(rows, ["l_orderkey", "l_linenumber", "l_returnflag", "day"])
-
-
 @query("SELECT l_suppkey, CAST(sum(CASE WHEN l_linestatus = 'O' THEN CAST(l_extendedprice AS DECIMAL(18,2)) ELSE -CAST(l_extendedprice AS DECIMAL(18,2)) END) AS DECIMAL(28,2)) AS margin FROM lineitem GROUP BY 1")
 def H10_margin(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = reports.margin(table(spark, sf_dir, "lineitem", "l_suppkey", "l_linestatus", "l_extendedprice"), ["l_suppkey"], F.col("l_linestatus") == "O", dec("l_extendedprice"))
@@ -550,10 +534,7 @@ def H1_stock_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT o_orderkey, substr(d, 1, 4) AS doc_type, rtrim(substr(d, 5, 10)) AS quantity, CASE WHEN o_orderkey % 5 = 0 THEN 'FAILED' ELSE 'POSTED' END AS status FROM (SELECT o_orderkey, 'CONF' || rpad(CASE WHEN o_orderkey % 5 = 0 THEN 'n/a' ELSE CAST(o_orderkey % 1000 AS VARCHAR) END, 10, ' ') || 'X' AS d FROM orders WHERE o_orderstatus = 'P')""")
 def H17_confirmations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders, k = table(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus"), F.col("o_orderkey")
-    data = F.concat(F.lit("CONF"), F.rpad(F.when(k % 5 == 0, "n/a").otherwise((k % 1000).cast("string")), 10, " "), F.lit("X"))
-    rows = reports.confirmations(orders.where("o_orderstatus = 'P'"), orders.select("o_orderkey", data.alias("data")), "o_orderkey", [("doc_type", 1, 4), ("quantity", 5, 10)])
-    return rows.select("o_orderkey", "doc_type", "quantity", "status")
+    return _confirmed(spark, sf_dir).select("o_orderkey", "doc_type", "quantity", "status")
 
 
 @query("SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'NEW' ELSE o_orderstatus END AS status FROM orders")
@@ -568,5 +549,123 @@ def H13_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.latest(rows, ["user_id"], [F.desc("ts"), F.desc("event_id")]).select("user_id", "event_type", "event_id")
 
 
+@query("""WITH a AS (SELECT c_custkey AS id, CAST(c_acctbal * 100 AS DECIMAL(18,2)) AS credit_limit, CAST(c_acctbal AS DECIMAL(18,2)) AS receivables, CAST(c_nationkey AS DECIMAL(18,2)) AS special FROM customer),
+u AS (SELECT o_custkey AS id, o_orderstatus = 'O' AS open, CAST(o_totalprice AS DECIMAL(18,2)) AS p, o_orderkey % 3 AS k FROM orders), f AS (SELECT id, sum(p) FILTER (open) AS fp, count(*) FILTER (open) AS fn, sum(p) AS sp FROM u GROUP BY 1),
+r AS (SELECT a.*, CAST(receivables + special + coalesce(CASE WHEN fn > 0 THEN fp ELSE sp END, 0) AS DECIMAL(28,2)) AS exposure FROM a LEFT JOIN f USING (id))
+SELECT id, exposure, credit_limit FROM r WHERE credit_limit > 0 AND exposure * 100 >= 80 * credit_limit""")
+def F21_credit_util(spark: SparkSession, sf_dir: str) -> DataFrame:
+    accounts = table(spark, sf_dir, "customer", "c_custkey", "c_acctbal", "c_nationkey").select(F.col("c_custkey").alias("id"), dec(F.col("c_acctbal") * 100).alias("credit_limit"), dec("c_acctbal").alias("receivables"), dec("c_nationkey").alias("special"))
+    orders, k = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"), F.col("o_orderkey")
+    part = lambda i, name: F.sum(F.when(k % 3 == i, dec("o_totalprice")).otherwise(dec(F.lit(0)))).alias(name)
+    use = lambda rows: rows.groupBy(F.col("o_custkey").alias("id")).agg(part(0, "orders"), part(1, "deliveries"), part(2, "billing"))
+    return reports.credit_use(accounts, ["id"], use(orders.where("o_orderstatus = 'O'")), use(orders)).select("id", F.col("exposure").cast("decimal(28,2)").alias("exposure"), "credit_limit")
+
+
+@query("""SELECT 0 AS part, concat_ws(chr(9), 'MATERIALDOCUMENT', 'ITEM', 'POSTINGDATE', 'MOVEMENTTYPE', 'MATERIAL', 'PLANT', 'BATCH', 'QUANTITY', 'UNIT', 'CREATEDBY') AS line
+UNION ALL SELECT 1, concat_ws(chr(9), l_orderkey, l_linenumber, strftime(l_shipdate, '%Y-%m-%d'), l_returnflag, l_partkey, l_suppkey, 'B' || l_linenumber, CAST(l_quantity AS DECIMAL(18,2)), l_linestatus, 'loader') FROM lineitem WHERE l_suppkey % 20 = 5""")
+def H6_movement_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_returnflag", "l_shipdate", "l_suppkey", "l_partkey", "l_quantity", "l_linestatus").where("l_suppkey % 20 = 5")
+    rows = rows.withColumns({"day": F.to_date("l_shipdate"), "batch": F.concat(F.lit("B"), F.col("l_linenumber").cast("string")), "quantity": dec("l_quantity"), "by": F.lit("loader")})
+    return reports.movement_export(rows, ["l_orderkey", "l_linenumber", "day", "l_returnflag", "l_partkey", "l_suppkey", "batch", "quantity", "l_linestatus", "by"])
+
+
+def _orders_to_send(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    headers = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus").select(k.alias("order_id"), F.when(F.col("o_orderstatus") == "P", "K").otherwise("F").alias("kind"), (k % 13 == 0).alias("deleted"), F.col("o_custkey").alias("partner"), F.lit("EUR").alias("currency"))
+    lines = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_returnflag").withColumnRenamed("l_orderkey", "order_id").withColumnRenamed("l_linenumber", "item")
+    names = table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey").where("c_nationkey < 20").toDF("partner", "name", "_n").drop("_n")
+    schedules = lines.where("l_partkey % 5 > 0").select("order_id", "item", (F.col("l_suppkey") % 2 + 1).alias("line"), F.to_date("l_shipdate").alias("date"))
+    return reports.purchase_orders(headers, lines.select("order_id", "item", (F.col("l_partkey") % 17 == 0).alias("deleted"), "l_partkey"), names, schedules, lines.select("order_id", "item", (F.col("l_returnflag") == "R").alias("sent")))
+
+
+_TO_SEND = """h AS (SELECT o_orderkey AS order_id, o_custkey AS partner FROM orders WHERE o_orderstatus <> 'P' AND o_orderkey % 13 <> 0), s AS (SELECT l_orderkey AS order_id, l_linenumber AS item, min(CAST(l_shipdate AS DATE)) AS date FROM lineitem WHERE l_partkey % 5 > 0 AND l_suppkey % 2 = 0 GROUP BY 1, 2),
+d AS (SELECT DISTINCT l_orderkey AS order_id, l_linenumber AS item FROM lineitem WHERE l_returnflag = 'R'), t AS (SELECT h.order_id, l_linenumber AS item, l_partkey, partner, c_name AS name, date FROM lineitem JOIN h ON h.order_id = l_orderkey LEFT JOIN customer ON c_custkey = partner AND c_nationkey < 20
+ LEFT JOIN s ON s.order_id = l_orderkey AND s.item = l_linenumber LEFT JOIN d ON d.order_id = l_orderkey AND d.item = l_linenumber WHERE l_partkey % 17 <> 0 AND d.item IS NULL)"""
+
+
+@query(f"WITH {_TO_SEND} SELECT order_id, item, l_partkey, partner, name, CAST(date AS VARCHAR) AS date FROM t")
+def H8_purchase_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _orders_to_send(spark, sf_dir).select("order_id", "item", "l_partkey", "partner", "name", F.col("date").cast("string").alias("date"))
+
+
+@query(f"""WITH {_TO_SEND}, b AS (SELECT order_id, item, true AS sent FROM d), n AS (SELECT order_id, item, bool_or(l_partkey % 3 > 0) AS sent FROM t GROUP BY 1, 2)
+SELECT coalesce(n.order_id, b.order_id) AS order_id, coalesce(n.item, b.item) AS item, coalesce(n.sent, b.sent) AS sent, CASE WHEN n.item IS NULL THEN '2024-01-01' ELSE '2024-02-01' END AS date FROM b FULL JOIN n ON n.order_id = b.order_id AND n.item = b.item""")
+def H8_sent_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_returnflag").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("item")).distinct()
+    state = lines.select("order_id", "item", F.lit(True).alias("sent"), F.lit("2024-01-01").alias("date"))
+    results = _orders_to_send(spark, sf_dir).select("order_id", "item", (F.col("l_partkey") % 3 > 0).alias("sent"), F.lit("2024-02-01").alias("date"))
+    return reports.sent_state(state, results)
+
+
+@query("""WITH x AS (SELECT CAST(date_diff('day', CAST(o_orderdate AS DATE), DATE '1998-09-01') AS INTEGER) AS days, CAST(o_totalprice AS DECIMAL(18,2)) AS a FROM orders)
+SELECT CAST(coalesce(sum(a) FILTER (days <= 30), 0) AS DECIMAL(28,2)) AS d30, CAST(coalesce(sum(a) FILTER (days > 30 AND days <= 60), 0) AS DECIMAL(28,2)) AS d60, CAST(coalesce(sum(a) FILTER (days > 60 AND days <= 90), 0) AS DECIMAL(28,2)) AS d90,
+ CAST(coalesce(sum(a) FILTER (days > 90), 0) AS DECIMAL(28,2)) AS d90plus, CAST(sum(a) AS DECIMAL(28,2)) AS total FROM x""")
+def H9_ageing_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.ageing_total(F19_ageing(spark, sf_dir)).select(*(F.col(c).cast("decimal(28,2)").alias(c) for c in ("d30", "d60", "d90", "d90plus", "total")))
+
+
+@query("""WITH k AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, min(struct_pack(a := l_shipmode_, b := l_quantity)) AS r FROM (SELECT *, 'P' || (l_partkey % 4) AS l_shipmode_ FROM lineitem WHERE l_returnflag <> 'N') GROUP BY 1, 2, 3, 4)
+SELECT coalesce(r.a, '') AS profit_centre, CAST(sum(CASE WHEN l_linestatus = 'O' THEN 1 ELSE -1 END * CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS margin, count(*) AS n FROM lineitem LEFT JOIN k USING (l_orderkey, l_linenumber, l_partkey, l_suppkey) GROUP BY 1""")
+def H10_margin_by_profit_centre(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with what a second table holds for their four keys."""
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    lines = table(spark, sf_dir, "lineitem", *keys, "l_linestatus", "l_extendedprice", "l_returnflag")
+    second = lines.where("l_returnflag <> 'N'").select(*keys, F.concat(F.lit("P"), (F.col("l_partkey") % 4).cast("string")).alias("centre"))
+    rows = reports.with_lookup(lines, second, keys, ["centre"]).withColumn("profit_centre", F.coalesce("centre", F.lit("")))
+    side, amount = F.col("l_linestatus") == "O", dec("l_extendedprice")
+    return reports.margin(rows, ["profit_centre"], side, amount).join(rows.groupBy("profit_centre").agg(F.count("*").alias("n")), "profit_centre").select("profit_centre", F.col("margin").cast("decimal(28,2)").alias("margin"), "n")
+
+
+def _feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("event_id")
+    kind = F.when(k % 5 < 2, "C").when(k % 5 < 4, "V").otherwise("X")
+    return table(spark, sf_dir, "events", "event_id", "user_id", "event_type").select(kind.alias("partner_type"), F.col("user_id").alias("partner_id"), (k % 3).alias("company"), F.col("event_type").alias("name"), (k % 7).alias("terms"), k.alias("at"))
+
+
+def _sync(spark: SparkSession, sf_dir: str, dry_run: bool):  # noqa: ANN202
+    people = table(spark, sf_dir, "customer", "c_custkey").where("c_custkey % 2 = 0")
+    general = people.select(F.col("c_custkey").alias("partner_id"), F.lit("before").alias("name"))
+    company = people.select(F.col("c_custkey").alias("partner_id"), F.lit(0).cast("long").alias("company"), F.lit(-1).cast("long").alias("terms"))
+    return reports.partner_sync(_feed(spark, sf_dir), {"C": general, "V": general}, {"C": company, "V": company}, F.col("at"), dry_run)
+
+
+_SYNC = "f AS (SELECT CASE WHEN event_id % 5 < 2 THEN 'C' WHEN event_id % 5 < 4 THEN 'V' ELSE '' END AS partner_type, user_id AS partner_id, event_id % 3 AS company, event_type AS name, event_id % 7 AS terms, event_id AS pos FROM events)"
+
+
+@query(f"""WITH {_SYNC}, p AS (SELECT c_custkey AS partner_id FROM customer WHERE c_custkey % 2 = 0), t AS (SELECT * FROM (VALUES ('C'), ('V')) AS v(kind)),
+g AS (SELECT partner_type AS kind, partner_id, arg_max(name, pos) AS name FROM f WHERE partner_type <> '' GROUP BY 1, 2), b AS (SELECT kind, partner_id FROM p, t),
+h AS (SELECT partner_type AS kind, partner_id, company, arg_max(terms, pos) AS terms FROM f WHERE partner_type <> '' GROUP BY 1, 2, 3), c AS (SELECT kind, partner_id, 0 AS company FROM p, t)
+SELECT coalesce(g.kind, b.kind) AS kind, 'general' AS target, coalesce(g.partner_id, b.partner_id) AS partner_id, CAST(0 AS BIGINT) AS company, coalesce(g.name, 'before') AS value FROM b FULL JOIN g ON g.kind = b.kind AND g.partner_id = b.partner_id
+UNION ALL SELECT coalesce(h.kind, c.kind), 'company', coalesce(h.partner_id, c.partner_id), coalesce(h.company, c.company), CAST(coalesce(h.terms, -1) AS VARCHAR) FROM c FULL JOIN h ON h.kind = c.kind AND h.partner_id = c.partner_id AND h.company = c.company""")
+def H13_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    general, company, _ = _sync(spark, sf_dir, False)
+    out = [t.select(F.lit(k).alias("kind"), F.lit("general").alias("target"), "partner_id", F.lit(0).cast("long").alias("company"), F.col("name").alias("value")) for k, t in general.items()]
+    out += [t.select(F.lit(k).alias("kind"), F.lit("company").alias("target"), "partner_id", "company", F.col("terms").cast("string").alias("value")) for k, t in company.items()]
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
+
+
+@query(f"""WITH {_SYNC}, n AS (SELECT partner_type, count(*) AS n FROM f GROUP BY 1) SELECT false AS dry_run, partner_type, CASE WHEN partner_type <> '' THEN n ELSE 0 END AS ok, 0 AS tested, CASE WHEN partner_type = '' THEN n ELSE 0 END AS error FROM n
+UNION ALL SELECT true, partner_type, 0, CASE WHEN partner_type <> '' THEN n ELSE 0 END, CASE WHEN partner_type = '' THEN n ELSE 0 END FROM n""")
+def H13_sync_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    one = lambda dry: _sync(spark, sf_dir, dry)[2].select(F.lit(dry).alias("dry_run"), "partner_type", "ok", "tested", "error")
+    return one(False).unionByName(one(True))
+
+
+def _confirmed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders, k = table(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus"), F.col("o_orderkey")
+    data = F.concat(F.lit("CONF"), F.rpad(F.when(k % 5 == 0, "n/a").otherwise((k % 1000).cast("string")), 10, " "), F.lit("X"))
+    return reports.confirmations(orders.where("o_orderstatus = 'P'"), orders.select("o_orderkey", data.alias("data")), "o_orderkey", [("doc_type", 1, 4), ("quantity", 5, 10)])
+
+
+@query("""SELECT 'MES_CONF' AS interface, o_orderkey AS document, 'CONF' AS object, CASE WHEN o_orderkey % 5 = 0 THEN 'E' ELSE 'S' END AS status, CASE WHEN o_orderkey % 5 = 0 THEN 'quantity ''n/a'' is no number' ELSE '' END AS message FROM orders WHERE o_orderstatus = 'P'""")
+def H17_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.confirmation_audit(_confirmed(spark, sf_dir), "o_orderkey", "doc_type")
+
+
+@query("SELECT count(*) FILTER (o_orderkey % 5 <> 0) AS posted, count(*) FILTER (o_orderkey % 5 = 0) AS failed FROM orders WHERE o_orderstatus = 'P'")
+def H17_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.confirmation_counts(_confirmed(spark, sf_dir))
+
+
 QUERIES |= catalog_wave.QUERIES
 ORACLE_SQL |= catalog_wave.ORACLE_SQL

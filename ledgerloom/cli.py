@@ -14,25 +14,33 @@ from ledgerloom.sources import ExtractError, exists, read_inventory
 from ledgerloom.sources.sinks import write_text
 
 
+# Names of commands and options, and where inputs and outputs lie by default.
+SOURCES, INVENTORY, TEST_ROOTS = "abap/src", "estate/inventory.csv", ["abap"]
+FORMATS = ("summary", "markdown", "json")
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="ledgerloom")
     sub = top.add_subparsers(dest="command", required=True)
-    m = sub.add_parser("migrate", help="migrate a wave")
+    m = sub.add_parser("run", aliases=["migrate"], help="migrate a wave")
     m.add_argument("--wave", default="wave0")
-    m.add_argument("--data")
-    m.add_argument("--out")
-    m.add_argument("--dry-run", action="store_true")
-    m.add_argument("--fail-on-reject", action="store_true")
+    m.add_argument("--source", "--data", help="directory of the extracts (default: data/<wave>)")
+    m.add_argument("--out", help="directory of the load files (default: out/<wave>)")
+    m.add_argument("--format", choices=FORMATS, default="summary")
+    m.add_argument("--dry-run", action="store_true", help="write nothing")
+    m.add_argument("--fail-on-reject", action="store_true", help="fail if any record is held back")
+    m.add_argument("--parts", type=int, help="write each load as so many files, in order, for data that outgrows one")
+    m.set_defaults(command="run")
     s = sub.add_parser("scan", help="scan sources")
-    s.add_argument("paths", nargs="+")
-    s.add_argument("--inventory")
-    s.add_argument("--tests", action="append")
-    s.add_argument("--format", choices=("summary", "json", "markdown"), default="summary")
-    s.add_argument("--out")
-    s.add_argument("--include", action="append", default=[])
-    s.add_argument("--exclude", action="append", default=[])
-    s.add_argument("--wave")
-    s.add_argument("--fail-on", choices=SEVERITIES)
+    s.add_argument("paths", nargs="*", default=[SOURCES])
+    s.add_argument("--inventory", default=INVENTORY)
+    s.add_argument("--test-root", "--tests", action="append", default=[])
+    s.add_argument("--format", choices=FORMATS, default="summary")
+    s.add_argument("--out", help="write the report there")
+    s.add_argument("--rule", "--include", action="append", default=[], help="run only these rules")
+    s.add_argument("--exclude-rule", "--exclude", action="append", default=[], help="leave these rules out")
+    s.add_argument("--wave", help="only objects of this wave")
+    s.add_argument("--fail-on", choices=SEVERITIES, help="fail on findings as severe or worse")
     sub.add_parser("rules", help="list the rules")
     return top
 
@@ -40,11 +48,12 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     args = parser().parse_args(argv)
     if args.command == "rules":
-        print("\n".join(f"{r.id:<12} {r.severity:<9} {r.title}" for r in rules.CATALOGUE))
+        row = "{:<12} {:<9} {:<18} {}".format
+        print("\n".join([row("RULE", "SEVERITY", "CATEGORY", "TITLE"), *(row(r.id, r.severity, r.category, r.title) for r in rules.CATALOGUE)]))
         return 0
     spark = spark or SparkSession.builder.appName("ledgerloom").getOrCreate()
     try:
-        return _migrate(args, spark) if args.command == "migrate" else _scan(args, spark)
+        return _migrate(args, spark) if args.command == "run" else _scan(args, spark)
     except ExtractError as e:
         print(f"error: {e}", file=sys.stderr)
         return 2
@@ -52,21 +61,33 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
 
 def _migrate(args: argparse.Namespace, spark: SparkSession) -> int:
     out = None if args.dry_run else args.out or f"out/{args.wave}"
-    wave = migration.migrate(spark, args.wave, args.data or f"data/{args.wave}", out)
-    for c in wave.counts():
-        print(f"{c['object']:<12} extracted {c['extracted']:>5} rejected {c['rejected']:>5} loaded {c['loaded']:>5} warnings {c['warn']:>5}")
-    rejected = sum(c["rejected"] for c in wave.counts())
-    return 1 if not wave.passed or args.fail_on_reject and rejected else 0
+    wave = migration.migrate(spark, args.wave, args.source or f"data/{args.wave}", out, args.parts)
+    counts, checks = wave.counts(), [r.asDict() for r in wave.checks.orderBy("seq").collect()]  # one row a check
+    if args.format == "summary":
+        merged = wave.partners.merged_count().first()["merged"]
+        held_back = [r.asDict() for c in wave.cleansed.values() for r in c.issues.where("action = 'reject'").orderBy("_stage", "_at", "_pos").limit(render.HELD_BACK).collect()]
+        print(render.migration_summary(wave.name, counts, checks, wave.loads["business_partners"].count(), merged, held_back, out))
+    else:
+        print({"json": render.reconciliation_json, "markdown": render.reconciliation_markdown}[args.format](wave.name, counts, checks))
+    wave.release()
+    rejected = sum(c["rejected"] for c in counts)
+    return 1 if not all(c["passed"] for c in checks) or args.fail_on_reject and rejected else 0
 
 
 def _scan(args: argparse.Namespace, spark: SparkSession) -> int:
-    if args.inventory and not exists(spark, args.inventory):
+    inventory = read_inventory(spark, args.inventory) if exists(spark, args.inventory) else None
+    if inventory is None and args.inventory != INVENTORY:
         raise ExtractError(f"inventory not found: {args.inventory}")
-    found = scan.scan_paths(spark, args.paths, read_inventory(spark, args.inventory) if args.inventory else None, args.tests, include=args.include, exclude=args.exclude)
+    tests = args.test_root or [r for r in TEST_ROOTS if exists(spark, r)] or None
+    found = scan.scan_paths(spark, args.paths, inventory, tests, include=args.rule, exclude=args.exclude_rule)
     found = found.wave(args.wave) if args.wave else found
     data = render.backlog_data(found)
     text = {"summary": render.summary, "json": render.backlog_json, "markdown": render.backlog_markdown}[args.format](data)
-    write_text(spark, args.out, text) if args.out else print(text)
+    if args.out:
+        write_text(spark, args.out, text)
+        print(f"report written to {args.out}")
+    else:
+        print(text)
     gate = bool(args.fail_on) and backlog.reaches(found.outstanding_findings(), args.fail_on).first()["found"]
     return 1 if gate else 0
 

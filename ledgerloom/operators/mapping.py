@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,15 +39,18 @@ def entities(records: DataFrame, group: list[Column], order: Column, first: dict
     return rows.groupBy(*names).agg(F.min("_order").alias("_first"), *(F.min_by(f"_f_{n}", "_order").alias(n) for n in first), *(in_order(n).alias(n) for n in lists), *(sets_of(n).alias(n) for n in sets))
 
 
-def numbered(rows: DataFrame, order: str, start: int, name: str, parts: int | None = None) -> DataFrame:
+def numbered(rows: DataFrame, order: str, start: int, name: str, parts: int | None = None, held: list[DataFrame] | None = None) -> DataFrame:
     """Consecutive numbers in the order of a column, without one task for all rows.
 
-    Rows are dealt into ranges of the order; each range is numbered by itself and moved by the rows before it, of which there is one count a range.
+    Rows are dealt into ranges of the order; each range is numbered by itself and moved by the rows before it, of which there is one count a range. The ranges are
+    persisted, as both sides must see the same ones; they are added to ``held`` for the caller to let go of.
     """
     spark = rows.sparkSession
     n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.repartitionByRange(n, order).withColumn("_range", F.spark_partition_id())
     placed = dealt.withColumn("_at", F.row_number().over(Window.partitionBy("_range").orderBy(order))).persist()
+    if held is not None:
+        held.append(placed)
     counts = placed.groupBy("_range").agg(F.count("*").alias("_n"))
     ahead = counts.select("_range", F.coalesce(F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_ahead"))
     return placed.join(F.broadcast(ahead), "_range").withColumn(name, F.col("_at") + F.col("_ahead") + (start - 1)).drop("_range", "_at", "_ahead")  # one row a range
@@ -59,6 +62,11 @@ class Partners:
 
     partners: DataFrame
     xref: DataFrame
+    held: list[DataFrame] = field(default_factory=list)
+
+    def release(self) -> None:
+        for rows in self.held:
+            rows.unpersist()
 
     def lookup(self) -> DataFrame:
         """(id, bp): one namespace for customers and vendors, in which vendors win."""
@@ -82,13 +90,14 @@ def business_partners(customers: DataFrame, vendors: DataFrame) -> Partners:
     group = [F.col(f"i{n}") for n in range(4)]
     found = entities(both, group, F.col("order"), {c: F.col(c) for c in ("NAME1", "LAND1", "ORT01", "PSTLZ", "STRAS", "STCEG")},
                      {"customers": F.when(F.col("kind") == "KNA1", F.col("id")), "vendors": F.when(F.col("kind") == "LFA1", F.col("id"))}, {"roles": F.col("roles"), "codes": F.array("BUKRS")})
-    done = numbered(found, "_first", FIRST_PARTNER, "_bp").withColumn("BusinessPartner", F.col("_bp").cast("string"))
+    held: list[DataFrame] = []
+    done = numbered(found, "_first", FIRST_PARTNER, "_bp", held=held).withColumn("BusinessPartner", F.col("_bp").cast("string"))
     rows = done.select("BusinessPartner", F.lit(PARTNER_GROUPING).alias("BusinessPartnerGrouping"), F.col("NAME1").alias("BusinessPartnerName"), F.col("LAND1").alias("Country"), F.col("ORT01").alias("CityName"),
                        F.col("PSTLZ").alias("PostalCode"), F.col("STRAS").alias("StreetName"), F.col("STCEG").alias("VATRegistration"), F.array_join("roles", ";").alias("BusinessPartnerRoles"),
                        F.array_join("codes", ";").alias("CompanyCodes"), F.array_join("customers", ";").alias("SourceCustomers"), F.array_join("vendors", ";").alias("SourceVendors"), F.col("_bp").alias("_seq"))
     names = done.select(*(F.col(f"_g{n}").alias(f"i{n}") for n in range(4)), "BusinessPartner")
     xref = both.join(names, [f"i{n}" for n in range(4)]).select(F.col("kind").alias("SourceType"), F.col("id").alias("SourceId"), "BusinessPartner", F.col("order").alias("_order"), F.struct("kind", "id", "order").alias("_seq"))
-    return Partners(rows, xref)
+    return Partners(rows, xref, held)
 
 
 def map_open_items(rows: DataFrame, xref: DataFrame) -> DataFrame:

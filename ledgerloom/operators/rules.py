@@ -91,7 +91,7 @@ def with_inventory(paths: DataFrame, inventory: DataFrame) -> DataFrame:
     last = first.select("_entry", F.col("_row").alias("_exact"))
     rows = paths.select("path", clean("path").alias("_path"))
     exact = rows.join(last, F.col("_path") == F.col("_entry"), "left").select("path", "_path", "_exact")
-    lengths = [r[0] for r in first.select(F.length("_entry").alias("n")).distinct().orderBy("n").limit(10_000).collect()]
+    lengths = [r[0] for r in first.select(F.length("_entry").alias("n")).distinct().orderBy("n").collect()]  # as many as the longest path has characters, at most
     ends = F.array(*(F.when(F.length("_path") >= n, F.right(F.col("_path"), F.lit(n))) for n in lengths)) if lengths else F.array().cast("array<string>")
     tails = exact.where("_exact is null").select("path", F.explode(F.array_compact(ends)).alias("_entry")).join(first, "_entry").groupBy("path").agg(F.min_by("_row", "_s").alias("_tail"))
     return exact.join(tails, "path", "left").select("path", F.coalesce("_exact", "_tail").alias("_row")).select("path", F.col("_row.e.*"))

@@ -71,6 +71,16 @@ def movement_lines(movements: DataFrame, columns: list[str]) -> DataFrame:
     return movements.select(F.concat_ws("\t", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns)).alias("line"))
 
 
+# The header line of the movement export.
+EXPORT_HEADER = ("MATERIALDOCUMENT", "ITEM", "POSTINGDATE", "MOVEMENTTYPE", "MATERIAL", "PLANT", "BATCH", "QUANTITY", "UNIT", "CREATEDBY")
+
+
+def movement_export(movements: DataFrame, columns: list[str]) -> DataFrame:
+    """(part, line): the header, which is part 0, and the lines, part 1; a writer orders by part."""
+    head = movements.sparkSession.createDataFrame([(0, "\t".join(EXPORT_HEADER))], "part int, line string")
+    return head.unionByName(movement_lines(movements, columns).select(F.lit(1).alias("part"), "line"))
+
+
 def serialisation(headers: DataFrame, items: DataFrame, staged: DataFrame, keys: list[str], document: list[str], amount: str) -> DataFrame:
     """Quantity of items whose header is chosen, by keys, against staged quantity of them: delta and status."""
     erp = items.join(headers.select(*document).distinct(), document, "left_semi").groupBy(*keys).agg(F.sum(amount).alias("erp_qty"))
@@ -86,6 +96,24 @@ def unsent(headers: DataFrame, items: DataFrame, key: str, sent: DataFrame, rese
     return rows if resend else rows.join(sent.select(key).distinct(), key, "left_anti")
 
 
+def purchase_orders(headers: DataFrame, items: DataFrame, names: DataFrame, schedules: DataFrame, sent: DataFrame, resend: bool = False) -> DataFrame:
+    """Items to send, with the partner's name and the date of the first schedule line; null where there is none, whatever the item before had.
+
+    headers(order_id, kind, deleted, partner, currency), items(order_id, item, deleted, ...), names(partner, name), schedules(order_id, item, line, date),
+    sent(order_id, item, sent).
+    """
+    key = ["order_id", "item"]
+    head = headers.where("kind = 'F' and not deleted").select("order_id", "partner", "currency")
+    rows = items.where("not deleted").drop("deleted").join(head, "order_id").join(unique(names, ["partner"], ["name"]), "partner", "left")
+    rows = rows.join(unique(schedules.where("line = 1"), key, ["date"]), key, "left")
+    return rows if resend else rows.join(sent.where("sent").select(*key).distinct(), key, "left_anti")
+
+
+def sent_state(state: DataFrame, results: DataFrame) -> DataFrame:
+    """state(order_id, item, sent, date) after sending: results, of the same columns, replace rows of their key, failed ones too."""
+    return upsert(state, results, ["order_id", "item"], F.struct("date", "sent"))
+
+
 def ageing(items: DataFrame, names: DataFrame, key: str, key_date: str, baseline: str, amount: str, *kept: str) -> DataFrame:
     """Amounts of items in four columns by days since the baseline date, with the partner's name. names(key, name)."""
     days = F.datediff(F.to_date(F.lit(key_date)), F.col(baseline))
@@ -94,6 +122,18 @@ def ageing(items: DataFrame, names: DataFrame, key: str, key_date: str, baseline
     return rows.select(*kept, key, "name", "days", part(days <= 30, "d30"), part((days > 30) & (days <= 60), "d60"), part((days > 60) & (days <= 90), "d90"), part(days > 90, "d90plus"))
 
 
+def ageing_total(rows: DataFrame) -> DataFrame:
+    """One row: the four columns of an ageing and their grand total."""
+    parts = ("d30", "d60", "d90", "d90plus")
+    one = rows.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in parts))
+    return one.withColumn("total", sum((F.col(c) for c in parts[1:]), F.col(parts[0])))
+
+
+def with_lookup(items: DataFrame, found: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Items with columns of another table by keys, null where it has none; a key it holds twice does not multiply items."""
+    return items.join(unique(found, keys, columns), keys, "left")
+
+
 def margin(items: DataFrame, keys: list[str], side: Column, amount: Column) -> DataFrame:
     """Debits less all others."""
     return items.groupBy(*keys).agg(F.sum(F.when(side, amount).otherwise(-amount)).alias("margin"))
@@ -106,13 +146,19 @@ def order_variants(orders: DataFrame, items: DataFrame, key: str, parts: list[Co
     return rows.select(F.when(partial, F.concat(name, F.lit("|PARTIAL_DELIVERY"))).otherwise(name).alias("variant")).distinct()
 
 
-def credit_use(accounts: DataFrame, key: str, limits: DataFrame, first: DataFrame, second: DataFrame, threshold: float = 80.0) -> DataFrame:
-    """Exposure by the first table if it has a row for the account, else by the second, against the limit; accounts at the threshold or above."""
-    pick = lambda t, n: unique(t, [key], ["exposure"]).select(key, F.col("exposure").alias(n), F.lit(True).alias(f"_has_{n}"))
-    rows = accounts.join(limits, key).join(pick(first, "_a"), key, "left").join(pick(second, "_b"), key, "left")
-    rows = rows.withColumn("exposure", F.when(F.col("_has__a"), F.col("_a")).otherwise(F.col("_b")))
-    rows = rows.withColumn("utilisation", F.when(F.col("credit_limit") > 0, F.col("exposure") * 100 / F.col("credit_limit")))
-    return rows.where(F.col("utilisation") >= threshold).select(key, "exposure", "credit_limit", "utilisation")
+def credit_use(accounts: DataFrame, keys: list[str], first: DataFrame, second: DataFrame, threshold: float = 80.0) -> DataFrame:
+    """Accounts whose exposure reaches the threshold, in percent of the limit; without a limit there is no use.
+
+    accounts(keys, credit_limit, receivables, special): exposure adds to the latter two the open values (orders, deliveries, billing) of the first table if it has
+    a row of the account, else of the second, else none.
+    """
+    terms = ("orders", "deliveries", "billing")
+    pick = lambda t, n: unique(t, keys, list(terms)).select(*keys, F.struct(*terms).alias(n))
+    rows = accounts.join(pick(first, "_a"), keys, "left").join(pick(second, "_b"), keys, "left").withColumn("_open", F.coalesce("_a", "_b"))
+    value = lambda c: F.coalesce(F.col(c), F.lit(0))
+    exposure = value("receivables") + value("special") + value("_open.orders") + value("_open.deliveries") + value("_open.billing")
+    rows = rows.withColumn("exposure", exposure).withColumn("utilisation", F.when(F.col("credit_limit") > 0, F.col("exposure") * 100 / F.col("credit_limit")))
+    return rows.where(F.col("utilisation") >= threshold).select(*keys, "exposure", "credit_limit", "utilisation")
 
 
 def upsert(current: DataFrame, changes: DataFrame, keys: list[str], order: Column) -> DataFrame:
@@ -129,6 +175,21 @@ def route(feed: DataFrame, kind: str = "partner_type") -> dict[str, DataFrame]:
     return {"C": feed.where(c == "C"), "V": feed.where(c == "V"), "error": feed.where(~c.isin("C", "V"))}
 
 
+def partner_sync(feed: DataFrame, general: dict[str, DataFrame], company: dict[str, DataFrame], order: Column, dry_run: bool = False) -> tuple[dict[str, DataFrame], dict[str, DataFrame], DataFrame]:
+    """General and company tables of customers (C) and vendors (V) after a feed, and counts(partner_type, ok, tested, error).
+
+    feed: partner_type, partner_id, company and the columns of both tables; the last change of a key by order counts. Rows of other types are in error. A dry run
+    leaves the tables as they are and counts what it would do as tested.
+    """
+    parts = route(feed)
+    done = lambda tables, keys: {k: tables[k] if dry_run else upsert(tables[k], parts[k], keys, order) for k in ("C", "V")}
+    kind = F.when(F.col("partner_type").isin("C", "V"), F.col("partner_type")).otherwise("")
+    counts = feed.groupBy(kind.alias("partner_type")).agg(F.count("*").alias("n"))
+    known = F.col("partner_type") != ""
+    n = lambda when, name: F.when(when, F.col("n")).otherwise(0).cast("long").alias(name)
+    return done(general, ["partner_id"]), done(company, ["partner_id", "company"]), counts.select("partner_type", n(known & F.lit(not dry_run), "ok"), n(known & F.lit(dry_run), "tested"), n(~known, "error"))
+
+
 def cost_variance(orders: DataFrame, primary: DataFrame, secondary: DataFrame, keys: list[str], kind: str, plan: str = "01") -> DataFrame:
     """Plan and actual of each key: primary rows of the plan kind plan, all others and secondary rows actual. Secondary rows have no kind and stay apart."""
     a = primary.select(*keys, F.col(kind).alias("kind"), F.when(F.col(kind) == plan, F.col("amount")).alias("p"), F.when(F.col(kind) != plan, F.col("amount")).alias("a"))
@@ -156,6 +217,17 @@ def confirmations(documents: DataFrame, segments: DataFrame, key: str, fields: l
     return rows.withColumn("status", F.when(F.try_to_number(F.col("quantity"), F.lit("9999999999.999")).isNotNull(), "POSTED").otherwise("FAILED"))
 
 
+def confirmation_audit(rows: DataFrame, key: str, object_key: str, interface: str = "MES_CONF") -> DataFrame:
+    """One audit row a confirmation: interface, document, object, S or E, and the message of a failure."""
+    failed = F.col("status") == "FAILED"
+    return rows.select(F.lit(interface).alias("interface"), F.col(key).alias("document"), F.col(object_key).alias("object"), F.when(failed, "E").otherwise("S").alias("status"),
+                       F.when(failed, F.concat(F.lit("quantity '"), F.col("quantity"), F.lit("' is no number"))).otherwise("").alias("message"))
+
+
+def confirmation_counts(rows: DataFrame) -> DataFrame:
+    return rows.agg(F.count_if(F.col("status") == "POSTED").alias("posted"), F.count_if(F.col("status") == "FAILED").alias("failed"))
+
+
 def labels(items: DataFrame, texts: DataFrame, printers: DataFrame, key: str, plant: str) -> DataFrame:
     """Payload and printer of each item, with defaults for plants without one."""
     rows = items.join(unique(texts, [key], ["text"]), key, "left").join(unique(printers, [plant], ["printer", "system"]), plant, "left")

@@ -121,6 +121,17 @@ def test_files(spark, folder, tmp_path):
     assert cli.main(["migrate", "--data", str(folder / "none")], spark) == 2
 
 
+def test_command_line_forms(spark, folder, tmp_path, capsys):
+    base = ["run", "--wave", "w", "--source", str(folder)]
+    assert cli.main([*base, "--out", str(tmp_path / "a")], spark) == 0
+    said = capsys.readouterr().out
+    assert "reconciliation: PASS (0 failed of 13 checks)" in said and "held back from the load:" in said and "merged 2 source records" in said and f"artefacts written to {tmp_path / 'a'}" in said
+    assert cli.main([*base, "--dry-run", "--format", "json"], spark) == 0 and json.loads(capsys.readouterr().out)["passed"] is True
+    assert cli.main([*base, "--dry-run", "--format", "markdown"], spark) == 0 and "## Checks" in capsys.readouterr().out
+    assert cli.main([*base, "--out", str(tmp_path / "b"), "--parts", "3"], spark) == 0 and (tmp_path / "b" / "s4_product.csv").is_dir()
+    assert cli.main(["run", "--source", str(folder / "none")], spark) == 2 and "not found" in capsys.readouterr().err
+
+
 def test_empty_and_odd_inputs(spark, folder, tmp_path):
     (tmp_path / "a.csv").write_text("A,B\n")
     assert read_csv(spark, str(tmp_path / "a.csv")).count() == 0

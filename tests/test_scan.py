@@ -108,6 +108,8 @@ def test_cli(spark, estate, tmp_path, capsys):
     assert cli.main([*args, "--wave", "wave0", "--fail-on", "critical"], spark) == 0
     assert cli.main([*args, "--format", "markdown", "--out", str(tmp_path / "b.md")], spark) == 0 and (tmp_path / "b.md").exists()
     assert cli.main(["scan", str(estate / "src"), "--inventory", str(estate / "no.csv")], spark) == 2
+    assert cli.main([*args, "--rule", "SI-MM-001", "--exclude-rule", "SI-MM-001", "--fail-on", "minor"], spark) == 0
+    capsys.readouterr()
     assert cli.main(["rules"]) == 0 and "SI-GXP-001" in capsys.readouterr().out
 
 
