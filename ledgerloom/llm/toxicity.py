@@ -4,8 +4,12 @@ Categories are predicted in a fixed order; each linear model sees hashed word an
 probabilities of the categories before it. Those probabilities are out-of-fold when a model is trained, so that
 it learns from the errors it will meet, and come from models fitted on the whole sample when documents are scored.
 
+Labels say toxic or not. The narrower categories are found in the data: features that mark toxic documents are grouped by the documents
+they occur in, and a toxic document is of each kind whose features it holds most. The chain is kind_1, kind_2, ..., toxic.
+
 Training uses a bounded sample of labelled documents (``max_positive``, ``max_negative``: those with the smallest hashes
-of their id); scoring reads every document whole.
+of their id); scoring reads every document whole. Features are counted and chosen on the executors; the driver gets at most ``most`` of them and the sample's
+rows of those.
 
 Defined cases: null or empty text has no features and gets the probabilities of the bias; null ids are scored and
 keep their null id; repeated labels of one id count once, as the highest; labels without a document and null labels are
@@ -23,13 +27,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import arrow_map, texts
+from ledgerloom.llm.common import arrow_map, drop, stored, texts
 from ledgerloom.llm.linear import Rows, feature_hash, fit, sigmoid
 
 BITS = 20
-# English words that mark two narrower categories within documents labelled as toxic.
-INSULT = ("clown", "fool", "idiot", "jerk", "loser", "moron", "scum")
-DEMEANING = ("disgusting", "garbage", "pathetic", "stupid", "trash", "useless", "worthless")
 # Letters A-Z fall to lower case; ASCII that is neither letter nor digit separates words.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 
@@ -61,30 +62,18 @@ class Chain:
         return out
 
 
-def informative(ids: list[np.ndarray], y: np.ndarray, most: int, least_docs: int = 4, z: float = 3.5) -> np.ndarray:
-    """Hashed features whose rates differ between the classes by z standard errors, the strongest ``most`` of them."""
-    rows = Rows(ids, None, 1 << BITS)
-    hit, there = rows.back(y), rows.back(np.ones(len(y)))
-    p, n = max(1, y.sum()), max(1, len(y) - y.sum())
-    rate = there / max(1, len(y))
-    score = (hit / p - (there - hit) / n) / np.sqrt(np.maximum(rate * (1 - rate), 1e-12) * (1 / p + 1 / n))
-    score[there < least_docs] = 0
-    order = np.lexsort((np.arange(len(score)), -np.abs(score)))[:most]
-    return order[np.abs(score[order]) >= z]
-
-
-def fit_chain(ids: list[np.ndarray], labels: np.ndarray, categories: Sequence[str], folds: int = 4, most: int = 2048) -> Chain:
-    """labels: (documents, categories) of 0 and 1. Document i is in fold i modulo ``folds``."""
+def fit_chain(ids: list[np.ndarray], chosen: np.ndarray, labels: np.ndarray, categories: Sequence[str], folds: int = 4) -> Chain:
+    """ids: chosen features of each document, sorted. labels: (documents, categories) of 0 and 1. Document i is in fold i modulo ``folds``."""
     n = len(ids)
     if not n:
         return Chain(tuple(categories), {}, np.zeros((len(categories), 0)), [np.append(np.zeros(k), -40.0) for k in range(len(categories))])
-    chosen = np.unique(np.concatenate([informative(ids, labels[:, k], most) for k in range(labels.shape[1])]))
     place = {int(f): i for i, f in enumerate(chosen)}
-    x = Rows([np.searchsorted(chosen, f[np.isin(f, chosen)]) for f in ids], None, len(chosen))
+    x = Rows([np.searchsorted(chosen, f) for f in ids], None, len(chosen))
     earlier, sparse, dense = np.zeros((n, 0)), [], []
     for k in range(labels.shape[1]):
         y, ahead = labels[:, k].astype(float), np.zeros(n)
-        for fold in range(folds if n >= 2 * folds else 0):
+        # The last category is handed on to none.
+        for fold in range(folds if n >= 2 * folds and k + 1 < labels.shape[1] else 0):
             out = np.arange(n) % folds == fold
             w, v = fit(x.take(np.flatnonzero(~out)), earlier[~out], y[~out])
             held = x.take(np.flatnonzero(out))
@@ -96,14 +85,16 @@ def fit_chain(ids: list[np.ndarray], labels: np.ndarray, categories: Sequence[st
     return Chain(tuple(categories), place, np.array(sparse), dense)
 
 
-def sample(docs: DataFrame, labels: DataFrame, target: str, max_positive: int, max_negative: int) -> tuple[list[np.ndarray], np.ndarray, list[set[bytes]]]:
-    """Features, target and marker words of the bounded training sample, by hash of the id."""
+def sample(docs: DataFrame, labels: DataFrame, target: str, max_positive: int, max_negative: int, most: int, least_docs: int = 4, z: float = 3.5) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """Of the bounded training sample, by id: chosen features and target; then the chosen features and their scores.
+
+    Chosen are features in ``least_docs`` documents or more whose rates differ between the classes by z standard errors, the strongest ``most`` of them.
+    """
     known = labels.where(F.col(target).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(target).alias("y"))
     order = F.xxhash64("doc_id", F.lit(17))
     picked = [known.where(F.col("y") == v).orderBy(order, "doc_id").limit(k) for v, k in ((1, max_positive), (0, max_negative))]
-    chosen = F.broadcast(picked[0].unionByName(picked[1]))  # at most max_positive + max_negative rows of two numbers
-    rows = docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "text", F.col("y").cast("int").alias("y"))
-    marks = {w.encode() for w in INSULT + DEMEANING}
+    ids = F.broadcast(picked[0].unionByName(picked[1]))  # at most max_positive + max_negative rows of two numbers
+    rows = docs.select("doc_id", "text").join(ids, "doc_id").select("doc_id", "text", F.col("y").cast("int").alias("y"))
 
     known_words: dict[bytes, tuple[int, ...]] = {}
 
@@ -115,23 +106,55 @@ def sample(docs: DataFrame, labels: DataFrame, target: str, max_positive: int, m
         return got
 
     def f(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [words_of(t or b"") for t in texts(batch.column(1))]
-        ids = [sorted(set().union(*map(of, ws))) for ws in found]
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0).cast(pa.int64()), batch.column(2).cast(pa.int32()), pa.array(ids, pa.list_(pa.int32())), pa.array([[w.decode() for w in sorted(ws & marks)] for ws in found], pa.list_(pa.string()))],
-            ["doc_id", "y", "ids", "marks"])
-
-    got = sorted(arrow_map(rows, f, "doc_id long, y int, ids array<int>, marks array<string>").collect(), key=lambda r: (r[0], r[1], r[2]))
-    got = [r for i, r in enumerate(got) if not i or r[0] != got[i - 1][0]]
-    return [np.array(r[2], np.int64) for r in got], np.array([r[1] for r in got], np.int64), [{w.encode() for w in r[3]} for r in got]
-
-
-def train(docs: DataFrame, labels: DataFrame, max_positive: int = 3000, max_negative: int = 6000) -> Chain:
-    """Chain insult -> demeaning -> toxic. The first two are the marked parts of the toxic class, for want of finer labels."""
-    ids, toxic, marks = sample(docs, labels, "toxic", max_positive, max_negative)
-    has = lambda words: np.array([bool(m & {w.encode() for w in words}) for m in marks], bool)
-    y = np.column_stack([toxic * has(INSULT), toxic * has(DEMEANING), toxic]) if len(ids) else np.zeros((0, 3))
-    return fit_chain(ids, y, ("insult", "demeaning", "toxic"))
+        found = [sorted(set().union(*map(of, words_of(t or b"")))) for t in texts(batch.column(1))]
+        return pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(2).cast(pa.int32()), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "y", "ids"])
+
+    one = arrow_map(rows, f, "doc_id long, y int, ids array<int>").groupBy("doc_id").agg(F.min(F.struct("y", "ids")).alias("x"))
+    one = stored(one.select("doc_id", "x.*"), "toxic-sample")
+    total = one.agg(F.count("*").alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("p")).first()
+    p, n = max(1, total["p"]), max(1, total["n"] - total["p"])
+    counts = one.select("y", F.explode("ids").alias("f")).groupBy("f").agg(F.sum("y").alias("hit"), F.count("*").alias("there")).where(F.col("there") >= least_docs)
+    rate = F.col("there") / max(1, total["n"])
+    score = (F.col("hit") / p - (F.col("there") - F.col("hit")) / n) / F.sqrt(F.greatest(rate * (1 - rate), F.lit(1e-12)) * (1 / p + 1 / n))
+    best = sorted((r["f"], r["z"]) for r in counts.select("f", score.alias("z")).where(F.abs("z") >= z).orderBy(F.desc(F.abs("z")), "f").limit(most).collect())
+    chosen = np.array([x for x, _ in best], np.int64)
+
+    def g(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [x[np.isin(x, chosen)] for x in (np.array(v, np.int64) for v in batch.column(2).to_pylist())]
+        return pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found, pa.list_(pa.int32()))], ["doc_id", "y", "ids"])
+
+    got = sorted(tuple(r) for r in arrow_map(one, g, "doc_id long, y int, ids array<int>").collect())
+    drop(one)
+    return [np.array(r[2], np.int64) for r in got], np.array([r[1] for r in got], np.int64), chosen, np.array([s for _, s in best])
+
+
+def kinds_of(ids: list[np.ndarray], toxic: np.ndarray, chosen: np.ndarray, scores: np.ndarray, kinds: int, rounds: int = 20) -> np.ndarray:
+    """(documents, kinds) of 0 and 1. Features that mark toxic documents are grouped by k-means on the documents that hold them, from centres far apart; no randomness."""
+    marks, members = chosen[scores > 0], np.flatnonzero(toxic)
+    out = np.zeros((len(ids), kinds), np.int64)
+    if not len(marks) or not len(members):
+        return out
+    held = np.zeros((len(marks), len(members)))
+    for j, i in enumerate(members):
+        held[np.isin(marks, ids[i]), j] = 1
+    unit = held / np.maximum(np.sqrt(held.sum(1, keepdims=True)), 1e-9)
+    centres = unit[[int(np.argmax(scores[scores > 0]))]]
+    while len(centres) < kinds:
+        centres = np.vstack([centres, unit[[int(np.argmin((unit @ centres.T).max(1)))]]])
+    for _ in range(rounds):
+        group = (unit @ centres.T).argmax(1)
+        centres = np.array([unit[group == k].sum(0) if (group == k).any() else centres[k] for k in range(kinds)])
+        centres /= np.maximum(np.sqrt((centres**2).sum(1, keepdims=True)), 1e-9)
+    counts = np.array([held[group == k].sum(0) for k in range(kinds)])
+    out[members] = ((counts == counts.max(0)) & (counts > 0)).T
+    return out
+
+
+def train(docs: DataFrame, labels: DataFrame, max_positive: int = 3000, max_negative: int = 6000, kinds: int = 2, most: int = 2048) -> Chain:
+    """Chain kind_1 -> kind_2 -> ... -> toxic."""
+    ids, toxic, chosen, scores = sample(docs, labels, "toxic", max_positive, max_negative, most)
+    y = np.column_stack([kinds_of(ids, toxic, chosen, scores, kinds), toxic]) if len(ids) else np.zeros((0, kinds + 1))
+    return fit_chain(ids, chosen, y, (*(f"kind_{k + 1}" for k in range(kinds)), "toxic"))
 
 
 def score(docs: DataFrame, chain: Chain, threshold: float = 0.5) -> DataFrame:

@@ -3,7 +3,8 @@
 Overlapping heuristic labellers vote good, bad or abstain on every document. Expectation-maximisation over the counts of
 vote patterns (of all documents; at most 3 to the number of labellers rows) estimates how each labeller votes in
 each class and so a posterior for each pattern. The posteriors of a bounded sample of documents (``train_docs``, those
-with the smallest hashes of their id) train a linear scorer on hashed word shapes and votes; it scores every document.
+with the smallest hashes of their id) train a linear scorer on hashed features: shapes of words, and how words and lines repeat. It sees
+no votes, so what it knows it has learnt from the posteriors; it scores every document.
 
 Defined cases: null or empty text gets abstentions, no shapes, and is rejected; null ids are scored and keep their null
 id; repeated rows are each scored; whole texts are read; extra columns stay where the input's columns are returned; an empty
@@ -61,7 +62,7 @@ def votes(text: bytes) -> tuple[int, ...]:
         vote(10 * bars > n, False),
         vote(10 * exclaim > n, False),
         vote(2 * dup > len(lines), False),
-        vote(n >= 50 and 4 * distinct < n and n < 2000, 2 * distinct > n),
+        vote(n >= 50 and distinct < 2 * n**0.5, 2 * distinct > n),
         vote(n >= 20 and 5 * stutter > n, False),
         vote(n >= 50 and 5 * packed < len(text), n >= 50 and 4 * packed > len(text)),
         vote(n >= 20 and 4 * letters < 3 * chars, 10 * letters > 8 * chars and 5 * upper < letters),
@@ -83,6 +84,24 @@ def shapes(text: bytes) -> tuple[list[int], list[float]]:
     return ids, [out[i] ** 0.5 for i in ids]
 
 
+def features(text: bytes) -> tuple[list[int], list[float]]:
+    """Hashed shapes, and the shares of words and lines by how often they occur (in powers of two) and of words that follow themselves; square roots."""
+    ids, values = shapes(text)
+    out = Counter(dict(zip(ids, values, strict=True)))
+    words, shares = text.split(), Counter()
+    if words:
+        for k, n in Counter(Counter(words).values()).items():
+            shares[b"w%d" % min(12, (k - 1).bit_length())] += k * n / len(words)
+        lines = [x for x in text.split(b"\n") if x.strip()]
+        for k, n in Counter(Counter(lines).values()).items():
+            shares[b"l%d" % min(8, (k - 1).bit_length())] += k * n / len(lines)
+        shares[b"next"] = sum(map(bytes.__eq__, words, words[1:])) / len(words)
+    for name, share in shares.items():
+        out[feature_hash(b"#" + name, BITS)] += share**0.5
+    ids = sorted(out)
+    return ids, [out[i] for i in ids]
+
+
 def em(patterns: dict[tuple[int, ...], int], rounds: int = 60) -> dict[tuple[int, ...], float]:
     """Posterior of the good class for each vote pattern; votes are independent within a class.
 
@@ -116,14 +135,14 @@ def vote_patterns(docs: DataFrame) -> dict[tuple[int, ...], int]:
     return {tuple(map(int, r[0].split(","))): r[1] for r in rows}
 
 
-def train(docs: DataFrame, train_docs: int = 8000) -> tuple[np.ndarray, np.ndarray] | None:
-    """Weights of the scorer."""
+def train(docs: DataFrame, train_docs: int = 8000) -> tuple[np.ndarray, float] | None:
+    """Weights and bias of the scorer."""
     posterior = em(vote_patterns(docs))
     ids = docs.where("doc_id is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id", F.lit(23)), "doc_id").limit(train_docs)
 
     def f(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [t or b"" for t in texts(batch.column(1))]
-        x = [shapes(t) for t in found]
+        x = [features(t) for t in found]
         return pa.RecordBatch.from_arrays(
             [batch.column(0).cast(pa.int64()), pa.array([i for i, _ in x], pa.list_(pa.int32())), pa.array([v for _, v in x], pa.list_(pa.float64())), pa.array([list(votes(t)) for t in found], pa.list_(pa.int32()))],
             ["doc_id", "ids", "values", "votes"])
@@ -135,10 +154,11 @@ def train(docs: DataFrame, train_docs: int = 8000) -> tuple[np.ndarray, np.ndarr
         return None
     x = Rows([np.array(r[1], np.int64) for r in got], [np.array(r[2], float) for r in got], 1 << BITS)
     y = np.array([posterior.get(tuple(r[3]), 0.5) for r in got])
-    return fit(x, np.array([r[3] for r in got], float), y, l2=1e-4)
+    w, v = fit(x, np.zeros((len(got), 0)), y, l2=1e-4, steps=150)
+    return w, float(v[-1])
 
 
-def score(docs: DataFrame, weights: tuple[np.ndarray, np.ndarray] | None, threshold: float = 0.5) -> DataFrame:
+def score(docs: DataFrame, weights: tuple[np.ndarray, float] | None, threshold: float = 0.5) -> DataFrame:
     """doc_id, quality (probability of the good class), kept."""
 
     def f(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -148,17 +168,16 @@ def score(docs: DataFrame, weights: tuple[np.ndarray, np.ndarray] | None, thresh
     return arrow_map(docs.select("doc_id", "text"), f, "doc_id long, quality double, kept boolean")
 
 
-def decide(found: list[bytes | None], weights: tuple[np.ndarray, np.ndarray] | None) -> np.ndarray:
+def decide(found: list[bytes | None], weights: tuple[np.ndarray, float] | None) -> np.ndarray:
     empty = np.array([not (t or b"").strip() for t in found], bool)
     if weights is None:
         return np.where(empty, 0.0, 1.0)
-    x = [shapes(t or b"") for t in found]
+    x = [features(t or b"") for t in found]
     rows = Rows([np.array(i, np.int64) for i, _ in x], [np.array(v, float) for _, v in x], 1 << BITS)
-    z = rows.dot(weights[0]) + np.array([votes(t or b"") for t in found], float).reshape(-1, len(LABELLERS)) @ weights[1][:-1] + weights[1][-1]
-    return np.where(empty, 0.0, sigmoid(z))
+    return np.where(empty, 0.0, sigmoid(rows.dot(weights[0]) + weights[1]))
 
 
-def keep_good(docs: DataFrame, weights: tuple[np.ndarray, np.ndarray] | None, threshold: float = 0.5) -> DataFrame:
+def keep_good(docs: DataFrame, weights: tuple[np.ndarray, float] | None, threshold: float = 0.5) -> DataFrame:
     """Rows of docs that the scorer keeps, with all their columns, in one pass and without a join."""
     place = docs.columns.index("text")
 

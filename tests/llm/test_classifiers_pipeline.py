@@ -35,7 +35,7 @@ def test_toxicity_on_held_out_documents(spark, docs_of):
     docs = docs_of(texts)
     labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(400)] + [(0, 0), (0, 1), (9999, 1), (None, 1), (5, None)], "doc_id long, toxic int")
     chain = toxicity.train(docs, labels)
-    assert chain.categories == ("insult", "demeaning", "toxic")
+    assert chain.categories == ("kind_1", "kind_2", "toxic")
     got = {r["doc_id"]: r["toxic"] for r in toxicity.score(docs, chain).collect()}
     assert len(got) == len(texts) and sum(got[i] == (i % 3 == 0) for i in range(400, 600)) / 200 > 0.97
     assert not got[600] and not got[601] and not got[602]
@@ -44,6 +44,39 @@ def test_toxicity_on_held_out_documents(spark, docs_of):
     assert toxicity.score(docs.where("false"), chain).count() == 0
 
 
+def test_chain_matches_plain_loops():
+    """The chain against a reference that holds dense rows and calls the models one by one."""
+    rng = np.random.default_rng(3)
+    ids = [np.sort(rng.choice([5, 9, 11, 40, 77], rng.integers(0, 5), replace=False)) for _ in range(120)]
+    chosen = np.array([5, 9, 11, 40, 77])
+    labels = np.array([[int(9 in i), int(9 in i or 77 in i), int((9 in i) != (40 in i))] for i in ids])
+    chain = toxicity.fit_chain(ids, chosen, labels, ("a", "b", "c"), folds=3)
+    dense = np.array([[float(f in i) for f in chosen] for i in ids])
+
+    def model(x, extra, y):
+        rows = Rows([np.flatnonzero(r) for r in x], None, x.shape[1])
+        w, v = fit(rows, extra, y.astype(float))
+        return lambda x2, e2: np.array([1 / (1 + np.exp(-(r @ w + e @ v[:-1] + v[-1]))) for r, e in zip(x2, e2, strict=True)])
+
+    seen, final = np.zeros((120, 0)), np.zeros((120, 0))
+    for k in range(3):
+        ahead = np.zeros(120)
+        for fold in range(3):
+            out = np.array([i % 3 == fold for i in range(120)])
+            ahead[out] = model(dense[~out], seen[~out], labels[~out, k])(dense[out], seen[out])
+        final = np.column_stack([final, model(dense, seen, labels[:, k])(dense, final)])
+        seen = np.column_stack([seen, ahead])
+    assert np.allclose(chain.probabilities([[int(np.flatnonzero(chosen == f)[0]) for f in i] for i in ids]), final, atol=1e-6)
+
+
+def test_kinds_are_found_in_the_data():
+    ids = [np.array([1, 2, 3]) if i % 4 == 1 else np.array([2, 3]) if i % 4 == 2 else np.array([7, 8]) if i % 4 == 3 else np.array([50]) for i in range(80)]
+    toxic = np.array([int(i % 4 > 0) for i in range(80)])
+    kinds = toxicity.kinds_of(ids, toxic, np.array([1, 2, 3, 7, 8, 50]), np.array([5.0, 6, 7, 6, 6, -9]), 2)
+    assert [tuple(k) for k in kinds[:4]] == [(0, 0), (1, 0), (1, 0), (0, 1)]
+    assert toxicity.kinds_of([], np.array([]), np.array([]), np.array([]), 2).shape == (0, 2)
+
+
 def junk(i):
     return [" ".join(w + "&&&" for w in prose(80).split()), prose(80).upper().replace(" ", "!! "), " | ".join(prose(80).split()), " ".join(["spam eggs"] * 60)][i % 4]
 
