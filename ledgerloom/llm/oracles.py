@@ -48,7 +48,14 @@ m AS (
     + (CASE WHEN 10 * n_symbols > n_words THEN 8 ELSE 0 END) + (CASE WHEN 2 * n_dup_lines > n_lines THEN 16 ELSE 0 END) + (CASE WHEN 10 * capitals > 4 * letters THEN 32 ELSE 0 END) + (CASE WHEN 10 * bars > n_words THEN 64 ELSE 0 END)
     + (CASE WHEN 2 * letters < word_chars THEN 128 ELSE 0 END) AS bits FROM m
 )
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, bits = 0 AS kept, bits::BIGINT AS failed_bits FROM b
+"""
+_OP7 = OP7
+OP7 += """SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, bits = 0 AS kept, bits::BIGINT AS failed_bits,
+  bits & 3 = 0 AS kept_v1, bits & 31 = 0 AS kept_v2, bits = 0 AS kept_v3,
+  CASE bits WHEN 1 THEN 'few_words' WHEN 2 THEN 'repeated_words' WHEN 4 THEN 'word_length' WHEN 8 THEN 'symbols' WHEN 16 THEN 'duplicate_lines' WHEN 32 THEN 'capitals' WHEN 64 THEN 'bars' WHEN 128 THEN 'letters' END AS only_rule FROM b
+"""
+ABLATIONS = _OP7 + """, r(rule, bit) AS (VALUES ('few_words', 1), ('repeated_words', 2), ('word_length', 4), ('symbols', 8), ('duplicate_lines', 16), ('capitals', 32), ('bars', 64), ('letters', 128))
+SELECT rule, count(*) FILTER (bits & bit <> 0) AS failed, count(*) FILTER (bits = bit) AS only, count(*) FILTER (bits = bit OR bits = 0) AS kept_without FROM b, r GROUP BY 1
 """
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -95,4 +102,4 @@ SELECT doc_id, coalesce(n_email, 0)::BIGINT AS n_email, coalesce(n_ip, 0)::BIGIN
 FROM d LEFT JOIN j ON j.r = d.r"""
 
 
-ORACLE_SQL = {"op3_topk": OP3, "op5_warc": OP5, "op7_quality_rules": OP7, "op8_ngram_jaccard": OP8}
+ORACLE_SQL = {"op3_topk": OP3, "op5_warc": OP5, "op7_quality_rules": OP7, "op8_ngram_jaccard": OP8, "quality_rules_ablations": ABLATIONS, "pii_base_spans": op9_base()}

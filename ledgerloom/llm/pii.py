@@ -1,7 +1,9 @@
 """Personal data: patterns propose spans, checksums confirm them, words nearby adjust a score. Native expressions only.
 
-Kinds: email, ip (parts at most 255), card (12 to 19 digits passing Luhn), phone (+ and 9 to 15 digits), and beyond that
-base iban (country code, its registered length, mod-97 of 1; 15 to 34 for codes without one). Matches are leftmost and do not overlap within a kind; one
+Kinds: email, ip (parts at most 255), card (12 to 19 digits passing Luhn), phone (+ and 9 to 15 digits). Beyond that
+base, which always stays, the method adds iban (country code, its registered length, mod-97 of 1; 15 to 34 for codes without one), ssn (three, two and four digits in ranges that are
+issued) and secret (16 characters or more of keys and tokens, letters and digits mixed). These are kept where their score reaches ``LEAST_SCORE``: an iban's checksum is enough by itself, an
+ssn or a secret needs a word nearby that names it, or, for a secret, a prefix that issuers use; words that speak against it take it away again. Matches are leftmost and do not overlap within a kind; one
 that fails its test is dropped and not retried. Positions count code points, the end is exclusive.
 
 Patterns are written so that the matcher neither recurses nor retries inside a run: groups are possessive, and a
@@ -33,15 +35,25 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "iban": rf"(?:(?<![A-Za-z0-9])|\G)(?:{_REGISTERED}|{_OTHER})(?![A-Za-z0-9])",
+    "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+    "secret": r"(?:(?<![A-Za-z0-9_/+.-])|\G)[A-Za-z0-9_/+-]{16,}+(?![A-Za-z0-9_/+.@-])",
 }
+# Prefixes of keys and tokens that name themselves.
+_ISSUED = r"^(?:AKIA[0-9A-Z]{16}|gh[opsu]_|github_pat_|glpat-|sk_live_|xox[abps]-|AIza|eyJ)"
 # The prior score of a confirmed span, and words that raise it when they stand within REACH characters.
-PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.7, "iban": 0.9}
+PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.7, "iban": 0.9, "ssn": 0.4, "secret": 0.3}
+# What a word nearby adds to the score, and what one against it takes.
+GAIN = {"email": 0.1, "ip": 0.1, "card": 0.1, "phone": 0.1, "iban": 0.1, "ssn": 0.4, "secret": 0.5}
+LOSS = 0.3
+LEAST_SCORE = 0.5
 CONTEXT = {
     "email": r"(?i)\b(?:e-?mail|mailto|contact|write|correo|courriel)\b",
     "ip": r"(?i)\b(?:ip|address|host|server|login|adresse)\b",
     "card": r"(?i)\b(?:card|credit|debit|visa|mastercard|amex|carte|karte|tarjeta)\b",
     "phone": r"(?i)\b(?:phone|tel|call|mobile|fax|telefon|appel)\b",
     "iban": r"(?i)\b(?:iban|bank|account|konto|compte|cuenta)\b",
+    "ssn": r"(?i)\b(?:ssn|social|security|tax|taxpayer|tin)\b",
+    "secret": r"(?i)(?:\b|_)(?:secret|token|passwd|password|pwd|api_?key|access_?key|private_?key|bearer|authorization|credentials?)\b",
 }
 AGAINST = r"(?i)\b(?:example|version|isbn|sku|order|test)\b"
 REACH = 30
@@ -71,6 +83,10 @@ def confirmed(kind: str, m: Column) -> Column:
         return F.length(d).between(12, 19) & F.call_function("luhn_check", d)
     if kind == "phone":
         return F.length(_digits(m)).between(9, 15)
+    if kind == "ssn":
+        return ~m.rlike(r"^(?:000|666|9)|-00-|-0000$")
+    if kind == "secret":
+        return m.rlike("[0-9].*[0-9].*[0-9]") & m.rlike("[A-Za-z].*[A-Za-z].*[A-Za-z]")
     d = F.translate(m, " ", "")
     return F.length(d).between(15, 34) & (mod97(d) == 1)
 
@@ -79,7 +95,7 @@ def proposals(kind: str, text: str = "text") -> Column:
     """Array of structs (m, start) of all matches, confirmed or not; null where there is none."""
     t, pattern = F.col(text), F.lit(PATTERNS[kind])
     found = F.regexp_extract_all(t, pattern, F.lit(0))
-    gate = {"email": t.contains("@"), "phone": t.contains("+"), "ip": t.contains(".")}.get(kind, t.isNotNull())
+    gate = {"email": t.contains("@"), "phone": t.contains("+"), "ip": t.contains("."), "ssn": t.contains("-")}.get(kind, t.isNotNull())
     between = F.split(t, PATTERNS[kind], -1)
     # Running sum over the parts: (position reached, matches placed).
     start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("i"), F.array().cast("array<struct<m:string,start:int>>").alias("out"))
@@ -104,19 +120,30 @@ def spans(docs: DataFrame) -> DataFrame:
             end = s["start"] + F.length(s["m"])
             left = F.greatest(s["start"] - REACH, F.lit(0))
             near = F.concat(F.substring(F.col("text"), left + 1, s["start"] - left), F.lit(" "), F.substring(F.col("text"), end + 1, F.lit(REACH)))
-            score = F.lit(PRIOR[kind]) + F.when(near.rlike(CONTEXT[kind]), 0.1).otherwise(0.0) - F.when(near.rlike(AGAINST), 0.3).otherwise(0.0)
+            score = F.lit(PRIOR[kind]) + F.when(near.rlike(CONTEXT[kind]), GAIN[kind]).otherwise(0.0) - F.when(near.rlike(AGAINST), LOSS).otherwise(0.0)
+            if kind == "secret":
+                score += F.when(s["m"].rlike(_ISSUED), 0.5).otherwise(0.0)
             return F.struct(s["start"].alias("start"), F.lit(order[kind]).alias("rank"), F.lit(kind).alias("kind"), end.alias("end"), F.round(score, 2).alias("score"))
 
         empty = F.array().cast("array<struct<start:int,rank:int,kind:string,end:int,score:double>>")
-        return F.coalesce(F.transform(F.filter(F.col(kind), lambda s: confirmed(kind, s["m"])), one), empty)
+        found = F.transform(F.filter(F.col(kind), lambda s: confirmed(kind, s["m"])), one)
+        return F.coalesce(found if kind in BASE else F.filter(found, lambda s: s["score"] >= LEAST_SCORE), empty)
 
     return rows.select("doc_id", F.array_sort(F.concat(*(keep(k) for k in PATTERNS))).alias("spans"))
 
 
+def base_digest(found: DataFrame) -> DataFrame:
+    """Counts, joined spans and their hash of the base kinds only."""
+    base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
+    text = F.array_join(F.transform(base, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
+    return found.select("doc_id", *(count(k) for k in BASE), F.sha2(text, 256).alias("base_sha256"), text.alias("base_spans"))
+
+
 def digest(found: DataFrame) -> DataFrame:
     """Counts and the joined spans of each document."""
     text = lambda a: F.array_join(F.transform(a, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
     count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
-    return found.select("doc_id", *(count(k) for k in BASE), F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"),
+    return found.select("doc_id", *(count(k) for k in PATTERNS), F.size("spans").cast("long").alias("n_spans"), F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"),
                         F.array_join(F.transform("spans", lambda s: s["score"].cast("string")), ",").alias("scores"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerloom.llm import archives, impact_search, jaccard, line_dedup, mixing, pieces, pii, rule_ledger, toxicity, weak_quality
-from ledgerloom.llm.common import table, word_count
+from ledgerloom.llm.common import stored, table, word_count
 from ledgerloom.llm.oracles import ORACLE_SQL
 
 
@@ -41,8 +41,14 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = rule_ledger.apply_policy(rule_ledger.ledger(table(spark, sf_dir, "documents")))
-    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed_bits")
+    rows = stored(rule_ledger.ledger(table(spark, sf_dir, "documents")), "ledger")
+    rows = rule_ledger.verdicts(rule_ledger.apply_policy(rows))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed_bits", *(f"kept_v{v}" for v in rule_ledger.POLICIES), "only_rule")
+
+
+def quality_rules_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule does under the latest policy, from the ledger's bits."""
+    return rule_ledger.ablations(stored(rule_ledger.ledger(table(spark, sf_dir, "documents")), "ledger"))
 
 
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,13 +59,18 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.spans(table(spark, sf_dir, "documents")))
 
 
+def pii_base_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base kinds of op9 alone, which SQL can express."""
+    return pii.base_digest(pii.spans(table(spark, sf_dir, "documents")))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return weak_quality.score(docs, weak_quality.train(docs))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_toxicity, op2_line_dedup, op3_topk, op4_sentencepiece, op5_warc, op6_mixing, op7_quality_rules, op8_ngram_jaccard, op9_pii, op10_quality_classifier)}
+    op1_toxicity, op2_line_dedup, op3_topk, op4_sentencepiece, op5_warc, op6_mixing, op7_quality_rules, op8_ngram_jaccard, op9_pii, op10_quality_classifier, quality_rules_ablations, pii_base_spans)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 __all__ = ["ORACLE_SQL", "QUERIES"]

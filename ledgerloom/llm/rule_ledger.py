@@ -127,6 +127,13 @@ def apply_policy(rows: DataFrame, version: int = LATEST) -> DataFrame:
     })
 
 
+def verdicts(rows: DataFrame, version: int = LATEST) -> DataFrame:
+    """Adds kept_v<n> of every policy, and only_rule: the rule that alone rejects a document under the policy of ``version``, which its ablation would keep; else null."""
+    bits, m = F.col("failed_bits"), mask(POLICIES[version])
+    alone = F.coalesce(*(F.when(bits.bitwiseAND(F.lit(m)) == BIT[r], r) for r in POLICIES[version]))
+    return rows.withColumns({f"kept_v{v}": bits.bitwiseAND(F.lit(BASE | mask(rules))) == 0 for v, rules in POLICIES.items()} | {"only_rule": alone})
+
+
 def ablations(rows: DataFrame, version: int = LATEST) -> DataFrame:
     """(rule, failed, only, kept_without): documents that fail a rule, that fail it alone under the policy, and that the policy keeps without it."""
     m = mask(POLICIES[version])

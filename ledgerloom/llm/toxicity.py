@@ -40,10 +40,10 @@ def words_of(text: bytes) -> set[bytes]:
 
 
 def features_of(word: bytes) -> tuple[int, ...]:
-    """The word and its first four and five characters."""
+    """The word and its first three to seven characters."""
     out = [feature_hash(b"w" + word, BITS)]
     s = word.decode("utf-8", "replace")
-    out += [feature_hash(b"p%d" % k + s[:k].encode(), BITS) for k in (4, 5) if len(s) >= k]
+    out += [feature_hash(b"p%d" % k + s[:k].encode(), BITS) for k in range(3, 8) if len(s) >= k]
     return tuple(out)
 
 
