@@ -1,31 +1,34 @@
 """Exact top-k search by inner product over an impact-ordered index.
 
-Components become integers floor(1024 x). A shard indexes its vectors by impact: a posting is a component's
-size, quantised to a power of two, and a segment holds the postings of one quantised impact over all dimensions. Segments are
-processed score at a time, from the highest impact down, for a block of queries at once. After a segment, what a vector may still
-gain or lose is bounded by Cauchy and Schwarz from the lengths of the query and of the vector's unprocessed rest, both
-known exactly. Processing stops when the bound proves that few vectors can be members of a query's top k; these possible members
-are rescored exactly. If no bound proves it, all segments are used and the scores are exact by themselves.
+Components become integers floor(1024 x). A shard of vectors is indexed as postings (vector, dimension, sign), one for each component
+that is not zero, ordered by impact: the component's size, quantised to a power of two. A segment holds all postings of one quantised impact. A query
+processes segments score at a time, from the highest impact down, adding the query's component of each posting's dimension to the posting's vector. After a segment, what a
+vector may still gain or lose is bounded by Cauchy and Schwarz from the lengths of the query and of the vector's unprocessed rest, both
+known exactly. Processing stops when the bound proves that few vectors can be members of the query's top k; these possible members
+are rescored exactly. If no bound proves it, all segments are used, and all vectors that the last bound leaves are rescored.
 
-Shards and query blocks have fixed sizes; each pair of a shard and a block is one task's group, and the k best of every
-shard are merged by a window that keeps k rows a query and shard. Nothing is collected.
+Shards have a fixed size and travel once; queries come to each shard in batches, behind the shard's vectors in the sort order of its partition, so a task holds one index and one
+batch. The k best of every shard are merged by a window that keeps k rows a query and shard. Nothing is collected but two counts.
 
 Defined cases: null vectors, or vectors that hold a null or a non-finite component, and rows with a null id take no part; vectors of different
-lengths are padded with zeros; a query's own rows (same id) are no candidates, other rows that repeat an id are ranked as they are;
-fewer than k candidates give all; components beyond 2^20 after scaling are scored with exact integers of any size and
-clipped to 64 bits; extra columns are ignored; empty tables give an empty result.
+lengths are padded with zeros; a query's own rows (same id) are no candidates, other rows that repeat an id are ranked as they are; of several rows
+with a query's id the one with the smallest vector, component by component, asks; ties go to the smaller id; fewer than k candidates give all; components beyond 2^20 after
+scaling are scored with exact integers of any size and clipped to 64 bits; extra columns are ignored; empty tables give an empty result.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.llm import common  # noqa: F401  (sends functions of this library by value)
+
 SCALE = 1024
 EXACT = 1 << 20
 SCHEMA = "query_id long, vec_id long, score long"
@@ -47,54 +50,39 @@ class Index:
     def __init__(self, ids: np.ndarray, matrix: np.ndarray):
         order = np.argsort(ids, kind="stable")
         self.ids, self.matrix = ids[order], matrix[order]
-        size = np.abs(self.matrix)
-        self.level = np.where(size > 0, np.floor(np.log2(np.maximum(size, 1))), -1).astype(np.int8)
-        self.levels = [int(x) for x in np.unique(self.level)[::-1] if x >= 0]
-
-    def segments(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Quantised impacts of a segment, as a matrix, and the length of each vector's rest after it."""
-        seen = np.zeros_like(self.matrix)
-        for level in self.levels:
-            segment = np.where(self.level == level, np.sign(self.matrix) * (1.5 * 2.0**level), 0.0)
-            seen += segment
-            yield segment, np.sqrt(((self.matrix - seen) ** 2).sum(1))
-
-    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(query, ids, scores) of the k best of the shard and all that tie with the last."""
-        n, todo = len(self.ids), np.arange(len(queries))
-        partial = np.zeros((len(queries), n))
-        length = np.sqrt((queries**2).sum(1))
-        own = {int(q): np.flatnonzero(self.ids == q) for q in query_ids} if n else {}
-        for step, (segment, rest) in enumerate(self.segments()):
-            if not len(todo):
-                return
-            partial[todo] += queries[todo] @ segment.T
-            if step + 1 < len(self.levels) and step < 1:
-                continue  # no bound is tight after the first segment
-            still = []
-            for q in todo:
-                slack = length[q] * rest * (1 + 1e-9) + 1e-3
-                low = partial[q] - slack
-                low[own[int(query_ids[q])]] = -np.inf
-                if n > k:
-                    least = np.partition(low, n - k)[n - k]
-                    members = np.flatnonzero(partial[q] + slack >= least)
-                else:
-                    members = np.arange(n)
-                if len(members) > max(4 * k, n // 50):
-                    still.append(q)
-                    continue
-                yield self.rescored(int(query_ids[q]), queries[q], members, k)
-            todo = np.array(still, int)
-        for q in todo:
-            yield self.rescored(int(query_ids[q]), queries[q], np.arange(n), k)
-
-    def rescored(self, query_id: int, query: np.ndarray, members: np.ndarray, k: int) -> tuple[int, np.ndarray, np.ndarray]:
-        members = members[self.ids[members] != query_id]
+        rows, dims = np.nonzero(self.matrix)
+        values = self.matrix[rows, dims]
+        level = np.floor(np.log2(np.abs(values))).astype(np.int8)
+        by_impact = np.argsort(-level, kind="stable")  # vectors stay in order within a segment
+        self.rows, self.dims, level, values = rows[by_impact].astype(np.int32), dims[by_impact].astype(np.int32), level[by_impact], values[by_impact]
+        self.impact = np.sign(values) * 1.5 * np.exp2(level)
+        self.cuts = np.append(np.flatnonzero(np.diff(level, prepend=np.int8(127))), len(level))
+        # Length of each vector's rest after each segment.
+        left = (self.matrix**2).sum(1)
+        gone = np.zeros(len(left))
+        self.rest = []
+        for k in range(len(self.cuts) - 1):
+            at = slice(self.cuts[k], self.cuts[k + 1])
+            gone += np.bincount(self.rows[at], values[at] ** 2 - (values[at] - self.impact[at]) ** 2, len(left))
+            self.rest.append(np.sqrt(np.maximum(left - gone, 0)))
+
+    def search(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, scores) of the k best of the shard."""
+        n, partial, length = len(self.ids), np.zeros(len(self.ids)), float(np.sqrt((query**2).sum()))
+        members = np.flatnonzero(self.ids != query_id)
+        for step in range(len(self.rest)):
+            if len(members) <= max(4 * k, n // 50):
+                break
+            at = slice(self.cuts[step], self.cuts[step + 1])
+            partial += np.bincount(self.rows[at], self.impact[at] * query[self.dims[at]], n)
+            slack = length * self.rest[step][members] * (1 + 1e-9) + 1e-3
+            low = partial[members] - slack
+            least = np.partition(low, len(low) - k)[len(low) - k]
+            members = members[partial[members] + slack >= least]
         # products below 2^20 squared, over fewer than 2^13 dimensions, are exact in a double
         scores = self.matrix[members] @ query
         best = np.lexsort((self.ids[members], -scores))[:k]
-        return query_id, self.ids[members][best], scores[best].astype(np.int64)
+        return self.ids[members][best], scores[best].astype(np.int64)
 
 
 def exact_search(ids: np.ndarray, rows: list[list[float]], query_ids: np.ndarray, queries: list[list[float]], k: int) -> Iterator[tuple[int, list[int], list[int]]]:
@@ -107,30 +95,77 @@ def exact_search(ids: np.ndarray, rows: list[list[float]], query_ids: np.ndarray
         yield int(q), [i for _, i in scored], [clip(-s) for s, _ in scored]
 
 
-def group_search(queries: pd.DataFrame, shard: pd.DataFrame, k: int) -> pd.DataFrame:
-    if not len(queries) or not len(shard):
-        return pd.DataFrame({"query_id": pd.Series([], dtype="int64"), "vec_id": pd.Series([], dtype="int64"), "score": pd.Series([], dtype="int64")})
-    width = max(max(map(len, shard["v"])), max(map(len, queries["v"])))
-    big = any(len(v) and np.abs(v).max() >= EXACT for t in (queries, shard) for v in t["v"]) or width >= 1 << 13
-    if big:
-        found = exact_search(shard["vec_id"].to_numpy(), list(shard["v"]), queries["vec_id"].to_numpy(), list(queries["v"]), k)
-    else:
-        dense = lambda t: np.array([np.pad(np.asarray(v, float), (0, width - len(v))) for v in t["v"]])
-        found = Index(shard["vec_id"].to_numpy(), dense(shard)).search(queries["vec_id"].to_numpy(), dense(queries), k)
-    parts = [(np.full(len(i), q, np.int64), np.asarray(i, np.int64), np.asarray(s, np.int64)) for q, i, s in found]
-    return pd.DataFrame({c: np.concatenate([p[j] for p in parts] or [np.zeros(0, np.int64)]) for j, c in enumerate(("query_id", "vec_id", "score"))})
-
-
-def top_k(vectors: DataFrame, is_query: F.Column, k: int = 10, shard_rows: int = 8192, block_queries: int = 2048) -> DataFrame:
-    """query_id, rank, vec_id, score: for each distinct query vector row the k highest inner products, ties to the smaller vec_id. is_query picks queries among rows of quantised vectors by vec_id."""
+def vectors_of(column: pa.Array) -> list[np.ndarray]:
+    offsets = column.offsets.to_numpy()
+    values = column.values.to_numpy(zero_copy_only=False)
+    return [values[i:j] for i, j in itertools.pairwise(offsets)]
+
+
+def dense(vectors: list[np.ndarray], width: int) -> np.ndarray:
+    out = np.zeros((len(vectors), width))
+    for row, v in zip(out, vectors, strict=True):
+        row[: len(v)] = v[:width]
+    return out
+
+
+class Shard:
+    """The vectors of one shard as they arrive, and the index made of them when the first query comes."""
+
+    def __init__(self) -> None:
+        self.ids: list[np.ndarray] = []
+        self.vectors: list[np.ndarray] = []
+        self.index: Index | None = None
+
+    def add(self, ids: np.ndarray, vectors: list[np.ndarray]) -> None:
+        self.ids.append(ids)
+        self.vectors += vectors
+
+    def answer(self, query_ids: np.ndarray, queries: list[np.ndarray], k: int) -> Iterator[tuple[int, Sequence[int], Sequence[int]]]:
+        if not self.vectors:
+            return
+        if len(self.ids) > 1 or self.index is None:
+            self.ids = [np.concatenate(self.ids)]
+            self.width = max(map(len, self.vectors))
+            self.large = any(len(v) and np.abs(v).max() >= EXACT for v in self.vectors)
+            self.index = None if self.large else Index(self.ids[0], dense(self.vectors, self.width))
+        large = self.large or self.width >= 1 << 13 or any(len(v) and np.abs(v).max() >= EXACT for v in queries)
+        if large:
+            yield from exact_search(self.ids[0], self.vectors, query_ids, queries, k)
+        else:
+            # What a query has beyond the shard's width meets zeros.
+            for q, v in zip(query_ids.tolist(), dense(queries, self.width), strict=True):
+                yield q, *self.index.search(q, v, k)
+
+
+def search_shards(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """Batches of (shard, asks, vec_id, v) sorted by shard and asks: each shard's vectors, then its queries."""
+    number, shard = None, Shard()
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        numbers, asks, ids = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+        vectors = vectors_of(batch.column(3))
+        edges = np.flatnonzero((np.diff(numbers) != 0) | (np.diff(asks.astype(np.int8)) != 0)) + 1
+        for i, j in itertools.pairwise([0, *edges.tolist(), len(ids)]):
+            if numbers[i] != number:
+                number, shard = numbers[i], Shard()
+            if not asks[i]:
+                shard.add(ids[i:j], [v.copy() for v in vectors[i:j]])
+                continue
+            parts = [(np.full(len(x), q, np.int64), np.asarray(x, np.int64), np.asarray(s, np.int64)) for q, x, s in shard.answer(ids[i:j], vectors[i:j], k)]
+            if parts:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([p[c] for p in parts])) for c in range(3)], ["query_id", "vec_id", "score"])
+
+
+def top_k(vectors: DataFrame, is_query: F.Column, k: int = 10, shard_rows: int = 16_384) -> DataFrame:
+    """query_id, rank, vec_id, score: for each query id the k highest inner products, ties to the smaller vec_id. is_query picks queries among rows of quantised vectors by vec_id."""
     rows = quantised(vectors)
-    queries = rows.where(is_query).dropDuplicates(["vec_id"])
-    counts = rows.agg(F.count("*").alias("n"), F.count_if(is_query).alias("q")).first()
-    shards, blocks = max(1, math.ceil(counts["n"] / shard_rows)), max(1, math.ceil(counts["q"] / block_queries))
-    series = lambda n, name: F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name)
-    dealt = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
-    index = rows.select("vec_id", "v", F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).cast("int").alias("shard"), series(blocks, "block"))
-    asked = queries.select("vec_id", "v", dealt(blocks).alias("block"), series(shards, "shard"))
-    found = asked.groupBy("shard", "block").cogroup(index.groupBy("shard", "block")).applyInPandas(lambda q, s: group_search(q, s, k), SCHEMA)
+    shards = max(1, math.ceil(rows.count() / shard_rows))
+    queries = rows.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
+    # The row's place in its file is hashed too, so that rows that repeat one vector and id are spread over the shards.
+    index = rows.select(F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.lit(shards)).cast("int").alias("shard"), F.lit(False).alias("asks"), "vec_id", "v")
+    asked = queries.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(True).alias("asks"), "vec_id", "v")
+    dealt = index.unionByName(asked).repartition("shard").sortWithinPartitions("shard", "asks")
+    found = dealt.mapInArrow(lambda batches: search_shards(batches, k), SCHEMA)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -127,13 +127,43 @@ def test_top_k_matches_brute_force(spark, shard):
     rows = [(i, [rng.gauss(0, 0.1) for _ in range(16)]) for i in range(230)]
     rows += [(i, rows[5][1]) for i in range(230, 300)]  # many ties
     table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("shard", F.lit(1))
-    got = impact_search.top_k(table, F.col("vec_id") % 100 == 0, 10, shard_rows=shard, block_queries=2)
+    got = impact_search.top_k(table, F.col("vec_id") % 100 == 0, 10, shard_rows=shard)
     import numpy as np
 
     whole = [(i, [int(np.floor(1024 * float(np.float32(c)))) for c in v]) for i, v in rows]
     assert sorted(map(tuple, got.collect())) == brute_top(whole, [0, 100, 200], 10)
 
 
+def test_segments_fall_in_impact_and_stop_on_proof():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    matrix = np.floor(rng.standard_normal((3000, 24)) * 100)
+    index = impact_search.Index(np.arange(3000), matrix)
+    sizes = [set(np.abs(index.impact[index.cuts[k] : index.cuts[k + 1]]).tolist()) for k in range(len(index.cuts) - 1)]
+    assert all(len(s) == 1 for s in sizes) and [max(s) for s in sizes] == sorted((max(s) for s in sizes), reverse=True)
+    assert len(index.rows) == np.count_nonzero(matrix)
+    seen = np.zeros_like(matrix)
+    for k, rest in enumerate(index.rest):
+        at = slice(index.cuts[k], index.cuts[k + 1])
+        seen[index.rows[at], index.dims[at]] = index.impact[at]
+        assert np.allclose(rest, np.sqrt(((matrix - seen) ** 2).sum(1)))
+    for q in range(20):
+        ids, scores = index.search(q, matrix[q], 10)
+        whole = matrix @ matrix[q]
+        want = [j for j in np.lexsort((np.arange(3000), -whole)) if j != q][:10]
+        assert ids.tolist() == want and scores.tolist() == whole[want].tolist()
+
+
+def test_repeated_ids_give_one_result_however_they_are_dealt(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.5, 0.5]), (1, [1.0, 0.0]), (2, [0.0, 1.0]), (2, [1.0, 0.0]), (3, [0.0, 2.0])]
+    want = [(0, 1, 3, 512 * 2048), (0, 2, 1, 512 * 1024), (0, 3, 2, 512 * 1024), (0, 4, 2, 512 * 1024)]
+    for parts in (1, 3, 6):
+        table = spark.createDataFrame(rows[::-1] if parts == 3 else rows, "vec_id long, embedding array<double>").repartition(parts)
+        for shard in (1, 2, 100):
+            assert sorted(map(tuple, impact_search.top_k(table, F.col("vec_id") == 0, 10, shard_rows=shard).collect())) == want
+
+
 def test_top_k_edges(spark):
     big = 3e5
     rows = [(0, [1.0, 2.0]), (100, None), (200, [float("nan"), 1.0]), (300, [None, 1.0]), (1, [big, big]), (2, [1.0]), (3, [float("inf")]), (4, []), (None, [1.0, 1.0]), (5, [-1.0, 0.0])]
