@@ -24,6 +24,9 @@ cloudpickle.register_pickle_by_value(sys.modules["ledgerloom"])
 _SEPARATORS = "\\x20\\x09-\\x0D"
 
 
+# Rows of an Arrow batch that are worked on at a time.
+PART_ROWS = 1000
+
 _own: list[str] = []
 _written: list[str] = []
 
@@ -86,14 +89,16 @@ def texts(column: pa.ChunkedArray | pa.Array) -> list[bytes | None]:
 
 
 def arrow_map(df: DataFrame, f: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch] | pa.RecordBatch | None], schema: str) -> DataFrame:
-    """mapInArrow with a function of one batch."""
+    """mapInArrow with a function of one batch, which is handed on in parts, so that what Python makes of it stays small beside it."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                out = f(batch)
+            for at in range(0, batch.num_rows, PART_ROWS):
+                out = f(batch.slice(at, PART_ROWS))
                 if out is not None:
                     yield out
+            del batch
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(each, schema)
 
