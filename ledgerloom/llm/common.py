@@ -7,6 +7,8 @@ A word is a maximal run of characters other than U+0020 and U+0009 to U+000D, wh
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import shutil
 import sys
 import tempfile
@@ -27,6 +29,9 @@ _SEPARATORS = "\\x20\\x09-\\x0D"
 # Rows of an Arrow batch that are worked on at a time.
 PART_ROWS = 1000
 
+# Rows of narrow tables for which another file is worth a task.
+ROWS_PER_FILE = 200_000
+
 _own: list[str] = []
 _written: list[str] = []
 
@@ -50,10 +55,10 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read again: cuts the lineage and outlives executors."""
+def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """Write to the shared folder and read again: cuts the lineage and outlives executors. rows: how many there are at most, where it is known; few need few files."""
     spark, path = df.sparkSession, fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df if rows is None else df.coalesce(max(1, -(-rows // ROWS_PER_FILE)))).write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
     return out
@@ -88,6 +93,13 @@ def texts(column: pa.ChunkedArray | pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
+def give_back() -> None:
+    """Return memory that Python and Arrow hold unused, as workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def arrow_map(df: DataFrame, f: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch] | pa.RecordBatch | None], schema: str) -> DataFrame:
     """mapInArrow with a function of one batch, which is handed on in parts, so that what Python makes of it stays small beside it."""
 
@@ -98,7 +110,7 @@ def arrow_map(df: DataFrame, f: Callable[[pa.RecordBatch], Iterable[pa.RecordBat
                 if out is not None:
                     yield out
             del batch
-            pa.default_memory_pool().release_unused()
+        give_back()
 
     return df.mapInArrow(each, schema)
 

@@ -18,12 +18,13 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     links = edges.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")).where("a <> b")
     links = stored(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "cc-links")
-    label = stored(links.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("component")), "cc-labels")
+    n = links.count()  # from the files' footers
+    label = stored(links.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("component")), "cc-labels", n)
     while True:
         near = links.join(label, links.b == label.node).groupBy(F.col("a").alias("node")).agg(F.min("component").alias("m"))
         step = label.join(near, "node").select("node", "component", F.least("component", "m").alias("m"))
         jump = label.select(F.col("node").alias("m"), F.col("component").alias("further"))
-        nxt = stored(step.join(jump, "m").select("node", F.least("m", "further").alias("component"), (F.least("m", "further") < F.col("component")).alias("moved")), "cc-labels")
+        nxt = stored(step.join(jump, "m").select("node", F.least("m", "further").alias("component"), (F.least("m", "further") < F.col("component")).alias("moved")), "cc-labels", n)
         drop(label)
         label = nxt.select("node", "component")
         label.stored_at = nxt.stored_at

@@ -29,7 +29,6 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -155,7 +154,7 @@ def verified(pairs: DataFrame, source: DataFrame, names: DataFrame | None, k: in
     """Pairs whose sorted arrays meet the threshold. Arrays are made again from source(doc_id, text) for the sets in question only. names: (key, doc_id, set) where ids repeat; else a set has the name of its document."""
     pairs = stored(pairs, "nj-pairs")
     hashes = Hashes()
-    asked = stored(pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct(), "nj-asked")
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct()
 
     def arrays(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [shingle_array(t or b"", k, hashes).tobytes() for t in texts(batch.column(1))]
@@ -203,24 +202,29 @@ def tiled_pairs(rows: DataFrame, sets: DataFrame, num: int, den: int, tile: int,
     asks = F.when(F.col("asking"), F.flatten(F.transform("around", lambda o: F.transform(each(o["tiles"]), lambda t: place(True, o["of"], t, F.col("band"), F.col("block")))))).otherwise(F.array().cast("array<struct<asks:boolean,tile_band:int,tile:int,block_band:int,block:int>>"))
     both = here.join(sets.select("set", "bits"), "set").select("grp", "set", "n", "component", "bits", F.inline(F.concat(answers, asks)))
 
-    def f(pdf: pd.DataFrame) -> pd.DataFrame:
-        ask, there = pdf[pdf["asks"]], pdf[~pdf["asks"]]
-        out = []
-        if len(ask) and len(there):
-            size = min(map(len, pdf["bits"]))
-            bits = np.array([folded(b, size) for b in there["bits"]])
-            n, comp, ids = (there[c].to_numpy() for c in ("n", "component", "set"))
-            for s, m, c, b in zip(ask["set"], ask["n"], ask["component"], ask["bits"], strict=True):
-                near = np.flatnonzero((comp != c) & (np.minimum(n, m) * den >= np.maximum(n, m) * num))
+    def f(group: pa.Table) -> pa.Table:
+        asks = group.column("asks").to_numpy(zero_copy_only=False)
+        number = lambda c: group.column(c).to_numpy()
+        maps, sets_, sizes, parts = group.column("bits").to_pylist(), number("set"), number("n"), number("component")
+        there, out = np.flatnonzero(~asks), []
+        if len(there) and len(there) < len(asks):
+            width = min(map(len, maps))
+            bits = np.array([folded(maps[i], width) for i in there])
+            n, comp, ids = sizes[there], parts[there], sets_[there]
+            for i in np.flatnonzero(asks):
+                s, m = sets_[i], sizes[i]
+                near = np.flatnonzero((comp != parts[i]) & (np.minimum(n, m) * den >= np.maximum(n, m) * num))
                 if len(near):
-                    bound = overlap_bound(m, folded(b, size)[None, :], n[near], bits[near])
+                    bound = overlap_bound(m, folded(maps[i], width)[None, :], n[near], bits[near])
                     good = np.flatnonzero(links(m, n[near], bound, num, den))
                     if most is not None and len(good) > most:
                         good = good[np.argsort(-bound[good] / (m + n[near][good] - bound[good]), kind="stable")[:most]]
-                    out += [(min(s, x), max(s, x)) for x in ids[near[good]]]
-        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+                    x = ids[near[good]]
+                    out.append(np.array([np.minimum(s, x), np.maximum(s, x)]))
+        pairs = np.concatenate([np.zeros((2, 0), np.int64), *out], axis=1)
+        return pa.table({"a": pairs[0], "b": pairs[1]})
 
-    return both.groupBy("grp", "tile_band", "tile", "block_band", "block").applyInPandas(f, "a long, b long")
+    return both.groupBy("grp", "tile_band", "tile", "block_band", "block").applyInArrow(f, "a long, b long")
 
 
 def open_pairs(members: DataFrame, label: DataFrame, sets: DataFrame, num: int, den: int, small: int, tile: int, most: int | None) -> DataFrame:
