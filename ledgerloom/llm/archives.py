@@ -7,7 +7,8 @@ same archive), the timestamp in ISO form, response for HTTP messages and resourc
 and payload. A payload that was archived before becomes a revisit, which keeps the HTTP header and drops the payload.
 
 Files are written by Spark's text writer with the record separator of WARC as its line separator: executors need no shared
-file system of their own and a task that is tried again leaves no double. A file holds ``records_per_file`` records at most.
+file system of their own and a task that is tried again leaves no double. Files hold about ``bytes_per_file`` bytes, and a reader holds one of them.
+Readers take gzip files of any number of members; ``read_arc`` gives a legacy file's records as a table.
 
 Pages: null or empty html is an empty payload; a null url is written as an empty target and read back so; a null page_id is written
 as '-' and read back as null, and never is the page that others revisit. Repeated rows are one record
@@ -107,7 +108,7 @@ def record_id(*parts: str) -> str:
 
 
 def iso_date(date: str) -> str:
-    d = date.ljust(14, "0")
+    d = date + "00000101000000"[len(date) :]
     return f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z"
 
 
@@ -182,9 +183,11 @@ def first_holders(pages: DataFrame) -> DataFrame:
     return rows.join(held, "_wa_digest", "left").select("page_id", "url", "html", F.when(F.octet_length("html") >= LEAST_REVISIT, F.col("_wa_first")).alias("_wa_first"))
 
 
-def write_pages(pages: DataFrame, path: str, records_per_file: int = 2000) -> None:
-    """Pages as ARC records, converted and written as WARC files under path."""
+def write_pages(pages: DataFrame, path: str, bytes_per_file: int = 16 << 20) -> None:
+    """Pages as ARC records, converted and written as WARC files under path, of about so many bytes each: as many records as that holds of their mean size."""
     rows = first_holders(pages)
+    mean = pages.agg(F.avg(F.octet_length("html"))).first()[0] or 0
+    records_per_file = max(1, min(10_000, int(bytes_per_file / (mean + 1024))))
 
     def f(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
@@ -202,6 +205,32 @@ def write_pages(pages: DataFrame, path: str, records_per_file: int = 2000) -> No
     text.write.option("lineSep", SEPARATOR).option("compression", "gzip").option("maxRecordsPerFile", records_per_file).text(path)
 
 
+def inflated(content: bytes) -> bytes:
+    """What gzip members hold, however many there are (archives often have one a record); other bytes as they are."""
+    out = []
+    while content[:2] == b"\x1f\x8b":
+        member = zlib.decompressobj(31)
+        out.append(member.decompress(content))
+        if not member.eof:
+            raise ArchiveError("a gzip member is cut off")
+        content = member.unused_data
+    return b"".join(out) if out else content
+
+
+def read_arc(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """One row a record of legacy files, plain or gzip, whole or a member a record, as its equivalent: record_id, record_type, date, url, ip, content_type, payload_digest, block_digest, block."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path).select("content")
+    names = ("WARC-Record-ID", "WARC-Type", "WARC-Date", "WARC-Target-URI", "WARC-IP-Address", "Content-Type", "WARC-Payload-Digest", "WARC-Block-Digest")
+    columns = ["record_id", "record_type", "date", "url", "ip", "content_type", "payload_digest", "block_digest", "block"]
+
+    def f(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [to_warc(r) for content in batch.column(0) for r in parse_arc(inflated(content.as_py()))]
+        values = [pa.array([r.fields[n] for r in found], pa.string()) for n in names]
+        return pa.RecordBatch.from_arrays([*values, pa.array([r.body for r in found], pa.binary())], columns)
+
+    return arrow_map(files, f, ", ".join(f"{c} string" for c in columns[:-1]) + ", block binary")
+
+
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """One row a record: page_id, record_id, record_type, payload_bytes, payload_digest, refers_to, refers_page, url."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(path).select("content")
@@ -209,8 +238,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     def f(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
         for content in batch.column(0):
-            data = zlib.decompress(content.as_py(), 31)
-            for r in parse_warc(data):
+            for r in parse_warc(inflated(content.as_py())):
                 http = split_http(r.body)
                 length = len(http[1]) if http and r.kind != "revisit" else 0
                 if r.kind == "revisit":

@@ -1,3 +1,4 @@
+import gzip
 import hashlib
 import os
 
@@ -20,6 +21,25 @@ def test_arc_versions_and_lengths():
         assert [(r.kind, r.body) for r in archives.parse_warc(data)] == [("response", body), ("resource", b"")]
 
 
+def test_legacy_files_as_a_table(spark, tmp_path):
+    """Plain, as one gzip member, and with a member for each record."""
+    records = [archives.page_arc(str(i), f"http://a/{i}", b"<p>%d</p>" % i * 40) for i in range(5)] + [archives.Record({"url": "dns:a", "ip": "0.0.0.0", "date": "2001", "type": "text/dns"}, b"")]
+    whole = archives.arc_bytes(records, 2)
+    head, _, _ = whole.partition(b"http://a/0")
+    members, rest = [gzip.compress(head)], whole[len(head) :]
+    for r in records:
+        at = rest.index(r.body, rest.index(b"\n") + 1) + len(r.body) + 1
+        members.append(gzip.compress(rest[:at]))
+        rest = rest[at:]
+    for name, data in (("a.arc", whole), ("b.arc.gz", gzip.compress(whole)), ("c.arc.gz", b"".join(members))):
+        (tmp_path / name).write_bytes(data)
+        rows = {r["url"]: r for r in archives.read_arc(spark, str(tmp_path), name).collect()}
+        assert len(rows) == 6 and rows["dns:a"]["record_type"] == "resource" and rows["dns:a"]["date"] == "2001-01-01T00:00:00Z"
+        assert rows["http://a/3"]["record_type"] == "response" and rows["http://a/3"]["payload_digest"] == "sha256:" + hashlib.sha256(b"<p>3</p>" * 40).hexdigest()
+    with pytest.raises(archives.ArchiveError):
+        archives.inflated(gzip.compress(whole)[:-20])
+
+
 @pytest.mark.parametrize("data", [b"http://a 1 2 t 9\nabc\n", b"http://a 1\n", b"no end", b"filedesc://x 0 0 t 4\n7 0 \nhttp://a 1 2 t 0\n\n"])
 def test_broken_archives(data):
     with pytest.raises(archives.ArchiveError):
