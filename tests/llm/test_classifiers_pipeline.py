@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from ledgerloom.llm import toxicity, weak_quality
+from ledgerloom.llm import common, toxicity, weak_quality
 from ledgerloom.llm.linear import Rows, fit, sigmoid
 
 RNG = random.Random(11)
@@ -140,3 +140,23 @@ def test_pipeline_stage_by_stage(spark, folder):
 def test_pipeline_runs_whole(spark, folder):
     out = corpus_pipeline.run(spark, folder[0])
     assert out.count() > 0 and "ids" in out.columns
+
+
+def test_pipeline_on_odd_rows(spark, tmp_path):
+    """Null, blank and very long texts, repeated rows and ids, null ids, clashing columns, and an empty table."""
+    good = [prose(70) + "\n" + prose(60) for _ in range(30)]
+    long = "\n".join(prose(40) for _ in range(300))
+    rows = [(i, t, "en", f"src{i % 3}", len(t), "x", 1) for i, t in enumerate(good)]
+    rows += [(100, None, "en", "src0", None, "x", 1), (101, "", None, None, 0, "x", 1), (102, " \n\t", "en", "src1", 3, "x", 1), (103, long, "en", "src1", len(long), "x", 1), (None, good[3] + "\n" + prose(50), "en", "src2", 1, "x", 1)]
+    rows += [(0, good[0], "en", "src0", len(good[0]), "y", 2), (104, good[5], "de", "src9", len(good[5]), "y", 2), (5, good[6], "en", "src0", len(good[6]), "y", 2)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, _ld_key string, _mix_cut int"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    docs, kept = spark.read.parquet(f"{tmp_path}/documents.parquet"), []
+    for name, stage in corpus_pipeline.STAGES:
+        docs = common.stored(stage(spark, docs, str(tmp_path)), "stage")
+        kept.append([r["doc_id"] for r in docs.collect()])
+        assert name == "SentencePiece encoding" or docs.columns == list(corpus_pipeline.COLUMNS)
+    assert not {100, 101, 102} & set(kept[0]) and {103, None, *range(30)} <= set(kept[0])
+    assert 104 not in kept[1] and kept[2].count(0) == 2 and kept[2].count(None) == 1 and set(range(30)) - {5, 6} <= set(kept[2])
+    spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
