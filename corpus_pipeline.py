@@ -1,7 +1,9 @@
 """From raw documents to token ids in five stages, each written as Parquet and read again by the next.
 
 Every stage works on all that its predecessor kept. All but the last return the columns of documents: doc_id, text, lang, source, n_chars.
-Documents without an id pass the filters as they are; a document whose lines were all deleted is dropped.
+Documents without an id pass the line and copy filters as they are; a document whose lines were all deleted is dropped. Null, empty and blank texts are rejected by the first stage. Very long texts are read
+whole by every stage. Rows that repeat id and text are one document: they stay or go together, and all of them stay where that document does. Of an id with several texts all rows stay or go with the group that
+any of them belongs to. Columns beyond those of documents are dropped; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -68,7 +70,7 @@ STAGES = [
     ("mixing sources", mix_sources),
     ("SentencePiece encoding", to_pieces),
 ]
-#: The classifier is trained and pieces are searched, which SQL cannot express; tests compare each stage with brute force.
+#: The classifier is trained and pieces are searched, which SQL cannot express. Tests hold each operator against brute force, and the stages against what they must keep and drop.
 ORACLE_SQL = None
 
 
