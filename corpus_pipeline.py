@@ -70,7 +70,7 @@ STAGES = [
     ("mixing sources", mix_sources),
     ("SentencePiece encoding", to_pieces),
 ]
-#: The classifier is trained and pieces are searched, which SQL cannot express. Tests hold each operator against brute force, and the stages against what they must keep and drop.
+#: The classifier is trained and pieces are searched, which SQL cannot express. Tests hold every stage against brute force over what its predecessor kept.
 ORACLE_SQL = None
 
 
