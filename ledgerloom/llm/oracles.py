@@ -102,4 +102,76 @@ SELECT doc_id, coalesce(n_email, 0)::BIGINT AS n_email, coalesce(n_ip, 0)::BIGIN
 FROM d LEFT JOIN j ON j.r = d.r"""
 
 
-ORACLE_SQL = {"op3_topk": OP3, "op5_warc": OP5, "op7_quality_rules": OP7, "op8_ngram_jaccard": OP8, "quality_rules_ablations": ABLATIONS, "pii_base_spans": op9_base()}
+def crc32(s: str) -> str:
+    """The unsigned CRC-32 of a string's UTF-8, bit by bit."""
+    byte = f"('0x' || substr(hex(encode({s})), 2 * k + 1, 2))::BIGINT"
+    return f"xor(4294967295, list_reduce(list_transform(range(octet_length(encode({s}))), lambda k: {byte}), lambda a, b: list_reduce(range(8), lambda c, i: xor(c >> 1, 3988292384 * (c & 1)), xor(a, b)), 4294967295::BIGINT))"
+
+
+OP11 = rf"""
+WITH RECURSIVE r AS (SELECT coalesce(doc_id::VARCHAR, '') AS id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]+')), '{_UPPER}', '{_LOWER}') AS run FROM documents),
+h AS (SELECT run, n, {crc32("id || ':' || run")} AS h FROM (SELECT id, run, count(*) AS n FROM r GROUP BY ALL)),
+e AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::INTEGER) || substr(run, (h % length(run))::INTEGER + 2) ELSE run END AS word, n FROM h),
+w AS (SELECT word, sum(n)::BIGINT AS n FROM e WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+lost AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM w)),
+pairs AS (
+  SELECT a.word AS a, b.word AS b FROM lost a JOIN lost b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT w.word, lost.word FROM w JOIN lost ON lost.rest = w.word
+  UNION SELECT lost.word, w.word FROM w JOIN lost ON lost.rest = w.word),
+near AS (SELECT a AS word, count(*) AS n_near, first(b ORDER BY w.n DESC, b) AS best, max(w.n) AS best_n FROM pairs JOIN w ON w.word = b GROUP BY a),
+f AS (SELECT w.word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN best_n >= 2 * n THEN best END AS form, CASE WHEN best_n >= 2 * n THEN best_n END AS form_n FROM w LEFT JOIN near ON near.word = w.word),
+chain(word, top, step) AS (SELECT word, word, 0 FROM f UNION ALL SELECT chain.word, f.form, step + 1 FROM chain JOIN f ON f.word = chain.top WHERE f.form IS NOT NULL)
+SELECT f.word, form, root, n, n_near, form_n FROM f JOIN (SELECT word, arg_max(top, step) AS root FROM chain GROUP BY word) c ON c.word = f.word
+"""
+
+_S = r"\x20\x09-\x0D"
+
+
+def _after(state: int, *ways: tuple[str, str, str]) -> str:
+    """The best way to a state: of (way so far, cost to add, letter), where a way is its cost in twelve digits and then its edits."""
+    return "least(" + ", ".join(f"CASE WHEN {way} IS NOT NULL AND {add} IS NOT NULL THEN printf('%012d', substr({way}, 1, 12)::BIGINT + {add}) || substr({way}, 13) || '{letter}' END" if letter else way for way, add, letter in ways) + f") AS w{state}"
+
+
+def op12() -> str:
+    """Row by row: the cheapest way to each of the four states, first without and then with turns inserted after the row."""
+    keep = lambda role: f"CASE WHEN NOT gone AND initial = '{role}' THEN cut END"
+    change = "CASE WHEN NOT gone THEN 1 + cut END"
+    step = ", ".join((
+        _after(0, ("w0", "2", "D")),
+        _after(1, ("w1", "2", "D"), ("w0", keep("s"), "K")),
+        _after(2, ("w2", "2", "D"), *((f"w{i}", keep("u"), "K") for i in (0, 1, 3)), *((f"w{i}", change, "R") for i in (0, 1, 3))),
+        _after(3, ("w3", "2", "D"), ("w2", keep("a"), "K"), ("w2", change, "R"))))
+    insert = ", ".join(("w0", "w1", _after(2, ("w2", "0", ""), *((f"w{i}", "5", "I") for i in (0, 1, 3))), _after(3, ("w3", "0", ""), ("w2", "5", "I"))))
+    zero = "'000000000000'"
+    return rf"""
+WITH RECURSIVE o AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS c FROM conversations),
+d AS (SELECT conv_id, turn, CASE WHEN c = 4 THEN 'user' ELSE role END AS role, CASE c WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE WHEN c = 3 THEN 2 ELSE 1 END)) FROM o WHERE c <> 0),
+k AS (SELECT *, coalesce(conv_id::VARCHAR, '') AS id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i, left(role, 1) AS initial FROM d),
+f AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^{_S}]') THEN 'blank' WHEN i > min(i) OVER (PARTITION BY conv_id, role, text) THEN 'duplicate' WHEN NOT regexp_matches(text, '[.!?][{_S}]*$') THEN 'truncated' ELSE '' END AS fault, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair FROM k),
+g AS (SELECT *, fault IN ('blank', 'duplicate') AS gone, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS cut FROM f),
+start AS (SELECT id, 0 AS i, {zero} AS w0, NULL::VARCHAR AS w1, NULL::VARCHAR AS w2, NULL::VARCHAR AS w3 FROM (SELECT DISTINCT id FROM g)),
+way(id, i, w0, w1, w2, w3) AS (
+  SELECT id, i, {insert} FROM (SELECT id, i, {insert} FROM start)
+  UNION ALL SELECT id, i, {insert} FROM (SELECT id, i, {insert} FROM (SELECT way.id, g.i, {step} FROM way JOIN g ON g.id = way.id AND g.i = way.i + 1))),
+best AS (SELECT id, least(arg_max(w0, i), arg_max(w3, i)) AS w FROM (SELECT id, i, coalesce(w0, 'x') AS w0, coalesce(w3, 'x') AS w3 FROM way) GROUP BY id),
+a AS (SELECT id, substr(w, 1, 12)::BIGINT AS cost, substr(w, 13) AS audit FROM best),
+l AS (SELECT *, sum(CASE WHEN letter <> 'I' THEN 1 ELSE 0 END) OVER (PARTITION BY id ORDER BY j) AS i FROM (SELECT id, unnest(string_split(audit, '')) AS letter, unnest(range(length(audit))) AS j FROM a)),
+p AS (SELECT l.id, j, letter, g.role, coalesce(g.text, '') AS text, coalesce(g.initial, '') AS initial, row_number() OVER (PARTITION BY l.id ORDER BY j) AS place FROM l LEFT JOIN g ON g.id = l.id AND g.i = l.i AND letter <> 'I' WHERE letter <> 'D'),
+q AS (SELECT *, coalesce(first(CASE WHEN letter = 'K' AND initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY id ORDER BY place), 0) AS s FROM p),
+x AS (SELECT id, sha256(string_agg(CASE WHEN letter = 'K' THEN role WHEN (place - s) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY place)) AS h FROM q GROUP BY id),
+n AS (SELECT id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+  count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM g GROUP BY id)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+  coalesce(audit, '') AS audit, coalesce(h, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, coalesce(conv_id::VARCHAR, '') AS id FROM conversations) c LEFT JOIN n USING (id) LEFT JOIN a USING (id) LEFT JOIN x USING (id)
+"""
+
+
+OP13 = rf"""
+WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS points, sha256(regexp_replace(coalesce(text, ''), '[{_S}]', '', 'g')) AS text_sha256 FROM documents),
+r AS (SELECT *, count(*) OVER (PARTITION BY text_sha256) AS group_size, row_number() OVER o AS place, first(doc_id) OVER o AS keep_id FROM d WINDOW o AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id NULLS LAST))
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM r
+"""
+
+
+ORACLE_SQL = {"op3_topk": OP3, "op5_warc": OP5, "op7_quality_rules": OP7, "op8_ngram_jaccard": OP8, "quality_rules_ablations": ABLATIONS, "pii_base_spans": op9_base(), "op11_spelling_variants": OP11, "op12_conversation_repair": op12(), "op13_exact_dedup": OP13}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerloom.llm import archives, impact_search, jaccard, line_dedup, mixing, pieces, pii, rule_ledger, toxicity, weak_quality
+from ledgerloom.llm import archives, conversations, exact_dedup, impact_search, jaccard, line_dedup, mixing, pieces, pii, rule_ledger, spelling, toxicity, weak_quality
 from ledgerloom.llm.common import stored, table, word_count
 from ledgerloom.llm.oracles import ORACLE_SQL
 
@@ -69,8 +69,22 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_quality.score(docs, weak_quality.train(docs))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(table(spark, sf_dir, "documents"), spelling.one_letter_lost))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.audits(conversations.damaged(rows), rows)
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = exact_dedup.exact_groups(table(spark, sf_dir, "documents"), digest_all=True)
+    return rows.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_toxicity, op2_line_dedup, op3_topk, op4_sentencepiece, op5_warc, op6_mixing, op7_quality_rules, op8_ngram_jaccard, op9_pii, op10_quality_classifier, quality_rules_ablations, pii_base_spans)}
+    op1_toxicity, op2_line_dedup, op3_topk, op4_sentencepiece, op5_warc, op6_mixing, op7_quality_rules, op8_ngram_jaccard, op9_pii, op10_quality_classifier, op11_spelling_variants, op12_conversation_repair, op13_exact_dedup, quality_rules_ablations, pii_base_spans)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
