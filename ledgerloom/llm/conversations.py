@@ -2,7 +2,7 @@
 
 Rows of a conversation are ordered by turn (nulls first), then role, then the hash of the text. A row's first fault counts: blank (nothing but ``[\\x20\\x09-\\x0D]``), duplicate (role and text
 seen earlier in the conversation), truncated (its last other character is none of ``.!?``). Edits: K keeps a row for 0, R gives it the role user or assistant for 1, D deletes it for 2 (which blank and duplicate rows
-must be), I inserts an empty turn of user or assistant for 5; a truncated row that is not deleted adds 5. Only the first letter of a role counts, so a role may be kept wherever its letter fits.
+must be), I inserts an empty turn of user or assistant for 5; a truncated row that is not deleted adds 5. Only the first letter of a role counts, so a role may be kept wherever its letter fits; an empty one fits nowhere.
 
 1. Rows without their texts are sorted by range, so that one conversation may lie in many tasks, and stored with their position. The first position of each role and text tells duplicates.
 2. A conversation is cut where its rows leave a block of ``PIECE`` positions. A piece's signature has a letter for each row: x (must go), s, u, a, o (any other role), upper case where truncated.
