@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructType
 
 from ledgerloom.constants import CUSTOMER_ROLES, FIRST_PARTNER, PARTNER_GROUPING, PRODUCT_TYPES, UOM_ISO, VENDOR_ROLES
 from ledgerloom.functions import flag, lookup, strip_zeros
@@ -39,21 +40,38 @@ def entities(records: DataFrame, group: list[Column], order: Column, first: dict
     return rows.groupBy(*names).agg(F.min("_order").alias("_first"), *(F.min_by(f"_f_{n}", "_order").alias(n) for n in first), *(in_order(n).alias(n) for n in lists), *(sets_of(n).alias(n) for n in sets))
 
 
-def numbered(rows: DataFrame, order: str, start: int, name: str, parts: int | None = None, held: list[DataFrame] | None = None) -> DataFrame:
-    """Consecutive numbers in the order of a column, without one task for all rows.
+def literal(value: object, kind: DataType) -> Column:
+    """A collected value as a constant of its type."""
+    if isinstance(kind, StructType):
+        return F.struct(*(literal(None if value is None else value[f.name], f.dataType).alias(f.name) for f in kind.fields))
+    return F.lit(value).cast(kind)
 
-    Rows are dealt into ranges of the order; each range is numbered by itself and moved by the rows before it, of which there is one count a range. The ranges are
-    persisted, as both sides must see the same ones; they are added to ``held`` for the caller to let go of.
+
+def _rank(key: Column, bounds: list[Column]) -> Column:
+    """How many of the sorted bounds lie below the key: first among every so many of them, then among those between."""
+    if not bounds:
+        return F.lit(0)
+    width = max(1, round(len(bounds) ** 0.5))
+    groups = [bounds[i : i + width] for i in range(0, len(bounds), width)]
+    below = lambda some: F.size(F.filter(some, lambda b: b < key))
+    coarse = below(F.array(*(g[-1] for g in groups)))
+    return coarse * width + F.when(coarse < len(groups), below(F.element_at(F.array(*(F.array(*g) for g in groups)), coarse + 1))).otherwise(len(bounds) - len(groups) * width)
+
+
+def numbered(rows: DataFrame, order: str, start: int, name: str, parts: int | None = None) -> DataFrame:
+    """Consecutive numbers in the order of a column without nulls, without one task for all rows.
+
+    Spark deals the keys alone into ranges once; the largest key and the number of rows of each range come back, ``parts`` rows at most. From then on they are constants of the plan: a row's range follows from its key, and what
+    lies ahead of it from the counts. So a task that runs again, after an executor is lost, gives the numbers that it gave before. Rows of equal keys are numbered in any order.
     """
-    spark = rows.sparkSession
-    n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartitionByRange(n, order).withColumn("_range", F.spark_partition_id())
-    placed = dealt.withColumn("_at", F.row_number().over(Window.partitionBy("_range").orderBy(order))).persist()
-    if held is not None:
-        held.append(placed)
-    counts = placed.groupBy("_range").agg(F.count("*").alias("_n"))
-    ahead = counts.select("_range", F.coalesce(F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_ahead"))
-    return placed.join(F.broadcast(ahead), "_range").withColumn(name, F.col("_at") + F.col("_ahead") + (start - 1)).drop("_range", "_at", "_ahead")  # one row a range
+    n = parts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = rows.select(F.col(order).alias("k")).repartitionByRange(n, "k").groupBy(F.spark_partition_id()).agg(F.max("k").alias("top"), F.count("*").alias("n")).orderBy("top").collect()
+    kind, ahead = rows.schema[order].dataType, [0]
+    for r in ranges:
+        ahead.append(ahead[-1] + r["n"])
+    rows = rows.withColumn("_range", _rank(F.col(order), [literal(r["top"], kind) for r in ranges[:-1]]))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(order))
+    return rows.withColumn(name, place + F.element_at(F.array(*map(F.lit, ahead)), F.col("_range") + 1) + (start - 1)).drop("_range")
 
 
 @dataclass
@@ -62,11 +80,6 @@ class Partners:
 
     partners: DataFrame
     xref: DataFrame
-    held: list[DataFrame] = field(default_factory=list)
-
-    def release(self) -> None:
-        for rows in self.held:
-            rows.unpersist()
 
     def lookup(self) -> DataFrame:
         """(id, bp): one namespace for customers and vendors, in which vendors win."""
@@ -90,14 +103,13 @@ def business_partners(customers: DataFrame, vendors: DataFrame) -> Partners:
     group = [F.col(f"i{n}") for n in range(4)]
     found = entities(both, group, F.col("order"), {c: F.col(c) for c in ("NAME1", "LAND1", "ORT01", "PSTLZ", "STRAS", "STCEG")},
                      {"customers": F.when(F.col("kind") == "KNA1", F.col("id")), "vendors": F.when(F.col("kind") == "LFA1", F.col("id"))}, {"roles": F.col("roles"), "codes": F.array("BUKRS")})
-    held: list[DataFrame] = []
-    done = numbered(found, "_first", FIRST_PARTNER, "_bp", held=held).withColumn("BusinessPartner", F.col("_bp").cast("string"))
+    done = numbered(found, "_first", FIRST_PARTNER, "_bp").withColumn("BusinessPartner", F.col("_bp").cast("string"))
     rows = done.select("BusinessPartner", F.lit(PARTNER_GROUPING).alias("BusinessPartnerGrouping"), F.col("NAME1").alias("BusinessPartnerName"), F.col("LAND1").alias("Country"), F.col("ORT01").alias("CityName"),
                        F.col("PSTLZ").alias("PostalCode"), F.col("STRAS").alias("StreetName"), F.col("STCEG").alias("VATRegistration"), F.array_join("roles", ";").alias("BusinessPartnerRoles"),
                        F.array_join("codes", ";").alias("CompanyCodes"), F.array_join("customers", ";").alias("SourceCustomers"), F.array_join("vendors", ";").alias("SourceVendors"), F.col("_bp").alias("_seq"))
     names = done.select(*(F.col(f"_g{n}").alias(f"i{n}") for n in range(4)), "BusinessPartner")
     xref = both.join(names, [f"i{n}" for n in range(4)]).select(F.col("kind").alias("SourceType"), F.col("id").alias("SourceId"), "BusinessPartner", F.col("order").alias("_order"), F.struct("kind", "id", "order").alias("_seq"))
-    return Partners(rows, xref, held)
+    return Partners(rows, xref)
 
 
 def map_open_items(rows: DataFrame, xref: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -24,19 +25,43 @@ class Rule:
     write_only: bool = False
     in_loop: bool = False
 
-    def evidence(self, text: Column, depth: Column) -> Column:
+    def evidence(self, text: Column, depth: Column, words: Column | None = None) -> Column:
         """The first table, in the rule's order, that a database statement names, else the first pattern's match; null for none.
 
-        The cheap tests come first: the loop, then the kind of statement.
+        words: see ``named``. The cheap tests come first: the loop, the words, then the kind of statement; a pattern is matched only where a word that all its matches hold is there.
         """
-        tables = [F.when(text.rlike(rf"(?i)\b{t}\b"), F.lit(t.upper())) for t in self.tables]
-        matches = [F.nullif(strip(F.regexp_extract(text, f"(?i){p}", 0)), F.lit("")) for p in self.patterns]
+        words = named(text, (self,)) if words is None else words
+        has = lambda w: F.array_contains(words, w.upper())
+        tables = [F.when(has(t), F.lit(t.upper())) for t in self.tables]
+        match = lambda p: F.nullif(strip(F.regexp_extract(text, f"(?i){p}", 0)), F.lit(""))
+        matches = [F.when(has(w), match(p)) if (w := needed_word(p)) else match(p) for p in self.patterns]
         found = F.coalesce(*tables, *matches)
         if self.tables:
-            found = F.when(text.rlike(WRITE_STATEMENT if self.write_only else DB_STATEMENT), found)
+            needs = [*self.tables, *map(needed_word, self.patterns)]
+            some = F.lit(True) if None in needs else F.arrays_overlap(words, F.array(*(F.lit(w.upper()) for w in needs)))
+            found = F.when(some & text.rlike(WRITE_STATEMENT if self.write_only else DB_STATEMENT), found)
         return F.when(depth > 0, found) if self.in_loop else found
 
 
+# In a pattern, a literal that stands between what can only match at the ends of words.
+_WHOLE_WORD = re.compile(r"(?:\\b|\\s\+|\^\\s\*|')([A-Za-z0-9_]{3,})(?=\\b|\\s\+|'|(?:\\s\*)?(?:\\\(|:))")
+
+
+def needed_word(pattern: str) -> str | None:
+    """A word that every match of the pattern holds as a whole word, the longest; None if that cannot be told."""
+    return None if re.search(r"[|?{]", pattern) else max(_WHOLE_WORD.findall(pattern), key=len, default=None)
+
+
+def named(text: Column, rules: Iterable[Rule]) -> Column:
+    """Array of the words of a statement, in upper case, that are tables of rules or that their patterns need. The statement is cut into words once for all rules."""
+    wanted = dict.fromkeys(w.upper() for r in rules for w in (*r.tables, *map(needed_word, r.patterns)) if w)
+    if not wanted:
+        return F.array().cast("array<string>")
+    # Words as the patterns' own word ends see them: letters of any script belong to a word.
+    words = F.transform(F.regexp_extract_all(text, F.lit(r"(?U)\w+"), F.lit(0)), lambda w: F.upper(w))
+    return F.array_intersect(words, F.array(*map(F.lit, wanted)))
+
+
 CATALOGUE = tuple(Rule(*r) for r in RULES)
 BY_ID = {r.id: r for r in CATALOGUE}
 STATEMENT_RULES = tuple(r for r in CATALOGUE if r.id != OBJECT_RULE)
@@ -57,9 +82,10 @@ def rank(severity: Column) -> Column:
 
 
 def findings(statements: DataFrame, rules: Iterable[Rule] = STATEMENT_RULES, key: str = "path") -> DataFrame:
-    """One row a statement and rule that it breaks: key, line, rule_id, evidence, statement. All rules are evaluated in one projection; nothing is joined."""
-    text, depth = F.col("text"), F.col("loop_depth")
-    each = [F.struct(F.lit(r.id).alias("rule_id"), r.evidence(text, depth).alias("evidence")) for r in rules]
+    """One row a statement and rule that it breaks: key, line, rule_id, evidence, statement. All rules are evaluated in one projection over the statement's words; nothing is joined."""
+    text, depth, rules = F.col("text"), F.col("loop_depth"), list(rules)
+    statements = statements.withColumn("_words", named(text, rules))
+    each = [F.struct(F.lit(r.id).alias("rule_id"), r.evidence(text, depth, F.col("_words")).alias("evidence")) for r in rules]
     if not each:
         each = [F.struct(F.lit("").alias("rule_id"), F.lit(None).cast("string").alias("evidence"))]
     hits = F.filter(F.array(*each), lambda x: x["evidence"].isNotNull())

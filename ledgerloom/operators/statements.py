@@ -1,4 +1,4 @@
-"""Source text to logical statements with their loop depth, by windows over each file's lines."""
+"""Source text to logical statements with their loop depth, by windows over blocks of a file's lines and over the blocks' summaries."""
 
 from __future__ import annotations
 
@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from ledgerloom.constants import LOOP_CLOSE, LOOP_OPEN, SELECT_HEAD, SET_BASED
 from ledgerloom.functions import strip
+from ledgerloom.functions.blocks import joined
 
+# Lines of a file that one task puts together.
+BLOCK_LINES = 4096
 
 
 def strip_comment(line: Column) -> Column:
@@ -26,13 +29,15 @@ def effective_lines(lines: DataFrame, key: str = "path") -> DataFrame:
     return lines.groupBy(key).agg(F.count_if((text != "") & ~text.startswith("*")).cast("int").alias("loc"))
 
 
-def statements(lines: DataFrame, key: str = "path") -> DataFrame:
-    """(key, stmt_no, line, text): code lines joined until one ends with a full stop. What is left at the end is a statement too."""
-    code = lines.select(key, "line", strip(strip_comment(F.col("text"))).alias("code")).where("code <> ''")
-    before = Window.partitionBy(key).orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
-    group = F.coalesce(F.sum(F.col("code").endswith(".").cast("int")).over(before), F.lit(0))
-    joined = code.withColumn("stmt_no", group.cast("int")).groupBy(key, "stmt_no").agg(F.min("line").alias("line"), F.array_sort(F.collect_list(F.struct("line", "code"))).alias("all"))
-    return joined.select(key, "stmt_no", "line", F.array_join(F.transform("all", lambda x: x["code"]), " ").alias("text"))
+def _keyed(rows: DataFrame, key: str) -> DataFrame:
+    return rows.withColumn("_k", F.struct(F.col(key).alias(key)))
+
+
+def statements(lines: DataFrame, key: str = "path", block_lines: int = BLOCK_LINES) -> DataFrame:
+    """(key, stmt_no, line, text, _block): code lines joined until one ends with a full stop. What is left at the end is a statement too. _block: of ``block_lines`` lines, where a statement begins."""
+    code = _keyed(lines, key).select("_k", F.floor((F.col("line") - 1) / block_lines).cast("int").alias("_block"), F.col("line").alias("order"), strip(strip_comment(F.col("text"))).alias("text")).where("text <> ''")
+    found = joined(code.withColumn("ends", F.col("text").endswith(".")), " ")
+    return found.select(F.col(f"_k.{key}").alias(key), F.col("no").cast("int").alias("stmt_no"), F.col("order").alias("line"), "text", "_block")
 
 
 def opens_loop(text: Column) -> Column:
@@ -46,10 +51,17 @@ def closes_loop(text: Column) -> Column:
 def with_depth(rows: DataFrame, key: str = "path", order: str = "stmt_no", opens: Column | None = None, closes: Column | None = None) -> DataFrame:
     """Adds loop_depth. A closing statement lowers the depth for itself, never below zero; an opening one raises it for those after it.
 
-    The clamped running sum is the sum less its own minimum so far, so two windows do what a loop over statements would.
+    The clamped running sum is the sum less its own minimum so far. Both are taken inside blocks of a file (those of ``statements``, else of ``BLOCK_LINES`` numbers of the order) and moved by
+    what the blocks before have left, of which there is one row a block: the sum of their steps and its lowest point.
     """
     up, down = (opens_loop(F.col("text")) if opens is None else opens), (closes_loop(F.col("text")) if closes is None else closes)
-    so_far = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    step = F.when(down, -1).when(up, 1).otherwise(0)
-    rows = rows.withColumns({"_up": (up & ~down).cast("int"), "_step": step}).withColumn("_sum", F.sum("_step").over(so_far)).withColumn("_low", F.least(F.lit(0), F.min("_sum").over(so_far)))
-    return rows.withColumn("loop_depth", (F.col("_sum") - F.col("_low") - F.col("_up")).cast("int")).drop("_up", "_step", "_sum", "_low")
+    if "_block" not in rows.columns:
+        rows = rows.withColumn("_block", F.floor(F.col(order) / BLOCK_LINES).cast("int"))
+    so_far = Window.partitionBy("_k", "_block").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = _keyed(rows, key).withColumn("_step", F.when(down, -1).when(up, 1).otherwise(0)).withColumn("_sum", F.sum("_step").over(so_far)).withColumn("_low", F.min("_sum").over(so_far))
+    blocks = rows.groupBy("_k", "_block").agg(F.sum("_step").alias("_total"), F.min("_sum").alias("_least"))
+    earlier = Window.partitionBy("_k").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_base", F.coalesce(F.sum("_total").over(earlier), F.lit(0)))
+    blocks = blocks.select("_k", "_block", "_base", F.least(F.lit(0), F.min(F.col("_base") + F.col("_least")).over(earlier)).alias("_floor"))
+    depth = F.col("_base") + F.col("_sum") - F.least(F.col("_floor"), F.col("_base") + F.col("_low")) - (F.col("_step") == 1).cast("int")
+    return rows.join(blocks, ["_k", "_block"]).withColumn("loop_depth", depth.cast("int")).drop("_k", "_block", "_step", "_sum", "_low", "_base", "_floor")

@@ -1,6 +1,6 @@
 """Extracts, inventories and source texts as DataFrames, each row with an order of its own.
 
-``_seq`` is a struct (file, block, row) that sorts as the file is written. It is an order, not a number: numbering rows would bring
+``_seq`` is a struct (file, block, order) that sorts as the file is written. It is an order, not a number: numbering rows would bring
 all of them into one task.
 """
 
@@ -11,27 +11,71 @@ from pyspark.sql import functions as F
 
 from ledgerloom.constants import LINE_ENDS, WAVE_FILES
 from ledgerloom.functions import strip
+from ledgerloom.functions.blocks import joined, two_states
 
 
 class ExtractError(Exception):
     """An extract is missing or cannot be read."""
 
 
-def order_column() -> Column:
-    return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
-
-
 def exists(spark: SparkSession, path: str) -> bool:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
-def read_csv(spark: SparkSession, path: str, quoted_newlines: bool = False) -> DataFrame:
-    """All columns as stripped strings, missing values as '', and _seq. Files stay splittable unless fields may hold line ends."""
+# A field of a record: quoted, with doubled quotes inside and whatever follows up to the comma, or plain, or empty. Groups are possessive, so the matcher neither recurses nor goes back.
+_QUOTED = r'"[^"]*+(?:""[^"]*+)*+"[^,]*+'
+_FIELD = rf'(?:{_QUOTED}|[^",][^,]*+|)'
+_CLOSED = rf"^{_FIELD}(?:,{_FIELD})*+\z"
+_CLOSES = rf'^[^"]*+(?:""[^"]*+)*+"[^,]*+(?:,{_FIELD})*+\z'
+_EACH = rf',({_QUOTED}|"[^"]*+(?:""[^"]*+)*+\z|[^",][^,]*+|)'
+
+
+def _raw_lines(spark: SparkSession, path: str) -> DataFrame:
+    """_k (file), _block (where the split begins), order, text with its end: CR LF, LF or a CR by itself; the last line of a file gets an LF if it has no end."""
+    rows = spark.read.option("lineSep", "\n").text(path).select(F.struct(F.col("_metadata.file_path").alias("file")).alias("_k"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("row"), "value")
+    return rows.select("_k", "_block", "row", F.posexplode(F.split(F.concat("value", F.lit("\n")), r"(?<=\r)(?!\n)")).alias("part", "text")).select("_k", "_block", F.struct("row", "part").alias("order"), "text")
+
+
+def _records(lines: DataFrame) -> DataFrame:
+    """The same columns: lines put together where a quoted field holds their ends."""
+    lines = two_states(lines, ~F.col("text").rlike(_CLOSED), ~F.col("text").rlike(_CLOSES))
+    ends = F.when(F.col("_state") == 0, F.col("text").rlike(_CLOSED)).otherwise(F.col("text").rlike(_CLOSES))
+    return joined(lines.withColumn("ends", ends), "").select("_k", "_block", "order", "text")
+
+
+def _fields(text: Column) -> Column:
+    """The values of a record."""
+    bare = F.regexp_replace(text, r"(?:\r\n|\n|\r)\z", "")
+    inner = lambda f, i: F.regexp_extract(f, r'^"([^"]*+(?:""[^"]*+)*+)"?+([^,]*+)\z', i)
+    value = lambda f: F.when(f.startswith('"'), F.concat(F.replace(inner(f, 1), F.lit('""'), F.lit('"')), inner(f, 2))).otherwise(f)
+    return F.transform(F.regexp_extract_all(F.concat(F.lit(","), bare), F.lit(_EACH), F.lit(1)), value)
+
+
+def read_csv(spark: SparkSession, path: str) -> DataFrame:
+    """All columns as stripped strings, missing values as '', and _seq. The first record of each file is its header, as of the first file; empty lines are no records.
+
+    Files stay splittable whatever their fields hold. A line leaves a quoted field open or not, depending on how it was met; if no line that is met closed leaves one open, every line is a record and nothing is shuffled. Else
+    the state before each line is found by a scan over splits and their summaries (``blocks.two_states``), and lines of a record are joined.
+    """
     if not exists(spark, path):
         raise ExtractError(f"extract not found: {path}")
-    raw = spark.read.csv(path, header=True, escape='"', multiLine=quoted_newlines, encoding="UTF-8", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-    return raw.select(*(F.coalesce(strip(F.col(f"`{c}`")), F.lit("")).alias(c) for c in raw.columns), order_column().alias("_seq"))
+    lines = _raw_lines(spark, path)
+    head = lines.where("_block = 0").select("text").first()
+    if head is None:
+        raise ExtractError(f"extract without a header: {path}")
+    same = F.col("text") == F.lit(head["text"])
+    seen = lines.agg(F.count_if(~F.col("text").rlike(_CLOSED)).alias("open"), F.count_if(same).alias("heads"), F.count_distinct("_k").alias("files"), F.count_if(same & (F.col("_block") == 0)).alias("first")).first()
+    if not seen["open"] and seen["heads"] == seen["first"] == seen["files"]:
+        records, names = lines.where(~same), spark.range(1).select(_fields(F.lit(head["text"])).alias("x")).first()["x"]
+    else:
+        records = _records(lines)
+        place = F.struct("_block", "order")
+        heads = records.groupBy("_k").agg(F.min(place).alias("_head"), F.min_by("text", place).alias("_text"))
+        names = heads.orderBy("_k").select(_fields(F.col("_text")).alias("x")).first()["x"]
+        records = records.join(F.broadcast(heads.select("_k", "_head")), "_k").where(place > F.col("_head"))  # one row a file
+    records = records.where(~F.col("text").isin("\n", "\r\n", "\r")).select(_fields(F.col("text")).alias("x"), F.struct("_k.file", F.col("_block").alias("block"), "order").alias("_seq"))
+    return records.select(*(F.coalesce(strip(F.get("x", F.lit(i))), F.lit("")).alias(c) for i, c in enumerate(names) if c not in names[i + 1 :]), "_seq")
 
 
 def extract_wave(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
