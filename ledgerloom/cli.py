@@ -11,7 +11,7 @@ from ledgerloom.constants import SEVERITIES
 from ledgerloom.operators import backlog, rules
 from ledgerloom.plans import migration, render, scan
 from ledgerloom.sources import ExtractError, exists, read_inventory
-from ledgerloom.sources.sinks import write_text
+from ledgerloom.sources.sinks import Section, texts_of, write_sections
 
 
 # Names of commands and options, and where inputs and outputs lie by default.
@@ -55,7 +55,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     try:
         return _migrate(args, spark) if args.command == "run" else _scan(args, spark)
     except ExtractError as e:
-        print(f"error: {e}", file=sys.stderr)
+        print(e, file=sys.stderr)
         return 2
 
 
@@ -65,13 +65,25 @@ def _migrate(args: argparse.Namespace, spark: SparkSession) -> int:
     counts, checks = wave.counts(), [r.asDict() for r in wave.checks.orderBy("seq").collect()]  # one row a check
     if args.format == "summary":
         merged = wave.partners.merged_count().first()["merged"]
-        held_back = [r.asDict() for c in wave.cleansed.values() for r in c.issues.where("action = 'reject'").orderBy("_stage", "_at", "_pos").limit(render.HELD_BACK).collect()]
-        print(render.migration_summary(wave.name, counts, checks, wave.loads["business_partners"].count(), merged, held_back, out))
+        rejects = [c.issues.where("action = 'reject'") for c in wave.cleansed.values()]
+        _say(render.migration_summary(wave.name, counts, checks, wave.loads["business_partners"].count(), merged, rejects, out), end="")
     else:
         print({"json": render.reconciliation_json, "markdown": render.reconciliation_markdown}[args.format](wave.name, counts, checks))
     wave.release()
     rejected = sum(c["rejected"] for c in counts)
-    return 1 if not all(c["passed"] for c in checks) or args.fail_on_reject and rejected else 0
+    if not all(c["passed"] for c in checks):
+        return 1
+    if args.fail_on_reject and rejected:
+        print(f"{rejected} records held back from the load", file=sys.stderr)
+        return 1
+    return 0
+
+
+def _say(sections: list[Section], end: str = "\n") -> None:
+    """Print a report as it comes."""
+    for text in texts_of(sections):
+        print(text, end="")
+    print(end=end)
 
 
 def _scan(args: argparse.Namespace, spark: SparkSession) -> int:
@@ -80,16 +92,20 @@ def _scan(args: argparse.Namespace, spark: SparkSession) -> int:
         raise ExtractError(f"inventory not found: {args.inventory}")
     tests = args.test_root or [r for r in TEST_ROOTS if exists(spark, r)] or None
     found = scan.scan_paths(spark, args.paths, inventory, tests, include=args.rule, exclude=args.exclude_rule)
-    found = found.wave(args.wave) if args.wave else found
-    data = render.backlog_data(found)
-    text = {"summary": render.summary, "json": render.backlog_json, "markdown": render.backlog_markdown}[args.format](data)
+    found = (found.wave(args.wave) if args.wave else found).held()
+    report = render.Backlog(found)
+    sections = {"summary": report.summary, "json": report.json, "markdown": report.markdown}[args.format]()
     if args.out:
-        write_text(spark, args.out, text)
+        write_sections(spark, args.out, sections)
         print(f"report written to {args.out}")
     else:
-        print(text)
+        _say(sections)
     gate = bool(args.fail_on) and backlog.reaches(found.outstanding_findings(), args.fail_on).first()["found"]
-    return 1 if gate else 0
+    found.release()
+    if gate:
+        print(f"findings at or above severity '{args.fail_on}' present", file=sys.stderr)
+        return 1
+    return 0
 
 
 if __name__ == "__main__":

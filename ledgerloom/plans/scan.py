@@ -24,6 +24,14 @@ class Scan:
     def outstanding_findings(self) -> DataFrame:
         return self.findings.join(self.backlog().select("path"), "path", "left_semi")
 
+    def held(self) -> Scan:
+        """The same, computed once for all parts of a report. What is lost is computed again, with the same rows."""
+        return Scan(self.objects.persist(), self.findings.persist())
+
+    def release(self) -> None:
+        self.objects.unpersist()
+        self.findings.unpersist()
+
     def wave(self, name: str) -> Scan:
         keep = self.objects.where(F.col("wave") == name)
         return Scan(keep, self.findings.join(keep.select("path"), "path", "left_semi"))

@@ -1,3 +1,5 @@
+import csv
+import io
 import json
 
 import pytest
@@ -7,7 +9,7 @@ from ledgerloom import cli
 from ledgerloom.functions import fixed, ranges, strip, strip_zeros, truncate
 from ledgerloom.operators import mapping, quality
 from ledgerloom.plans import migration
-from ledgerloom.sources import ExtractError, extract_wave, read_csv
+from ledgerloom.sources import ExtractError, extract_wave, read_csv, sinks
 
 MATERIALS = '''MATNR,MTART,MATKL,MEINS,BRGEW,GEWEI,SPART,XCHPF,MHDHB,ZZ_TEMP_CLASS,MAKTX,WERKS,DISPO
 000101,FERT,G1,st,0.085,KG,01,X,365,2-8C,CREAM 50G,P1,D1
@@ -121,6 +123,56 @@ def test_files(spark, folder, tmp_path):
     assert cli.main(["migrate", "--data", str(folder / "none")], spark) == 2
 
 
+def test_a_write_set_is_replaced_as_a_whole(spark, wave, tmp_path, monkeypatch):
+    out = tmp_path / "out"
+    migration.write(wave, str(out), spark)
+    old = {p.name: p.read_bytes() for p in out.iterdir() if p.is_file()}
+    assert set(json.loads(old["manifest.json"])["files"]) == {n for n in old if not n.startswith(".")} - {"manifest.json"}
+    (out / "notes.txt").write_text("mine")
+    with monkeypatch.context() as m:
+        m.setattr(migration.render, "reconciliation_markdown", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            migration.write(wave, str(out), spark)
+    assert {p.name: p.read_bytes() for p in out.iterdir() if p.is_file()} == old | {"notes.txt": b"mine"} and [p.name for p in tmp_path.iterdir()] == ["out"]
+    out.rename(tmp_path / "out.replaced")  # a run that ended between its two renames
+    migration.write(wave, str(out), spark)
+    assert {p.name: p.read_bytes() for p in out.iterdir() if p.is_file() and not p.name.startswith(".")} == {n: b for n, b in old.items() if not n.startswith(".")} | {"notes.txt": b"mine"} and [p.name for p in tmp_path.iterdir()] == ["out"]
+
+
+def test_parts_put_together_are_the_file(spark, tmp_path):
+    rows = spark.range(500).select(F.col("id").alias("_seq"), (F.col("id") * 7).cast("string").alias("a"), F.when(F.col("id") % 3 == 0, 'x "y", z').when(F.col("id") % 3 == 1, F.lit(None).cast("string")).otherwise(" é ").alias("b,c"))
+    sinks.write_csv(rows, str(tmp_path / "one.csv"), ["_seq"])
+    sinks.write_parts(rows, str(tmp_path / "many"), ["_seq"], 5)
+    files = sinks.parts_of(spark, str(tmp_path / "many"))
+    assert len(files) == 6 and b"".join(open(f, "rb").read() for f in files) == (tmp_path / "one.csv").read_bytes()
+    text = io.StringIO()
+    out = csv.writer(text)
+    out.writerow(["a", "b,c"])
+    out.writerows((7 * i, ('x "y", z', "", " é ")[i % 3]) for i in range(500))
+    assert (tmp_path / "one.csv").read_bytes() == text.getvalue().encode()
+    sinks.write_csv(rows.where("false"), str(tmp_path / "one.csv"), ["_seq"])
+    assert (tmp_path / "one.csv").read_bytes() == b"" and sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == ["many", "one.csv"]
+
+
+def test_quoted_line_ends_survive_a_migration(spark, folder, tmp_path):
+    for name in FILES:
+        text = (folder / name).read_text()
+        (tmp_path / name).write_text(text.replace("CREAM 50G,", '"CREAM\n50G",').replace("High St", '"High\r\nSt"'), newline="")
+    done = migration.run("w", extract_wave(spark, str(tmp_path)))
+    assert {r["ProductDescription"] for r in done.loads["products"].collect()} >= {"CREAM\n50G"} and done.passed
+    assert "High\r\nSt" in {r["StreetName"] for r in done.loads["business_partners"].collect()}
+
+
+def test_every_held_back_record_is_named(spark, folder, tmp_path, capsys):
+    for name, text in FILES.items():
+        (tmp_path / name).write_text(text)
+    with open(tmp_path / "ecc_mara_material_master.csv", "a") as f:
+        f.writelines(f"{i},ROH,G2,XX,1,KG,01,,,,MANY {i},P1,D1\n" for i in range(2000, 3500))
+    assert cli.main(["run", "--wave", "w", "--source", str(tmp_path), "--dry-run", "--fail-on-reject"], spark) == 1
+    said = capsys.readouterr()
+    assert sum(x.startswith("  DQ-MAT-003 ") for x in said.out.splitlines()) == 1501 and "records held back from the load" in said.err
+
+
 def test_command_line_forms(spark, folder, tmp_path, capsys):
     base = ["run", "--wave", "w", "--source", str(folder)]
     assert cli.main([*base, "--out", str(tmp_path / "a")], spark) == 0

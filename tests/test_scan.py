@@ -1,3 +1,4 @@
+import json
 import random
 import re
 
@@ -8,6 +9,7 @@ from ledgerloom import cli
 from ledgerloom.operators import rules, statements
 from ledgerloom.plans import render, scan
 from ledgerloom.sources import lines_of, read_inventory
+from ledgerloom.sources.sinks import texts_of
 
 POSITIVE = {
     "SI-MM-001": "SELECT labst FROM mard INTO TABLE t.", "SI-MM-002": "SELECT * FROM mseg INTO TABLE t.", "SI-MM-003": "DATA x TYPE char18.", "SI-FI-001": "SELECT a FROM bsik INTO TABLE t.", "SI-FI-002": "SELECT a FROM bseg INTO TABLE t.",
@@ -21,9 +23,19 @@ def found(spark, text):
     return {(r["rule_id"], r["line"], r["evidence"]) for r in scan.scan(spark, spark.createDataFrame([("a/x.prog.abap", text)], "path string, text string")).findings.collect()}
 
 
-@pytest.mark.parametrize(("rule", "text"), POSITIVE.items())
-def test_rule_fires(spark, rule, text):
-    assert rule in {r for r, _, _ in found(spark, text)}
+def test_rules_fire(spark):
+    rows = spark.createDataFrame([(f"{r}.prog.abap", t) for r, t in POSITIVE.items()], "path string, text string")
+    hits = {(r["path"], r["rule_id"]) for r in scan.scan(spark, rows).findings.collect()}
+    assert {(f"{r}.prog.abap", r) for r in POSITIVE} <= hits
+
+
+def test_words_are_those_that_the_patterns_see(spark):
+    """Tables and needed words stand alone, whatever their case; letters of any script and underscores belong to a word."""
+    texts = ["SELECT a FROM émard INTO TABLE t.", "SELECT a FROM mard_x INTO TABLE t.", "SELECT a FROM Mard~x INTO TABLE t.", "DATA a(18).", "MOVEx a TO b.", "move a TO b.", "CALL FUNCTION 'upload'.", "SUBMIT rsnast00.", "SELECT a FROM zz WHERE p = rsnast00."]
+    rows = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "path string, text string")
+    hits = {(int(r["path"]), r["rule_id"], r["evidence"]) for r in scan.scan(spark, rows).findings.collect()}
+    assert hits == {(2, "SI-MM-001", "MARD"), (3, "SI-MM-003", "a(18)"), (5, "SI-TECH-003", "move a TO"), (6, "SI-TECH-002", "CALL FUNCTION 'upload'"), (8, "SI-OM-001", "rsnast00")}
+    assert rules.needed_word(r"\bA\s+LONG\s+WORD\b") == "LONG" and rules.needed_word(r"\w+\(18\)") is None and rules.needed_word(r"\bONE\b|\bTWO\b") is None and rules.needed_word(r"MOVES\s+") is None
 
 
 def test_rules_that_must_not_fire(spark):
@@ -93,13 +105,24 @@ def estate(tmp_path_factory):
 
 def test_backlog(spark, estate):
     got = scan.scan_paths(spark, [str(estate / "src")], read_inventory(spark, str(estate / "inv.csv")))
-    data = render.backlog_data(got)
+    report = render.Backlog(got)
+    text = lambda sections: "".join(texts_of(sections))
+    data, said = json.loads(text(report.json())), text(report.markdown())
     assert [o["object_name"] for o in data["objects"]] == ["ZTWO", "ZONE"] and [o["object_name"] for o in data["remediated"]] == ["ZTHREE"]
     one = data["objects"][1]
-    assert [(f["line"], f["rule_id"]) for f in one["items"]] == [(1, "SI-GXP-001"), (1, "SI-MM-002"), (1, "SI-TECH-003"), (3, "SI-MM-002"), (3, "SI-TECH-004"), (3, "SI-TECH-005")]
-    assert one["raw_points"] == 13 + 8 + 2 + 8 + 5 + 1 and one["weighted_points"] == 74.0 and data["objects"][0]["loc"] == 2
-    assert data["effort"] == {"raw_points": 39, "weighted_points": 77.0, "engineer_days": 10.3, "validation_overhead_days": 5.1}
-    assert "| 1 | ZTWO | wave0 |" in render.backlog_markdown(data) and '"outstanding_findings": 7' in render.backlog_json(data) and "top rules:" in render.summary(data)
+    assert [(f["line"], f["rule_id"]) for f in one["findings"]] == [(1, "SI-GXP-001"), (1, "SI-MM-002"), (1, "SI-TECH-003"), (3, "SI-MM-002"), (3, "SI-TECH-004"), (3, "SI-TECH-005")]
+    assert one["raw_effort_points"] == 13 + 8 + 2 + 8 + 5 + 1 and one["weighted_effort_points"] == 74.0 and data["objects"][0]["effective_loc"] == 2
+    assert data["effort"] == {"raw_points": 39, "weighted_points": 77.0, "engineer_days": 10.3, "validation_overhead_days": 5.1} and data["summary"]["outstanding_findings"] == 7 and data["summary"]["by_wave"] == {"wave0": 1, "wave1": 1}
+    assert json.dumps(data, indent=2) == text(report.json())
+    assert "| 1 | ZTWO | wave0 |" in said and said.endswith("\n") and not said.endswith("\n\n") and said.index("### ZTWO") < said.index("### ZONE") < said.index("## Target patterns") and "top rules:" in text(report.summary())
+    assert said.count("\n| 3 | SI-") == 3
+
+
+def test_reports_without_findings(spark):
+    none = render.Backlog(scan.scan(spark, spark.createDataFrame([("a/x.prog.abap", "x = 1.")], "path string, text string")))
+    data = json.loads("".join(texts_of(none.json())))
+    assert data["objects"] == data["remediated"] == [] and data["summary"]["objects_scanned"] == 1 and data["effort"]["weighted_points"] == 0
+    assert "".join(texts_of(none.markdown())).endswith("## Target patterns\n")
 
 
 def test_cli(spark, estate, tmp_path, capsys):
