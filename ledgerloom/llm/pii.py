@@ -8,8 +8,9 @@ that fails its test is dropped and not retried. Positions count code points, the
 
 Patterns are written so that the matcher neither recurses nor retries inside a run: groups are possessive, and a
 proposal starts where its run of characters starts or where the last one ended. An iban ends at its country's length, so
-words, numbers and other ibans may follow; only codes without a registered length take all that could belong to them. That keeps the time linear on very long texts. Where a kind occurs, the text is split by its pattern once more: lengths of
-the parts between give the positions, as no built-in returns them.
+words, numbers and other ibans may follow; only codes without a registered length take all that could belong to them. Where a kind occurs, the text is split by its pattern once more: lengths of
+the parts between give the positions, as no built-in returns them. Their running sums take n log n steps for n matches, and what is near a span is cut from chunks of the text, so the time
+grows with a text's length, and hardly faster, however many spans it holds.
 
 Null or empty text: no spans. Repeated rows each get a row, null ids are kept, extra columns are ignored, an empty table
 gives an empty result.
@@ -32,7 +33,7 @@ _OTHER = rf"(?!{_COUNTRIES})[A-Z]{{2}}[0-9]{{2}}(?:(?!\x20(?:{_COUNTRIES})[0-9]{
 PATTERNS = {
     "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
-    "card": r"[0-9](?:[\x20-]?[0-9])++",
+    "card": r"[0-9](?:[\x20-]?[0-9]){11,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "iban": rf"(?:(?<![A-Za-z0-9])|\G)(?:{_REGISTERED}|{_OTHER})(?![A-Za-z0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
@@ -91,6 +92,12 @@ def confirmed(kind: str, m: Column) -> Column:
     return F.length(d).between(15, 34) & (mod97(d) == 1)
 
 
+def running_sums(values: Column) -> Column:
+    """Sums of the first 1, 2, ... values of an array of ints: values are added at distances of 1, 2, 4, ... until one reaches over all of them, so n values take n log n steps."""
+    shifts = F.transform(F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size(values), F.lit(1)))).cast("int")), lambda k: F.call_function("shiftleft", F.lit(1), k))
+    return F.aggregate(shifts, values, lambda sums, d: F.transform(sums, lambda x, i: x + F.coalesce(F.get(sums, i - d), F.lit(0))))
+
+
 def proposals(kind: str, text: str = "text") -> Column:
     """Array of structs (m, start) of all matches, confirmed or not; null where there is none."""
     t, pattern = F.col(text), F.lit(PATTERNS[kind])
@@ -99,29 +106,36 @@ def proposals(kind: str, text: str = "text") -> Column:
     digits = t.rlike("[0-9]")
     gate = {"email": t.contains("@"), "phone": t.contains("+") & digits, "ip": t.contains(".") & digits, "ssn": t.contains("-") & digits}.get(kind, digits)
     between = F.split(t, PATTERNS[kind], -1)
-    # Running sum over the parts: (position reached, matches placed).
-    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("i"), F.array().cast("array<struct<m:string,start:int>>").alias("out"))
 
     def place(m: Column, gaps: Column) -> Column:
-        def step(a: Column, x: Column) -> Column:
-            at = a["at"] + F.length(F.get(gaps, a["i"]))
-            return F.struct((at + F.length(x)).alias("at"), (a["i"] + 1).alias("i"), F.concat(a["out"], F.array(F.struct(x.alias("m"), at.alias("start")))).alias("out"))
-
-        return F.aggregate(m, start, step, lambda a: a["out"])
+        ends = running_sums(F.zip_with(m, F.slice(gaps, F.lit(1), F.size(m)), lambda x, gap: F.length(gap) + F.length(x)))
+        return F.zip_with(m, ends, lambda x, end: F.struct(x.alias("m"), (end - F.length(x)).alias("start")))
 
     return F.when(gate, F.when(F.regexp_like(t, pattern), place(found, between)))
 
 
+# Code points of a chunk. What is near a span is cut from two chunks, as a place in a string is only found by counting from its beginning.
+CHUNK = 512
+
+
 def spans(docs: DataFrame) -> DataFrame:
     """doc_id and an array of structs (kind, start, end, score) of confirmed spans, by start and then by kind."""
     order = {k: i for i, k in enumerate(PATTERNS)}
     rows = docs.select("doc_id", "text", *(proposals(k).alias(k) for k in PATTERNS))
+    chunks = F.when(F.coalesce(*(F.when(F.col(k).isNotNull(), True) for k in PATTERNS)), F.regexp_extract_all("text", F.lit(rf"(?s).{{1,{CHUNK}}}"), F.lit(0)))
+    rows = rows.select("doc_id", chunks.alias("chunks"), *PATTERNS)
+
+    def cut(at: Column, n: Column) -> Column:
+        """n code points from a place on, n being at most CHUNK."""
+        i = F.floor(at / CHUNK).cast("int")
+        two = F.concat(F.coalesce(F.get("chunks", i), F.lit("")), F.coalesce(F.get("chunks", i + 1), F.lit("")))
+        return F.substring(two, at - i * CHUNK + 1, n)
 
     def keep(kind: str) -> Column:
         def one(s: Column) -> Column:
             end = s["start"] + F.length(s["m"])
             left = F.greatest(s["start"] - REACH, F.lit(0))
-            near = F.concat(F.substring(F.col("text"), left + 1, s["start"] - left), F.lit(" "), F.substring(F.col("text"), end + 1, F.lit(REACH)))
+            near = F.concat(cut(left, s["start"] - left), F.lit(" "), cut(end, F.lit(REACH)))
             score = F.lit(PRIOR[kind]) + F.when(near.rlike(CONTEXT[kind]), GAIN[kind]).otherwise(0.0) - F.when(near.rlike(AGAINST), LOSS).otherwise(0.0)
             if kind == "secret":
                 score += F.when(s["m"].rlike(_ISSUED), 0.5).otherwise(0.0)

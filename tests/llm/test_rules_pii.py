@@ -122,3 +122,22 @@ def test_iban_before_words_numbers_and_other_ibans(docs_of):
     rows = pii.spans(docs_of(texts)).collect()
     found = {r["doc_id"]: [texts[r["doc_id"]][s["start"] : s["end"]] for s in r["spans"] if s["kind"] == "iban"] for r in rows}
     assert found == {0: [plain], 1: [de], 2: [de], 3: [de, gb], 4: [plain, plain, gb], 5: [], 6: [], 7: ["NO93 8601 1117 947"]}
+
+
+def test_time_grows_with_the_text(spark, docs_of):
+    """Four times the spans take about four times as long, not sixteen; thousands of them take seconds."""
+    import time
+
+    def one(i):
+        return f"{4111111111111111 if i % 3 == 0 else 1000 + i} a{i}@b.de +49 30 {1000000 + i} and 10.0.{i % 256}.7,"
+
+    took = {}
+    for n in (4_000, 4_000, 16_000):
+        text = " ".join(map(one, range(n)))
+        docs = docs_of([text])
+        start = time.time()
+        row = pii.digest(pii.spans(docs)).first()
+        took[n] = time.time() - start
+    assert row["n_email"] == row["n_phone"] == row["n_ip"] == 16_000 and row["n_card"] >= 5_334
+    assert hashlib.sha256(brute_spans(text).encode()).hexdigest() == row["base_sha256"]
+    assert took[16_000] < 9 * took[4_000] and took[16_000] < 60
