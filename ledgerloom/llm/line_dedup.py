@@ -12,8 +12,8 @@ words, which mostly is the line itself. Two documents with a block in common sha
 3. Both documents' line hashes are aligned with patience diff: lines that occur once in both are anchors where they keep their order (longest
    increasing subsequence), gaps between anchors are aligned again, and anchors grow over equal neighbours.
 4. A hash held by more documents makes no pairs of its own, so pairs do not grow with the square of a group. Where step 3 leaves
-   such a block standing in a document, that document is aligned with the block's first holder; and what that leaves standing, as its
-   order or its repetition has it, is aligned with the first holder's block by itself, which it equals. So no frequent block stays.
+   such a block standing in a document, that document is aligned with the block's first holder.
+5. What alignments leave standing, as its order or its repetition has it, is aligned with the first holder's block by itself, which it equals. So no block of an earlier document stays, however many hold it.
 
 Only hashes and positions of lines travel, never texts, until the text of each document meets the ranges to delete.
 
@@ -183,8 +183,8 @@ def ranges_to_delete(docs: DataFrame, rare: int, min_words: int) -> DataFrame:
     one = few.select("w", "key").distinct()
     pairs = one.join(one.withColumnRenamed("key", "a"), "w").where("a < key").select("a", F.col("key").alias("b")).distinct()
     done = stored(gathered(aligned(pairs, classes, min_words)), "line-ranges")
-    left = stored(standing(later.where(F.col("holders") > rare), done).select("key", "s", "e", "first"), "line-left")
-    more = gathered(aligned(left.select(F.col("first").alias("a"), F.col("key").alias("b")).distinct(), classes, min_words))
+    left = stored(standing(later, done).select("key", "s", "e", "first", "holders"), "line-left")
+    more = gathered(aligned(left.where(F.col("holders") > rare).select(F.col("first").alias("a"), F.col("key").alias("b")).distinct(), classes, min_words))
     more = stored(more, "line-ranges")
     alone = standing(left, more).select("key", "s", "e")
     flat = lambda t: t.select("key", F.inline("ranges"))

@@ -181,7 +181,7 @@ def brute_dedup(texts, rare, min_words=10):
             for a in range(b):
                 if any(len(held[w]) <= rare and a in held[w] for w, _, _ in smallest(b)):
                     marks += ranges(a, b)
-            stands = lambda: [(w, i, j) for w, i, j in smallest(b) if len(held[w]) > rare and min(held[w]) < b and not any(x <= i and j <= y for x, y in marks)]  # noqa: B023, E731
+            stands = lambda: [(w, i, j) for w, i, j in smallest(b) if min(held[w]) < b and not any(x <= i and j <= y for x, y in marks)]  # noqa: B023, E731
             for a in {min(held[w]) for w, _, _ in stands()}:
                 marks += ranges(a, b)
             marks += [(i, j) for _, i, j in stands()]
@@ -201,6 +201,14 @@ def test_matches_every_pair(docs_of, rare):
     assert {r["doc_id"]: (r["text"], r["_ld_deleted"]) for r in rows} == dict(enumerate(brute_dedup(texts, rare)))
 
 
+@pytest.mark.parametrize("holders", [2, 16, 17, 18])
+def test_crossed_blocks_go_however_many_hold_them(docs_of, holders):
+    """The last document holds the two lines in the other order, so that an alignment finds one of them only."""
+    a, b = text(12), text(12)
+    got = dedup(docs_of, [f"{a}\n{b}\n{text(11)}" for _ in range(holders - 1)] + [f"{b}\n{a}\n{OWN[3]}"])
+    assert got[holders - 1] == (OWN[3], 2)
+
+
 def test_no_block_is_stitched_from_several_documents(docs_of):
     """Neither line is a block, and no earlier document holds both."""
     a, b = text(5), text(6)
