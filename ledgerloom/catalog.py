@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom import catalog_wave
+from ledgerloom import catalog_files, catalog_wave
 from ledgerloom.functions import fixed, lookup, ranges, strip_zeros, truncate
 from ledgerloom.operators import backlog, mapping, quality, reconcile, rules, statements
 from ledgerloom.operators.issues import FIX, REJECT, WARN, Cleansed, RowRule, annotate, counts_by_action, duplicates
@@ -667,5 +667,5 @@ def H17_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.confirmation_counts(_confirmed(spark, sf_dir))
 
 
-QUERIES |= catalog_wave.QUERIES
-ORACLE_SQL |= catalog_wave.ORACLE_SQL
+QUERIES |= catalog_wave.QUERIES | catalog_files.QUERIES
+ORACLE_SQL |= catalog_wave.ORACLE_SQL | catalog_files.ORACLE_SQL

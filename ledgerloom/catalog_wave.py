@@ -8,10 +8,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.constants import DB_STATEMENT, ISO_COUNTRIES, LOOP_CLOSE, LOOP_OPEN, OBJECT_RULE, RULES, SET_BASED, UOM_ISO, VAT_COUNTRIES, WRITE_STATEMENT
+from ledgerloom.constants import DB_STATEMENT, ISO_COUNTRIES, LOOP_CLOSE, LOOP_OPEN, OBJECT_RULE, RULES, SET_BASED, SEVERITIES, UOM_ISO, VAT_COUNTRIES, WRITE_STATEMENT
 from ledgerloom.functions import strip_zeros
 from ledgerloom.operators import backlog, mapping, quality, reconcile, rules
-from ledgerloom.operators.issues import FIELDS, Cleansed
+from ledgerloom.operators.issues import FIELDS, Cleansed, union
 from ledgerloom.plans import migration, scan
 
 # --- extracts ---
@@ -294,22 +294,21 @@ _SOURCE = (
     "DO 3 TIMES.", "  SELECT charg FROM mcha INTO TABLE lt_mcha.", "ENDDO.", "SELECT dtnum FROM mdkp INTO TABLE lt_mdkp.", "SUBMIT rsnast00.", "SELECT objky FROM nast INTO TABLE lt_nast.", "DATA lt_old TYPE STANDARD TABLE WITH HEADER LINE.", "PERFORM mard_check.",
     "lv_x = lv_y(18).", "WRITE 'no mseg here'. \" mseg", "COMMIT WORK.", "SELECT-OPTIONS s_matnr FOR mara-matnr.", "WHILE lv_n > 0.", "  DELETE FROM mseg WHERE mblnr = lv_doc.", "ENDWHILE.", "", "CALL FUNCTION 'GUI_UPLOAD'.", "INSERT lfb1 FROM ls_lfb1.",
 )
-_FILES = 60
 _INVENTORY = {
-    "object_name": "'ZP' || c_custkey", "object_type": "'PROG'", "path": "'src/zp' || c_custkey || '.prog.abap'", "module": "'MM'", "owner": "CASE WHEN c_custkey % 4 = 0 THEN '' ELSE 'owner' || (c_custkey % 4) END",
+    "object_name": "'ZP' || c_custkey", "object_type": "'PROG'", "path": "CASE WHEN c_custkey % 9 = 0 THEN 'old' ELSE 'src' END || '/zp' || c_custkey || '.prog.abap'", "module": "'MM'", "owner": "CASE WHEN c_custkey % 4 = 0 THEN '' ELSE 'owner' || (c_custkey % 4) END",
     "gxp_class": "CASE c_custkey % 4 WHEN 0 THEN 'gxp_critical' WHEN 1 THEN 'gxp_relevant' ELSE 'non_gxp' END", "wave": "'wave' || (c_custkey % 3)", "monthly_executions": "CAST(c_custkey * 10 AS INTEGER)", "business_criticality": "CASE WHEN c_custkey % 2 = 0 THEN 'high' ELSE 'low' END",
     "validation_package": "'VP' || c_custkey", "remediated_path": "CASE WHEN c_custkey % 7 = 0 THEN 'new/zp' || c_custkey ELSE '' END",
 }
-_TESTED = "c_custkey < 55 AND c_custkey % 5 = 0"
+_TESTED = "c_custkey % 5 = 0"
 
 
 def _scan(spark: SparkSession, sf_dir: str) -> scan.Scan:
     orders, customers = spark.read.parquet(f"{sf_dir}/orders.parquet"), spark.read.parquet(f"{sf_dir}/customer.parquet")
     line = F.element_at(F.array(*map(F.lit, _SOURCE)), (F.col("o_orderkey") % len(_SOURCE) + 1).cast("int"))
-    path = F.concat(F.lit("src/zp"), (F.col("o_custkey") % _FILES).cast("string"), F.lit(".prog.abap"))
+    path = F.concat(F.lit("src/zp"), F.col("o_custkey").cast("string"), F.lit(".prog.abap"))
     rows = orders.groupBy(path.alias("path")).agg(F.array_sort(F.collect_list(F.struct("o_orderkey", line.alias("line")))).alias("all"))
     sources = rows.select("path", F.array_join(F.transform("all", lambda x: x["line"]), "\n").alias("text"))
-    inventory = customers.where("c_custkey < 55").selectExpr(*(f"{e} AS {c}" for c, e in _INVENTORY.items()), "c_custkey AS _seq")
+    inventory = customers.selectExpr(*(f"{e} AS {c}" for c, e in _INVENTORY.items()), "c_custkey AS _seq")
     return scan.scan(spark, sources, inventory, customers.where(_TESTED).selectExpr("'zp' || c_custkey AS name"))
 
 
@@ -326,13 +325,13 @@ def _rule_sql(rule: tuple) -> str:
 
 _OPENS = f"(regexp_matches(text, {_quoted(LOOP_OPEN)}) OR (regexp_matches(text, '(?i)^SELECT([^-\\w]|$)') AND NOT regexp_matches(text, {_quoted(SET_BASED)})))"
 _SHORT = "trim(regexp_replace(text, '\\s+', ' ', 'g'))"
-_SCANNED = rf"""li AS (SELECT 'src/zp' || (o_custkey % {_FILES}) || '.prog.abap' AS path, row_number() OVER (PARTITION BY o_custkey % {_FILES} ORDER BY o_orderkey) AS line, [{', '.join(map(_quoted, _SOURCE))}][o_orderkey % {len(_SOURCE)} + 1] AS t FROM orders),
+_SCANNED = rf"""li AS (SELECT 'src/zp' || o_custkey || '.prog.abap' AS path, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS line, [{', '.join(map(_quoted, _SOURCE))}][o_orderkey % {len(_SOURCE)} + 1] AS t FROM orders),
 co AS (SELECT path, line, trim(CASE WHEN starts_with(trim(t), '*') THEN '' ELSE regexp_replace(t, '^(.*)"[^"]*$', '\1') END) AS code FROM li),
 gr AS (SELECT *, coalesce(sum(CASE WHEN ends_with(code, '.') THEN 1 ELSE 0 END) OVER (PARTITION BY path ORDER BY line ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS g FROM co WHERE code <> ''),
 sm AS (SELECT path, g, CAST(min(line) AS INTEGER) AS line, string_agg(code, ' ' ORDER BY line) AS text FROM gr GROUP BY 1, 2),
 up AS (SELECT *, CASE WHEN regexp_matches(text, {_quoted(LOOP_CLOSE)}) THEN -1 WHEN {_OPENS} THEN 1 ELSE 0 END AS step FROM sm), su AS (SELECT *, sum(step) OVER (PARTITION BY path ORDER BY g) AS s FROM up),
 de AS (SELECT path, line, text, s - least(0, min(s) OVER (PARTITION BY path ORDER BY g)) - CASE WHEN step = 1 THEN 1 ELSE 0 END AS loop_depth FROM su),
-iv AS (SELECT {', '.join(f'{e} AS {c}' for c, e in _INVENTORY.items())}, c_custkey % 5 = 0 AS tested FROM customer WHERE c_custkey < 55),
+iv AS (SELECT {', '.join(f'{e} AS {c}' for c, e in _INVENTORY.items())}, c_custkey % 5 = 0 AS tested FROM customer),
 ob AS (SELECT p.path, upper(regexp_extract(p.path, 'src/(.*).prog.abap', 1)) AS object_name, loc, coalesce(gxp_class, 'unclassified') AS gxp_class, coalesce(wave, 'unassigned') AS wave, business_criticality, monthly_executions, validation_package, coalesce(remediated_path, '') <> '' AS fixed, coalesce(tested, false) AS tested
  FROM (SELECT path, CAST(count(*) FILTER (trim(t) <> '' AND NOT starts_with(trim(t), '*')) AS INTEGER) AS loc FROM li GROUP BY 1) p LEFT JOIN iv ON iv.path = p.path),
 me(rule_id, title, category, severity, effort_points) AS (VALUES {', '.join(f"('{r[0]}', {_quoted(r[1])}, '{r[2]}', '{r[3]}', {r[4]})" for r in RULES)}),
@@ -387,25 +386,27 @@ def F14_test_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scan(spark, sf_dir).findings.where(F.col("rule_id") == rules.OBJECT_RULE).select("path", "line", "rule_id", "evidence", "statement")
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"({i}, '{r[0]}', {_quoted(r[1])}, '{r[2]}', '{r[3]}', {r[4]})" for i, r in enumerate(RULES)) + ") AS c(seq, rule_id, title, category, severity, effort_points)")
-def S7_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rules.catalogue(spark).select("seq", "rule_id", "title", "category", "severity", "effort_points")
-
-
-@query("SELECT o_orderkey, CASE WHEN o_custkey < 55 THEN 'owner' || (o_custkey % 4) END AS owner FROM orders WHERE o_custkey < 60".replace("'owner' || (o_custkey % 4)", "CASE WHEN o_custkey % 4 = 0 THEN '' ELSE 'owner' || (o_custkey % 4) END"))
+@query("SELECT o_orderkey, CASE WHEN o_custkey % 4 = 0 THEN '' ELSE 'owner' || (o_custkey % 4) END AS owner FROM orders")
 def P15_for_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Inventory entries by name, whatever its case."""
-    inventory = spark.read.parquet(f"{sf_dir}/customer.parquet").where("c_custkey < 55").selectExpr(*(f"{e} AS {c}" for c, e in _INVENTORY.items()), "c_custkey AS _seq")
-    names = spark.read.parquet(f"{sf_dir}/orders.parquet").where("o_custkey < 60").selectExpr("o_orderkey", "CASE WHEN o_orderkey % 2 = 0 THEN 'Zp' ELSE 'zP' END || o_custkey AS name")
+    inventory = spark.read.parquet(f"{sf_dir}/customer.parquet").selectExpr(*(f"{e} AS {c}" for c, e in _INVENTORY.items()), "c_custkey AS _seq")
+    names = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr("o_orderkey", "CASE WHEN o_orderkey % 2 = 0 THEN 'Zp' ELSE 'zP' END || o_custkey AS name")
     return names.join(rules.for_name(names.select("name").distinct(), inventory), "name", "left").select("o_orderkey", "owner")
 
 
 @query(f"WITH {_SCANNED} SELECT DISTINCT wave FROM iv")
 def P15_waves(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inventory = spark.read.parquet(f"{sf_dir}/customer.parquet").where("c_custkey < 55").selectExpr(*(f"{e} AS {c}" for c, e in _INVENTORY.items()), "c_custkey AS _seq")
+    inventory = spark.read.parquet(f"{sf_dir}/customer.parquet").selectExpr(*(f"{e} AS {c}" for c, e in _INVENTORY.items()), "c_custkey AS _seq")
     return rules.waves(inventory)
 
 
+@query(f"WITH {_SCANNED} SELECT threshold, count(path) > 0 AS found FROM (VALUES ('blocker', 0), ('critical', 1), ('major', 2), ('minor', 3)) AS t(threshold, place) LEFT JOIN (SELECT fm.path, severity FROM fm JOIN bl ON bl.path = fm.path) f ON CASE severity WHEN 'blocker' THEN 0 WHEN 'critical' THEN 1 WHEN 'major' THEN 2 ELSE 3 END <= place GROUP BY 1")
+def B14_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether outstanding findings reach each threshold."""
+    found = _scan(spark, sf_dir).outstanding_findings()
+    return union([backlog.reaches(found, s).select(F.lit(s).alias("threshold"), "found") for s in SEVERITIES])
+
+
 @query(f"WITH {_STOCK}, {_ITEMS} SELECT bool_and(p) AS passed, count(*) FILTER (NOT p) AS failed, count(*) AS total FROM (SELECT coalesce(sum(amount) FILTER (SHKZG = 'S'), 0) = coalesce(sum(amount) FILTER (SHKZG <> 'S'), 0) AS p FROM oi WHERE NOT bad GROUP BY BUKRS)")
 def R8_balance_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = mapping.map_open_items(_items(spark, sf_dir).accepted, _business_partners(spark, sf_dir).lookup())

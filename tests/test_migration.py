@@ -140,7 +140,7 @@ def test_a_write_set_is_replaced_as_a_whole(spark, wave, tmp_path, monkeypatch):
 
 
 def test_parts_put_together_are_the_file(spark, tmp_path):
-    rows = spark.range(500).select(F.col("id").alias("_seq"), (F.col("id") * 7).cast("string").alias("a"), F.when(F.col("id") % 3 == 0, 'x "y", z').when(F.col("id") % 3 == 1, F.lit(None).cast("string")).otherwise(" é ").alias("b,c"))
+    rows = spark.range(500).select(F.col("id").alias("_seq"), (F.col("id") * 7).cast("string").alias("a"), F.when(F.col("id") % 3 == 0, 'x "y", z\nw\r').when(F.col("id") % 3 == 1, F.lit(None).cast("string")).otherwise(" é ").alias("b,c"))
     sinks.write_csv(rows, str(tmp_path / "one.csv"), ["_seq"])
     sinks.write_parts(rows, str(tmp_path / "many"), ["_seq"], 5)
     files = sinks.parts_of(spark, str(tmp_path / "many"))
@@ -148,7 +148,7 @@ def test_parts_put_together_are_the_file(spark, tmp_path):
     text = io.StringIO()
     out = csv.writer(text)
     out.writerow(["a", "b,c"])
-    out.writerows((7 * i, ('x "y", z', "", " é ")[i % 3]) for i in range(500))
+    out.writerows((7 * i, ('x "y", z\nw\r', "", " é ")[i % 3]) for i in range(500))
     assert (tmp_path / "one.csv").read_bytes() == text.getvalue().encode()
     sinks.write_csv(rows.where("false"), str(tmp_path / "one.csv"), ["_seq"])
     assert (tmp_path / "one.csv").read_bytes() == b"" and sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == ["many", "one.csv"]
