@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from ledgerloom import catalog_wave as wave
 from ledgerloom.constants import LOAD_FILES, WAVE_FILES
+from ledgerloom.functions import in_range_list
 from ledgerloom.operators import rules
 from ledgerloom.operators.issues import FIELDS
 from ledgerloom.plans import migration
 from ledgerloom.sources import extract_wave, lines_of, read_csv, read_inventory, read_sources
 from ledgerloom.sources.shared import fresh_path
 from ledgerloom.sources.sinks import write_csv
+from ledgerloom.sources.state import State
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -111,9 +113,8 @@ def _expected() -> str:
 def K7_write_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every record of the load files, exceptions, rejects and the reconciliation of a whole migration, as it stands in the files."""
     out = fresh_path(spark, "wave")
-    done = migration.run("tables", {name: wave._extract(spark, sf_dir, name) for name in WAVE_FILES})
+    done = migration.run("tables", {name: wave._extract(spark, sf_dir, name) for name in WAVE_FILES}, store=True)
     migration.write(done, out, spark)
-    done.release()
     size = lambda f: spark._jvm.org.apache.hadoop.fs.Path(f"{out}/{f}").getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{out}/{f}")).getLen()
     found = [read_csv(spark, f"{out}/{f}").select(F.lit(f).alias("file"), F.expr(_record([f"`{c}`" for c in columns])).alias("record")) for f, columns in _FILES.items() if size(f)]  # a file without rows is empty
     checks = spark.read.json(f"{out}/reconciliation.json", multiLine=True).select(F.inline("checks"))
@@ -128,3 +129,25 @@ def S7_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = wave._scan(spark, sf_dir).findings.groupBy("rule_id").agg(F.count("*").alias("n"))
     rows = rules.catalogue(spark).join(counts, "rule_id", "left")
     return rows.select("seq", "rule_id", "title", "category", "severity", "effort_points", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+
+
+@query("""SELECT l_orderkey AS order_id, l_linenumber AS item, CASE WHEN bool_or(l_returnflag = 'R') THEN 'X' WHEN bool_or(l_linestatus = 'O') THEN 'E' ELSE '' END AS sent, CAST(max(l_shipdate) AS DATE) + CASE WHEN bool_or(l_returnflag = 'R') THEN 2 WHEN bool_or(l_linestatus = 'O') THEN 1 ELSE 0 END AS date FROM lineitem GROUP BY 1, 2""")
+def H8_stored_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state of sending each item, kept on disk over two runs: all items, then those in error, then those sent, as changes of their keys."""
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_shipdate").cast("date").alias("shipped"), F.bool_or(F.col("l_linestatus") == "O").alias("failed"), F.bool_or(F.col("l_returnflag") == "R").alias("done"))
+    rows = lambda where, sent, days: items.where(where).select(F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("item"), F.lit(sent).alias("sent"), F.date_add("shipped", days).alias("date"))
+    state, order = State.create(rows("true", "", 0), fresh_path(spark, "state"), ["order_id", "item"], 16), F.struct("date", "sent")
+    state.upsert(rows("failed", "E", 1), order)
+    state.upsert(rows("done", "X", 2), order)
+    return state.read()
+
+
+@query("""SELECT l_returnflag, count(*) AS n, CAST(sum(l_linenumber) AS BIGINT) AS lines FROM lineitem WHERE EXISTS (SELECT 1 FROM orders WHERE o_orderstatus <> 'P' AND l_orderkey BETWEEN o_orderkey AND o_orderkey + o_custkey % 4)
+ AND NOT EXISTS (SELECT 1 FROM orders WHERE o_orderpriority LIKE '1%' AND l_orderkey BETWEEN o_orderkey - 1 AND o_orderkey + o_custkey % 2) AND l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderpriority LIKE '2%') GROUP BY 1""")
+def H21_range_relation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items that a list of ranges selects which is as long as the table of orders."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    entry = lambda where, sign, option, low, high: orders.where(where).selectExpr(f"'{sign}' AS sign", f"'{option}' AS option", f"{low} AS low", f"{high} AS high")
+    entries = _union([entry("o_orderstatus <> 'P'", "I", "BT", "o_orderkey", "o_orderkey + o_custkey % 4"), entry("o_orderpriority LIKE '1%'", "E", "BT", "o_orderkey - 1", "o_orderkey + o_custkey % 2"), entry("o_orderpriority LIKE '2%'", "E", "EQ", "o_orderkey", "NULL")])
+    rows = in_range_list(spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_returnflag"), "l_orderkey", entries)
+    return rows.groupBy("l_returnflag").agg(F.count("*").alias("n"), F.sum("l_linenumber").cast("long").alias("lines"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.constants import WHITE_SPACE
@@ -58,3 +58,48 @@ def ranges(c: Column, rows: list[tuple[str, str, str, str | None]]) -> Column:
     for x in exclude:
         result = result & ~x
     return result
+
+
+def disjoint(intervals: DataFrame) -> DataFrame:
+    """(low, high) of integers that cover what the given intervals cover, without overlap: each is cut to what lies beyond all that begin before it.
+
+    In two levels: by position of the low end in as many bins as the root of their number, each with the furthest end of the bins before it.
+    """
+    rows = intervals.where("low <= high").select(F.col("low").cast("long").alias("low"), F.col("high").cast("long").alias("high"))
+    n, least, most = rows.agg(F.count("*"), F.min("low"), F.max("low")).first()
+    width = max(1, ((most or 0) - (least or 0)) // max(1, int(n**0.5)) + 1)
+    rows = rows.withColumn("bin", F.expr(f"(low - {least or 0}L) div {width}L"))
+    ends = rows.groupBy("bin").agg(F.max("high").alias("end"))
+    before = ends.select("bin", F.max("end").over(Window.partitionBy(F.lit(0)).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)).alias("_far"))  # one row a bin
+    inside = F.max("high").over(Window.partitionBy("bin").orderBy("low", "high").rowsBetween(Window.unboundedPreceding, -1))
+    reach = F.greatest(F.col("_near"), F.col("_far"))
+    rows = rows.withColumn("_near", inside).join(before, "bin").withColumn("_low", F.greatest(F.col("low"), reach + 1))
+    return rows.where("_low <= high").select(F.col("_low").alias("low"), "high")
+
+
+def in_intervals(rows: DataFrame, column: str, intervals: DataFrame, how: str) -> DataFrame:
+    """rows whose integer column lies in an interval (how: left_semi) or in none (left_anti). intervals: (low, high).
+
+    Values are looked up by equality. Intervals of one value are the values themselves. The others are made disjoint and cut at the borders of bins whose width is the mean share of an interval, so they give two rows each on average at most.
+    """
+    single = intervals.where("low = high").select(F.col("low").cast("long").alias("_v")).distinct()
+    longer = disjoint(intervals.where("low < high"))
+    n, least, most = longer.agg(F.count("*"), F.min("low"), F.max("high")).first()
+    width = max(1, ((most or 0) - (least or 0)) // max(1, n) + 1)
+    bin_of = lambda c: F.expr(f"({c} - {least or 0}L) div {width}L")
+    cut = longer.select("low", "high", F.explode(F.sequence(bin_of("low"), bin_of("high"))).alias("_bin"))
+    value = F.col(column).cast("long")
+    hit = lambda some, how: some.withColumn("_b", bin_of(f"CAST(`{column}` AS BIGINT)")).join(cut, (F.col("_b") == F.col("_bin")) & value.between(F.col("low"), F.col("high")), how).drop("_b")
+    if how == "left_anti":
+        return hit(rows.join(single, value == F.col("_v"), "left_anti"), "left_anti")
+    return rows.join(single, value == F.col("_v"), "left_semi").unionByName(hit(rows.join(single, value == F.col("_v"), "left_anti"), "left_semi"))
+
+
+def in_range_list(rows: DataFrame, column: str, entries: DataFrame) -> DataFrame:
+    """rows whose integer column a list of any length selects. entries: sign (I or E), option (EQ or BT), low, high. No includes mean everything; excludes take away; null is selected by no include and taken away by no exclude."""
+    high = F.when(F.col("option") == "EQ", F.col("low")).otherwise(F.col("high"))
+    part = lambda sign: entries.where(F.col("sign") == sign).select("low", high.alias("high"))
+    includes = part("I")
+    if includes.limit(1).count():
+        rows = in_intervals(rows, column, includes, "left_semi")
+    return in_intervals(rows, column, part("E"), "left_anti")

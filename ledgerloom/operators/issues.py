@@ -83,10 +83,21 @@ def union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+# Rows of a group whose keys are put together at a time.
+CHUNK = 1024
+
+
 def duplicates(rows: DataFrame, object_name: str, rule_id: str, group: list[Column], key: str, field_name: str, message) -> DataFrame:  # noqa: ANN001
-    """A warning for each group of more than one row: keys in input order, joined; groups sort by their first row. message takes the name of the first group column."""
+    """A warning for each group of more than one row: keys in input order, joined; groups sort by their first row. message takes the name of the first group column.
+
+    Groups are counted first, which combines before the shuffle; only rows of groups of several go on. They are sorted by range of (group, order), so a group of any size lies in many tasks, and its keys are
+    joined in chunks of ``CHUNK`` rows, and the chunks' texts in their order. No task holds the rows of a group, but for the text that is the result.
+    """
     names = [f"_g{i}" for i in range(len(group))]
-    found = rows.select("_seq", F.col(key).alias("_key"), *(g.alias(n) for g, n in zip(group, names, strict=True)))
-    found = found.groupBy(*names).agg(F.min("_seq").alias("_seq"), F.count("*").alias("n"), F.collect_list(F.struct("_seq", "_key")).alias("all")).where("n > 1")
-    keys = F.array_join(F.transform(F.array_sort("all"), lambda x: x["_key"]), ", ")
-    return found.select(F.lit(rule_id).alias("rule_id"), F.lit(WARN).alias("action"), F.lit(object_name).alias("object"), keys.alias("key"), F.lit(field_name).alias("field"), message(F.col(names[0])).alias("message"), "_seq")
+    found = rows.select("_seq", F.col(key).alias("_key"), F.struct(*(g.alias(n) for g, n in zip(group, names, strict=True))).alias("_g"))
+    several = found.groupBy("_g").agg(F.min("_seq").alias("_first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    placed = found.join(several, "_g").repartitionByRange("_g", "_seq").sortWithinPartitions("_g", "_seq").withColumn("_chunk", F.floor(F.monotonically_increasing_id() / CHUNK))
+    joined = lambda order, text: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, text))), lambda x: x[text]), ", ")
+    chunks = placed.groupBy("_g", "_chunk").agg(F.first("_first").alias("_first"), joined("_seq", "_key").alias("_keys"))
+    found = chunks.groupBy("_g").agg(F.first("_first").alias("_seq"), joined("_chunk", "_keys").alias("key")).select("key", "_seq", "_g.*")
+    return found.select(F.lit(rule_id).alias("rule_id"), F.lit(WARN).alias("action"), F.lit(object_name).alias("object"), "key", F.lit(field_name).alias("field"), message(F.col(names[0])).alias("message"), "_seq")

@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _own: list[str] = []
 
@@ -23,3 +23,10 @@ def fresh_path(spark: SparkSession, name: str) -> str:
             atexit.register(shutil.rmtree, _own[0], ignore_errors=True)
         found = _own[0]
     return f"{found.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(rows: DataFrame, name: str) -> DataFrame:
+    """Written to the shared folder and read again: computed once, planned once, and still there after an executor is lost."""
+    path = fresh_path(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

@@ -6,8 +6,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import mapping, statements
-from ledgerloom.sources import ExtractError, lines_of, read_csv
+from ledgerloom.functions import disjoint, in_range_list
+from ledgerloom.operators import issues, mapping, statements
+from ledgerloom.sources import ExtractError, lines_of, read_csv, state
+from ledgerloom.sources.state import State
 
 
 @pytest.fixture
@@ -136,3 +138,58 @@ def test_numbering_of_few_rows_and_none(spark):
     assert mapping.numbered(one.where("false"), "k", 1, "n").count() == 0
     many = spark.createDataFrame([(1,)] * 40 + [(2,)] * 40, "k int")
     assert sorted(r["n"] for r in mapping.numbered(many, "k", 1, "n", 8).collect()) == list(range(1, 81))
+
+
+# --- groups ---
+
+
+def test_a_giant_group_is_joined_in_chunks(spark):
+    """A third of the rows share a description, which is null for others; keys come in input order."""
+    rows = spark.range(0, 60_000, 1, 6).select(((F.col("id") * 7919) % 60_000).alias("_seq"), F.concat(F.lit("k"), (F.col("id") * 7919) % 60_000).alias("k"), F.when(F.col("id") % 3 == 0, "same").when(F.col("id") < 4, None).when(F.col("id") < 100, F.lit("few")).otherwise(F.col("id").cast("string")).alias("d"))
+    found = issues.duplicates(rows, "o", "R", [F.col("d"), F.lit(1)], "k", "d", lambda c: F.coalesce(c, F.lit("none")))
+    want = {}
+    for i in range(60_000):
+        d = "same" if i % 3 == 0 else "none" if i < 4 else "few" if i < 100 else str(i)
+        want.setdefault(d, []).append(i * 7919 % 60_000)
+    got = {r["message"]: (r["key"], r["_seq"]) for r in found.collect()}
+    assert got == {d: (", ".join(f"k{i}" for i in sorted(v)), min(v)) for d, v in want.items() if len(v) > 1}
+    assert issues.duplicates(rows.where("false"), "o", "R", [F.col("d")], "k", "d", lambda c: c).count() == 0
+
+
+# --- state and range lists ---
+
+
+def test_an_update_rewrites_what_it_touches_and_can_be_repeated(spark, tmp_path, monkeypatch):
+    rows = spark.range(100).select(F.col("id").alias("k"), F.lit(0).alias("v"), F.lit("old").alias("t"))
+    kept = State.create(rows, str(tmp_path / "s"), ["k"], 8)
+    changes = spark.createDataFrame([(5, 2, "b"), (5, 1, "a"), (500, 1, "new")], "k long, v int, t string")
+    want = {(i, 0, "old") for i in range(100) if i != 5} | {(5, 2, "b"), (500, 1, "new")}
+    with monkeypatch.context() as m:
+        m.setattr(state, "move", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            kept.upsert(changes, F.col("v"))
+    assert kept.version() == 1 and {tuple(r) for r in kept.read().collect()} == {(i, 0, "old") for i in range(100)}
+    before = {f: f.stat().st_mtime_ns for f in (tmp_path / "s").rglob("*.parquet")}
+    touched = kept.upsert(changes, F.col("v"))
+    assert len(touched) <= 2 and {tuple(r) for r in kept.read().collect()} == want and all(f.stat().st_mtime_ns == t for f, t in before.items())
+    assert kept.upsert(changes, F.col("v")) == touched and {tuple(r) for r in State(spark, str(tmp_path / "s")).read().collect()} == want
+    assert {tuple(r) for r in kept.read(1).collect()} == {(i, 0, "old") for i in range(100)} and kept.upsert(changes.where("false"), F.col("v")) == [] and kept.version() == 3
+    kept.vacuum()
+    assert kept.versions() == [3] and kept.read().count() == 101
+    with pytest.raises(ValueError, match="state already"):
+        State.create(rows, str(tmp_path / "s"), ["k"])
+
+
+def test_long_range_lists_equal_their_predicate(spark):
+    r = random.Random(9)
+    entries = [(r.choice("IIE"), "EQ", r.randrange(-50, 3000), None) if r.random() < 0.4 else (r.choice("IIIE"), "BT", a := r.randrange(-50, 3000), a + r.choice([-2, 0, 1, 5, 300])) for _ in range(120)]
+    rows = spark.range(-60, 3400).select("id", F.when(F.col("id") % 50 != 0, F.col("id")).alias("v"))
+    for some in (entries, [e for e in entries if e[0] == "E"], [e for e in entries if e[1] == "EQ"], []):
+        got = [x["id"] for x in in_range_list(rows, "v", spark.createDataFrame(some, "sign string, option string, low long, high long")).orderBy("id").collect()]
+        inside = lambda v, sign: any(v == low if option == "EQ" else low <= v <= high for s, option, low, high in some if s == sign)  # noqa: B023, E731
+        has = any(e[0] == "I" for e in some)
+        assert got == [i for i in range(-60, 3400) if (not has if i % 50 == 0 else (not has or inside(i, "I")) and not inside(i, "E"))]
+    plan = in_range_list(rows, "v", spark.createDataFrame(entries, "sign string, option string, low long, high long"))._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    parts = sorted(map(tuple, disjoint(spark.createDataFrame([e[2:] for e in entries if e[1] == "BT"], "low long, high long")).collect()))
+    assert all(a[1] < b[0] for a, b in zip(parts, parts[1:])) and {v for a, b in parts for v in range(a, b + 1)} == {v for e in entries if e[1] == "BT" for v in range(e[2], e[3] + 1)}
