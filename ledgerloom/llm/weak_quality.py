@@ -102,11 +102,12 @@ def features(text: bytes) -> tuple[list[int], list[float]]:
     return ids, [out[i] for i in ids]
 
 
-def em(patterns: dict[tuple[int, ...], int], rounds: int = 60) -> dict[tuple[int, ...], float]:
-    """Posterior of the good class for each vote pattern; votes are independent within a class.
+def em(patterns: dict[tuple[int, ...], int], rounds: int = 60, objective: list[float] | None = None) -> dict[tuple[int, ...], float]:
+    """Posterior of the good class for each vote pattern, by expectation-maximisation of a mixture of two classes in which votes are independent.
 
-    Most labellers know one kind of fault and are silent otherwise, so an abstention counts as missing, not as evidence.
-    It starts from trusting a vote against a document more than votes for it.
+    In each class a labeller votes bad, abstains or votes good with rates that sum to 1, each counted once more than seen (a Dirichlet prior of 2), as is each class. So what an abstention says is estimated like any other
+    vote: much where a labeller always finds its fault, little where it seldom does. What is maximised is the log likelihood plus that of the prior; it never falls, and is appended to ``objective`` round by round. It starts from
+    trusting a vote against a document more than votes for it.
     """
     keys = sorted(patterns)
     if not keys:
@@ -114,12 +115,15 @@ def em(patterns: dict[tuple[int, ...], int], rounds: int = 60) -> dict[tuple[int
     v, n = np.array(keys) + 1, np.array([patterns[k] for k in keys], float)
     good = sigmoid(2.0 - 4.0 * (v == 0).sum(1))
     for _ in range(rounds):
-        logs = []
+        logs, prior = [], 0.0
         for w in (n * (1 - good), n * good):
             rates = np.array([[w[v[:, j] == x].sum() + 1 for x in range(3)] for j in range(v.shape[1])])
-            rates /= w.sum() + 3
-            rates[:, 1] = 1  # an abstention says nothing
-            logs.append(np.log(w.sum() + 1) + sum(np.log(rates[j][v[:, j]]) for j in range(v.shape[1])))
+            rates /= rates.sum(1, keepdims=True)
+            share = (w.sum() + 1) / (n.sum() + 2)
+            prior += np.log(rates).sum() + np.log(share)
+            logs.append(np.log(share) + sum(np.log(rates[j][v[:, j]]) for j in range(v.shape[1])))
+        if objective is not None:
+            objective.append(float((n * np.logaddexp(*logs)).sum() + prior))
         good = sigmoid(logs[1] - logs[0])
     return {k: float(p) for k, p in zip(keys, good, strict=True)}
 

@@ -1,5 +1,7 @@
 import random
+from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 
@@ -160,3 +162,29 @@ def test_pipeline_on_odd_rows(spark, tmp_path):
     assert 104 not in kept[1] and kept[2].count(0) == 2 and kept[2].count(None) == 1 and set(range(30)) - {5, 6} <= set(kept[2])
     spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/none/documents.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_em_never_falls_and_equals_plain_python():
+    from test_pipeline_brute_force import plain_em
+
+    r = random.Random(8)
+    for share in (0.1, 0.5, 0.8):
+        counts = Counter()
+        for _ in range(3000):
+            bad = r.random() < share
+            counts[tuple(-1 if bad and r.random() < 0.3 else 0 for _ in range(4)) + tuple((r.choice([-1, 0]) if bad else r.choice([0, 1, 1])) if r.random() < 0.9 else 0 for _ in range(3))] += 1
+        seen = []
+        got, want = weak_quality.em(dict(counts), objective=seen), plain_em(counts)
+        assert all(b >= a - 1e-6 for a, b in zip(seen, seen[1:], strict=False)) and max(abs(got[k] - want[k]) for k in counts) < 1e-6
+
+
+def test_junk_of_any_share_is_told_apart():
+    """Votes on the driver's labelled documents, with as many good ones drawn, again and again, as make junk a tenth to four fifths of all."""
+    base = duckdb.connect()
+    found = base.sql("select text, quality from '/root/testdata/sf0.01/documents.parquet' join '/root/testdata/sf0.01/labels.parquet' using (doc_id)").fetchall()
+    bad, good = ([weak_quality.votes((t or "").encode()) for t, q in found if q == k] for k in (0, 1))
+    r = random.Random(4)
+    for share in (0.1, 0.3, 0.6, 0.8):
+        more = [r.choice(good) for _ in range(int(20 * len(bad) * (1 - share) / share))]
+        posterior = weak_quality.em(dict(Counter(bad * 20 + more)))
+        assert sum(posterior[v] < 0.5 for v in bad) / len(bad) > 0.95 and sum(posterior[v] > 0.5 for v in more) / len(more) > 0.97, share

@@ -1,5 +1,6 @@
 """Every stage of the pipeline against plain Python over all documents and pairs, each on what its predecessor kept."""
 
+import math
 import random
 from collections import Counter
 
@@ -18,6 +19,19 @@ FIRST, LAST = ("lo", "mi", "tra", "ven", "sul", "por", "ha"), ("ra", "ne", "dil"
 WORDS = [a + b for a in FIRST for b in LAST] + [a + b + c for a in FIRST for b in FIRST for c in LAST]
 
 
+def plain_em(counts, rounds=60):
+    """Expectation-maximisation document class by document class, written out."""
+    good = {k: 1 / (1 + math.exp(4.0 * k.count(-1) - 2.0)) for k in counts}
+    for _ in range(rounds):
+        logs = {}
+        for name, weight in (("bad", {k: n * (1 - good[k]) for k, n in counts.items()}), ("good", {k: n * good[k] for k, n in counts.items()})):
+            total = sum(weight.values())
+            rate = [{x: (1 + sum(w for k, w in weight.items() if k[j] == x)) / (total + 3) for x in (-1, 0, 1)} for j in range(len(next(iter(counts))))]
+            logs[name] = {k: math.log(total + 1) + sum(math.log(rate[j][x]) for j, x in enumerate(k)) for k in counts}
+        good = {k: 1 / (1 + math.exp(min(700, logs["bad"][k] - logs["good"][k]))) for k in counts}
+    return good
+
+
 def line(n):
     return " ".join(RNG.choice(WORDS) for _ in range(n)).capitalize() + "."
 
@@ -47,7 +61,7 @@ def corpus():
 def good(rows):
     """Ids that a scorer keeps which is fitted without Spark."""
     found = [(t or "").encode() for _, t in rows]
-    posterior = weak_quality.em(dict(Counter(map(weak_quality.votes, found))))
+    posterior = plain_em(Counter(map(weak_quality.votes, found)))
     x = [weak_quality.features(t) for t in found]
     sparse = Rows([np.array(i, np.int64) for i, _ in x], [np.array(v, float) for _, v in x], 1 << weak_quality.BITS)
     w, v = fit(sparse, np.zeros((len(found), 0)), np.array([posterior[weak_quality.votes(t)] for t in found]), l2=1e-4, steps=150)
