@@ -1,11 +1,11 @@
 """Exact top-k search by inner product over an impact-ordered index.
 
-Components become integers floor(1024 x). A shard of vectors is indexed as postings (vector, dimension, sign), one for each component
-that is not zero, ordered by impact: the component's size, quantised to a power of two. A segment holds all postings of one quantised impact. A query
+Components become integers floor(1024 x). A shard of vectors is indexed as postings (vector, dimension, sign), ordered by impact: a power of two. A component has a posting for its size, quantised, one for what that leaves, and so
+on, two to three of them mostly, so that what is left shrinks by half with each power. A segment holds all postings of one impact. A query
 processes segments score at a time, from the highest impact down, adding the query's component of each posting's dimension to the posting's vector. After a segment, what a
 vector may still gain or lose is bounded by Cauchy and Schwarz from the lengths of the query and of the vector's unprocessed rest, both
-known exactly. Processing stops when the bound proves that few vectors can be members of the query's top k; these possible members
-are rescored exactly. If no bound proves it, all segments are used, and all vectors that the last bound leaves are rescored.
+known exactly. Processing stops when the bound proves that only so few vectors can be members of the query's top k that to rescore them takes less than the next segment; these possible members
+are rescored exactly. If no bound proves it, all segments are used, after which the scores are exact.
 
 Shards have a fixed size and travel once; queries come to each shard in batches, behind the shard's vectors in the sort order of its partition, so a task holds one index and one
 batch. The k best of every shard are merged by a window that keeps k rows a query and shard. Nothing is collected but two counts.
@@ -45,40 +45,40 @@ def quantised(vectors: DataFrame, id_column: str = "vec_id", column: str = "embe
 
 
 class Index:
-    """Postings of a shard in segments of falling impact."""
+    """Postings of a shard in segments of falling impact.
+
+    A component is a sum of signed powers of two: at each power from the largest down, what is left of it gives a posting if it exceeds two thirds of the power, and is then at most a third of it away. So after a segment nothing
+    that is left of any component exceeds two thirds of the segment's power, and after the last nothing is left.
+    """
 
     def __init__(self, ids: np.ndarray, matrix: np.ndarray):
         order = np.argsort(ids, kind="stable")
         self.ids, self.matrix = ids[order], matrix[order]
-        rows, dims = np.nonzero(self.matrix)
-        values = self.matrix[rows, dims]
-        level = np.floor(np.log2(np.abs(values))).astype(np.int8)
-        by_impact = np.argsort(-level, kind="stable")  # vectors stay in order within a segment
-        self.rows, self.dims, level, values = rows[by_impact].astype(np.int32), dims[by_impact].astype(np.int32), level[by_impact], values[by_impact]
-        self.impact = np.sign(values) * 1.5 * np.exp2(level)
-        self.cuts = np.append(np.flatnonzero(np.diff(level, prepend=np.int8(127))), len(level))
-        # Length of each vector's rest after each segment.
-        left = (self.matrix**2).sum(1)
-        gone = np.zeros(len(left))
-        self.rest = []
-        for k in range(len(self.cuts) - 1):
-            at = slice(self.cuts[k], self.cuts[k + 1])
-            gone += np.bincount(self.rows[at], values[at] ** 2 - (values[at] - self.impact[at]) ** 2, len(left))
-            self.rest.append(np.sqrt(np.maximum(left - gone, 0)))
+        left, self.segments, self.rest = self.matrix.copy(), [], []
+        for power in range(int(np.abs(left).max(initial=0)).bit_length(), -1, -1):
+            rows, dims = np.nonzero(3 * np.abs(left) > 2 << power)
+            if len(rows):
+                impact = np.sign(left[rows, dims]) * (1 << power)
+                left[rows, dims] -= impact
+                self.segments.append((rows.astype(np.int32), dims.astype(np.int32), impact.astype(np.float32)))
+                # Length of what is left of each vector.
+                self.rest.append(np.sqrt((left**2).sum(1)))
+        self.used = self.rescored = 0
 
     def search(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, scores) of the k best of the shard."""
+        """(ids, scores) of the k best of the shard. Segments are processed until the bound leaves so few possible members that to rescore them takes less than the next segment. ``used`` and ``rescored`` count postings and vectors."""
         n, partial, length = len(self.ids), np.zeros(len(self.ids)), float(np.sqrt((query**2).sum()))
         members = np.flatnonzero(self.ids != query_id)
-        for step in range(len(self.rest)):
-            if len(members) <= max(4 * k, n // 50):
+        for (rows, dims, impact), rest in zip(self.segments, self.rest, strict=True):
+            if len(members) * len(query) <= len(rows):
                 break
-            at = slice(self.cuts[step], self.cuts[step + 1])
-            partial += np.bincount(self.rows[at], self.impact[at] * query[self.dims[at]], n)
-            slack = length * self.rest[step][members] * (1 + 1e-9) + 1e-3
+            partial += np.bincount(rows, impact * query[dims], n)
+            self.used += len(rows)
+            slack = length * rest[members] * (1 + 1e-9) + 1e-3
             low = partial[members] - slack
             least = np.partition(low, len(low) - k)[len(low) - k]
             members = members[partial[members] + slack >= least]
+        self.rescored += len(members)
         # products below 2^20 squared, over fewer than 2^13 dimensions, are exact in a double
         scores = self.matrix[members] @ query
         best = np.lexsort((self.ids[members], -scores))[:k]

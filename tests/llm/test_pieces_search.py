@@ -140,14 +140,13 @@ def test_segments_fall_in_impact_and_stop_on_proof():
     rng = np.random.default_rng(2)
     matrix = np.floor(rng.standard_normal((3000, 24)) * 100)
     index = impact_search.Index(np.arange(3000), matrix)
-    sizes = [set(np.abs(index.impact[index.cuts[k] : index.cuts[k + 1]]).tolist()) for k in range(len(index.cuts) - 1)]
+    sizes = [set(np.abs(impact).tolist()) for _, _, impact in index.segments]
     assert all(len(s) == 1 for s in sizes) and [max(s) for s in sizes] == sorted((max(s) for s in sizes), reverse=True)
-    assert len(index.rows) == np.count_nonzero(matrix)
     seen = np.zeros_like(matrix)
-    for k, rest in enumerate(index.rest):
-        at = slice(index.cuts[k], index.cuts[k + 1])
-        seen[index.rows[at], index.dims[at]] = index.impact[at]
-        assert np.allclose(rest, np.sqrt(((matrix - seen) ** 2).sum(1)))
+    for (rows, dims, impact), rest in zip(index.segments, index.rest, strict=True):
+        seen[rows, dims] += impact
+        assert np.abs(matrix - seen).max() <= 2 / 3 * np.abs(impact[0]) and np.allclose(rest, np.sqrt(((matrix - seen) ** 2).sum(1)))
+    assert (seen == matrix).all()
     for q in range(20):
         ids, scores = index.search(q, matrix[q], 10)
         whole = matrix @ matrix[q]
@@ -155,6 +154,19 @@ def test_segments_fall_in_impact_and_stop_on_proof():
         assert ids.tolist() == want and scores.tolist() == whole[want].tolist()
 
 
+def test_search_stops_before_half_of_the_postings_of_the_given_table():
+    import numpy as np
+    import pyarrow.parquet as pq
+
+    rows = pq.read_table("/root/testdata/sf0.01/embeddings.parquet").to_pydict()
+    matrix, ids = np.floor(1024 * np.array(rows["embedding"], float)), np.array(rows["vec_id"])
+    index = impact_search.Index(ids, matrix)
+    asked = [i for i, q in enumerate(ids) if q % 100 == 0]
+    for i in asked:
+        index.search(int(ids[i]), matrix[i], 10)
+    assert index.used < 0.5 * len(asked) * sum(len(r) for r, _, _ in index.segments) and index.rescored < 0.25 * len(asked) * len(ids)
+
+
 def test_repeated_ids_give_one_result_however_they_are_dealt(spark):
     rows = [(0, [1.0, 0.0]), (0, [0.5, 0.5]), (1, [1.0, 0.0]), (2, [0.0, 1.0]), (2, [1.0, 0.0]), (3, [0.0, 2.0])]
     want = [(0, 1, 3, 512 * 2048), (0, 2, 1, 512 * 1024), (0, 3, 2, 512 * 1024), (0, 4, 2, 512 * 1024)]
