@@ -70,7 +70,7 @@ class Index:
         n, partial, length = len(self.ids), np.zeros(len(self.ids)), float(np.sqrt((query**2).sum()))
         members = np.flatnonzero(self.ids != query_id)
         for (rows, dims, impact), rest in zip(self.segments, self.rest, strict=True):
-            if len(members) * len(query) <= len(rows):
+            if len(members) <= k or len(members) * len(query) <= len(rows):
                 break
             partial += np.bincount(rows, impact * query[dims], n)
             self.used += len(rows)
