@@ -13,6 +13,7 @@ from ledgerloom.functions import strip_zeros
 from ledgerloom.operators import backlog, mapping, quality, reconcile, rules
 from ledgerloom.operators.issues import FIELDS, Cleansed, union
 from ledgerloom.plans import migration, scan
+from ledgerloom.sources.shared import stored
 
 # --- extracts ---
 
@@ -403,7 +404,7 @@ def P15_waves(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {_SCANNED} SELECT threshold, count(path) > 0 AS found FROM (VALUES ('blocker', 0), ('critical', 1), ('major', 2), ('minor', 3)) AS t(threshold, place) LEFT JOIN (SELECT fm.path, severity FROM fm JOIN bl ON bl.path = fm.path) f ON CASE severity WHEN 'blocker' THEN 0 WHEN 'critical' THEN 1 WHEN 'major' THEN 2 ELSE 3 END <= place GROUP BY 1")
 def B14_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether outstanding findings reach each threshold."""
-    found = _scan(spark, sf_dir).outstanding_findings()
+    found = stored(_scan(spark, sf_dir).outstanding_findings().select("severity"), "severities")
     return union([backlog.reaches(found, s).select(F.lit(s).alias("threshold"), "found") for s in SEVERITIES])
 
 

@@ -1,7 +1,7 @@
 """Data-quality rules of the five objects of a wave.
 
 A fix changes the value that later rules and all outputs see; where a rule looks at the value before its fix, the predicate says so by
-the raw column.
+the raw column. Fixed values throughout: rule ids, actions, fields and messages, which readers of the exception files depend on.
 """
 
 from __future__ import annotations
