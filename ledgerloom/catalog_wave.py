@@ -310,7 +310,7 @@ def _scan(spark: SparkSession, sf_dir: str) -> scan.Scan:
     rows = orders.groupBy(path.alias("path")).agg(F.array_sort(F.collect_list(F.struct("o_orderkey", line.alias("line")))).alias("all"))
     sources = rows.select("path", F.array_join(F.transform("all", lambda x: x["line"]), "\n").alias("text"))
     inventory = customers.selectExpr(*(f"{e} AS {c}" for c, e in _INVENTORY.items()), "c_custkey AS _seq")
-    return scan.scan(spark, sources, inventory, customers.where(_TESTED).selectExpr("'zp' || c_custkey AS name"))
+    return scan.scan(spark, sources, inventory, customers.where(_TESTED).selectExpr("'zp' || c_custkey AS name"), store=True)
 
 
 def _quoted(text: str) -> str:
@@ -367,8 +367,8 @@ def P16_findings_by_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
 def P12_finding_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outstanding findings in the order of the report: objects by priority, then lines, then rules."""
     found = _scan(spark, sf_dir)
-    rows = found.findings.join(found.backlog().select("path", "position"), "path").withColumn("order", F.struct("position", "line", "rule_id"))
-    return mapping.numbered(rows, "order", 1, "place").select("path", "line", "rule_id", F.col("place").cast("int").alias("place"))
+    rows = found.findings.join(found.backlog().select("path", "position"), "path").select("path", "line", "rule_id", F.struct("position", "line", "rule_id").alias("order"))
+    return mapping.numbered(stored(rows, "ordered"), "order", 1, "place").select("path", "line", "rule_id", F.col("place").cast("int").alias("place"))
 
 
 @query(f"WITH {_SCANNED} SELECT wave, count(*) AS objects, CAST(sum(findings) AS BIGINT) AS findings, round_even(sum(weighted_points) / 7.5, 1) AS engineer_days FROM bl GROUP BY 1")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgerloom.operators import backlog, rules, statements
 from ledgerloom.operators.issues import union
 from ledgerloom.sources import lines_of, read_sources, read_test_names
+from ledgerloom.sources.shared import stored
 
 
 @dataclass
@@ -26,7 +27,8 @@ class Scan:
 
     def held(self) -> Scan:
         """The same, computed once for all parts of a report. What is lost is computed again, with the same rows."""
-        return Scan(self.objects.persist(), self.findings.persist())
+        findings = self.findings.persist()  # first, as objects are made of them
+        return Scan(self.objects.persist(), findings)
 
     def release(self) -> None:
         self.objects.unpersist()
@@ -37,8 +39,8 @@ class Scan:
         return Scan(keep, self.findings.join(keep.select("path"), "path", "left_semi"))
 
 
-def scan(spark: SparkSession, sources: DataFrame, inventory: DataFrame | None = None, tests: DataFrame | None = None, include: Iterable[str] = (), exclude: Iterable[str] = ()) -> Scan:
-    """sources: (path, text). tests: (name) of objects with test evidence."""
+def scan(spark: SparkSession, sources: DataFrame, inventory: DataFrame | None = None, tests: DataFrame | None = None, include: Iterable[str] = (), exclude: Iterable[str] = (), store: bool = False) -> Scan:
+    """sources: (path, text). tests: (name) of objects with test evidence. store: write the findings to the folder that the cluster shares, where objects and findings are both read, so that statements are searched once."""
     chosen = rules.selected(include, exclude)
     lines = lines_of(sources)
     stmts = statements.with_depth(statements.statements(lines))
@@ -52,7 +54,7 @@ def scan(spark: SparkSession, sources: DataFrame, inventory: DataFrame | None =
     if rules.OBJECT_RULE in {r.id for r in chosen}:
         names = tests if tests is not None else spark.createDataFrame([], "name string")
         found = union([found, rules.object_findings(objects, names)])
-    found = rules.with_metadata(found, spark)
+    found = rules.with_metadata(stored(found, "findings") if store else found, spark)
     return Scan(backlog.per_object(objects, found), found)
 
 
