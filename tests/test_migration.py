@@ -213,3 +213,34 @@ def test_numbering_is_the_same_for_any_partitioning(spark):
 def test_document_side_codes(spark):
     rows = spark.createDataFrame([("d", "S", "5.00", 1), ("d", "H", "5.00", 2), ("d", "Z", "9.00", 3)], "k string, side string, amount string, _seq int")
     assert tuple(quality.document_totals(rows, ["k"], F.col("side"), F.col("amount").cast("decimal(38,2)")).first()[1:3]) == (5, 5)
+
+
+def _wave_of_published_size(folder):
+    """Rows of our own that have the counts of the published wave: records, rejects, warnings, merged partners and checks."""
+
+    def put(name, head, rows):
+        text = io.StringIO()
+        out = csv.writer(text, lineterminator="\n")
+        out.writerow(head.split(","))
+        out.writerows(rows)
+        (folder / name).write_text(text.getvalue())
+
+    put("ecc_mara_material_master.csv", MATERIALS.split("\n")[0], [
+        (f"M{i:02}", "FERT", "G", "" if i == 18 else "KG", "" if i == 3 else "1", "KG", "01", "X" if i < 14 or i == 19 else "", "365" if i < 14 else "", "", "TWIN" if i in (4, 5) else f"TEXT {i}", "P1", "D") for i in range(20)])
+    person = lambda i, name, land, tail: (f"{i:04}", name, land, "Town", "" if name == "Anna 5" else "1", "Way", "C1", "1", "Z", "V" + name[-2:], "D", *tail)
+    put("ecc_kna1_customers.csv", CUSTOMERS.split("\n")[0], [person(i, "Anna 1" if i == 2 else f"Anna {i}", "XX" if i == 15 else "DE", ()) for i in range(16)])
+    put("ecc_lfa1_vendors.csv", VENDORS.split("\n")[0], [person(100 + i, "Anna 7" if i == 9 else "Bert 1" if i == 2 else f"Bert {i}", "" if i == 13 else "DE", ("" if i in (0, 3, 4, 6, 8) else "X",)) for i in range(14)])
+    items = [(f"C{d % 5}", d, 2026, n + 1, "DR", "10", "" if n else "9999" if d == 12 else "0001", "C", "SH"[n], "10.00" if (d, n) != (11, 1) else "10.10", "EUR", "20260101", "20260201") for d in range(13) for n in range(2)]
+    put("ecc_open_items.csv", ITEMS.split("\n")[0], items)
+    of = {14: "M18", 15: "M19", 16: "M01", 17: "M14", 18: "M15", 19: "none"}
+    put("ecc_batch_stock.csv", STOCK.split("\n")[0], [(f"P{i % 4}", "L", of.get(i, f"M{i % 14:02}"), f"B{i}", "5", "1" if i < 6 else "0", "0", "ST" if i == 16 else "KG", "" if i == 7 else "20270101", "20250101", "") for i in range(20)])
+
+
+def test_a_wave_of_the_published_size_has_its_figures(spark, tmp_path):
+    _wave_of_published_size(tmp_path)
+    done = migration.run("wave0", extract_wave(spark, str(tmp_path)))
+    assert {c["object"]: (c["extracted"], c["rejected"], c["loaded"], c["warn"]) for c in done.counts()} == {
+        "materials": (20, 2, 18, 2), "customers": (16, 1, 15, 2), "vendors": (14, 1, 13, 6), "open_items": (26, 4, 22, 0), "batch_stock": (20, 6, 14, 7)}
+    checks = done.checks.collect()
+    assert len(checks) == 22 and all(c["passed"] for c in checks) and done.loads["business_partners"].count() == 25 and done.partners.merged_count().first()["merged"] == 3
+    done.release()
