@@ -4,7 +4,7 @@ from ledgerloom.llm.oracles import op9_base
 
 def test_every_operator_has_one_query():
     names = __spark_entry__.queries()
-    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14)) and "pipeline" in names
     assert set(__spark_entry__.oracle_sql()) <= set(names)
 
 
