@@ -113,8 +113,9 @@ def _expected() -> str:
 def K7_write_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every record of the load files, exceptions, rejects and the reconciliation of a whole migration, as it stands in the files."""
     out = fresh_path(spark, "wave")
-    done = migration.run("tables", {name: wave._extract(spark, sf_dir, name) for name in WAVE_FILES}, store=True)
+    done = migration.run("tables", {name: wave._extract(spark, sf_dir, name) for name in WAVE_FILES})
     migration.write(done, out, spark)
+    done.release()
     size = lambda f: spark._jvm.org.apache.hadoop.fs.Path(f"{out}/{f}").getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{out}/{f}")).getLen()
     found = [read_csv(spark, f"{out}/{f}").select(F.lit(f).alias("file"), F.expr(_record([f"`{c}`" for c in columns])).alias("record")) for f, columns in _FILES.items() if size(f)]  # a file without rows is empty
     checks = spark.read.json(f"{out}/reconciliation.json", multiLine=True).select(F.inline("checks"))

@@ -12,11 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 _own: list[str] = []
 
 
+def available(spark: SparkSession) -> bool:
+    """Whether there is such a folder: a session on one machine always has one."""
+    master = spark.sparkContext.master
+    return bool(spark.conf.get("spark.checkpoint.dir", None)) or master.startswith("local") and not master.startswith("local-cluster")
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path of its own in the folder that spark.checkpoint.dir names. Without one a local session gets a temporary folder; on a cluster that is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        if not available(spark):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         if not _own:
             _own.append(tempfile.mkdtemp(prefix="ledgerloom-files-"))
@@ -29,4 +35,6 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
     """Written to the shared folder and read again: computed once, planned once, and still there after an executor is lost."""
     path = fresh_path(rows.sparkSession, name)
     rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    out = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    out.stored_at = path
+    return out
