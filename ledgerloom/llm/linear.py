@@ -29,6 +29,12 @@ class Rows:
         out.ids, out.values, out.row, out.n, out.width = self.ids[keep], self.values[keep], place[self.row[keep]], len(rows), self.width
         return out
 
+    def only(self, columns: np.ndarray) -> Rows:
+        """Without the features that the mask lacks."""
+        out, keep = object.__new__(Rows), columns[self.ids]
+        out.ids, out.values, out.row, out.n, out.width = self.ids[keep], self.values[keep], self.row[keep], self.n, self.width
+        return out
+
 
 def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))

@@ -2,14 +2,15 @@
 
 Categories are predicted in a fixed order; each linear model sees hashed word and word-prefix features and the
 probabilities of the categories before it. Those probabilities are out-of-fold when a model is trained, so that
-it learns from the errors it will meet, and come from models fitted on the whole sample when documents are scored.
+it learns from the errors it will meet: features, kinds and links that made them never saw the document's fold. When documents are scored,
+they come from models fitted on the whole sample.
 
 Labels say toxic or not. The narrower categories are found in the data: features that mark toxic documents are grouped by the documents
 they occur in, and a toxic document is of each kind whose features it holds most. The chain is kind_1, kind_2, ..., toxic.
 
 Training uses a bounded sample of labelled documents (``max_positive``, ``max_negative``: those with the smallest hashes
-of their id); scoring reads every document whole. Features are counted and chosen on the executors; the driver gets at most ``most`` of them and the sample's
-rows of those.
+of their id); scoring reads every document whole. Features are counted and chosen on the executors; the driver gets at most ``most`` of them for each set of folds
+that a chain is trained on (eleven, for four folds and three categories) and the sample's rows of those.
 
 Defined cases: null or empty text has no features and gets the probabilities of the bias; null ids are scored and
 keep their null id; repeated labels of one id count once, as the highest; labels without a document and null labels are
@@ -19,12 +20,13 @@ every probability is 0; extra columns are ignored; an empty table gives an empty
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import functools
+import itertools
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import arrow_map, drop, stored, texts
@@ -55,40 +57,87 @@ class Chain:
     dense: list[np.ndarray]  # of each category: weights of the earlier probabilities, then the bias
 
     def probabilities(self, columns: list[list[int]]) -> np.ndarray:
-        out = np.zeros((len(columns), len(self.categories)))
-        x = Rows([np.array(c, np.int64) for c in columns], None, len(self.place))
-        for k in range(len(self.categories)):
-            out[:, k] = sigmoid(x.dot(self.sparse[k]) + out[:, :k] @ self.dense[k][:-1] + self.dense[k][-1])
-        return out
+        return predict(Rows([np.array(c, np.int64) for c in columns], None, len(self.place)), list(zip(self.sparse, self.dense, strict=True)))
+
+
+@dataclass
+class Sample:
+    """The training sample, by document id: its rows of features, the target and the fold of each, and for each set of folds the features (as columns) that the documents in it choose, with their scores."""
+
+    features: np.ndarray
+    rows: Rows
+    target: np.ndarray
+    fold: np.ndarray
+    chosen: dict[frozenset[int], tuple[np.ndarray, np.ndarray]]
+
+
+def subsets(folds: int, without: int) -> list[frozenset[int]]:
+    """All sets of folds that lack up to ``without`` of them."""
+    return [frozenset(range(folds)) - set(gone) for k in range(without + 1) for gone in itertools.combinations(range(folds), k)]
+
+
+def fit_chain(sample: Sample, kinds: int) -> Chain:
+    """What a link learns from, of a document in fold g, are the probabilities of a shorter chain that was trained without fold g: its features and kinds were chosen without it, and what its own links learned
+    from was made in the same way one level down. With f folds and c categories that takes chains on all sets that lack up to c - 1 folds, each once.
+    """
+    categories = (*(f"kind_{k + 1}" for k in range(kinds)), "toxic")
+    every = max(sample.chosen, key=len)
+    columns = sample.chosen[every][0]
+    if not len(sample.target):
+        return Chain(categories, {}, np.zeros((kinds + 1, 0)), [np.append(np.zeros(k), -40.0) for k in range(kinds + 1)])
+    whole = kinds_of(sample.rows, sample.target, *sample.chosen[every], kinds)
+
+    @functools.cache
+    def labels(inside: frozenset[int]) -> np.ndarray:
+        """Kinds and target of all documents, of which only those inside count. Kinds found without some folds take the names of those found in all that they share most documents with."""
+        if inside == every:
+            return np.column_stack([whole, sample.target])
+        there = np.isin(sample.fold, list(inside))
+        found = kinds_of(sample.rows, sample.target * there, *sample.chosen[inside], kinds)
+        return np.column_stack([named_alike(found, whole * there[:, None]), sample.target])
+
+    @functools.cache
+    def links(inside: frozenset[int], many: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Weights of the first links of a chain trained on the documents of these folds."""
+        at = np.flatnonzero(np.isin(sample.fold, list(inside)))
+        known = np.zeros(sample.rows.width, bool)
+        known[sample.chosen[inside][0]] = True
+        before = links(inside, many - 1) if many > 1 else []
+        earlier = np.zeros((len(sample.target), many - 1))
+        for g in inside if many > 1 else ():
+            held = np.flatnonzero(sample.fold == g)
+            earlier[held] = predict(sample.rows.take(held), links(inside - {g}, many - 1))
+        if not len(at):
+            return [*before, (np.zeros(sample.rows.width), np.append(np.zeros(many - 1), -40.0))]
+        return [*before, fit(sample.rows.take(at).only(known), earlier[at], labels(inside)[at, many - 1].astype(float))]
+
+    found = links(every, kinds + 1)
+    place = {int(f): i for i, f in enumerate(sample.features[columns])}
+    return Chain(categories, place, np.array([w[columns] for w, _ in found]), [v for _, v in found])
+
+
+def predict(x: Rows, links: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """(rows, links): each link's probability, given those of the links before it."""
+    out = np.zeros((x.n, len(links)))
+    for k, (w, v) in enumerate(links):
+        out[:, k] = sigmoid(x.dot(w) + out[:, :k] @ v[:-1] + v[-1])
+    return out
+
+
+def named_alike(found: np.ndarray, like: np.ndarray) -> np.ndarray:
+    """Columns of found in the order of the columns of like that they share most rows with, the closest pair first."""
+    shared, out = (found.T @ like).astype(float), np.zeros_like(found)
+    for _ in range(found.shape[1]):
+        a, b = np.unravel_index(int(np.argmax(shared)), shared.shape)
+        out[:, b] = found[:, a]
+        shared[a], shared[:, b] = -1, -1
+    return out
+
 
+def sample(docs: DataFrame, labels: DataFrame, target: str, max_positive: int, max_negative: int, most: int, folds: int, without: int, least_docs: int = 4, z: float = 3.5) -> Sample:
+    """The bounded training sample with what each set of folds that lacks up to ``without`` of them chooses.
 
-def fit_chain(ids: list[np.ndarray], chosen: np.ndarray, labels: np.ndarray, categories: Sequence[str], folds: int = 4) -> Chain:
-    """ids: chosen features of each document, sorted. labels: (documents, categories) of 0 and 1. Document i is in fold i modulo ``folds``."""
-    n = len(ids)
-    if not n:
-        return Chain(tuple(categories), {}, np.zeros((len(categories), 0)), [np.append(np.zeros(k), -40.0) for k in range(len(categories))])
-    place = {int(f): i for i, f in enumerate(chosen)}
-    x = Rows([np.searchsorted(chosen, f) for f in ids], None, len(chosen))
-    earlier, sparse, dense = np.zeros((n, 0)), [], []
-    for k in range(labels.shape[1]):
-        y, ahead = labels[:, k].astype(float), np.zeros(n)
-        # The last category is handed on to none.
-        for fold in range(folds if n >= 2 * folds and k + 1 < labels.shape[1] else 0):
-            out = np.arange(n) % folds == fold
-            w, v = fit(x.take(np.flatnonzero(~out)), earlier[~out], y[~out])
-            held = x.take(np.flatnonzero(out))
-            ahead[out] = sigmoid(held.dot(w) + earlier[out] @ v[:-1] + v[-1])
-        w, v = fit(x, earlier, y)
-        sparse.append(w)
-        dense.append(v)
-        earlier = np.column_stack([earlier, ahead])
-    return Chain(tuple(categories), place, np.array(sparse), dense)
-
-
-def sample(docs: DataFrame, labels: DataFrame, target: str, max_positive: int, max_negative: int, most: int, least_docs: int = 4, z: float = 3.5) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
-    """Of the bounded training sample, by id: chosen features and target; then the chosen features and their scores.
-
-    Chosen are features in ``least_docs`` documents or more whose rates differ between the classes by z standard errors, the strongest ``most`` of them.
+    Chosen are features in ``least_docs`` documents of the set or more whose rates differ between the classes by z standard errors, the strongest ``most`` of them. A document's fold depends on its id alone.
     """
     known = labels.where(F.col(target).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(target).alias("y"))
     order = F.xxhash64("doc_id", F.lit(17))
@@ -110,33 +159,50 @@ def sample(docs: DataFrame, labels: DataFrame, target: str, max_positive: int, m
         return pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(2).cast(pa.int32()), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "y", "ids"])
 
     one = arrow_map(rows, f, "doc_id long, y int, ids array<int>").groupBy("doc_id").agg(F.min(F.struct("y", "ids")).alias("x"))
-    one = stored(one.select("doc_id", "x.*"), "toxic-sample")
-    total = one.agg(F.count("*").alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("p")).first()
-    p, n = max(1, total["p"]), max(1, total["n"] - total["p"])
-    counts = one.select("y", F.explode("ids").alias("f")).groupBy("f").agg(F.sum("y").alias("hit"), F.count("*").alias("there")).where(F.col("there") >= least_docs)
-    rate = F.col("there") / max(1, total["n"])
-    score = (F.col("hit") / p - (F.col("there") - F.col("hit")) / n) / F.sqrt(F.greatest(rate * (1 - rate), F.lit(1e-12)) * (1 / p + 1 / n))
-    best = sorted((r["f"], r["z"]) for r in counts.select("f", score.alias("z")).where(F.abs("z") >= z).orderBy(F.desc(F.abs("z")), "f").limit(most).collect())
-    chosen = np.array([x for x, _ in best], np.int64)
+    one = stored(one.select("doc_id", "x.*", F.pmod(F.xxhash64("doc_id", F.lit(23)), F.lit(folds)).cast("int").alias("fold")), "toxic-sample")
+    sizes = {r["fold"]: (r["p"], r["n"]) for r in one.groupBy("fold").agg(F.sum("y").alias("p"), F.count("*").alias("n")).collect()}
+    in_fold = [F.col("fold") == g for g in range(folds)]
+    counts = one.select("y", "fold", F.explode("ids").alias("f")).groupBy("f").agg(
+        *(F.coalesce(F.sum(F.when(is_in, F.col("y"))), F.lit(0)).alias(f"hit_{g}") for g, is_in in enumerate(in_fold)), *(F.count_if(is_in).alias(f"there_{g}") for g, is_in in enumerate(in_fold)))
+    sets = subsets(folds, without)
+    scores = []
+    for inside in sets:
+        p, n = (sum(sizes.get(g, (0, 0))[k] for g in inside) for k in (0, 1))
+        hit, there = (functools.reduce(lambda a, b: a + b, (F.col(f"{name}_{g}") for g in sorted(inside))) for name in ("hit", "there"))
+        rate = there / max(1, n)
+        score = (hit / max(1, p) - (there - hit) / max(1, n - p)) / F.sqrt(F.greatest(rate * (1 - rate), F.lit(1e-12)) * (1 / max(1, p) + 1 / max(1, n - p)))
+        scores.append(F.when(there >= least_docs, score))
+    strong = counts.select("f", F.posexplode(F.array(*scores)).alias("s", "z")).where(F.abs("z") >= z)
+    # A set has at most 2^BITS features here, and as many as are asked for leave each task.
+    place = F.row_number().over(Window.partitionBy("s").orderBy(F.desc(F.abs("z")), "f"))
+    best = sorted((r["f"], r["s"], r["z"]) for r in strong.withColumn("place", place).where(F.col("place") <= most).collect())
+    features = np.array(sorted({b[0] for b in best}), np.int64)
+    chosen = {}
+    for i, inside in enumerate(sets):
+        mine = [(b[0], b[2]) for b in best if b[1] == i]
+        chosen[inside] = (np.searchsorted(features, np.array([x for x, _ in mine], np.int64)), np.array([s for _, s in mine]))
 
     def g(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [x[np.isin(x, chosen)] for x in (np.array(v, np.int64) for v in batch.column(2).to_pylist())]
-        return pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found, pa.list_(pa.int32()))], ["doc_id", "y", "ids"])
+        found = [x[np.isin(x, features)] for x in (np.array(v, np.int64) for v in batch.column(2).to_pylist())]
+        return pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found, pa.list_(pa.int32())), batch.column(3)], ["doc_id", "y", "ids", "fold"])
 
-    got = sorted(tuple(r) for r in arrow_map(one, g, "doc_id long, y int, ids array<int>").collect())
+    got = sorted(tuple(r) for r in arrow_map(one, g, "doc_id long, y int, ids array<int>, fold int").collect())
     drop(one)
-    return [np.array(r[2], np.int64) for r in got], np.array([r[1] for r in got], np.int64), chosen, np.array([s for _, s in best])
+    rows_of = Rows([np.searchsorted(features, np.array(r[2], np.int64)) for r in got], None, len(features))
+    return Sample(features, rows_of, np.array([r[1] for r in got], np.int64), np.array([r[3] for r in got], np.int64), chosen)
 
 
-def kinds_of(ids: list[np.ndarray], toxic: np.ndarray, chosen: np.ndarray, scores: np.ndarray, kinds: int, rounds: int = 20) -> np.ndarray:
+def kinds_of(rows: Rows, toxic: np.ndarray, chosen: np.ndarray, scores: np.ndarray, kinds: int, rounds: int = 20) -> np.ndarray:
     """(documents, kinds) of 0 and 1. Features that mark toxic documents are grouped by k-means on the documents that hold them, from centres far apart; no randomness."""
     marks, members = chosen[scores > 0], np.flatnonzero(toxic)
-    out = np.zeros((len(ids), kinds), np.int64)
-    if not len(marks) or not len(members):
+    out = np.zeros((rows.n, kinds), np.int64)
+    if not len(marks) or not len(members) or not kinds:
         return out
-    held = np.zeros((len(marks), len(members)))
-    for j, i in enumerate(members):
-        held[np.isin(marks, ids[i]), j] = 1
+    at = np.full(rows.width, -1)
+    at[marks] = np.arange(len(marks))
+    part = rows.take(members)
+    held, there = np.zeros((len(marks), len(members))), at[part.ids] >= 0
+    held[at[part.ids[there]], part.row[there]] = 1
     unit = held / np.maximum(np.sqrt(held.sum(1, keepdims=True)), 1e-9)
     centres = unit[[int(np.argmax(scores[scores > 0]))]]
     while len(centres) < kinds:
@@ -150,11 +216,11 @@ def kinds_of(ids: list[np.ndarray], toxic: np.ndarray, chosen: np.ndarray, score
     return out
 
 
-def train(docs: DataFrame, labels: DataFrame, max_positive: int = 3000, max_negative: int = 6000, kinds: int = 2, most: int = 2048) -> Chain:
-    """Chain kind_1 -> kind_2 -> ... -> toxic."""
-    ids, toxic, chosen, scores = sample(docs, labels, "toxic", max_positive, max_negative, most)
-    y = np.column_stack([kinds_of(ids, toxic, chosen, scores, kinds), toxic]) if len(ids) else np.zeros((0, kinds + 1))
-    return fit_chain(ids, chosen, y, (*(f"kind_{k + 1}" for k in range(kinds)), "toxic"))
+def train(docs: DataFrame, labels: DataFrame, max_positive: int = 3000, max_negative: int = 6000, kinds: int = 2, most: int = 2048, folds: int = 4) -> Chain:
+    """Chain kind_1 -> kind_2 -> ... -> toxic. There must be more folds than kinds, so that each link is trained on one fold at least."""
+    if folds <= kinds:
+        raise ValueError("more folds than kinds are needed")
+    return fit_chain(sample(docs, labels, "toxic", max_positive, max_negative, most, folds, kinds), kinds)
 
 
 def score(docs: DataFrame, chain: Chain, threshold: float = 0.5) -> DataFrame:

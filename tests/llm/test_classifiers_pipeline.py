@@ -1,9 +1,14 @@
+import functools
+import math
+import operator
 import random
+import re
 from collections import Counter
 
 import duckdb
 import numpy as np
 import pytest
+import xxhash
 
 import corpus_pipeline
 from ledgerloom.llm import common, toxicity, weak_quality
@@ -46,37 +51,140 @@ def test_toxicity_on_held_out_documents(spark, docs_of):
     assert toxicity.score(docs.where("false"), chain).count() == 0
 
 
-def test_chain_matches_plain_loops():
-    """The chain against a reference that holds dense rows and calls the models one by one."""
-    rng = np.random.default_rng(3)
-    ids = [np.sort(rng.choice([5, 9, 11, 40, 77], rng.integers(0, 5), replace=False)) for _ in range(120)]
-    chosen = np.array([5, 9, 11, 40, 77])
-    labels = np.array([[int(9 in i), int(9 in i or 77 in i), int((9 in i) != (40 in i))] for i in ids])
-    chain = toxicity.fit_chain(ids, chosen, labels, ("a", "b", "c"), folds=3)
-    dense = np.array([[float(f in i) for f in chosen] for i in ids])
-
-    def model(x, extra, y):
-        rows = Rows([np.flatnonzero(r) for r in x], None, x.shape[1])
-        w, v = fit(rows, extra, y.astype(float))
-        return lambda x2, e2: np.array([1 / (1 + np.exp(-(r @ w + e @ v[:-1] + v[-1]))) for r, e in zip(x2, e2, strict=True)])
-
-    seen, final = np.zeros((120, 0)), np.zeros((120, 0))
-    for k in range(3):
-        ahead = np.zeros(120)
-        for fold in range(3):
-            out = np.array([i % 3 == fold for i in range(120)])
-            ahead[out] = model(dense[~out], seen[~out], labels[~out, k])(dense[out], seen[out])
-        final = np.column_stack([final, model(dense, seen, labels[:, k])(dense, final)])
-        seen = np.column_stack([seen, ahead])
-    assert np.allclose(chain.probabilities([[int(np.flatnonzero(chosen == f)[0]) for f in i] for i in ids]), final, atol=1e-6)
+def plain_fit(x, extra, y, steps=100):
+    """Adam on log loss over rows that are dicts, one weight at a time."""
+    width = 1 + (len(extra[0]) if extra else 0)
+    extra = [[*e, 1.0] for e in extra]
+    w = {f: [0.0, 0.0, 0.0] for r in x for f in r}
+    v = [[0.0, 0.0, 0.0] for _ in range(width)]
+    for t in range(1, steps + 1):
+        grad, dense = {f: 1e-3 * w[f][0] for f in w}, [0.0] * width
+        for r, e, label in zip(x, extra, y, strict=True):
+            z = sum(w[f][0] for f in r) + sum(a * c[0] for a, c in zip(e, v, strict=True))
+            d = (1 / (1 + math.exp(-max(-40, min(40, z)))) - label) / len(x)
+            for f in r:
+                grad[f] += d
+            for i, a in enumerate(e):
+                dense[i] += d * a
+        for cell, d in [*((w[f], grad[f]) for f in w), *zip(v, dense, strict=True)]:
+            cell[1], cell[2] = 0.9 * cell[1] + 0.1 * d, 0.99 * cell[2] + 0.01 * d * d
+            cell[0] -= 0.3 * (1 - t / (steps + 1)) * (cell[1] / (1 - 0.9**t)) / (math.sqrt(cell[2] / (1 - 0.99**t)) + 1e-9)
+    return {f: c[0] for f, c in w.items()}, [c[0] for c in v]
+
+
+def plain_chosen(rows, y, most):
+    """Features of four documents or more whose rates differ by 3.5 standard errors, by id, with their scores."""
+    n, p = len(rows), sum(y)
+    there, hit = Counter(f for r in rows for f in r), Counter(f for r, label in zip(rows, y, strict=True) if label for f in r)
+    scores = {f: (hit[f] / max(1, p) - (c - hit[f]) / max(1, n - p)) / math.sqrt(max(c / n * (1 - c / n), 1e-12) * (1 / max(1, p) + 1 / max(1, n - p))) for f, c in there.items() if c >= 4}
+    best = sorted((f for f, z in scores.items() if abs(z) >= 3.5), key=lambda f: (-abs(scores[f]), f))[:most]
+    return {f: scores[f] for f in sorted(best)}
+
+
+def plain_kinds(rows, y, scores, kinds):
+    """Which kinds each document is of: k-means on the documents that hold a feature, by cosine."""
+    marks, members = [f for f, z in scores.items() if z > 0], [i for i, label in enumerate(y) if label]
+    out = [[0] * kinds for _ in rows]
+    if not marks or not members:
+        return out
+    unit = []
+    for f in marks:
+        v = [float(f in rows[i]) for i in members]
+        unit.append([a / math.sqrt(sum(v)) if sum(v) else 0.0 for a in v])
+    dot = lambda a, b: sum(map(operator.mul, a, b))
+    centres = [unit[max(range(len(marks)), key=lambda j: scores[marks[j]])]]
+    while len(centres) < kinds:
+        centres.append(unit[min(range(len(marks)), key=lambda j: max(dot(unit[j], c) for c in centres))])
+    group = []
+    for _ in range(20):
+        group = [max(range(kinds), key=lambda k, u=u: dot(u, centres[k])) for u in unit]
+        for k in range(kinds):
+            if k in group:
+                centres[k] = [sum(a) for a in zip(*(u for u, g in zip(unit, group, strict=True) if g == k), strict=True)]
+            size = math.sqrt(dot(centres[k], centres[k]))
+            centres[k] = [a / max(size, 1e-9) for a in centres[k]]
+    for i in members:
+        held = [sum(f in rows[i] for f, g in zip(marks, group, strict=True) if g == k) for k in range(kinds)]
+        out[i] = [int(h == max(held) and h > 0) for h in held]
+    return out
+
+
+def plain_chain(rows, y, fold, kinds, most):
+    """The chain by direct recursion: a chain of the first ``many`` links on the documents of some folds, with all that it learns from made without the fold that it is used for."""
+    every = frozenset(range(4))
+    whole = plain_kinds(rows, y, plain_chosen(rows, y, most), kinds)
+
+    def train(inside, many):
+        at = [i for i in range(len(rows)) if fold[i] in inside]
+        scores = plain_chosen([rows[i] for i in at], [y[i] for i in at], most)
+        found = plain_kinds([rows[i] for i in at], [y[i] for i in at], scores, kinds)
+        pairs = sorted(((-sum(found[j][a] * whole[i][b] for j, i in enumerate(at)), a, b) for a in range(kinds) for b in range(kinds)))
+        name = {}
+        for _, a, b in pairs:
+            if a not in name.values() and b not in name:
+                name[b] = a
+        labels = [[*(found[j][name[b]] for b in range(kinds)), y[i]] for j, i in enumerate(at)]
+        chain = []
+        for k in range(many):
+            earlier = [use(train(inside - {fold[i]}, k), rows[i]) for i in at] if k else [[] for _ in at]
+            chain.append(plain_fit([[f for f in rows[i] if f in scores] for i in at], earlier, [label[k] for label in labels]))
+        return chain
+
+    train = functools.cache(train)
+    return train(every, kinds + 1)
+
+
+def use(chain, row):
+    out = []
+    for w, v in chain:
+        z = sum(w.get(f, 0.0) for f in row) + sum(a * b for a, b in zip(out, v, strict=False)) + v[-1]
+        out.append(1 / (1 + math.exp(-max(-40, min(40, z)))))
+    return out
+
+
+def plain_features(text):
+    words = {w.encode() for w in re.split("[^a-z0-9]+", text.lower()) if w}
+    named = {b"w" + w for w in words} | {b"p%d" % k + w[:k] for w in words for k in range(3, 8) if len(w) >= k}
+    return sorted({xxhash.xxh3_64_intdigest(f) % (1 << 20) for f in named})
+
+
+def test_training_equals_plain_python(spark, docs_of):
+    """Sample, folds, features, kinds and links against plain Python that shares nothing with the operator but the folds' hash."""
+    r, texts = random.Random(5), []
+    for i in range(140):
+        words = [r.choice(WORDS) for _ in range(25)]
+        if i % 3 == 0:
+            words += r.sample(TOXIC[:2] if i % 2 else TOXIC[2:], r.choice((1, 2))) + r.sample(TOXIC, r.choice((0, 0, 1)))
+        texts.append(" ".join(words))
+    docs, toxic = docs_of(texts), [int(i % 3 == 0) for i in range(140)]
+    chain = toxicity.train(docs, spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int"), most=40)
+    fold = [x[0] for x in spark.range(140).selectExpr("cast(pmod(xxhash64(id, 23), 4) as int)").collect()]
+    rows = list(map(plain_features, texts))
+    want = plain_chain(rows, toxic, fold, 2, 40)
+    got = {x["doc_id"]: x for x in toxicity.score(docs, chain).collect()}
+    for i, row in enumerate(rows):
+        assert [got[i]["p_kind_1"], got[i]["p_kind_2"], got[i]["p_toxic"]] == pytest.approx(use(want, row), abs=1e-6)
+    assert len({got[i]["p_kind_1"] > 0.5 for i in range(140)}) == 2
+
+
+def test_sets_of_folds_and_few_documents(spark, docs_of):
+    assert len(toxicity.subsets(4, 2)) == 11 and len(toxicity.subsets(3, 0)) == 1
+    docs = docs_of(["an idiot", "lora mine", None])
+    chain = toxicity.train(docs, spark.createDataFrame([(0, 1), (1, 0), (2, 0)], "doc_id long, toxic int"))
+    assert toxicity.score(docs, chain).count() == 3
+    alone = toxicity.train(docs, spark.createDataFrame([(0, 1)], "doc_id long, toxic int"), kinds=0)
+    assert alone.categories == ("toxic",)
+    with pytest.raises(ValueError, match="folds"):
+        toxicity.train(docs, docs, kinds=4)
 
 
 def test_kinds_are_found_in_the_data():
     ids = [np.array([1, 2, 3]) if i % 4 == 1 else np.array([2, 3]) if i % 4 == 2 else np.array([7, 8]) if i % 4 == 3 else np.array([50]) for i in range(80)]
     toxic = np.array([int(i % 4 > 0) for i in range(80)])
-    kinds = toxicity.kinds_of(ids, toxic, np.array([1, 2, 3, 7, 8, 50]), np.array([5.0, 6, 7, 6, 6, -9]), 2)
+    kinds = toxicity.kinds_of(Rows(ids, None, 60), toxic, np.array([1, 2, 3, 7, 8, 50]), np.array([5.0, 6, 7, 6, 6, -9]), 2)
     assert [tuple(k) for k in kinds[:4]] == [(0, 0), (1, 0), (1, 0), (0, 1)]
-    assert toxicity.kinds_of([], np.array([]), np.array([]), np.array([]), 2).shape == (0, 2)
+    assert toxicity.kinds_of(Rows([], None, 0), np.array([]), np.array([], int), np.array([]), 2).shape == (0, 2)
+    assert toxicity.named_alike(kinds[:, ::-1], kinds).tolist() == kinds.tolist()
 
 
 def junk(i):
