@@ -12,8 +12,7 @@ equal paths the one whose last piece is longest wins. Scores are whole numbers o
 A model of merges has ranks where a unigram model has log-probabilities. A rank r then scores -ln(r + 1), as in Zipf's law, less ``PIECE_COST``, so that
 fewer pieces win; it is set so that most words get the ids that merging gives (README has the figure).
 
-All paths meet before a space mark that follows another character, as no piece holds one there (checked on loading), and around characters that no piece
-holds. The search begins anew there, so it is the same whatever went before, and what it commits for a stretch between two such places is remembered, up to a bound.
+A text goes through the search as it is, many words at a time; only around characters that no piece holds, which all paths must spell alone, does it begin anew.
 
 Decoding joins the pieces, turns marks into spaces, drops the dummy prefix and decodes the bytes.
 
@@ -44,10 +43,8 @@ MARK = "▁"
 UNIT = 1 << 20
 # Added to the cost of each piece of a model of merges.
 PIECE_COST = 6.0
-# Stretches up to this length are remembered once they are searched.
-REMEMBERED = 64
 # So many lengths of the longest piece are read between two attempts to commit.
-WINDOWS = 4
+WINDOWS = 16
 # Kinds of pieces in a model file.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
@@ -94,7 +91,7 @@ class Model:
         self.bytes_ = [byte[f"<0x{b:02X}>"] for b in range(256)] if len(byte) == 256 else []
         self.joined = {c for p in self.ids if len(p) > 1 for c in p}
         self.known = self.joined | {p for p in self.ids if len(p) == 1}
-        self.marks_begin = all(MARK not in p.lstrip(MARK) for p in self.ids)
+        self.number = {p: i for p, (i, _) in self.ids.items()}
         # Stretches of characters that pieces hold, and other characters one by one.
         self.split = re.compile(f"[{''.join(map(re.escape, sorted(self.known)))}]+|." if self.known else ".", re.S)
         # Places of the boundary where a piece begins, counted from the end of the scores before and after the one it ends at is added.
@@ -163,16 +160,20 @@ def search(text: str, model: Model) -> Iterator[list[int]]:
     for at in range(0, n, step):
         if at:
             found.set(text[at : at + step], False)
+        reach, note = best.append, back.append
+        top = best[-1]
         for end, (before, after, score) in found:
             # Of pieces that end at one character the longest comes first and stays unless a shorter one scores more.
             if end != last:
                 last = end
-                best.append(best[before] + score)
-                back.append(before)
+                top = best[before] + score
+                reach(top)
+                note(before)
             else:
                 score += best[after]
-                if score > best[-1]:
-                    best[-1], back[-1] = score, before
+                if score > top:
+                    best[-1] = top = score
+                    back[-1] = before
         if at + step >= n:
             yield path(text, model, base, n, back)
             return
@@ -196,14 +197,14 @@ def meeting(back: list[int], base: int, reached: int, longest: int) -> int:
 
 def path(text: str, model: Model, base: int, end: int, back: list[int]) -> list[int]:
     out: list[int] = []
-    ids = model.ids
+    number = model.number.get
     while end > base:
         start = end + back[end - base - 1]
-        piece = text[start:end]
-        if piece in ids:
-            out.append(ids[piece][0])
+        found = number(text[start:end])
+        if found is None:
+            out += reversed(spelt(text[start:end], model))
         else:
-            out += reversed(spelt(piece, model))
+            out.append(found)
         end = start
     out.reverse()
     return out
@@ -214,48 +215,9 @@ def spelt(c: str, model: Model) -> list[int]:
     return [model.bytes_[b] for b in c.encode("utf-8", "surrogatepass")] if model.bytes_ else [model.unknown]
 
 
-class Encoder:
-    """Encodes texts to little-endian int32 ids; remembers up to ``remember`` stretches of up to REMEMBERED characters."""
-
-    def __init__(self, model: Model, remember: int = 300_000):
-        self.model, self.remember, self.known = model, remember, {}
-        self.lines = "\n" not in model.joined
-
-    def stretch(self, s: str) -> bytes:
-        found = self.known.get(s)
-        if found is None:
-            found = b"".join(struct.pack(f"<{len(ids)}i", *ids) for ids in viterbi(s, self.model))
-            if len(s) <= REMEMBERED:
-                if len(self.known) >= self.remember:
-                    self.known.clear()
-                self.known[s] = found
-        return found
-
-    def encode(self, text: str) -> bytes:
-        s = normalise(text, self.model)
-        if not s:
-            return b""
-        if not self.model.marks_begin:
-            return self.stretch(s)
-        out: list[bytes] = []
-        get, stretch = self.known.get, self.stretch
-        for k, line in enumerate(s.split("\n") if self.lines else [s]):
-            if k:
-                out.append(stretch("\n"))
-            # A mark after another character always begins a stretch; runs of marks stay with what follows.
-            words = line.split(MARK)
-            if words[0]:
-                out.append(get(words[0]) or stretch(words[0]))
-            marks = 0
-            for w in words[1:]:
-                marks += 1
-                if w:
-                    w = MARK * marks + w
-                    out.append(get(w) or stretch(w))
-                    marks = 0
-            if marks:
-                out.append(stretch(MARK * marks))
-        return b"".join(out)
+def encoded(text: str, model: Model) -> bytes:
+    """Ids of a text as little-endian int32, joined from the runs in which they are committed."""
+    return b"".join(struct.pack(f"<{len(ids)}i", *ids) for ids in viterbi(normalise(text, model), model))
 
 
 class Decoder:
@@ -278,12 +240,9 @@ def _column(ids: list[bytes | None]) -> pa.Array:
 def encode(rows: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """keep, then ids array<int> and n_ids, of the text of each row."""
     fields = [rows.schema[c] for c in keep]
-    state: list[Encoder] = []
 
     def f(batch: pa.RecordBatch) -> pa.RecordBatch:
-        if not state:
-            state.append(Encoder(model))
-        ids = [None if t is None else state[0].encode(t) for t in batch.column(len(keep)).to_pylist()]
+        ids = [None if t is None else encoded(t, model) for t in batch.column(len(keep)).to_pylist()]
         sizes = pa.array([None if x is None else len(x) // 4 for x in ids], pa.int64())
         return pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], _column(ids), sizes], [*keep, "ids", "n_ids"])
 
@@ -292,16 +251,15 @@ def encode(rows: DataFrame, model: Model, keep: list[str]) -> DataFrame:
 
 def digests(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, n_ids, ids_sha256, decoded_sha256, exact: the ids and what they decode to; exact where that is the text."""
-    state: list = []
+    state: list[Decoder] = []
 
     def f(batch: pa.RecordBatch) -> pa.RecordBatch:
         if not state:
-            state.append((Encoder(model), Decoder(model)))
-        encoder, decoder = state[0]
+            state.append(Decoder(model))
         out = []
         for t in batch.column(1).to_pylist():
-            ids = encoder.encode(t or "")
-            back = decoder.decode(ids)
+            ids = encoded(t or "", model)
+            back = state[0].decode(ids)
             out.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(back.encode()).hexdigest(), back == (t or "")))
         n, a, b, same = zip(*out, strict=True)
         return pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(a), pa.array(b), pa.array(same)], ["doc_id", "n_ids", "ids_sha256", "decoded_sha256", "exact"])

@@ -35,34 +35,48 @@ TEXTS = ["", " ", "  two  spaces ", "Hello world, the quick brown fox.", "naïve
 
 
 def test_stream_equals_whole_lattice(model):
-    encoder = pieces.Encoder(model)
     rng = random.Random(1)
     made = ["".join(rng.choice("aeinrst ohl\n▁éß0.,") for _ in range(rng.randrange(400))) for _ in range(60)]
     for t in TEXTS + made:
         s = pieces.normalise(t, model)
         want = whole_viterbi(s, model)
         assert [i for ids in pieces.viterbi(s, model) for i in ids] == want, t[:40]
-        assert encoder.encode(t) == b"".join(i.to_bytes(4, "little", signed=True) for i in want), t[:40]
+        assert pieces.encoded(t, model) == b"".join(i.to_bytes(4, "little", signed=True) for i in want), t[:40]
 
 
-def test_every_stretch_goes_through_the_stream(docs_of, model, monkeypatch):
-    """What is remembered came from the search, and the search runs on every stretch not met before."""
-    searched, committed, search = [], [], pieces.search
+def test_lines_go_through_the_stream_whole(model, monkeypatch):
+    """A search gets a whole line, as no piece holds a line end, and commits as it goes."""
+    searched, search = [], pieces.search
 
     def counted(text, m):
         searched.append(text)
-        for ids in search(text, m):
-            committed.append(ids)
-            yield ids
+        yield from search(text, m)
 
     monkeypatch.setattr(pieces, "search", counted)
     text = "the quick brown fox the quick brown fox\n" + "naïve café " * 3
-    assert pieces.Encoder(model).encode(text) == b"".join(i.to_bytes(4, "little") for i in whole_viterbi(pieces.normalise(text, model), model))
-    assert sorted(searched) == sorted({"▁the", "▁quick", "▁brown", "▁fox", "naïve", "▁naïve", "▁café", "▁"})
-    # A long text without a place where the search begins anew is committed as it goes, with a window of scores.
-    committed.clear()
-    assert [i for ids in pieces.viterbi("hello" * 2000, model) for i in ids] == whole_viterbi("hello" * 2000, model)
-    assert len(committed) > 100 and max(map(len, committed)) < 100
+    assert pieces.encoded(text, model) == b"".join(i.to_bytes(4, "little") for i in whole_viterbi(pieces.normalise(text, model), model))
+    assert searched == ["▁the▁quick▁brown▁fox▁the▁quick▁brown▁fox", "naïve▁café▁naïve▁café▁naïve▁café▁"]
+    # Without a space, too, ids are committed where all paths meet.
+    committed = list(pieces.viterbi("hello" * 2000, model))
+    assert [i for ids in committed for i in ids] == whole_viterbi("hello" * 2000, model)
+    assert len(committed) > 30 and max(map(len, committed)) < 300
+
+
+def test_lines_of_the_given_table_are_committed_by_convergence(model):
+    """Every attempt to commit on the driver's documents finds a meeting place, near the end of what was read, and the ids are those of the whole lattice."""
+    import duckdb
+
+    texts = [t or "" for (t,) in duckdb.sql("select text from '/root/testdata/sf0.001/documents.parquet' order by doc_id").fetchall()]
+    step, early = pieces.WINDOWS * model.longest, 0
+    for k, t in enumerate(texts):
+        s = pieces.normalise(t, model)
+        runs = [list(pieces.search(part, model)) for part in model.split.findall(s) if part[0] in model.known]
+        parts = [part for part in model.split.findall(s) if part[0] in model.known]
+        early += sum(len(r) - 1 for r in runs)
+        assert all(len(r) == max(1, -(-len(p) // step)) for r, p in zip(runs, parts, strict=True))
+        if k % 10 == 0:
+            assert [i for ids in pieces.viterbi(s, model) for i in ids] == whole_viterbi(s, model)
+    assert early > 200
 
 
 def test_window_of_scores_is_bounded(model):
@@ -94,9 +108,9 @@ def test_matches_the_library_with_the_same_pieces(model):
     # unigram, with byte fallback; identity, a dummy prefix, and no white space removed
     made += message(2, bytes([3 << 3, 1]) + varint(35 << 3) + b"\1") + message(3, message(1, b"identity") + bytes([3 << 3, 1, 4 << 3, 0]))
     lib = sentencepiece.SentencePieceProcessor(model_proto=made)
-    encoder, decoder = pieces.Encoder(model), pieces.Decoder(model)
+    decoder = pieces.Decoder(model)
     for t in ["Hello world, the quick brown fox.", "In of the inanin. Thonst aonthrein", "naïve café ñandú", "日本語 text", "Des achlichä erberber das.", "two  spaces\n\nand 12,345.67 \x07 lines"]:
-        ids = encoder.encode(t)
+        ids = pieces.encoded(t, model)
         got = [int.from_bytes(ids[k : k + 4], "little", signed=True) for k in range(0, len(ids), 4)]
         assert got == lib.encode(t)
         assert decoder.decode(ids) == lib.decode(got) == t
