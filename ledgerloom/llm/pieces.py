@@ -91,16 +91,16 @@ class Model:
         self.bytes_ = [byte[f"<0x{b:02X}>"] for b in range(256)] if len(byte) == 256 else []
         self.joined = {c for p in self.ids if len(p) > 1 for c in p}
         self.known = self.joined | {p for p in self.ids if len(p) == 1}
-        self.number = {p: i for p, (i, _) in self.ids.items()}
         # Stretches of characters that pieces hold, and other characters one by one.
         self.split = re.compile(f"[{''.join(map(re.escape, sorted(self.known)))}]+|." if self.known else ".", re.S)
-        # Places of the boundary where a piece begins, counted from the end of the scores before and after the one it ends at is added.
-        places = lambda p, s: (-len(p), -len(p) - 1, s)
+        # Places of the boundary where a piece begins, counted from the end of the scores before and after the one it ends at is added; score; step back.
+        self.bits = self.longest.bit_length()
+        places = lambda p, s, i: (-len(p), -len(p) - 1, s, (i << self.bits) + len(p))
         self.automaton = ahocorasick.Automaton()
         for c in self.joined - self.ids.keys():
-            self.automaton.add_word(c, places(c, self.penalty))
-        for p, (_, s) in self.ids.items():
-            self.automaton.add_word(p, places(p, s))
+            self.automaton.add_word(c, places(c, self.penalty, -1))
+        for p, (i, s) in self.ids.items():
+            self.automaton.add_word(p, places(p, s, i))
         self.automaton.make_automaton()
 
     def __reduce__(self) -> tuple:
@@ -150,8 +150,8 @@ def viterbi(text: str, model: Model) -> Iterator[list[int]]:
 def search(text: str, model: Model) -> Iterator[list[int]]:
     """Ids of the best path of a text whose characters all are in pieces, in runs that are committed together.
 
-    ``best`` holds the scores of the last boundaries only, as many as the longest piece has characters and those read since; ``back`` the length of the last piece at each boundary since the
-    last commit.
+    ``best`` holds the scores of the last boundaries only, as many as the longest piece has characters and those read since; ``back`` the step back from each boundary since the
+    last commit: the last piece's id above its length, -1 for a character that no piece spells.
     """
     longest, n = model.longest, len(text)
     step = WINDOWS * longest
@@ -162,22 +162,22 @@ def search(text: str, model: Model) -> Iterator[list[int]]:
             found.set(text[at : at + step], False)
         reach, note = best.append, back.append
         top = best[-1]
-        for end, (before, after, score) in found:
+        for end, (before, after, score, code) in found:
             # Of pieces that end at one character the longest comes first and stays unless a shorter one scores more.
             if end != last:
                 last = end
                 top = best[before] + score
                 reach(top)
-                note(before)
+                note(code)
             else:
                 score += best[after]
                 if score > top:
                     best[-1] = top = score
-                    back[-1] = before
+                    back[-1] = code
         if at + step >= n:
             yield path(text, model, base, n, back)
             return
-        meet = meeting(back, base, at + step, longest)
+        meet = meeting(back, base, at + step, longest, model.bits)
         if meet > base:
             yield path(text, model, base, meet, back)
             back, base = back[meet - base :], meet
@@ -185,27 +185,27 @@ def search(text: str, model: Model) -> Iterator[list[int]]:
         best = [x - low for x in best[-longest - 1 :]]
 
 
-def meeting(back: list[int], base: int, reached: int, longest: int) -> int:
+def meeting(back: list[int], base: int, reached: int, longest: int, bits: int) -> int:
     """The boundary that all paths that can still win go through: those that end where a piece that ends further on may begin."""
+    mask = (1 << bits) - 1
     alive = set(range(max(base, reached - longest + 1), reached + 1))
     while len(alive) > 1:
         end = max(alive)
         alive.discard(end)
-        alive.add(end + back[end - base - 1])
+        alive.add(end - (back[end - base - 1] & mask))
     return alive.pop()
 
 
 def path(text: str, model: Model, base: int, end: int, back: list[int]) -> list[int]:
     out: list[int] = []
-    number = model.number.get
+    bits, mask = model.bits, (1 << model.bits) - 1
     while end > base:
-        start = end + back[end - base - 1]
-        found = number(text[start:end])
-        if found is None:
-            out += reversed(spelt(text[start:end], model))
+        code = back[end - base - 1]
+        if code < 0:
+            out += reversed(spelt(text[end - 1 : end], model))
         else:
-            out.append(found)
-        end = start
+            out.append(code >> bits)
+        end -= code & mask
     out.reverse()
     return out
 

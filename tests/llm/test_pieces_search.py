@@ -82,8 +82,8 @@ def test_lines_of_the_given_table_are_committed_by_convergence(model):
 def test_window_of_scores_is_bounded(model):
     text = "international" * 500
     assert max(len(x) for x in pieces.search(text, model)) <= 2 * pieces.WINDOWS * model.longest
-    back = [-1, -2, -1, -2]  # boundaries 1 to 4, of which 3 and 4 may still be left; both go through 2
-    assert pieces.meeting(back, 0, 4, 2) == 2 and pieces.meeting([-1] * 9, 0, 9, 3) == 7
+    back = [(i << 3) + n for i, n in ((5, 1), (6, 2), (-1, 1), (7, 2))]  # boundaries 1 to 4, of which 3 and 4 may still be left; both go through 2
+    assert pieces.meeting(back, 0, 4, 2, 3) == 2 and pieces.meeting([1] * 9, 0, 9, 3, 3) == 7
 
 
 def varint(n):
