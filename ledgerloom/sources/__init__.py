@@ -34,22 +34,43 @@ _EACH = rf',({_QUOTED}|"[^"]*+(?:""[^"]*+)*+\z|[^",][^,]*+|)'
 def _raw_lines(spark: SparkSession, path: str) -> DataFrame:
     """_k (file), _block (where the split begins), order, text with its end: CR LF, LF or a CR by itself; the last line of a file gets an LF if it has no end."""
     rows = spark.read.option("lineSep", "\n").text(path).select(F.struct(F.col("_metadata.file_path").alias("file")).alias("_k"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("row"), "value")
-    return rows.select("_k", "_block", "row", F.posexplode(F.split(F.concat("value", F.lit("\n")), r"(?<=\r)(?!\n)")).alias("part", "text")).select("_k", "_block", F.struct("row", "part").alias("order"), "text")
+    # Without a CR, or with one at the end only, a line is whole as it is.
+    whole = (F.instr("value", "\r") == 0) | (F.instr("value", "\r") == F.length("value"))
+    parts = F.when(whole, F.array(F.concat("value", F.lit("\n")))).otherwise(F.split(F.concat("value", F.lit("\n")), r"(?<=\r)(?!\n)"))
+    return rows.select("_k", "_block", "row", F.posexplode(parts).alias("part", "text")).select("_k", "_block", F.struct("row", "part").alias("order"), "text")
+
+
+def _closed(text: Column) -> Column:
+    """Whether a line that is met outside a quoted field ends outside one. Only lines with a quote are matched."""
+    return ~F.contains(text, F.lit('"')) | text.rlike(_CLOSED)
+
+
+def _closes(text: Column) -> Column:
+    """Whether a line that is met inside a quoted field ends outside one."""
+    return F.contains(text, F.lit('"')) & text.rlike(_CLOSES)
 
 
 def _records(lines: DataFrame) -> DataFrame:
     """The same columns: lines put together where a quoted field holds their ends."""
-    lines = two_states(lines, ~F.col("text").rlike(_CLOSED), ~F.col("text").rlike(_CLOSES))
-    ends = F.when(F.col("_state") == 0, F.col("text").rlike(_CLOSED)).otherwise(F.col("text").rlike(_CLOSES))
+    lines = two_states(lines, ~_closed(F.col("text")), ~_closes(F.col("text")))
+    ends = F.when(F.col("_state") == 0, _closed(F.col("text"))).otherwise(_closes(F.col("text")))
     return joined(lines.withColumn("ends", ends), "").select("_k", "_block", "order", "text")
 
 
 def _fields(text: Column) -> Column:
-    """The values of a record."""
+    """The values of a record. One without quotes, which so is a single line, is cut at its commas."""
+    plain = F.split(F.rtrim(text, F.lit("\r\n")), ",", -1)
     bare = F.regexp_replace(text, r"(?:\r\n|\n|\r)\z", "")
     inner = lambda f, i: F.regexp_extract(f, r'^"([^"]*+(?:""[^"]*+)*+)"?+([^,]*+)\z', i)
     value = lambda f: F.when(f.startswith('"'), F.concat(F.replace(inner(f, 1), F.lit('""'), F.lit('"')), inner(f, 2))).otherwise(f)
-    return F.transform(F.regexp_extract_all(F.concat(F.lit(","), bare), F.lit(_EACH), F.lit(1)), value)
+    quoted = F.transform(F.regexp_extract_all(F.concat(F.lit(","), bare), F.lit(_EACH), F.lit(1)), value)
+    return F.when(F.contains(text, F.lit('"')), quoted).otherwise(plain)
+
+
+def _stripped(c: Column) -> Column:
+    """As strip(), which is called only where a value begins or ends with what may be white space."""
+    shown = lambda x: F.ascii(x).between(33, 126)
+    return F.when(shown(c) & shown(F.right(c, F.lit(1))), c).otherwise(strip(c))
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -65,7 +86,7 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
     if head is None:
         raise ExtractError(f"extract without a header: {path}")
     same = F.col("text") == F.lit(head["text"])
-    seen = lines.agg(F.count_if(~F.col("text").rlike(_CLOSED)).alias("open"), F.count_if(same).alias("heads"), F.count_distinct("_k").alias("files"), F.count_if(same & (F.col("_block") == 0)).alias("first")).first()
+    seen = lines.agg(F.count_if(~_closed(F.col("text"))).alias("open"), F.count_if(same).alias("heads"), F.count_distinct("_k").alias("files"), F.count_if(same & (F.col("_block") == 0)).alias("first")).first()
     if not seen["open"] and seen["heads"] == seen["first"] == seen["files"]:
         records, names = lines.where(~same), spark.range(1).select(_fields(F.lit(head["text"])).alias("x")).first()["x"]
     else:
@@ -75,7 +96,7 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
         names = heads.orderBy("_k").select(_fields(F.col("_text")).alias("x")).first()["x"]
         records = records.join(F.broadcast(heads.select("_k", "_head")), "_k").where(place > F.col("_head"))  # one row a file
     records = records.where(~F.col("text").isin("\n", "\r\n", "\r")).select(_fields(F.col("text")).alias("x"), F.struct("_k.file", F.col("_block").alias("block"), "order").alias("_seq"))
-    return records.select(*(F.coalesce(strip(F.get("x", F.lit(i))), F.lit("")).alias(c) for i, c in enumerate(names) if c not in names[i + 1 :]), "_seq")
+    return records.select(*(F.coalesce(_stripped(F.get("x", F.lit(i))), F.lit("")).alias(c) for i, c in enumerate(names) if c not in names[i + 1 :]), "_seq")
 
 
 def extract_wave(spark: SparkSession, directory: str) -> dict[str, DataFrame]:

@@ -1,5 +1,11 @@
 """What keeps the work of large inputs in line with their size; results stay those of the plain way."""
 
+import csv
+import io
+
+from pyspark.sql import functions as F
+
+from ledgerloom import sources
 from ledgerloom.sources import sinks
 
 
@@ -12,3 +18,12 @@ def test_rows_lie_packed_until_they_are_joined(spark, tmp_path):
     assert (tmp_path / "one.csv").read_bytes() == ("v\r\n" + f'"{"x, y" * 50}"\r\n' * 2000).encode()
     sinks.write_csv(rows.where("false"), f"{tmp_path}/none.csv", ["_seq"])
     assert (tmp_path / "none.csv").read_bytes() == b""
+
+
+def test_plain_lines_are_cut_as_quoted_ones_are(spark):
+    lines = ["a,b,,\r\n", ",\n", "x\r", " a ,\xa0b ,c\t\n", 'a,"b,""c""" d,e\n', "a,b　\n", "", "é,ß\r\n"]
+    rows = spark.createDataFrame([(t,) for t in lines], "text string")
+    plan = rows.select(F.transform(sources._fields(F.col("text")), sources._stripped).alias("x"), sources._closed(F.col("text")).alias("closed"), sources._closes(F.col("text")).alias("closes")).collect()
+    expected = [[v.strip() for v in next(csv.reader(io.StringIO(t, newline="")), [""])] for t in lines]
+    assert [r["x"] for r in plan] == expected
+    assert all(r["closed"] for r in plan) and [r["closes"] for r in plan] == [False] * 4 + [True] + [False] * 3
