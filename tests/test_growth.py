@@ -2,11 +2,13 @@
 
 import csv
 import io
+import random
 
 from pyspark.sql import functions as F
 
-from ledgerloom import sources
-from ledgerloom.sources import sinks
+from ledgerloom import functions, sources
+from ledgerloom.operators import mapping, statements
+from ledgerloom.sources import lines_of, sinks
 
 
 def test_rows_lie_packed_until_they_are_joined(spark, tmp_path):
@@ -23,7 +25,20 @@ def test_rows_lie_packed_until_they_are_joined(spark, tmp_path):
 def test_plain_lines_are_cut_as_quoted_ones_are(spark):
     lines = ["a,b,,\r\n", ",\n", "x\r", " a ,\xa0b ,c\t\n", 'a,"b,""c""" d,e\n', "a,b　\n", "", "é,ß\r\n"]
     rows = spark.createDataFrame([(t,) for t in lines], "text string")
-    plan = rows.select(F.transform(sources._fields(F.col("text")), sources._stripped).alias("x"), sources._closed(F.col("text")).alias("closed"), sources._closes(F.col("text")).alias("closes")).collect()
+    plan = rows.select(F.transform(sources._fields(F.col("text")), functions.stripped).alias("x"), sources._closed(F.col("text")).alias("closed"), sources._closes(F.col("text")).alias("closes")).collect()
     expected = [[v.strip() for v in next(csv.reader(io.StringIO(t, newline="")), [""])] for t in lines]
     assert [r["x"] for r in plan] == expected
     assert all(r["closed"] for r in plan) and [r["closes"] for r in plan] == [False] * 4 + [True] + [False] * 3
+
+
+def test_frequent_keys_do_not_share_a_task(spark, monkeypatch):
+    monkeypatch.setattr(functions, "HOT_ROWS", 100)
+    rows = spark.range(3000).select(F.col("id").alias("_seq"), F.expr("CASE WHEN id % 3 = 0 THEN '' WHEN id % 3 = 1 THEN 'k7' WHEN id = 2 THEN NULL ELSE 'k' || id % 10 END").alias("PARTNER"))
+    side = spark.createDataFrame([(f"k{i}", i) for i in range(8)], "PARTNER string, bp int")
+    found = functions.left_join(rows, "PARTNER", side.hint("merge"))
+    plain = rows.join(side, "PARTNER", "left").select("_seq", "PARTNER", "bp")
+    assert sorted(map(tuple, found.select("_seq", "PARTNER", "bp").collect())) == sorted(map(tuple, plain.collect()))
+    assert "_j" not in found.columns
+    hot = functions.left_join(rows.where("PARTNER in ('', 'k7')"), "PARTNER", side.hint("merge"))
+    counted = hot.sparkSession.range(1).crossJoin(hot).count()
+    assert counted == 2000 + rows.where("PARTNER = 'k7' AND _seq % 3 = 2").count()
