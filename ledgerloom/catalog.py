@@ -209,8 +209,7 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _statements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = statements.statements(_lines(spark, sf_dir), "doc_id")
-    return statements.with_depth(rows, "doc_id", opens=F.col("text").rlike("^[A-D]"), closes=F.col("text").rlike("^[EFI]"))
+    return statements.of_texts(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", opens=lambda t: t.rlike("^[A-D]"), closes=lambda t: t.rlike("^[EFI]"))
 
 
 _SPACE = r"'[\t\n\v\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"

@@ -1,16 +1,21 @@
-"""Source text to logical statements with their loop depth, by windows over blocks of a file's lines and over the blocks' summaries."""
+"""Source text to logical statements with their loop depth: in the row of a text of few lines, else by windows over blocks of a file's lines and over the blocks' summaries."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.constants import LOOP_CLOSE, LOOP_OPEN, SELECT_HEAD, SET_BASED
-from ledgerloom.functions import strip
+from ledgerloom.constants import LINE_ENDS, LOOP_CLOSE, LOOP_OPEN, SELECT_HEAD, SET_BASED
+from ledgerloom.functions import strip, stripped
 from ledgerloom.functions.blocks import joined
+from ledgerloom.sources import lines_of
 
 # Lines of a file that one task puts together.
 BLOCK_LINES = 4096
+# Steps of the loop depth that are taken together, so that lists grow by parts.
+STEPS = 64
 
 
 def strip_comment(line: Column) -> Column:
@@ -65,3 +70,39 @@ def with_depth(rows: DataFrame, key: str = "path", order: str = "stmt_no", opens
     blocks = blocks.select("_k", "_block", "_base", F.least(F.lit(0), F.min(F.col("_base") + F.col("_least")).over(earlier)).alias("_floor"))
     depth = F.col("_base") + F.col("_sum") - F.least(F.col("_floor"), F.col("_base") + F.col("_low")) - (F.col("_step") == 1).cast("int")
     return rows.join(blocks, ["_k", "_block"]).withColumn("loop_depth", depth.cast("int")).drop("_k", "_block", "_step", "_sum", "_low", "_base", "_floor")
+
+
+def _depths(steps: str) -> Column:
+    """The loop depth at each of an array of steps (1, -1 or 0)."""
+    empty = lambda kind: F.array().cast(kind)
+    state = lambda depth, out: F.struct(depth.alias("d"), out.alias("out"))
+    after = lambda a, s: state(F.greatest(F.lit(0), a["d"] + s), F.concat(a["out"], F.array(F.when(s < 0, F.greatest(F.lit(0), a["d"] + s)).otherwise(a["d"]))))
+    part = lambda a, i: F.aggregate(F.slice(F.col(steps), i * STEPS + 1, F.lit(STEPS)), state(a["d"], empty("array<int>")), after)
+    whole = lambda a, i: F.element_at(F.transform(F.array(part(a, i)), lambda p: state(p["d"], F.concat(a["out"], F.array(p["out"])))), 1)
+    places = F.sequence(F.lit(0), F.floor(F.size(steps) / STEPS).cast("int"))
+    return F.aggregate(places, state(F.lit(0), empty("array<array<int>>")), whole, lambda a: F.flatten(a["out"]))
+
+
+def of_texts(texts: DataFrame, key: str = "path", text: str = "text", opens: Callable[[Column], Column] = opens_loop, closes: Callable[[Column], Column] = closes_loop) -> DataFrame:
+    """(key, stmt_no, line, text, loop_depth) of whole texts, as ``statements`` and ``with_depth`` give them.
+
+    A text of at most ``BLOCK_LINES`` lines is cut where it is, and nothing is shuffled: its code lines, each with its number, are put together and split after full stops. Longer ones, if there are any, go through blocks.
+    """
+    # Line ends by themselves, so CR LF counts twice: never fewer than there are.
+    ends = F.length(text) - F.length(F.translate(text, "\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029", ""))
+    long = (F.length(text) >= BLOCK_LINES) & (ends >= BLOCK_LINES)
+    rows = texts.select(key, F.col(text).alias("text"))
+    few = rows.where(~F.coalesce(long, F.lit(False))).select(key, F.transform(F.split("text", LINE_ENDS), lambda x, i: F.struct((i + 1).alias("n"), stripped(x).alias("code"))).alias("_lines"))
+    # Only a line with a double quote can end in a comment.
+    bare = F.transform(F.filter("_lines", lambda x: (x["code"] != "") & ~x["code"].startswith("*")), lambda x: F.struct(x["n"].alias("n"), F.when(F.contains(x["code"], F.lit('"')), strip(strip_comment(x["code"]))).otherwise(x["code"]).alias("code")))
+    code = F.transform(F.filter(bare, lambda x: x["code"] != ""), lambda x: F.concat(x["n"].cast("string"), F.lit("\r"), x["code"]))  # no line holds a line end
+    whole = F.filter(F.split(F.array_join(code, "\n"), r"(?<=\.)\n"), lambda x: x != "")
+    one = lambda x: F.struct(F.substring_index(x, "\r", 1).cast("int").alias("line"), F.when(F.contains(x, F.lit("\n")), F.substr(F.regexp_replace(x, r"(?:^|\n)[0-9]+\r", " "), F.lit(2))).otherwise(F.substring_index(x, "\r", -1)).alias("text"))
+    few = few.select(key, F.transform(whole, one).alias("_found"))
+    few = few.select(key, "_found", F.transform("_found", lambda x: F.when(closes(x["text"]), -1).when(opens(x["text"]), 1).otherwise(0)).alias("_steps"))
+    few = few.select(key, "_found", _depths("_steps").alias("_depth")).select(key, F.posexplode(F.arrays_zip("_found", "_depth")).alias("stmt_no", "x"))
+    few = few.select(key, "stmt_no", "x._found.line", "x._found.text", F.col("x._depth").alias("loop_depth"))
+    if not rows.agg(F.bool_or(long)).first()[0]:
+        return few
+    many = with_depth(statements(lines_of(rows.where(long), key), key, BLOCK_LINES), key, "stmt_no", opens(F.col("text")), closes(F.col("text")))
+    return few.unionByName(many.select(few.columns))

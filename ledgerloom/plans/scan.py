@@ -43,7 +43,7 @@ def scan(spark: SparkSession, sources: DataFrame, inventory: DataFrame | None =
     """sources: (path, text). tests: (name) of objects with test evidence. store: write the findings to the folder that the cluster shares, where objects and findings are both read, so that statements are searched once."""
     chosen = rules.selected(include, exclude)
     lines = lines_of(sources)
-    stmts = statements.with_depth(statements.statements(lines))
+    stmts = statements.of_texts(sources)
     found = rules.findings(stmts, [r for r in chosen if r.id != rules.OBJECT_RULE])
     loc = statements.effective_lines(lines)
     objects = sources.select("path").join(loc, "path", "left").withColumn("loc", F.coalesce("loc", F.lit(0))).withColumn("object_name", rules.object_name(F.col("path")))

@@ -42,3 +42,31 @@ def test_frequent_keys_do_not_share_a_task(spark, monkeypatch):
     hot = functions.left_join(rows.where("PARTNER in ('', 'k7')"), "PARTNER", side.hint("merge"))
     counted = hot.sparkSession.range(1).crossJoin(hot).count()
     assert counted == 2000 + rows.where("PARTNER = 'k7' AND _seq % 3 = 2").count()
+
+
+def test_what_is_numbered_is_computed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = spark.range(0, 500, 1, 4).mapInArrow(look, "id long")
+    out = mapping.numbered(rows, "id", 1, "n").collect()
+    assert {r["id"]: r["n"] for r in out} == {i: i + 1 for i in range(500)}
+    assert seen.value == 500
+
+
+def test_short_texts_are_cut_in_their_row_as_long_ones_are_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(statements, "BLOCK_LINES", 150)
+    rng = random.Random(5)
+    lines = ["LOOP AT t.", "ENDLOOP.", "DO.", "ENDDO.", "x = 1", "y = 'a\"b'.", "* note.", '  z = 2. " end', "", "w = 'it''s' \"q\" r", "3.", "WHILE a.", "\tENDWHILE.", "."]
+    texts = [(i, "".join(rng.choice(lines) + rng.choice(["\n", "\r\n", "\r", "\x85"]) for _ in range(rng.choice([0, 1, 5, 100, 140, 300])))) for i in range(60)] + [(60, None), (61, ""), (62, "x = 1")]
+    rows = spark.createDataFrame(texts, "path int, text string")
+    plain = statements.with_depth(statements.statements(lines_of(rows)))
+    columns = ["path", "stmt_no", "line", "text", "loop_depth"]
+    found = statements.of_texts(rows)
+    assert sorted(map(tuple, found.select(columns).collect())) == sorted(map(tuple, plain.select(columns).collect()))
+    few = statements.of_texts(rows.where("length(text) < 140"))
+    assert few.count() > 20 and "Exchange" not in few._jdf.queryExecution().executedPlan().toString()
