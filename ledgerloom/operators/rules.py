@@ -52,14 +52,59 @@ def needed_word(pattern: str) -> str | None:
     return None if re.search(r"[|?{]", pattern) else max(_WHOLE_WORD.findall(pattern), key=len, default=None)
 
 
+def needed_text(pattern: str) -> str | None:
+    """Signs and digits that every match of the pattern holds one after the other, the longest; None if that cannot be told."""
+    runs = [] if re.search(r"[][|?{*]", pattern) else re.findall(r"(?:\\[^\w\s]|(?<![\w\\])[0-9]+(?!\w))+(?!\+)", pattern)
+    return max((r.replace("\\", "") for r in runs), key=len, default=None)
+
+
 def named(text: Column, rules: Iterable[Rule]) -> Column:
-    """Array of the words of a statement, in upper case, that are tables of rules or that their patterns need. The statement is cut into words once for all rules."""
+    """Array of the words of a statement, in upper case, that are tables of rules or that their patterns need. The statement is searched once for all rules."""
     wanted = dict.fromkeys(w.upper() for r in rules for w in (*r.tables, *map(needed_word, r.patterns)) if w)
     if not wanted:
         return F.array().cast("array<string>")
-    # Words as the patterns' own word ends see them: letters of any script belong to a word.
-    words = F.transform(F.regexp_extract_all(text, F.lit(r"(?U)\w+"), F.lit(0)), lambda w: F.upper(w))
-    return F.array_intersect(words, F.array(*map(F.lit, wanted)))
+    # Words as the patterns' own word ends see them: letters of any script belong to a word. Those of one first letter are tried together.
+    rest: dict[str, list[str]] = {}
+    for w in wanted:
+        rest.setdefault(w[0], []).append(re.escape(w[1:]))
+    one = "|".join(f"{re.escape(c)}(?:{'|'.join(some)})" for c, some in rest.items())
+    return F.array_distinct(F.regexp_extract_all(F.upper(text), F.lit(rf"(?U)(?<!\w)(?:{one})(?!\w)"), F.lit(0)))
+
+
+def _of_words(words: Column, values: dict[str, list[Column]], kind: str) -> Column:
+    """Array of the values of all words; none for a word without."""
+    empty = F.array().cast(f"array<{kind}>")
+    if not values:
+        return empty
+    pairs = F.create_map(*(x for w, some in values.items() for x in (F.lit(w), F.array(*some))))
+    return F.flatten(F.transform(words, lambda w: F.coalesce(F.try_element_at(pairs, w), empty)))
+
+
+def _by_tables(rules: list[Rule], words: Column, writes: Column) -> Column:
+    """Array of (rule_id, place, evidence): tables among the words of a database statement, once for each rule that names them. place: that of the table in its rule."""
+
+    def of(some: list[Rule]) -> Column:
+        values: dict[str, list[Column]] = {}
+        for r in some:
+            for i, t in enumerate(dict.fromkeys(t.upper() for t in r.tables)):
+                values.setdefault(t, []).append(F.struct(F.lit(r.id).alias("rule_id"), F.lit(i).alias("place"), F.lit(t).alias("evidence")))
+        return _of_words(words, values, "struct<rule_id:string,place:int,evidence:string>")
+
+    return F.when(writes, of(rules)).otherwise(of([r for r in rules if not r.write_only]))
+
+
+def _asked(rules: list[Rule], text: Column, words: Column) -> Column:
+    """Array of the numbers of the rules that may have evidence: a word of theirs is there, or what a pattern without such a word needs."""
+    values: dict[str, list[Column]] = {}
+    bare = []
+    for i, r in enumerate(rules):
+        needs = [*r.tables, *map(needed_word, r.patterns)]
+        for w in dict.fromkeys(w.upper() for w in needs if w):
+            values.setdefault(w, []).append(F.lit(i))
+        for p in (p for p in r.patterns if not needed_word(p)):
+            there = F.contains(text, F.lit(needed_text(p))) if needed_text(p) else F.lit(True)
+            bare.append(F.when(there, F.array(F.lit(i))).otherwise(F.array().cast("array<int>")))
+    return F.array_distinct(F.concat(_of_words(words, values, "int"), *bare))
 
 
 CATALOGUE = tuple(Rule(*r) for r in RULES)
@@ -82,14 +127,27 @@ def rank(severity: Column) -> Column:
 
 
 def findings(statements: DataFrame, rules: Iterable[Rule] = STATEMENT_RULES, key: str = "path") -> DataFrame:
-    """One row a statement and rule that it breaks: key, line, rule_id, evidence, statement. All rules are evaluated in one projection over the statement's words; nothing is joined."""
-    text, depth, rules = F.col("text"), F.col("loop_depth"), list(rules)
-    statements = statements.withColumn("_words", named(text, rules))
-    each = [F.struct(F.lit(r.id).alias("rule_id"), r.evidence(text, depth, F.col("_words")).alias("evidence")) for r in rules]
-    if not each:
-        each = [F.struct(F.lit("").alias("rule_id"), F.lit(None).cast("string").alias("evidence"))]
-    hits = F.filter(F.array(*each), lambda x: x["evidence"].isNotNull())
-    return statements.select(key, "line", truncate(text).alias("statement"), F.inline(hits)).select(key, "line", "rule_id", "evidence", "statement")
+    """One row a statement and rule that it breaks: key, line, rule_id, evidence, statement. All rules are evaluated in one projection over the statement's words; nothing is joined.
+
+    The words lead to the rules. Of rules of tables alone each word has those that name it, and of a rule's tables its first one counts; the kind of statement is told once for them. Other rules are asked for evidence where a word of theirs is there.
+    """
+    text, depth, words, rules = F.col("text"), F.col("loop_depth"), F.col("_words"), list(rules)
+    by_table = [r for r in rules if r.tables and not r.patterns and not r.in_loop]
+    others = [r for r in rules if r not in by_table]
+    hit = lambda rule_id, evidence: F.struct(rule_id.alias("rule_id"), evidence.alias("evidence"))
+    hits = [F.array().cast("array<struct<rule_id:string,evidence:string>>")]
+    rows = statements.withColumn("_words", named(text, rules))
+    if others:
+        evidence = lambda i: F.coalesce(*(F.when(i == n, r.evidence(text, depth, words)) for n, r in enumerate(others)))
+        rows = rows.withColumn("_asked", _asked(others, text, words))
+        hits.append(F.filter(F.transform("_asked", lambda i: hit(F.element_at(F.array(*(F.lit(r.id) for r in others)), i + 1), evidence(i))), lambda x: x["evidence"].isNotNull()))
+    if by_table:
+        rows = rows.withColumn("_tables", F.when((F.size(words) > 0) & text.rlike(DB_STATEMENT), _by_tables(by_table, words, text.rlike(WRITE_STATEMENT))))
+        earlier = lambda x: F.exists("_tables", lambda y: (y["rule_id"] == x["rule_id"]) & (y["place"] < x["place"]))
+        hits.append(F.when(F.size("_tables") > 0, F.transform(F.filter("_tables", lambda x: ~earlier(x)), lambda x: hit(x["rule_id"], x["evidence"]))).otherwise(hits[0]))
+    # With inline() Spark would ask for a size above 0 first, push that below and so evaluate the rules once more for each time that their parts are named.
+    rows = rows.select(key, "line", "text", F.inline_outer(F.concat(*hits))).where("rule_id is not null")
+    return rows.select(key, "line", "rule_id", "evidence", truncate(text).alias("statement"))
 
 
 def with_metadata(rows: DataFrame, spark: SparkSession) -> DataFrame:

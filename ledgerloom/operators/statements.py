@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.constants import LINE_ENDS, LOOP_CLOSE, LOOP_OPEN, SELECT_HEAD, SET_BASED
+from ledgerloom.constants import LOOP_CLOSE, LOOP_OPEN, SELECT_HEAD, SET_BASED
 from ledgerloom.functions import strip, stripped
 from ledgerloom.functions.blocks import joined
-from ledgerloom.sources import lines_of
+from ledgerloom.sources import cut_lines, lines_of
 
 # Lines of a file that one task puts together.
 BLOCK_LINES = 4096
@@ -34,6 +34,11 @@ def effective_lines(lines: DataFrame, key: str = "path") -> DataFrame:
     return lines.groupBy(key).agg(F.count_if((text != "") & ~text.startswith("*")).cast("int").alias("loc"))
 
 
+def effective_count(text: Column) -> Column:
+    """As effective_lines, of a whole text."""
+    return F.size(F.filter(cut_lines(text), lambda x: (strip(x) != "") & ~strip(x).startswith("*")))
+
+
 def _keyed(rows: DataFrame, key: str) -> DataFrame:
     return rows.withColumn("_k", F.struct(F.col(key).alias(key)))
 
@@ -92,15 +97,15 @@ def of_texts(texts: DataFrame, key: str = "path", text: str = "text", opens: Cal
     ends = F.length(text) - F.length(F.translate(text, "\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029", ""))
     long = (F.length(text) >= BLOCK_LINES) & (ends >= BLOCK_LINES)
     rows = texts.select(key, F.col(text).alias("text"))
-    few = rows.where(~F.coalesce(long, F.lit(False))).select(key, F.transform(F.split("text", LINE_ENDS), lambda x, i: F.struct((i + 1).alias("n"), stripped(x).alias("code"))).alias("_lines"))
+    few = rows.where(~F.coalesce(long, F.lit(False))).select(key, F.transform(cut_lines(F.col("text")), lambda x, i: F.struct((i + 1).alias("n"), stripped(x).alias("code"))).alias("_lines"))
     # Only a line with a double quote can end in a comment.
     bare = F.transform(F.filter("_lines", lambda x: (x["code"] != "") & ~x["code"].startswith("*")), lambda x: F.struct(x["n"].alias("n"), F.when(F.contains(x["code"], F.lit('"')), strip(strip_comment(x["code"]))).otherwise(x["code"]).alias("code")))
     code = F.transform(F.filter(bare, lambda x: x["code"] != ""), lambda x: F.concat(x["n"].cast("string"), F.lit("\r"), x["code"]))  # no line holds a line end
-    whole = F.filter(F.split(F.array_join(code, "\n"), r"(?<=\.)\n"), lambda x: x != "")
+    whole = F.filter(F.split(F.replace(F.array_join(code, "\n"), F.lit(".\n"), F.lit(".\x0b")), "\x0b"), lambda x: x != "")
     one = lambda x: F.struct(F.substring_index(x, "\r", 1).cast("int").alias("line"), F.when(F.contains(x, F.lit("\n")), F.substr(F.regexp_replace(x, r"(?:^|\n)[0-9]+\r", " "), F.lit(2))).otherwise(F.substring_index(x, "\r", -1)).alias("text"))
     few = few.select(key, F.transform(whole, one).alias("_found"))
     few = few.select(key, "_found", F.transform("_found", lambda x: F.when(closes(x["text"]), -1).when(opens(x["text"]), 1).otherwise(0)).alias("_steps"))
-    few = few.select(key, "_found", _depths("_steps").alias("_depth")).select(key, F.posexplode(F.arrays_zip("_found", "_depth")).alias("stmt_no", "x"))
+    few = few.select(key, "_found", _depths("_steps").alias("_depth")).select(key, F.posexplode_outer(F.arrays_zip("_found", "_depth")).alias("stmt_no", "x")).where("stmt_no is not null")  # see rules.findings
     few = few.select(key, "stmt_no", "x._found.line", "x._found.text", F.col("x._depth").alias("loop_depth"))
     if not rows.agg(F.bool_or(long)).first()[0]:
         return few

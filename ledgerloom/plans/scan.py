@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import backlog, rules, statements
 from ledgerloom.operators.issues import union
-from ledgerloom.sources import lines_of, read_sources, read_test_names
+from ledgerloom.sources import read_sources, read_test_names
 from ledgerloom.sources.shared import stored
 
 
@@ -40,12 +40,14 @@ class Scan:
 
 
 def scan(spark: SparkSession, sources: DataFrame, inventory: DataFrame | None = None, tests: DataFrame | None = None, include: Iterable[str] = (), exclude: Iterable[str] = (), store: bool = False) -> Scan:
-    """sources: (path, text). tests: (name) of objects with test evidence. store: write the findings to the folder that the cluster shares, where objects and findings are both read, so that statements are searched once."""
+    """sources: (path, text). tests: (name) of objects with test evidence. store: write sources and findings to the folder that the cluster shares, where objects and findings are both read, so that sources are made once and statements searched once."""
     chosen = rules.selected(include, exclude)
-    lines = lines_of(sources)
+    sources = sources.select("path", "text", F.when(F.col("text").isNotNull(), statements.effective_count(F.col("text"))).alias("loc"))
+    if store:
+        sources = stored(sources, "sources")
     stmts = statements.of_texts(sources)
     found = rules.findings(stmts, [r for r in chosen if r.id != rules.OBJECT_RULE])
-    loc = statements.effective_lines(lines)
+    loc = sources.groupBy("path").agg(F.sum("loc").cast("int").alias("loc"))
     objects = sources.select("path").join(loc, "path", "left").withColumn("loc", F.coalesce("loc", F.lit(0))).withColumn("object_name", rules.object_name(F.col("path")))
     if inventory is None:
         inventory = spark.createDataFrame([], "object_name string, object_type string, path string, module string, owner string, gxp_class string, wave string, monthly_executions int, business_criticality string, validation_package string, remediated_path string, _seq int")

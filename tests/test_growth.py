@@ -3,11 +3,13 @@
 import csv
 import io
 import random
+import re
 
 from pyspark.sql import functions as F
 
 from ledgerloom import functions, sources
-from ledgerloom.operators import mapping, statements
+from ledgerloom.operators import mapping, rules, statements
+from ledgerloom.plans import scan
 from ledgerloom.sources import lines_of, sinks
 
 
@@ -70,3 +72,52 @@ def test_short_texts_are_cut_in_their_row_as_long_ones_are_in_blocks(spark, monk
     assert sorted(map(tuple, found.select(columns).collect())) == sorted(map(tuple, plain.select(columns).collect()))
     few = statements.of_texts(rows.where("length(text) < 140"))
     assert few.count() > 20 and "Exchange" not in few._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sources_are_made_once_and_statements_are_searched_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = spark.range(0, 300, 1, 4).selectExpr("'p' || id AS path", "'SELECT a FROM mard INTO TABLE t.\n\n* x\ny' || id || ' = z(18).' AS text").mapInArrow(look, "path string, text string")
+    got = scan.scan(spark, rows, store=True)
+    assert got.findings.count() == 600 and got.objects.agg(F.sum("loc"), F.sum("findings")).first()[:] == (600, 600)
+    assert seen.value == 300
+    plan = rules.findings(spark.createDataFrame([("p", 1, "SELECT a FROM mard.", 0)], "path string, line int, text string, loop_depth int"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SI-TECH-006") == 1
+
+
+def test_numbers_are_places_in_stored_ranges(spark):
+    rows = spark.range(900).select((F.col("id") * 7 % 900).alias("k"))
+    out = mapping.numbered(rows, "k", 5, "n", 6)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Exchange" not in plan and out.columns == ["k", "n"]
+    assert {r["k"]: r["n"] for r in out.collect()} == {i: i + 5 for i in range(900)}
+
+
+def test_words_lead_to_the_evidence_that_each_rule_gives(spark):
+    made = [rules.Rule("A", "", "", "", 1, ("T2", "T1"), (), True), rules.Rule("B", "", "", "", 1, ("t1", "T3", "T2")), rules.Rule("C", "", "", "", 1, ("T1",), (r"\bREST\b",)), rules.Rule("D", "", "", "", 1, ("T3",), (), False, True),
+            rules.Rule("E", "", "", "", 1, (), (r"\w+\(18\)", r"\bGO\s+\w+")), rules.Rule("F", "", "", "", 1, (), (r"a|b{2}",))]
+    rng = random.Random(3)
+    words = ["SELECT", "update", "t1", "T2", "xt3", "t3", "T1_", "rest", "go", "far", "v(18)", "(18)", "'t2'", "bb", "1"]
+    rows = spark.createDataFrame([(i, 1, " ".join(rng.choice(words) for _ in range(rng.randrange(8))), i % 2) for i in range(400)], "path int, line int, text string, loop_depth int").cache()
+    each = [rows.select("path", F.lit(r.id).alias("rule_id"), r.evidence(F.col("text"), F.col("loop_depth")).alias("evidence")).where("evidence is not null") for r in made]
+    expected = sorted(tuple(r) for e in each for r in e.collect())
+    assert len({r for _, r, _ in expected}) == 6
+    assert sorted(map(tuple, rules.findings(rows, made).select("path", "rule_id", "evidence").collect())) == expected
+
+
+def test_white_space_is_collapsed_and_lines_are_cut_at_any_end(spark):
+    texts = ["a b", " a  b ", "a\tb", "a \t\u3000 b", "a\n\nb c", "\xa0a\x85", "", "x" * 158 + "  y z"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    flat = [re.sub(r"[\s\x85]+", " ", t).strip() for t in texts]
+    assert [r[0] for r in rows.select(functions.truncate(F.col("t"))).collect()] == [t if len(t) <= 160 else t[:157] + "..." for t in flat]
+    texts = ["a\r\r\nb\n\rc", "a\x0bb\x0cc\x1cd\x1de\x1ef\x85g\u2028h\u2029i", "a\nb\n", "\n", "", "a\r\n* b\n\n *c\rd"]
+    rows = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "path string, text string")
+    got = sorted(map(tuple, lines_of(rows).collect()))
+    assert got == sorted((str(i), n, x) for i, t in enumerate(texts) for n, x in enumerate(t.splitlines(), 1))
+    loc = {r["path"]: r["loc"] for r in statements.effective_lines(lines_of(rows)).collect()}
+    assert {r["path"]: r["n"] for r in rows.select("path", statements.effective_count(F.col("text")).alias("n")).collect()} == {str(i): loc.get(str(i), 0) for i in range(len(texts))}
