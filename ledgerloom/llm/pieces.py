@@ -3,7 +3,7 @@
 The vocabulary, its scores and its text rules come from a public model file, never trained here. A text is normalised as the model
 says (a dummy prefix, spaces written as U+2581), and the best path of pieces maximises the sum of scores.
 
-The search reads a text once, from the left. An automaton of all pieces reports those that end at each character; of each boundary only the best score and the last piece
+The search reads a text once, from the left. An automaton of all pieces, completed as it is used, tells those that end at each character; of each boundary only the best score and the last piece
 are kept, and scores only for a window as long as the longest piece, as no piece reaches further back. Every few windows the paths that
 can still win, one for each boundary in the window, are followed back; where they all go through one boundary, the ids before it are final, are committed and
 forgotten. A character no piece spells costs ten less than the lowest score and is written as bytes, or as the unknown id where the model has no bytes. Of
@@ -29,8 +29,8 @@ import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -45,6 +45,8 @@ UNIT = 1 << 20
 PIECE_COST = 6.0
 # So many lengths of the longest piece are read between two attempts to commit.
 WINDOWS = 16
+# Transitions of a state to shorter ones that are kept.
+KEPT = 64
 # Kinds of pieces in a model file.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
@@ -76,6 +78,32 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
             i += size
 
 
+class State(dict):
+    """A state of the automaton: what has been read last, as far as a piece may begin with it. By character it has the next state and the pieces that end there.
+
+    An entry is the state, then the longest piece: place of the boundary where it begins, counted from the end of the scores; score; step back; then the other pieces, the longest first. Entries are made when they are first taken: those along
+    the tree of pieces are kept, of those back to shorter states as many as ``KEPT`` for each state.
+    """
+
+    __slots__ = ("back", "children")
+
+    def __init__(self, children: dict, back: State | None):
+        self.children, self.back = children, back
+
+    def __missing__(self, c: str) -> tuple:
+        child = self.children.get(c)
+        shorter = None if self.back is None else self.back[c]
+        if child is None:
+            entry = shorter
+        else:
+            state = State(child, self if shorter is None else shorter[0])
+            ends = [*child.get("", ()), *((shorter[1:4], *shorter[4]) if shorter else ())]
+            entry = (state, *ends[0], tuple(ends[1:]))
+        if child is not None or len(self) < KEPT:
+            self[c] = entry
+        return entry
+
+
 @dataclass
 class Model:
     pieces: list[tuple[str, float, int]]
@@ -93,18 +121,23 @@ class Model:
         self.known = self.joined | {p for p in self.ids if len(p) == 1}
         # Stretches of characters that pieces hold, and other characters one by one.
         self.split = re.compile(f"[{''.join(map(re.escape, sorted(self.known)))}]+|." if self.known else ".", re.S)
-        # Places of the boundary where a piece begins, counted from the end of the scores before and after the one it ends at is added; score; step back.
         self.bits = self.longest.bit_length()
-        places = lambda p, s, i: (-len(p), -len(p) - 1, s, (i << self.bits) + len(p))
-        self.automaton = ahocorasick.Automaton()
-        for c in self.joined - self.ids.keys():
-            self.automaton.add_word(c, places(c, self.penalty, -1))
-        for p, (i, s) in self.ids.items():
-            self.automaton.add_word(p, places(p, s, i))
-        self.automaton.make_automaton()
+        tree: dict = {}
+        for p, i, score in [*((c, -1, self.penalty) for c in self.joined - self.ids.keys()), *((p, i, score) for p, (i, score) in self.ids.items())]:
+            node = tree
+            for c in p:
+                node = node.setdefault(c, {})
+            node[""] = ((-len(p), score, (i << self.bits) + len(p)),)
+        self.start = State(tree, None)
 
     def __reduce__(self) -> tuple:
-        return Model, (self.pieces, self.dummy_prefix, self.trim)
+        return _same_model, (tuple(self.pieces), self.dummy_prefix, self.trim)
+
+
+@lru_cache(2)
+def _same_model(pieces: tuple, dummy_prefix: bool, trim: bool) -> Model:
+    """One automaton for all tasks of a process."""
+    return Model(list(pieces), dummy_prefix, trim)
 
 
 def load_model(path: str) -> Model:
@@ -155,25 +188,18 @@ def search(text: str, model: Model) -> Iterator[list[int]]:
     """
     longest, n = model.longest, len(text)
     step = WINDOWS * longest
-    best, back, base, last = [0.0], [], 0, -1
-    found = model.automaton.iter(text if n <= step else text[:step])
+    best, back, base, state = [0.0], [], 0, model.start
     for at in range(0, n, step):
-        if at:
-            found.set(text[at : at + step], False)
-        reach, note = best.append, back.append
-        top = best[-1]
-        for end, (before, after, score, code) in found:
-            # Of pieces that end at one character the longest comes first and stays unless a shorter one scores more.
-            if end != last:
-                last = end
-                top = best[before] + score
-                reach(top)
-                note(code)
-            else:
-                score += best[after]
+        for c in text if n <= step else text[at : at + step]:
+            state, begin, top, last, others = state[c]
+            top += best[begin]
+            # The longest piece comes first and stays unless a shorter one scores more.
+            for begin, score, piece in others:
+                score += best[begin]
                 if score > top:
-                    best[-1] = top = score
-                    back[-1] = code
+                    top, last = score, piece
+            best.append(top)
+            back.append(last)
         if at + step >= n:
             yield path(text, model, base, n, back)
             return
@@ -189,20 +215,23 @@ def meeting(back: list[int], base: int, reached: int, longest: int, bits: int) -
     """The boundary that all paths that can still win go through: those that end where a piece that ends further on may begin."""
     mask = (1 << bits) - 1
     alive = set(range(max(base, reached - longest + 1), reached + 1))
-    while len(alive) > 1:
-        end = max(alive)
-        alive.discard(end)
-        alive.add(end - (back[end - base - 1] & mask))
-    return alive.pop()
+    for end in range(reached, base, -1):
+        if end in alive:
+            if len(alive) == 1:
+                return end
+            alive.remove(end)
+            alive.add(end - (back[end - base - 1] & mask))
+    return base
 
 
 def path(text: str, model: Model, base: int, end: int, back: list[int]) -> list[int]:
     out: list[int] = []
     bits, mask = model.bits, (1 << model.bits) - 1
-    while end > base:
-        code = back[end - base - 1]
+    end -= base
+    while end:
+        code = back[end - 1]
         if code < 0:
-            out += reversed(spelt(text[end - 1 : end], model))
+            out += reversed(spelt(text[base + end - 1], model))
         else:
             out.append(code >> bits)
         end -= code & mask

@@ -1,3 +1,4 @@
+import pickle
 import random
 
 import pytest
@@ -197,3 +198,17 @@ def test_top_k_edges(spark):
     got = impact_search.top_k(table, F.col("vec_id") % 100 == 0, 10).orderBy("rank").collect()
     assert [(r["query_id"], r["vec_id"], r["score"]) for r in got] == [(0, 1, 3 * int(big) * 1024 * 1024), (0, 2, 1 << 20), (0, 4, 0), (0, 5, -(1 << 20))]
     assert impact_search.top_k(table.where("false"), F.col("vec_id") % 100 == 0).count() == 0
+
+
+def test_automaton_is_completed_as_it_is_used_and_kept_small(model):
+    fresh = pieces.Model(model.pieces, model.dummy_prefix, model.trim)
+    assert len(fresh.start) == 0 and pickle.loads(pickle.dumps(fresh)) is pickle.loads(pickle.dumps(fresh))
+    text = "".join(sorted(c for c in model.known if c != "▁")) * 2 + " the international the "
+    state, ends = fresh.start, {}
+    for end, c in enumerate(pieces.normalise(text, fresh), 1):
+        state, begin, _, code, others = state[c]
+        ends[end] = [-begin, *(-b for b, _, _ in others)]
+        assert code & ((1 << fresh.bits) - 1) == -begin and sum(n not in state.children for n in state) <= pieces.KEPT
+    known = fresh.ids.keys() | fresh.joined
+    said = pieces.normalise(text, fresh)
+    assert all(ends[e] == [n for n in range(min(e, fresh.longest), 0, -1) if said[e - n : e] in known] for e in ends)
