@@ -121,3 +121,17 @@ def test_white_space_is_collapsed_and_lines_are_cut_at_any_end(spark):
     assert got == sorted((str(i), n, x) for i, t in enumerate(texts) for n, x in enumerate(t.splitlines(), 1))
     loc = {r["path"]: r["loc"] for r in statements.effective_lines(lines_of(rows)).collect()}
     assert {r["path"]: r["n"] for r in rows.select("path", statements.effective_count(F.col("text")).alias("n")).collect()} == {str(i): loc.get(str(i), 0) for i in range(len(texts))}
+
+
+def test_many_small_files_share_folders(spark, tmp_path):
+    rows = spark.range(0, 3000, 1, 3).selectExpr("concat('s', id % 700) AS name", "CASE WHEN id = 5 THEN NULL ELSE concat('é ', id) END AS value")
+    sinks.write_texts(rows, str(tmp_path / "t"))
+    files = [p for p in (tmp_path / "t").rglob("*") if p.is_file()]
+    assert len(files) == 700 and len({p.parent for p in files}) <= sinks.FOLDERS and all(p.suffix == ".txt" for p in files)
+    expected = {}
+    for i in range(3000):
+        expected.setdefault(f"s{i % 700}", []).append("" if i == 5 else f"é {i}")
+    assert {p.stem[5:]: sorted(p.read_text().splitlines()) for p in files} == {n: sorted(v) for n, v in expected.items()}
+    assert {r["path"] for r in sources.read_sources(spark, str(tmp_path / "t"), suffix=".txt").select("path").collect()} == set(map(str, files))
+    sinks.write_texts(rows.where("false"), str(tmp_path / "none"))
+    assert not list((tmp_path / "none").rglob("*.txt"))
