@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom import functions, sources
 from ledgerloom.operators import mapping, rules, statements
 from ledgerloom.plans import scan
-from ledgerloom.sources import lines_of, sinks
+from ledgerloom.sources import lines_of, shared, sinks
 
 
 def test_rows_lie_packed_until_they_are_joined(spark, tmp_path):
@@ -135,3 +135,49 @@ def test_many_small_files_share_folders(spark, tmp_path):
     assert {r["path"] for r in sources.read_sources(spark, str(tmp_path / "t"), suffix=".txt").select("path").collect()} == set(map(str, files))
     sinks.write_texts(rows.where("false"), str(tmp_path / "none"))
     assert not list((tmp_path / "none").rglob("*.txt"))
+
+
+def _shuffle_files(spark):
+    return sum("shuffle_" in str(f) for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n"))
+
+
+def test_rows_stored_in_order_are_written_without_a_shuffle(spark, tmp_path):
+    rows = spark.range(0, 4000, 1, 5).select((F.col("id") * 1237 % 4000).alias("_seq")).select("_seq", F.expr("md5(string(_seq))").alias("a"), F.expr("IF(_seq % 7 = 0, 'x, \"y\"\r\nz', '')").alias("b"))
+    sinks.write_csv(rows, f"{tmp_path}/plain.csv", ["_seq"])
+    plain, hadoop = (tmp_path / "plain.csv").read_bytes(), spark._jsc.hadoopConfiguration()
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.adaptive.coalescePartitions.enabled")}
+    hadoop.set("parquet.block.size", "20000")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        held = shared.stored_in_order(rows, "ordered", ["_seq"])
+        for size, cost in (("9k", "1"), ("90k", "1"), ("1g", "1g")):  # parts of files, some files and all files a task
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", cost)
+            made = _shuffle_files(spark)
+            sinks.write_parts(held, f"{tmp_path}/p{size}", ["_seq"], columns=["a", "b"], packed=True)
+            assert _shuffle_files(spark) == made
+            files = sinks.parts_of(spark, f"{tmp_path}/p{size}")
+            assert len(files) > (5 if size == "9k" else 4)
+            sinks.join_files(spark, files, f"{tmp_path}/joined.csv")
+            assert (tmp_path / "joined.csv").read_bytes() == plain
+            read = sources.read_csv(spark, f"{tmp_path}/p{size}").orderBy("_seq").select("a", "b").collect()
+            assert [tuple(r) for r in read] == [(a, b.strip()) for a, b in list(csv.reader(io.StringIO(plain.decode(), newline="")))[1:]]
+    finally:
+        hadoop.unset("parquet.block.size")
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_shuffle_files_go_as_a_query_ends(spark, tmp_path):
+    rows, key = spark.range(5000).select(F.xxhash64("id").alias("a")).orderBy("a"), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    made, before = _shuffle_files(spark), spark.conf.get(key)
+    with shared.shuffles_dropped(spark):
+        rows.write.parquet(f"{tmp_path}/r")
+    assert _shuffle_files(spark) <= made and spark.conf.get(key) == before
+    assert rows.count() == spark.read.parquet(f"{tmp_path}/r").count() == 5000
+
+
+def test_parts_go_as_they_are_joined(spark, tmp_path):
+    spark.range(100).select("id", F.col("id").alias("_seq")).transform(lambda r: sinks.write_parts(r, f"{tmp_path}/p", ["_seq"], 3, packed=True) or r)
+    sinks.join_files(spark, sinks.parts_of(spark, f"{tmp_path}/p"), f"{tmp_path}/one.csv", consume=True)
+    assert sinks.parts_of(spark, f"{tmp_path}/p") == [] and (tmp_path / "one.csv").read_text().split() == ["id", *map(str, range(100))]

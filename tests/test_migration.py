@@ -139,6 +139,24 @@ def test_a_write_set_is_replaced_as_a_whole(spark, wave, tmp_path, monkeypatch):
     assert {p.name: p.read_bytes() for p in out.iterdir() if p.is_file() and not p.name.startswith(".")} == {n: b for n, b in old.items() if not n.startswith(".")} | {"notes.txt": b"mine"} and [p.name for p in tmp_path.iterdir()] == ["out"]
 
 
+def test_a_packed_write_set_holds_the_same_records(spark, wave, tmp_path):
+    migration.write(wave, str(tmp_path / "plain"), spark)
+    migration.write(wave, str(tmp_path / "packed"), spark, packed=True)
+    files = sorted(p.name for p in (tmp_path / "plain").glob("*.csv"))
+    assert len(files) == 15 and all(f.suffix == ".gz" or f.name == sinks.HEADER for n in files for f in (tmp_path / "packed" / n).iterdir() if f.name[0] not in "._")
+    for n in files:
+        sinks.join_files(spark, sinks.parts_of(spark, str(tmp_path / "packed" / n)), str(tmp_path / "joined.csv"))
+        assert (tmp_path / "joined.csv").read_bytes() == (tmp_path / "plain" / n).read_bytes()
+        if (tmp_path / "plain" / n).stat().st_size:
+            plain, packed = (read_csv(spark, str(tmp_path / kind / n)) for kind in ("plain", "packed"))
+            rows = lambda x: [tuple(r) for r in x.orderBy("_seq").drop("_seq").collect()]
+            assert packed.columns == plain.columns and rows(packed) == rows(plain)
+    assert all((tmp_path / "packed" / n).read_text() == (tmp_path / "plain" / n).read_text() for n in ("reconciliation.json", "reconciliation.md"))
+    assert set(json.loads((tmp_path / "packed" / "manifest.json").read_text())["files"]) == {*files, "reconciliation.json", "reconciliation.md"}
+    stored = [c.annotated.stored_at for c in wave.cleansed.values()]
+    assert all("_issues" not in spark.read.parquet(p).columns for p in stored)
+
+
 def test_parts_put_together_are_the_file(spark, tmp_path):
     rows = spark.range(500).select(F.col("id").alias("_seq"), (F.col("id") * 7).cast("string").alias("a"), F.when(F.col("id") % 3 == 0, 'x "y", z\nw\r').when(F.col("id") % 3 == 1, F.lit(None).cast("string")).otherwise(" é ").alias("b,c"))
     sinks.write_csv(rows, str(tmp_path / "one.csv"), ["_seq"])
